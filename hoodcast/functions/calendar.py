@@ -41,22 +41,41 @@ def _easter_sunday(year: Column) -> Column:
     return F.make_date(y.cast("int"), month.cast("int"), day.cast("int"))
 
 
-def holiday_dates(years: DataFrame, year_col: str = "year",
-                  include_observed: bool = False) -> DataFrame:
-    """One row per (holiday date) for the distinct years in ``years``."""
-    y = F.col(year_col).cast("int")
-    rules = [
+def _rules(y: Column) -> list:
+    may24 = F.make_date(y, F.lit(5), F.lit(24))
+    return [
         F.make_date(y, F.lit(1), F.lit(1)),
         F.when(y >= 2008, _nth_monday(y, 2, 3)),
         F.date_sub(_easter_sunday(y), 2),
-        F.date_sub(F.make_date(y, F.lit(5), F.lit(24)), F.weekday(F.make_date(y, F.lit(5), F.lit(24)))),
+        F.date_sub(may24, F.weekday(may24)),
         F.make_date(y, F.lit(7), F.lit(1)),
         _nth_monday(y, 9, 1),
         _nth_monday(y, 10, 2),
         F.make_date(y, F.lit(12), F.lit(25)),
         F.make_date(y, F.lit(12), F.lit(26)),
     ]
-    out = years.select(F.explode(F.array(*rules)).alias("holiday")).where(F.col("holiday").isNotNull())
+
+
+def is_holiday(d: Column, include_observed: bool = False) -> Column:
+    """Row expression: is ``d`` one of the nine holidays of its own year?
+
+    No lookup table: each rule is evaluated for ``year(d)`` and compared.
+    """
+    y = F.year(d)
+    hit = F.lit(False)
+    for r in _rules(y):
+        hit = hit | F.coalesce(d == r, F.lit(False))
+    if include_observed:
+        wd = F.weekday(d)
+        hit = hit | ((wd == 0) & (is_holiday(F.date_sub(d, 1)) | is_holiday(F.date_sub(d, 2))))
+    return hit
+
+
+def holiday_dates(years: DataFrame, year_col: str = "year",
+                  include_observed: bool = False) -> DataFrame:
+    """One row per (holiday date) for the distinct years in ``years``."""
+    y = F.col(year_col).cast("int")
+    out = years.select(F.explode(F.array(*_rules(y))).alias("holiday")).where(F.col("holiday").isNotNull())
     if include_observed:
         # weekend holiday -> following Monday (Sat +2, Sun +1), kept alongside the day itself
         wd = F.weekday("holiday")

@@ -73,11 +73,20 @@ def nan_to_null(c) -> Column:
 
 
 def rfc1123_to_date(c) -> Column:
-    """Text like ``Sun, 01 Jan 2006 10:00:00 GMT`` -> UTC date; bad -> null."""
+    """Text like ``Sun, 01 Jan 2006 10:00:00 GMT`` -> UTC date; bad -> null.
+
+    The weekday prefix is skipped (``EEE`` is not accepted by Spark's parser);
+    the rest is parsed with a fixed pattern, ``try_`` so bad text gives null.
+    """
     body = F.substring(col_(c), 6, 20)
     return F.to_date(F.try_to_timestamp(body, F.lit("dd MMM yyyy HH:mm:ss")))
 
 
+def rfc1123_text(d) -> Column:
+    """Inverse of :func:`rfc1123_to_date` for a DATE/TIMESTAMP column (GMT)."""
+    return F.date_format(col_(d), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+
+
 def epoch_to_ts(c) -> Column:
     """Epoch seconds (any text/number) -> timestamp; bad -> null."""
     return F.timestamp_seconds(to_number(c, "bigint"))

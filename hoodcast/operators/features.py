@@ -1,8 +1,7 @@
 """Feature builders K12-K21 over the dense gold panel.
 
-Everything is one lazy plan: calendar and weather flags are row expressions,
-the holiday set is a scalar subquery (an array of a few hundred dates, no
-join), the halo is a size-checked broadcast join against the adjacency list,
+Everything is one lazy plan: calendar, holiday and weather flags are row
+expressions, the halo is a join against the (small) adjacency list,
 and all lag / rolling / momentum / target columns are computed in one window
 pass partitioned by area.
 """
@@ -14,26 +13,18 @@ from pyspark.sql import functions as F
 
 from hoodcast.config import DEFAULTS, ROAD_COLS, Settings
 from hoodcast.functions import columns as C
-from hoodcast.functions.calendar import holiday_dates
+from hoodcast.functions.calendar import is_holiday
 from hoodcast.operators import windows as Wn
-from hoodcast.session import bounded_broadcast
-
-# adjacency lists are bounded by geography (about 6 neighbours per area)
-MAX_ADJ_ROWS = 5_000_000
-
-
-def holiday_set(df: DataFrame, include_observed: bool = False):
-    """Scalar subquery: array of holiday dates for every year spanned by ``df.date``."""
-    lo = df.select(F.min(F.year("date"))).scalar()
-    hi = df.select(F.max(F.year("date"))).scalar()
-    years = df.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("year"))
-    return holiday_dates(years, "year", include_observed).select(F.collect_set("holiday")).scalar()
-
 
 def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Dow (Mon=0), month, year, weekend, holiday, pre/post holiday,
-    cyclical encodings."""
-    hol = holiday_set(df, settings.include_observed_holidays)
+    cyclical encodings.
+
+    Holidays are row expressions of the date (each rule evaluated for the
+    row's year), so there is no lookup join and no pass over the data to find
+    the year range. ``pre_holiday`` on Dec 31 sees the next New Year's Day.
+    """
+    obs = settings.include_observed_holidays
     dow = F.weekday("date")
     month = F.month("date")
     ds, dc = C.cyclic(dow, 7)
@@ -42,9 +33,9 @@ def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
         "*",
         dow.alias("dow"), month.alias("month"), F.year("date").alias("year"),
         (dow >= 5).cast("int").alias("is_weekend"),
-        F.array_contains(hol, F.col("date")).cast("int").alias("is_holiday"),
-        F.array_contains(hol, F.date_add("date", 1)).cast("int").alias("pre_holiday"),
-        F.array_contains(hol, F.date_sub("date", 1)).cast("int").alias("post_holiday"),
+        is_holiday(F.col("date"), obs).cast("int").alias("is_holiday"),
+        is_holiday(F.date_add("date", 1), obs).cast("int").alias("pre_holiday"),
+        is_holiday(F.date_sub("date", 1), obs).cast("int").alias("post_holiday"),
         ds.alias("dow_sin"), dc.alias("dow_cos"), ms.alias("month_sin"), mc.alias("month_cos"),
     )
 
@@ -61,9 +52,9 @@ def weather_interactions(df: DataFrame) -> DataFrame:
 
 def halo_sums(df: DataFrame, adj: DataFrame, cols=ROAD_COLS) -> DataFrame:
     """Per (date, area), the sums of ``cols`` over its adjacent areas."""
-    a = bounded_broadcast(adj.select(F.col("nbhd_id").alias("_focus"),
-                                     F.col("adjacent_nbhd_id").alias("nbhd_id")).dropna(),
-                          MAX_ADJ_ROWS)
+    # the edge list is bounded by geography (about 6 neighbours per area);
+    # Spark's size estimate decides whether it is broadcast
+    a = adj.select(F.col("nbhd_id").alias("_focus"), F.col("adjacent_nbhd_id").alias("nbhd_id")).dropna()
     nb = df.select("date", "nbhd_id", *cols).join(a, "nbhd_id")
     return nb.groupBy("date", F.col("_focus").alias("nbhd_id")).agg(
         *[F.sum(c).alias(f"{c}_halo") for c in cols])

@@ -76,10 +76,8 @@ def bbox_filter(points: DataFrame, polys: DataFrame, x: str, y: str) -> DataFram
 
     The bounds are scalar subqueries over the polygon table (no join).
     """
-    tb = total_bounds(polys)
-    mnx, mny = tb.select("minx").scalar(), tb.select("miny").scalar()
-    mxx, mxy = tb.select("maxx").scalar(), tb.select("maxy").scalar()
-    return points.where(F.col(x).between(mnx, mxx) & F.col(y).between(mny, mxy))
+    tb = total_bounds(polys).select(F.struct("*").alias("b")).scalar()
+    return points.where(F.col(x).between(tb["minx"], tb["maxx"]) & F.col(y).between(tb["miny"], tb["maxy"]))
 
 
 def valid_coords(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:

@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 from hoodcast.config import KSI_COLS, ROAD_COLS, WEATHER_COLS
 from hoodcast.functions import columns as C
 from hoodcast.operators import geo
-from hoodcast.session import bounded_broadcast
-
-# The area dimension is bounded by geography (hundreds to a few hundred
-# thousand polygons), never by event volume.
-MAX_AREA_ROWS = 500_000
-
 
 def collision_daily(points: DataFrame, polys: DataFrame, predicate: str = "within",
                     cell: float | None = None) -> DataFrame:
@@ -36,7 +30,9 @@ def collision_daily(points: DataFrame, polys: DataFrame, predicate: str = "withi
     j = geo.spatial_join(p, polys, "lon", "lat", predicate=predicate,
                          single=(predicate == "intersects"), cell=cell)
     daily = j.groupBy("date", "nbhd_id").agg(F.count(F.lit(1)).alias("collision_count"))
-    names = bounded_broadcast(polys.select("nbhd_id", "area_id", "area_name"), MAX_AREA_ROWS)
+    # the area table is tiny next to the daily counts; Spark's size estimate
+    # (autoBroadcastJoinThreshold) decides whether it is broadcast
+    names = polys.select("nbhd_id", "area_id", "area_name")
     return daily.join(names, "nbhd_id").select("date", "nbhd_id", "area_id", "area_name",
                                                  "collision_count")
 
@@ -50,8 +46,8 @@ def dense_panel(daily: DataFrame, areas: DataFrame, count_col: str = "collision_
     ``lo``/``hi`` are scalar subqueries (no join at all); the spine then meets
     the daily counts in one equi-join on ``(date, nbhd_id)``.
     """
-    lo = daily.select(F.min("date")).scalar()
-    hi = daily.select(F.max("date")).scalar()
+    b = daily.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
     a = areas.select("nbhd_id", "area_id", "area_name").dropna(subset=["nbhd_id"])
     spine = a.select("nbhd_id", "area_id", "area_name", F.explode(F.sequence(lo, hi)).alias("date"))
     d = daily.select("date", "nbhd_id", F.col(count_col).alias("_c"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hoodcast.functions.columns import rfc1123_text
 from hoodcast.sources.tables import read_table
 
 GRID_X0, GRID_Y0, GRID_COLS = -80, 43, 5
@@ -65,7 +66,7 @@ def collision_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lon = (F.col("s_nationkey") % GRID_COLS + GRID_X0) + (F.col("l_partkey") % 97 + 1) / 98.0
     lat = (F.floor(F.col("s_nationkey") / GRID_COLS) + GRID_Y0) + (F.col("l_orderkey") % 89 + 1) / 90.0
     return j.select(
-        F.date_format(F.col("l_shipdate"), "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("OCC_DATE"),
+        rfc1123_text(F.col("l_shipdate")).alias("OCC_DATE"),
         F.when(bad, F.lit(0.0)).otherwise(lon).alias("LONG_WGS84"),
         F.when(bad, F.lit(0.0)).otherwise(lat).alias("LAT_WGS84"),
     )
@@ -83,7 +84,7 @@ def ksi_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("OBJECTID"),
         F.col("l_orderkey").alias("ACCNUM"),
-        F.date_format(F.col("l_shipdate"), "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("DATE"),
+        rfc1123_text(F.col("l_shipdate")).alias("DATE"),
         hood.alias("HOOD_158"),
         injury.alias("INJURY"),
         F.when(F.col("l_quantity") >= 49, 1).otherwise(0).alias("FATAL_NO"),
