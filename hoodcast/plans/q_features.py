@@ -307,3 +307,14 @@ def legacy_features_v1(spark, sf):
     g = I.gold(spark, sf).select("date", "nbhd_id", *LEGACY_V1)
     out = Fe.legacy_features_v1(g)
     return out.drop(*LEGACY_V1)
+
+
+def feature_column_names() -> list[str]:
+    """Ordered column names of the K19 table (static, for generated SQL)."""
+    from hoodcast.config import KSI_COLS, WEATHER_COLS
+    gold = (["date", "nbhd_id", "area_id", "area_name", "collisions", *KSI_COLS, *WEATHER_COLS,
+             "freeze_day", "snow_day", "rain_day", *ROAD_COLS])
+    win = (["ksi_ratio_lag1"] + _lag_names(S.lag_cols, S.lags) + _roll_names(S.lag_cols, S.windows)
+           + ["collision_momentum"] + _lag_names(HALO_COLS, S.halo_lags) + _roll_names(HALO_COLS, S.halo_windows)
+           + TARGET_COLS)
+    return gold + CAL_COLS + WX_COLS + ["ksi_ratio"] + HALO_OUT + win
