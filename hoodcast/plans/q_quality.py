@@ -1 +1,166 @@
-"""Queries (filled in below)."""
+"""Queries for the data-quality layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hoodcast.config import ADAPTER
+from hoodcast.operators import quality as Q
+from hoodcast.plans import inputs as I
+from hoodcast.plans.catalog import query
+from hoodcast.plans.oracle_sql import sql
+from hoodcast.sources import adapter as A
+from hoodcast.sources.tables import TABLES, read_table, table_path
+
+S = ADAPTER
+
+
+@query("dq_unique_key", sql(
+    "SELECT date, nbhd_id, count(*) AS n FROM panel GROUP BY 1, 2 HAVING count(*) > 1"))
+def dq_unique_key(spark, sf):
+    """Duplicate (date, area) keys in the dense panel (expected: none)."""
+    return Q.duplicate_keys(I.dense(spark, sf), ["date", "nbhd_id"])
+
+
+@query("dq_duplicate_count", sql(
+    "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) "
+    "AS distinct_keys, CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS duplicates "
+    "FROM lineitem"))
+def dq_duplicate_count(spark, sf):
+    """Rows beyond the first per (l_orderkey, l_linenumber) in lineitem."""
+    return Q.duplicate_count(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("dq_expected_entities", sql(
+    f"SELECT count(DISTINCT nbhd_id) AS n, {S.expected_areas} AS expected, "
+    f"count(DISTINCT nbhd_id) = {S.expected_areas} AS ok FROM panel"))
+def dq_expected_entities(spark, sf):
+    """The panel holds exactly the expected number of areas."""
+    return Q.expected_entities(I.dense(spark, sf), S.expected_areas)
+
+
+@query("dq_schema_range", sql(
+    "SELECT CAST(sum(CASE WHEN date IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS date_not_null, "
+    "CAST(sum(CASE WHEN nbhd_id >= 1 THEN 0 ELSE 1 END) AS BIGINT) AS nbhd_id_ge_1, "
+    "CAST(sum(CASE WHEN collisions >= 0 THEN 0 ELSE 1 END) AS BIGINT) AS collisions_ge_0, "
+    "CAST(sum(CASE WHEN tavg IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS weather_present, "
+    "CAST(sum(CASE WHEN ksi_fatal_victims <= ksi_victim_count THEN 0 ELSE 1 END) AS BIGINT) AS fatal_le_victims "
+    "FROM gold"))
+def dq_schema_range(spark, sf):
+    """N3 + N7: gold contract (non-null date, id >= 1, counts >= 0, weather
+    present, fatal victims <= victims) as violation counts."""
+    g = I.gold(spark, sf)
+    out = Q.contract_violations(g, {
+        "date_not_null": F.col("date").isNotNull(),
+        "nbhd_id_ge_1": F.col("nbhd_id") >= 1,
+        "collisions_ge_0": F.col("collisions") >= 0,
+        "weather_present": F.col("tavg").isNotNull(),
+        "fatal_le_victims": F.col("ksi_fatal_victims") <= F.col("ksi_victim_count"),
+    })
+    return out.select(*[F.col(c).cast("bigint").alias(c) for c in out.columns])
+
+
+@query("dq_missing_lookup", sql("""
+  SELECT HOOD_158, count(*) AS rows FROM (
+    SELECT CASE WHEN l_partkey % 41 = 0 THEN 'NSA' ELSE CAST(s_nationkey + 1 AS VARCHAR) END AS HOOD_158
+    FROM li_s WHERE l_quantity >= 40)
+  WHERE HOOD_158 NOT IN (SELECT CAST(nbhd_id AS VARCHAR) FROM areas)
+  GROUP BY 1 ORDER BY 1 LIMIT 10"""))
+def dq_missing_lookup(spark, sf):
+    """KSI hood codes without an area (``NSA``), up to 10 keys with counts."""
+    k = A.ksi_persons(spark, sf).select("HOOD_158")
+    dim = A.areas(spark, sf).select(F.col("nbhd_id").cast("string").alias("HOOD_158"))
+    return Q.missing_lookup(k, dim, "HOOD_158", "HOOD_158")
+
+
+@query("dq_coverage", sql("""
+  SELECT count(DISTINCT nbhd_id) AS n_entities, count(DISTINCT date) AS n_days, count(*) AS n_rows,
+         datediff('day', min(date), max(date)) + 1 AS span_days,
+         (SELECT count(*) FROM areas WHERE nbhd_id NOT IN (SELECT nbhd_id FROM panel)) AS missing_entities,
+         (SELECT count(*) FROM (SELECT DISTINCT nbhd_id FROM panel) WHERE nbhd_id NOT IN (SELECT nbhd_id FROM areas))
+           AS extra_entities,
+         count(*) = count(DISTINCT nbhd_id) * (datediff('day', min(date), max(date)) + 1) AS ok
+  FROM panel"""))
+def dq_coverage(spark, sf):
+    """Expected areas present, none extra, rows = areas x days."""
+    out = Q.coverage(I.dense(spark, sf), A.areas(spark, sf))
+    return out.select("n_entities", "n_days", "n_rows", F.col("span_days").cast("bigint").alias("span_days"),
+                      "missing_entities", "extra_entities", "ok")
+
+
+@query("dq_density", sql("""
+  SELECT nbhd_id, count(*) AS n, count(DISTINCT date) AS d, datediff('day', min(date), max(date)) + 1 AS span
+  FROM coll_daily GROUP BY 1
+  HAVING count(*) <> datediff('day', min(date), max(date)) + 1 OR count(DISTINCT date) <> count(*)"""))
+def dq_density(spark, sf):
+    """The sparse daily counts are not a dense series (lags would count
+    rows, not days): areas with gaps."""
+    out = Q.density_violations(I.collision_daily(spark, sf))
+    return out.select("nbhd_id", "n", "d", F.col("span").cast("bigint").alias("span"))
+
+
+@query("dq_prob_targets", sql(f"""
+  SELECT CAST(sum(CASE WHEN score IS NOT NULL AND NOT (score BETWEEN 0 AND 1) THEN 1 ELSE 0 END) AS BIGINT)
+           AS score_out_of_range,
+         CAST(sum(CASE WHEN t IS NULL OR t NOT IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) AS target_bad
+  FROM (SELECT ((nbhd_id * 7919 + datediff('day', DATE '1995-01-01', date) * 104729) % 1000) / 1000.0 AS score,
+               CAST(coalesce(lead(collisions, 1) OVER (PARTITION BY nbhd_id ORDER BY date), 0) >= 1 AS INTEGER) AS t
+        FROM panel)"""))
+def dq_prob_targets(spark, sf):
+    """Probabilities in [0, 1], targets binary and non-null."""
+    from hoodcast.operators import windows as Wn
+    p = I.dense(spark, sf)
+    w = Wn.area_window()
+    t = p.select(A.score_column().alias("score"),
+                 (F.coalesce(Wn.lead("collisions", 1, w), F.lit(0)) >= 1).cast("int").alias("target"))
+    out = Q.probability_target_checks(t, ["score"], ["target"])
+    return out.select(F.col("score_out_of_range").cast("bigint"), F.col("target_bad").cast("bigint"))
+
+
+REQUIRED = {"lineitem": ("l_orderkey", "l_suppkey", "l_shipdate", "l_quantity"),
+            "orders": ("o_orderkey", "o_custkey", "o_orderdate"),
+            "nation": ("n_nationkey", "n_name"), "supplier": ("s_suppkey", "s_nationkey"),
+            "customer": ("c_custkey", "c_nationkey")}
+
+
+def _audit_sql():
+    parts = []
+    for t in TABLES:
+        parts.append(f"SELECT '{t}' AS name, CASE WHEN count(*) = 0 THEN 'BAD_ROWS' ELSE 'OK' END AS status, "
+                     f"count(*) AS rows, (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_audit", _audit_sql())
+def dq_audit(spark, sf):
+    """Artefact audit over the input tables."""
+    out = Q.audit(spark, {t: table_path(sf, t) for t in TABLES}, REQUIRED)
+    return out.select("name", "status", "rows", F.col("n_columns").cast("bigint").alias("n_columns"))
+
+
+@query("dq_set_difference", sql(
+    "SELECT nbhd_id FROM areas EXCEPT SELECT DISTINCT nbhd_id FROM ksi_daily WHERE ksi_fatal_collisions > 0"))
+def dq_set_difference(spark, sf):
+    """H2: areas that never had a fatal KSI collision (expected minus actual)."""
+    k = I.ksi_daily(spark, sf).where(F.col("ksi_fatal_collisions") > 0)
+    return Q.set_difference(A.areas(spark, sf), k, ["nbhd_id"])
+
+
+MERGE_SQL = sql("""
+  SELECT date, tavg, tmin, load_seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY date ORDER BY load_seq DESC) AS rn FROM (
+      SELECT date, tavg, tmin, 1 AS load_seq FROM weather_raw WHERE date < DATE '1998-01-01'
+      UNION ALL
+      SELECT date, tavg + 1, tmin, 2 AS load_seq FROM weather_raw WHERE date >= DATE '1997-07-01'))
+  WHERE rn = 1""")
+
+
+@query("incremental_merge", MERGE_SQL)
+def incremental_merge(spark, sf):
+    """Two overlapping weather loads merged, last load wins per date."""
+    w = A.weather_raw(spark, sf)
+    old = w.where(F.col("date") < F.lit("1998-01-01").cast("date")).select(
+        "date", "tavg", "tmin", F.lit(1).alias("load_seq"))
+    new = w.where(F.col("date") >= F.lit("1997-07-01").cast("date")).select(
+        "date", (F.col("tavg") + 1).alias("tavg"), "tmin", F.lit(2).alias("load_seq"))
+    return Q.incremental_merge(old, new, ["date"])
