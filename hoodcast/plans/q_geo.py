@@ -1 +1,157 @@
-"""Queries (filled in below)."""
+"""Queries for the spatial layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hoodcast.functions.columns import coord_key
+from hoodcast.operators import geo
+from hoodcast.plans import inputs as I
+from hoodcast.plans.catalog import query
+from hoodcast.plans.oracle_sql import sql
+from hoodcast.sources import adapter as A
+from hoodcast.sources.tables import read_table
+
+CELL = I.ADAPTER_CELL
+
+
+def _points(spark, sf):
+    p = A.collision_points(spark, sf).select(F.col("LONG_WGS84").alias("lon"), F.col("LAT_WGS84").alias("lat"))
+    return p
+
+
+@query("spatial_within", sql(
+    "SELECT CAST(s_nationkey + 1 AS INTEGER) AS nbhd_id, count(*) AS points FROM li_s "
+    "WHERE l_partkey % 50 <> 0 GROUP BY 1"))
+def spatial_within(spark, sf):
+    """Points strictly inside each area (no bbox prefilter: (0, 0) points
+    simply find no cell)."""
+    j = geo.spatial_join(_points(spark, sf), A.area_polygons(spark, sf), "lon", "lat", "within", cell=CELL)
+    return j.groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("points"))
+
+
+@query("spatial_intersects_single", sql(
+    "SELECT CAST(s_nationkey + 1 AS INTEGER) AS nbhd_id, count(*) AS points FROM li_s "
+    "WHERE l_partkey % 50 <> 0 GROUP BY 1"))
+def spatial_intersects_single(spark, sf):
+    """Boundary-inclusive join, one (lowest-id) area per point."""
+    j = geo.spatial_join(_points(spark, sf), A.area_polygons(spark, sf), "lon", "lat", "intersects",
+                         single=True, cell=CELL)
+    return j.groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("points"))
+
+
+@query("bbox_filter", sql("""
+  SELECT CAST(min(-80 + n_nationkey % 5) AS DOUBLE) AS minx, CAST(min(43 + n_nationkey // 5) AS DOUBLE) AS miny,
+         CAST(max(-79 + n_nationkey % 5) AS DOUBLE) AS maxx, CAST(max(44 + n_nationkey // 5) AS DOUBLE) AS maxy,
+         (SELECT count(*) FROM li_s WHERE l_partkey % 50 <> 0) AS kept,
+         (SELECT count(*) FROM li_s WHERE l_partkey % 50 = 0) AS dropped
+  FROM nation"""))
+def bbox_filter(spark, sf):
+    """J4 + C2: the polygons' total bounds and how many points the inclusive
+    bounding-box filter keeps / drops."""
+    polys = A.area_polygons(spark, sf)
+    pts = _points(spark, sf)
+    kept = geo.bbox_filter(pts, polys, "lon", "lat")
+    nk = kept.select(F.count(F.lit(1))).scalar()
+    nall = pts.select(F.count(F.lit(1))).scalar()
+    return geo.total_bounds(polys).select("minx", "miny", "maxx", "maxy", nk.alias("kept"),
+                                          (nall - nk).alias("dropped"))
+
+
+@query("adjacency_touches", sql("SELECT nbhd_id, adjacent_nbhd_id FROM adj"))
+def adjacency_touches(spark, sf):
+    """Polygons whose boundaries meet (corner contact counts), both directions."""
+    return I.adjacency(spark, sf)
+
+
+@query("adjacency_symmetry", sql(
+    "SELECT a.nbhd_id, a.adjacent_nbhd_id FROM adj a LEFT JOIN adj b "
+    "ON b.nbhd_id = a.adjacent_nbhd_id AND b.adjacent_nbhd_id = a.nbhd_id WHERE b.nbhd_id IS NULL"))
+def adjacency_symmetry(spark, sf):
+    """Directed pairs lacking their reverse (expected: none)."""
+    return geo.missing_reverse_pairs(I.adjacency(spark, sf))
+
+
+@query("isolated_areas", sql(
+    "SELECT nbhd_id, area_id, area_name FROM areas WHERE nbhd_id NOT IN (SELECT nbhd_id FROM adj)"))
+def isolated_areas(spark, sf):
+    """Areas without any neighbour (expected: none)."""
+    return geo.isolated_areas(A.areas(spark, sf), I.adjacency(spark, sf))
+
+
+@query("polygon_centroid", sql(
+    "SELECT CAST(n_nationkey + 1 AS INTEGER) AS nbhd_id, -80 + n_nationkey % 5 + 0.5 AS centroid_lon, "
+    "43 + n_nationkey // 5 + 0.5 AS centroid_lat, 1.0 AS area FROM nation"))
+def polygon_centroid(spark, sf):
+    """Area-weighted centroid and area by shoelace sums over the edges."""
+    return geo.centroids(A.area_polygons(spark, sf))
+
+
+@query("valid_polygons", sql("SELECT nbhd_id, area_id, area_name FROM areas"))
+def valid_polygons(spark, sf):
+    """Polygons passing the structural and self-crossing checks."""
+    return geo.valid_polygons(A.area_polygons(spark, sf)).select("nbhd_id", "area_id", "area_name")
+
+
+@query("valid_coords", sql(
+    "SELECT source, count(*) AS n FROM dis GROUP BY 1"))
+def valid_coords(spark, sf):
+    """Disruption coordinates coerced and range-checked (all valid here)."""
+    d = geo.valid_coords(A.disruptions(spark, sf), "Latitude", "Longitude")
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("coord_clusters", sql("""
+  SELECT concat_ws('_', CAST(round_even(lat, 1) AS VARCHAR), CAST(round_even(lon, 1) AS VARCHAR)) AS coord_key,
+         min(round_even(lat, 1)) AS cell_lat, min(round_even(lon, 1)) AS cell_lon, count(*) AS members
+  FROM (SELECT (43 + c_nationkey // 5) + (o_orderkey % 89 + 1) / 90.0 AS lat,
+               (-80 + c_nationkey % 5) + (o_custkey % 97 + 1) / 98.0 AS lon
+        FROM orders JOIN customer ON o_custkey = c_custkey)
+  GROUP BY 1"""))
+def coord_clusters(spark, sf):
+    """0.1-degree cells (half-even rounding), representative
+    coordinate and member count per cell."""
+    d = A.disruptions(spark, sf)
+    k = d.select(coord_key("Latitude", "Longitude", 1).alias("coord_key"),
+                 F.bround("Latitude", 1).alias("la"), F.bround("Longitude", 1).alias("lo"))
+    return k.groupBy("coord_key").agg(F.min("la").alias("cell_lat"), F.min("lo").alias("cell_lon"),
+                                      F.count(F.lit(1)).alias("members"))
+
+
+def road_exposure_frame(spark, sf):
+    """J8 re-aimed: exposure per area from node and segment tables.
+
+    Nodes are suppliers (``street_count = s_suppkey % 5``) and segments are
+    parts (``length_m = p_size * 37``), placed in area ``key % 25 + 1``; areas
+    without rows report zeros.
+    """
+    nodes = read_table(spark, sf, "supplier").select(
+        (F.col("s_suppkey") % 25 + 1).cast("int").alias("nbhd_id"), (F.col("s_suppkey") % 5).alias("street_count"))
+    segs = read_table(spark, sf, "part").select(
+        (F.col("p_partkey") % 25 + 1).cast("int").alias("nbhd_id"), (F.col("p_size") * 37).alias("length_m"))
+    n = nodes.groupBy("nbhd_id").agg(F.count_if(F.col("street_count") > 1).alias("intersection_count"),
+                                     F.avg("street_count").alias("spn"))
+    s = segs.groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("street_segment_count"),
+                                    F.sum("length_m").alias("len_m"))
+    a = A.areas(spark, sf).select("nbhd_id").join(n, "nbhd_id", "left").join(s, "nbhd_id", "left")
+    return a.select(
+        "nbhd_id",
+        F.coalesce("intersection_count", F.lit(0)).cast("bigint").alias("intersection_count"),
+        F.coalesce("street_segment_count", F.lit(0)).cast("bigint").alias("street_segment_count"),
+        F.coalesce(F.bround(F.col("len_m") / 1000.0, 4), F.lit(0.0)).alias("arterial_length_km"),
+        F.coalesce(F.bround("spn", 4), F.lit(0.0)).alias("streets_per_node_avg"))
+
+
+@query("road_exposure", sql("""
+  SELECT a.nbhd_id, CAST(coalesce(n.ic, 0) AS BIGINT) AS intersection_count,
+         CAST(coalesce(s.sc, 0) AS BIGINT) AS street_segment_count,
+         coalesce(round_even(s.len_m / 1000.0, 4), 0.0) AS arterial_length_km,
+         coalesce(round_even(n.spn, 4), 0.0) AS streets_per_node_avg
+  FROM areas a
+  LEFT JOIN (SELECT CAST(s_suppkey % 25 + 1 AS INTEGER) AS nbhd_id, count(*) FILTER (WHERE s_suppkey % 5 > 1) AS ic,
+                    avg(s_suppkey % 5) AS spn FROM supplier GROUP BY 1) n USING (nbhd_id)
+  LEFT JOIN (SELECT CAST(p_partkey % 25 + 1 AS INTEGER) AS nbhd_id, count(*) AS sc, sum(p_size * 37) AS len_m
+             FROM part GROUP BY 1) s USING (nbhd_id)"""))
+def road_exposure(spark, sf):
+    """Intersections, segments, length (km, 4 dp), mean streets per node (4 dp)."""
+    return road_exposure_frame(spark, sf)
