@@ -2,8 +2,8 @@
 are rows-only checks in the registry; pytest covers their properties.
 
 The registry runs cap the tree count (``REGISTRY_TREES``) so that the check
-finishes in minutes; ``hoodcast.plans.jobs`` trains with the reference's
-size rule (200/400 trees).
+finishes in minutes; ``TreeParams`` defaults (used by ``hoodcast.plans.jobs``)
+follow the reference's size rule (200/400 trees).
 """
 
 from __future__ import annotations

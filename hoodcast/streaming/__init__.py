@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming ingestion (no watermarks, windows over event
+time or state); its refresh is a scheduled daily batch. Following "build only
+what the reference does", this package holds no stream operators: the daily
+refresh is the batch job ``hoodcast.plans.jobs.refresh`` (incremental merge of
+newly landed rows, then scoring of the latest date).
+"""
