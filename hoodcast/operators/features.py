@@ -95,24 +95,25 @@ def ksi_ratio_columns(df: DataFrame) -> DataFrame:
 
 def window_family(df: DataFrame, settings: Settings = DEFAULTS, halo: bool = True,
                   targets: bool = True) -> DataFrame:
-    """K14 (lag) + K15 + K16 + K17 (halo lag/roll) + K18 in one window pass."""
+    """K14 (lag) + K15 + K16 + K17 (halo lag/roll) + K18 over one
+    ``partitionBy(nbhd_id).orderBy(date)`` ordering: one exchange, one sort."""
     w = Wn.area_window("nbhd_id", "date")
-    present = set(df.columns)
-    cols = [Wn.lag("ksi_ratio", 1, w).alias("ksi_ratio_lag1")] if "ksi_ratio" in present else []
-    cols += Wn.lag_roll_columns(settings.lag_cols, settings.lags, settings.windows, w, present)
-    base = Wn.trailing("collisions", 14, w, "mean")
-    cols.append(F.coalesce(C.safe_div(Wn.lag("collisions", 1, w), base), F.lit(1.0))
-                .alias("collision_momentum"))
-    if halo:
-        hcols = [f"{c}_halo" for c in ROAD_COLS]
-        cols += Wn.lag_roll_columns(hcols, settings.halo_lags, settings.halo_windows, w, present)
+    extra = [Wn.lag("ksi_ratio", 1, w).alias("ksi_ratio_lag1")] if "ksi_ratio" in df.columns else []
     if targets:
         for h in settings.horizons:
             fc, fk = Wn.lead("collisions", h, w), Wn.lead("ksi_collisions", h, w)
-            cols += [fc.alias(f"collisions_t{h}"),
-                     (F.coalesce(fc, F.lit(0)) >= 1).cast("int").alias(f"target_collision_t{h}"),
-                     (F.coalesce(fk, F.lit(0)) >= 1).cast("int").alias(f"target_ksi_t{h}")]
-    return df.select("*", *cols)
+            extra += [fc.alias(f"collisions_t{h}"),
+                      (F.coalesce(fc, F.lit(0)) >= 1).cast("int").alias(f"target_collision_t{h}"),
+                      (F.coalesce(fk, F.lit(0)) >= 1).cast("int").alias(f"target_ksi_t{h}")]
+    out = Wn.add_lag_roll(df, settings.lag_cols, settings.lags, settings.windows, w, extra)
+    if halo:
+        out = Wn.add_lag_roll(out, [f"{c}_halo" for c in ROAD_COLS], settings.halo_lags,
+                              settings.halo_windows, w)
+    if "collisions_lag1" in out.columns and "collisions_roll14_mean" in out.columns:
+        lag1, base = F.col("collisions_lag1"), F.col("collisions_roll14_mean")
+    else:
+        lag1, base = Wn.lag("collisions", 1, w), Wn.trailing("collisions", 14, w, "mean")
+    return out.withColumn("collision_momentum", F.coalesce(C.safe_div(lag1, base), F.lit(1.0)))
 
 
 def feature_table(gold: DataFrame, adj: DataFrame, settings: Settings = DEFAULTS,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def area_window(part: str | list = "nbhd_id", order: str = "date"):
@@ -60,3 +61,43 @@ def lag_roll_columns(cols, lags, widths, w, present=None) -> list[Column]:
             out.append(trailing(c, W, w, "sum").alias(f"{c}_roll{W}_sum"))
             out.append(trailing(c, W, w, "mean").alias(f"{c}_roll{W}_mean"))
     return out
+
+
+def _is_integral(df, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, IntegralType)
+
+
+def add_lag_roll(df, cols, lags, widths, w, extra=()):
+    """K15 as a frame transform: ``{c}_lag{L}``, ``{c}_roll{W}_sum``,
+    ``{c}_roll{W}_mean`` for each present column, plus ``extra`` columns.
+
+    Integral columns use running totals: one unbounded-preceding sum and count
+    per column (linear per area), after which every trailing window is the
+    difference of two lags of the totals, exact in integer arithmetic.  Other
+    columns use bounded ``rowsBetween(-W, -1)`` frames.  Either way the result
+    is null unless all W prior values are present.
+    """
+    present = [c for c in cols if c in df.columns]
+    integral = [c for c in present if _is_integral(df, c)]
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    helpers = []
+    for c in integral:
+        helpers += [F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"__cs_{c}"),
+                    F.count(c).over(run).alias(f"__cn_{c}")]
+    base = df.select("*", *helpers) if helpers else df
+    out = list(extra)
+    for c in present:
+        out += [lag(c, L, w).alias(f"{c}_lag{L}") for L in lags]
+        for W in widths:
+            if c in integral:
+                s = F.lag(f"__cs_{c}", 1).over(w) - F.lag(f"__cs_{c}", W + 1, 0).over(w)
+                n = F.lag(f"__cn_{c}", 1).over(w) - F.lag(f"__cn_{c}", W + 1, 0).over(w)
+                full = n == W
+                out.append(F.when(full, s.cast("double")).alias(f"{c}_roll{W}_sum"))
+                out.append(F.when(full, s.cast("double") / W).alias(f"{c}_roll{W}_mean"))
+            else:
+                out.append(trailing(c, W, w, "sum").alias(f"{c}_roll{W}_sum"))
+                out.append(trailing(c, W, w, "mean").alias(f"{c}_roll{W}_mean"))
+    res = base.select("*", *out)
+    drop = [f"__cs_{c}" for c in integral] + [f"__cn_{c}" for c in integral]
+    return res.drop(*drop) if drop else res

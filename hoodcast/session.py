@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` once as a parquet table under the shared checkpoint
+    folder and return a scan of it.
+
+    Unlike ``Dataset.checkpoint`` (which computes the plan once for the action
+    and again to write the checkpoint unless it was cached), the write job
+    computes the plan exactly once; later readers scan files that survive
+    executor loss.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
