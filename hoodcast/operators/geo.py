@@ -121,7 +121,7 @@ def choose_cell_size(polys: DataFrame, per_side: int = 4) -> float:
 
 
 def cell_index(polys: DataFrame, cell: float, id_col: str = "nbhd_id") -> DataFrame:
-    """``(cx, cy, polys ARRAY<STRUCT<poly_id, edges>>)`` sorted by poly id.
+    """``(cx, cy, polys ARRAY<STRUCT<poly_id, inside, edges>>)`` sorted by poly id.
 
     Each polygon contributes to the cells of its bounding box; per cell it keeps
     only edges whose y-range meets the cell's row and that reach the cell's
@@ -145,7 +145,19 @@ def cell_index(polys: DataFrame, cell: float, id_col: str = "nbhd_id") -> DataFr
     band = F.expr(
         f"filter(edges, e -> greatest(e.y1, e.y2) >= cy * {s!r} AND least(e.y1, e.y2) <= (cy + 1) * {s!r} "
         f"AND greatest(e.x1, e.x2) >= cx * {s!r})")
-    per_cell = cells.select("cx", "cy", F.struct("poly_id", band.alias("edges")).alias("p"))
+    # a cell no edge box touches lies entirely inside or entirely outside the
+    # polygon: decide once here by casting from the cell centre, so points in
+    # interior cells need no per-point test and exterior cells are dropped
+    touches = F.expr(
+        f"exists(edges, e -> greatest(e.x1, e.x2) >= cx * {s!r} AND least(e.x1, e.x2) <= (cx + 1) * {s!r} "
+        f"AND greatest(e.y1, e.y2) >= cy * {s!r} AND least(e.y1, e.y2) <= (cy + 1) * {s!r})")
+    cells = cells.select("poly_id", "cx", "cy", band.alias("edges"), touches.alias("boundary"))
+    centre_in = F.expr(f"({_crossings('edges', f'((cx + 0.5) * {s!r})', f'((cy + 0.5) * {s!r})')}) % 2 = 1")
+    cells = cells.withColumn("inside", ~F.col("boundary") & centre_in).where(F.col("boundary") | F.col("inside"))
+    entry = F.struct("poly_id", F.col("inside"),
+                     F.when(F.col("inside"), F.array().cast(f"array<{EDGE_T}>")).otherwise(F.col("edges"))
+                     .alias("edges"))
+    per_cell = cells.select("cx", "cy", entry.alias("p"))
     return per_cell.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("p")).alias("polys"))
 
 
@@ -190,8 +202,8 @@ def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: s
     idx = bounded_broadcast(index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy"),
                             broadcast_rows)
     j = pts.join(idx, ["_cx", "_cy"], "inner")
-    hit = F.expr(f"transform(filter(polys, p -> {inside_expr('p.edges', f'`{x}`', f'`{y}`', predicate)}), "
-                 f"p -> p.poly_id)")
+    test = inside_expr('p.edges', f'`{x}`', f'`{y}`', predicate)
+    hit = F.expr(f"transform(filter(polys, p -> p.inside OR {test}), p -> p.poly_id)")
     j = j.withColumn("_hits", hit).drop("polys", "_cx", "_cy")
     if single:
         return j.where(F.size("_hits") > 0).withColumn(out_col, F.col("_hits")[0]).drop("_hits")

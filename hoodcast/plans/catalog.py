@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from hoodcast.plans import (q_panel, q_features, q_geo, q_surge, q_eval,  # noqa: F401
-                                q_quality, q_reports, q_sources, q_models)
+                                q_quality, q_reports, q_sources, q_models, q_weather)
