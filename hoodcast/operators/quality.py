@@ -139,3 +139,46 @@ def incremental_merge(old: DataFrame, new: DataFrame, keys, seq: str = "load_seq
     w = Window.partitionBy(*keys).orderBy(F.col(seq).desc())
     u = old.unionByName(new)
     return u.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def table_profile(df: DataFrame, key: str = "nbhd_id", date_col: str = "date") -> DataFrame:
+    """Rows, date range and distinct entities in one aggregate."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.min(date_col).alias("min_date"),
+                  F.max(date_col).alias("max_date"), F.count_distinct(key).alias("n_entities"))
+
+
+def column_profile(df: DataFrame, cols) -> DataFrame:
+    """Per column count, nulls, non-zeros, mean, min, max (one pass,
+    then unpivoted to one row per column)."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__nulls"),
+                 F.count_if(x != 0).alias(f"{c}__nonzero"), F.avg(x).alias(f"{c}__mean"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("n"),
+                              F.col(f"{c}__nulls").alias("nulls"), F.col(f"{c}__nonzero").alias("nonzero"),
+                              F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__min").alias("min"),
+                              F.col(f"{c}__max").alias("max")) for c in cols])
+    return one.select(F.inline(rows))
+
+
+def missing_rate(df: DataFrame, cols, threshold: float = 0.05) -> DataFrame:
+    """Share of nulls per column and whether it exceeds ``threshold``."""
+    one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing_rate")) for c in cols])
+    return one.select(F.inline(rows)).withColumn("above_threshold", F.col("missing_rate") > threshold)
+
+
+def canonical_columns(df: DataFrame, aliases: dict) -> DataFrame:
+    """Rename known aliases to one canonical name; among equal names the
+    first column wins (positional, so duplicate names are handled)."""
+    names = [aliases.get(c, c) for c in df.columns]
+    keep, seen = [], set()
+    for i, n in enumerate(names):
+        if n not in seen:
+            seen.add(n)
+            keep.append(i)
+    tmp = df.toDF(*[f"__c{i}" for i in range(len(names))])
+    return tmp.select(*[F.col(f"__c{i}").alias(names[i]) for i in keep])

@@ -220,3 +220,15 @@ def ksi_monthly(df: DataFrame, col: str = "ksi_collisions") -> DataFrame:
     avg = m.select(F.avg("ksi")).scalar()
     return m.select("year", "month", F.make_date("year", "month", F.lit(1)).alias("period"), "ksi",
                     avg.alias("long_avg"))
+
+
+def last_row_per_date(df: DataFrame, by: str = "nbhd_id", cols=("collisions",)) -> DataFrame:
+    """per date, the row with the highest ``by`` value (``max_by``)."""
+    s = F.struct(by, *cols)
+    return df.groupBy("date").agg(F.max_by(s, F.col(by)).alias("r")).select("date", "r.*")
+
+
+def batch_ids(df: DataFrame, order: str, n: int) -> DataFrame:
+    """Fixed-size batches of an ordered (bounded) table: ``(row_number - 1) div n``."""
+    w = Window.orderBy(order)
+    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / n).cast("int"))

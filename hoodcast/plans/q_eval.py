@@ -223,3 +223,14 @@ def topk_per_day(spark, sf):
 
 
 
+
+
+@query("metrics_merge", sql(
+    "SELECT m.*, l.* FROM (" + _metrics_sql("score", "collision_prob_t1") + ") m, (" + _lift_sql((5, 10)) + ") l",
+    EV_CTE))
+def metrics_merge(spark, sf):
+    """Classification metrics joined with the ranking metrics of the same model."""
+    ev = eval_frame(spark, sf)
+    m = Ev.classification_metrics(ev, "score", Y, "collision_prob_t1")
+    lf = Ev.lift_at_k(ev, "score", Y, (5, 10)).withColumn("model", F.lit("collision_prob_t1"))
+    return m.join(lf, "model")

@@ -9,6 +9,7 @@ from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
+from hoodcast.sources import adapter as A
 
 
 @query("collision_daily", sql("SELECT date, nbhd_id, area_id, area_name, collision_count "
@@ -87,3 +88,28 @@ def topk_trailing(spark, sf, k: int = 10):
 
 
 query("topk_trailing30", TOPK_TRAILING_SQL)(topk_trailing)
+
+
+@query("disruption_profile", sql("""
+  SELECT d.source, d.severity, d.n, s.avg_days FROM (
+    SELECT source, CASE WHEN source = 'event' THEN
+             CASE o_orderpriority WHEN '1-URGENT' THEN 'Major' WHEN '2-HIGH' THEN 'Moderate'
+                  WHEN '3-MEDIUM' THEN 'Minor' WHEN '4-NOT SPECIFIED' THEN 'Unknown' END
+             ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'Major' WHEN '2-HIGH' THEN 'Moderate'
+                  WHEN '3-MEDIUM' THEN 'Minor' WHEN '4-NOT SPECIFIED' THEN 'Unknown' END END AS severity,
+           count(*) AS n
+    FROM (SELECT o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN 'construction' ELSE 'event' END AS source
+          FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY 1, 2) d
+  JOIN (SELECT source, avg(CAST(datediff('day', start_date, end_date) AS DOUBLE)) AS avg_days
+        FROM dis WHERE end_date IS NOT NULL GROUP BY 1) s USING (source)"""))
+def disruption_profile(spark, sf):
+    """E16 + I6: disruption counts by feed and severity with each feed's mean
+    planned duration in (fractional) days."""
+    from hoodcast.functions.columns import days_between
+    d = A.disruptions(spark, sf)
+    counts = d.groupBy("source", F.col("Severity").alias("severity")).agg(F.count(F.lit(1)).alias("n"))
+    dur = (d.where(F.col("PlannedEndDate").isNotNull())
+           .select("source", days_between(F.timestamp_seconds("StartDate"), F.timestamp_seconds("PlannedEndDate"))
+                   .alias("days"))
+           .groupBy("source").agg(F.avg("days").alias("avg_days")))
+    return counts.join(dur, "source")

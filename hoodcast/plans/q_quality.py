@@ -164,3 +164,34 @@ def incremental_merge(spark, sf):
     new = w.where(F.col("date") >= F.lit("1997-07-01").cast("date")).select(
         "date", (F.col("tavg") + 1).alias("tavg"), "tmin", F.lit(2).alias("load_seq"))
     return Q.incremental_merge(old, new, ["date"])
+
+
+@query("dq_table_profile", sql(
+    "SELECT count(*) AS rows, min(date) AS min_date, max(date) AS max_date, count(DISTINCT nbhd_id) AS n_entities "
+    "FROM panel"))
+def dq_table_profile(spark, sf):
+    """Rows, date range, distinct areas of the panel."""
+    return Q.table_profile(I.dense(spark, sf))
+
+
+PROFILE_COLS = ["road_events_count", "road_construction_count", "ksi_collisions", "collisions"]
+
+
+@query("dq_column_profile", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"count(*) FILTER (WHERE {c} <> 0) AS nonzero, avg(CAST({c} AS DOUBLE)) AS mean, "
+    f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM gold" for c in PROFILE_COLS)))
+def dq_column_profile(spark, sf):
+    """Count / nulls / non-zeros / mean / min / max of gold measures."""
+    return Q.column_profile(I.gold(spark, sf), PROFILE_COLS)
+
+
+@query("dq_missing_rate", sql("""
+  SELECT * , missing_rate > 0.05 AS above_threshold FROM (
+    SELECT 'PlannedEndDate' AS "column", avg(CAST(end_date IS NULL AS DOUBLE)) AS missing_rate FROM dis
+    UNION ALL
+    SELECT 'Severity', avg(CAST((o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'))
+                                AS DOUBLE)) FROM orders JOIN customer ON o_custkey = c_custkey)"""))
+def dq_missing_rate(spark, sf):
+    """Missing rate of the planned end and the severity of disruptions."""
+    return Q.missing_rate(A.disruptions(spark, sf), ["PlannedEndDate", "Severity"])

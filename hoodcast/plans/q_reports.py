@@ -348,3 +348,18 @@ def model_performance(spark, sf):
 
 
 
+
+
+@query("city_row_per_date", sql(
+    "SELECT date, max(nbhd_id) AS nbhd_id, arg_max(collisions, nbhd_id) AS collisions FROM panel GROUP BY date"))
+def city_row_per_date(spark, sf):
+    """the highest-id area's row per date (the reference's scoring 'city row')."""
+    return R.last_row_per_date(I.dense(spark, sf).select("date", "nbhd_id", "collisions"))
+
+
+@query("area_batches", sql(
+    "SELECT nbhd_id, area_name, CAST(floor((row_number() OVER (ORDER BY nbhd_id) - 1) / 10) AS INTEGER) AS batch "
+    "FROM areas"))
+def area_batches(spark, sf):
+    """Areas in fixed batches of 10 by id."""
+    return R.batch_ids(A.areas(spark, sf).select("nbhd_id", "area_name"), "nbhd_id", 10)
