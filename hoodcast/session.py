@@ -47,9 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="hoodcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - core conf not settable at runtime; the context setting suffices
+        pass
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir() or path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -47,3 +47,18 @@ def test_merge_neutral(spark):
     got = dict(Su.merge_surge_neutral(f, s, Settings()).select("date", "surge_proba_t1").collect())
     assert list(sorted(got.values())) == [0.5, 0.5, 0.8]
     assert f.select(F.count("*")).first()[0] == 3
+
+
+def test_canonical_columns_first_wins(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "nbhd_id int, AREA_NAME string, area_name string")
+    out = Q.canonical_columns(df, {"AREA_NAME": "area_name"})
+    assert out.columns == ["nbhd_id", "area_name"] and out.first()["area_name"] == "a"
+
+
+def test_column_profile_and_missing_rate(spark):
+    df = spark.createDataFrame([(0, None), (2, 1.0), (4, None)], "a int, b double")
+    p = {r["column"]: r for r in Q.column_profile(df, ["a", "b"]).collect()}
+    assert (p["a"]["n"], p["a"]["nonzero"], p["a"]["mean"]) == (3, 2, 2.0)
+    assert p["b"]["nulls"] == 2
+    m = {r["column"]: r["missing_rate"] for r in Q.missing_rate(df, ["a", "b"]).collect()}
+    assert m == {"a": 0.0, "b": 2 / 3}
