@@ -71,6 +71,11 @@ def is_holiday(d: Column, include_observed: bool = False) -> Column:
     return hit
 
 
+def holidays_of_year(y: Column) -> Column:
+    """Array of the holiday dates of year ``y`` (Family Day absent before 2008)."""
+    return F.filter(F.array(*_rules(y)), lambda d: d.isNotNull())
+
+
 def holiday_dates(years: DataFrame, year_col: str = "year",
                   include_observed: bool = False) -> DataFrame:
     """One row per (holiday date) for the distinct years in ``years``."""

@@ -13,18 +13,28 @@ from pyspark.sql import functions as F
 
 from hoodcast.config import DEFAULTS, ROAD_COLS, Settings
 from hoodcast.functions import columns as C
-from hoodcast.functions.calendar import is_holiday
+from hoodcast.functions.calendar import holidays_of_year, is_holiday
 from hoodcast.operators import windows as Wn
 
 def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Dow (Mon=0), month, year, weekend, holiday, pre/post holiday,
     cyclical encodings.
 
-    Holidays are row expressions of the date (each rule evaluated for the
-    row's year), so there is no lookup join and no pass over the data to find
-    the year range. ``pre_holiday`` on Dec 31 sees the next New Year's Day.
+    Holidays are row expressions: the nine rule dates of the row's year are
+    built once per row and the three flags are membership tests (no lookup
+    join, no pass over the data to find its year range). Across a year end
+    only New Year's Day can follow (Dec 31 is pre-holiday) and no holiday can
+    precede (Dec 31 is never one), which the flags encode directly.
     """
     obs = settings.include_observed_holidays
+    d = F.col("date")
+    if obs:
+        is_h, pre, post = is_holiday(d, True), is_holiday(F.date_add(d, 1), True), is_holiday(F.date_sub(d, 1), True)
+    else:
+        hol = holidays_of_year(F.year(d))
+        is_h = F.array_contains(hol, d)
+        pre = F.array_contains(hol, F.date_add(d, 1)) | ((F.month(d) == 12) & (F.dayofmonth(d) == 31))
+        post = F.array_contains(hol, F.date_sub(d, 1))
     dow = F.weekday("date")
     month = F.month("date")
     ds, dc = C.cyclic(dow, 7)
@@ -33,9 +43,8 @@ def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
         "*",
         dow.alias("dow"), month.alias("month"), F.year("date").alias("year"),
         (dow >= 5).cast("int").alias("is_weekend"),
-        is_holiday(F.col("date"), obs).cast("int").alias("is_holiday"),
-        is_holiday(F.date_add("date", 1), obs).cast("int").alias("pre_holiday"),
-        is_holiday(F.date_sub("date", 1), obs).cast("int").alias("post_holiday"),
+        is_h.cast("int").alias("is_holiday"), pre.cast("int").alias("pre_holiday"),
+        post.cast("int").alias("post_holiday"),
         ds.alias("dow_sin"), dc.alias("dow_cos"), ms.alias("month_sin"), mc.alias("month_cos"),
     )
 

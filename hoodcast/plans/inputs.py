@@ -13,8 +13,8 @@ from hoodcast.operators import features as Fe
 from hoodcast.operators import geo, panel
 from hoodcast.sources import adapter as A
 
-# unit squares on the adapter grid: 4 cells per side
-ADAPTER_CELL = 0.25
+# unit squares on the adapter grid: 16 cells per side (most cells interior)
+ADAPTER_CELL = 0.0625
 
 
 def collision_daily(spark: SparkSession, sf: str, predicate: str = "within") -> DataFrame:

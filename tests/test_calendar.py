@@ -22,3 +22,11 @@ def test_pre_post(spark):
     r = sorted(calendar_features(df).select("date", "pre_holiday", "post_holiday").collect())
     assert [(x[1], x[2]) for x in r] == [(1, 0), (0, 1), (0, 0)]
     assert df.select(F.count("*")).first()[0] == 3
+
+
+def test_year_end_boundaries(spark):
+    df = spark.createDataFrame([(dt.date(2023, 12, 31),), (dt.date(2024, 1, 2),), (dt.date(2024, 1, 1),)], "date date")
+    r = {x["date"]: x for x in calendar_features(df).collect()}
+    assert r[dt.date(2023, 12, 31)]["pre_holiday"] == 1 and r[dt.date(2023, 12, 31)]["is_holiday"] == 0
+    assert r[dt.date(2024, 1, 2)]["post_holiday"] == 1
+    assert r[dt.date(2024, 1, 1)]["post_holiday"] == 0
