@@ -185,7 +185,7 @@ def inside_expr(edges: str, px: str, py: str, predicate: str) -> str:
 
 def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: str,
                   predicate: str = "within", single: bool = False,
-                  out_col: str = "nbhd_id", broadcast_rows: int = 2_000_000) -> DataFrame:
+                  out_col: str = "nbhd_id", broadcast_units: int = 2_000_000) -> DataFrame:
     """Inner spatial join of points to polygons.
 
     ``predicate='within'`` keeps points strictly inside (boundary excluded);
@@ -194,13 +194,15 @@ def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: s
     otherwise a point inside several overlapping polygons yields several rows.
 
     The index is broadcast only when it provably holds at most
-    ``broadcast_rows`` cells; beyond that the join shuffles on the cell and AQE
-    splits hot cells (skew join).
+    ``broadcast_units`` (one per polygon entry plus one per stored edge, about
+    40 bytes each); beyond that the join shuffles on the cell and AQE splits
+    hot cells (skew join).
     """
     s = float(cell)
     pts = points.withColumn("_cx", F.floor(F.col(x) / s)).withColumn("_cy", F.floor(F.col(y) / s))
+    units = F.aggregate("polys", F.lit(1), lambda acc, p: acc + F.size(p["edges"]) + 1)
     idx = bounded_broadcast(index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy"),
-                            broadcast_rows)
+                            broadcast_units, weight=units)
     j = pts.join(idx, ["_cx", "_cy"], "inner")
     test = inside_expr('p.edges', f'`{x}`', f'`{y}`', predicate)
     hit = F.expr(f"transform(filter(polys, p -> p.inside OR {test}), p -> p.poly_id)")
@@ -330,3 +332,77 @@ def centroids(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
                     C_safe(F.col("sx"), F.col("a2") * 3).alias("centroid_lon"),
                     C_safe(F.col("sy"), F.col("a2") * 3).alias("centroid_lat"),
                     (F.abs(F.col("a2")) / 2).alias("area"))
+
+
+# ---------------------------------------------------------------------------
+# the one projected CRS: Lambert conformal conic, two standard parallels
+# ---------------------------------------------------------------------------
+
+# NAD83 / Canada Atlas Lambert (EPSG:3978) on the GRS80 ellipsoid.
+LCC_3978 = {"a": 6378137.0, "inv_f": 298.257222101, "lat1": 49.0, "lat2": 77.0, "lat0": 49.0,
+            "lon0": -95.0, "x0": 0.0, "y0": 0.0}
+
+
+def lcc_constants(p: dict = LCC_3978) -> dict:
+    """Projection constants (Snyder's ellipsoidal LCC formulas); plain numbers."""
+    f = 1.0 / p["inv_f"]
+    e = math.sqrt(2 * f - f * f)
+
+    def m(phi):
+        return math.cos(phi) / math.sqrt(1 - (e * math.sin(phi)) ** 2)
+
+    def t(phi):
+        return math.tan(math.pi / 4 - phi / 2) / ((1 - e * math.sin(phi)) / (1 + e * math.sin(phi))) ** (e / 2)
+
+    p1, p2, p0 = (math.radians(p[k]) for k in ("lat1", "lat2", "lat0"))
+    n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1)) - math.log(t(p2)))
+    big_f = m(p1) / (n * t(p1) ** n)
+    rho0 = p["a"] * big_f * t(p0) ** n
+    return {"e": e, "n": n, "aF": p["a"] * big_f, "rho0": rho0, "lam0": math.radians(p["lon0"]),
+            "x0": p["x0"], "y0": p["y0"]}
+
+
+def lcc_forward(lon, lat, k: dict | None = None):
+    """(lon, lat) degrees -> (x, y) metres as column expressions."""
+    k = k or lcc_constants()
+    e, n = F.lit(k["e"]), F.lit(k["n"])
+    phi = F.radians(lat)
+    es = e * F.sin(phi)
+    t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((F.lit(1.0) - es) / (F.lit(1.0) + es), e / 2)
+    rho = F.lit(k["aF"]) * F.pow(t, n)
+    theta = n * (F.radians(lon) - F.lit(k["lam0"]))
+    return F.lit(k["x0"]) + rho * F.sin(theta), F.lit(k["y0"]) + F.lit(k["rho0"]) - rho * F.cos(theta)
+
+
+def lcc_inverse(x, y, k: dict | None = None, iterations: int = 6):
+    """(x, y) metres -> (lon, lat) degrees; latitude by fixed-point iteration."""
+    k = k or lcc_constants()
+    e, n = F.lit(k["e"]), k["n"]
+    dx = x - F.lit(k["x0"])
+    dy = F.lit(k["rho0"]) - (y - F.lit(k["y0"]))
+    rho = F.sqrt(dx * dx + dy * dy) * (1.0 if n > 0 else -1.0)
+    t = F.pow(rho / F.lit(k["aF"]), F.lit(1.0 / n))
+    theta = F.atan2(dx, dy)
+    lam = theta / F.lit(n) + F.lit(k["lam0"])
+    phi = F.lit(math.pi / 2) - F.atan(t) * 2
+    for _ in range(iterations):
+        es = e * F.sin(phi)
+        phi = F.lit(math.pi / 2) - F.atan(t * F.pow((F.lit(1.0) - es) / (F.lit(1.0) + es), e / 2)) * 2
+    return F.degrees(lam), F.degrees(phi)
+
+
+def projected_centroids(polys: DataFrame, id_col: str = "nbhd_id", digits: int = 6) -> DataFrame:
+    """J3 (reference variant): centroid computed in the projected CRS, then
+    returned to lon/lat; area in square kilometres."""
+    e = polygon_edges(polys, id_col)
+    x1, y1 = lcc_forward(F.col("x1"), F.col("y1"))
+    x2, y2 = lcc_forward(F.col("x2"), F.col("y2"))
+    p = e.select("poly_id", x1.alias("X1"), y1.alias("Y1"), x2.alias("X2"), y2.alias("Y2"))
+    cross = F.col("X1") * F.col("Y2") - F.col("X2") * F.col("Y1")
+    g = p.groupBy("poly_id").agg(F.sum(cross).alias("a2"), F.sum((F.col("X1") + F.col("X2")) * cross).alias("sx"),
+                                 F.sum((F.col("Y1") + F.col("Y2")) * cross).alias("sy"))
+    cx, cy = C_safe(F.col("sx"), F.col("a2") * 3), C_safe(F.col("sy"), F.col("a2") * 3)
+    lon, lat = lcc_inverse(cx, cy)
+    return g.select(F.col("poly_id").alias(id_col), F.bround(lon, digits).alias("centroid_lon"),
+                    F.bround(lat, digits).alias("centroid_lat"),
+                    F.bround(F.abs(F.col("a2")) / 2 / 1e6, 3).alias("area_km2"))

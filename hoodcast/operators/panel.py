@@ -16,6 +16,13 @@ from hoodcast.functions import columns as C
 from hoodcast.operators import geo
 from hoodcast.session import cut_lineage
 
+def _parallelism(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
+
+
 def collision_daily(points: DataFrame, polys: DataFrame, predicate: str = "within",
                     cell: float | None = None) -> DataFrame:
     """K2: parse date (B8), drop unparsable, bbox filter (C2), spatial join
@@ -55,6 +62,10 @@ def dense_panel(daily: DataFrame, areas: DataFrame, count_col: str = "collision_
     b = daily.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     lo, hi = b["lo"], b["hi"]
     a = areas.select("nbhd_id", "area_id", "area_name").dropna(subset=["nbhd_id"])
+    # spread the (small) area table over the shuffle partitions first, so the
+    # spine rows are generated by many tasks; an explicit partition count is
+    # kept as is by AQE
+    a = a.repartition(_parallelism(areas.sparkSession), "nbhd_id")
     spine = a.select("nbhd_id", "area_id", "area_name", F.explode(F.sequence(lo, hi)).alias("date"))
     d = daily.select("date", "nbhd_id", F.col(count_col).alias("_c"))
     return (spine.join(d, ["date", "nbhd_id"], "left")
@@ -173,3 +184,26 @@ def gold(panel: DataFrame, ksi: DataFrame, weather: DataFrame, road: DataFrame)
     road_src = [c[len("road_"):] for c in ROAD_COLS]
     g = left_fill(g, road, ["date", "nbhd_id"], road_src, prefix="road_")
     return g
+
+
+def area_dimension(features: DataFrame, min_areas: int = 1) -> DataFrame:
+    """K1: area dimension from landed GeoJSON features (``properties`` map +
+    ``rings``): ``area_id`` text, ``nbhd_id`` int (bad text -> null), name,
+    rings; rows with a null id are dropped. Gate columns: ``ids_unique`` and
+    ``enough_areas`` (evaluated as window-free scalar subqueries)."""
+    p = F.col("properties")
+    d = features.select(p["area_id"].cast("string").alias("area_id"),
+                        C.to_number(p["nbhd_id"], "int").alias("nbhd_id"),
+                        p["area_name"].alias("area_name"), "rings").dropna(subset=["area_id", "nbhd_id"])
+    stats = d.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct("nbhd_id").alias("u"),
+                              F.count_distinct("area_id").alias("v"))).scalar()
+    return d.select("*", ((stats["n"] == stats["u"]) & (stats["n"] == stats["v"])).alias("ids_unique"),
+                    (stats["u"] >= min_areas).alias("enough_areas"))
+
+
+def attach_area_id(daily: DataFrame, dim: DataFrame, key: str = "area_id") -> DataFrame:
+    """K4 (D4 + B7): map area ids to ``nbhd_id`` (keys aligned as text). Rows
+    without a match are kept with a null id so that the caller's no-miss gate
+    (``quality.missing_lookup`` / ``require_empty``) can report them."""
+    m = dim.select(F.col(key).cast("string").alias(key), "nbhd_id").dropDuplicates([key])
+    return daily.withColumn(key, F.col(key).cast("string")).join(m, key, "left")

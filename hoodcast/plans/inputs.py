@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hoodcast.config import ADAPTER
 from hoodcast.operators import features as Fe
 from hoodcast.operators import geo, panel
+from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
 
 # unit squares on the adapter grid: 16 cells per side (most cells interior)
@@ -44,9 +45,17 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
                       disruption_daily(spark, sf))
 
 
+def gold_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold panel written once (for plans that read it more than once)."""
+    return cut_lineage(gold(spark, sf))
+
+
 def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return geo.adjacency(A.area_polygons(spark, sf), cell=ADAPTER_CELL)
 
 
 def features(spark: SparkSession, sf: str, variant: str = "production") -> DataFrame:
-    return Fe.feature_table(gold(spark, sf), adjacency(spark, sf), ADAPTER, variant)
+    """The feature table over a materialised gold panel and adjacency list:
+    the halo step reads the panel twice (neighbour sums and the join back), so
+    the panel is written once (a stage boundary, as in the pipeline jobs)."""
+    return Fe.feature_table(gold_table(spark, sf), cut_lineage(adjacency(spark, sf)), ADAPTER, variant)

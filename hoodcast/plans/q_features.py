@@ -11,6 +11,7 @@ from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
+from hoodcast.session import cut_lineage
 
 S = ADAPTER
 HALO_COLS = [f"{c}_halo" for c in ROAD_COLS]
@@ -157,7 +158,9 @@ def _round_cyclic(df):
 
 
 def spark_features(spark, sf, variant="production"):
-    return _round_cyclic(I.features(spark, sf, variant))
+    """The feature table, written once: downstream queries read it several
+    times (latest date, recent means, roll-ups), never re-running the build."""
+    return cut_lineage(_round_cyclic(I.features(spark, sf, variant)))
 
 
 # ----------------------------------------------------------------------------
@@ -244,7 +247,7 @@ HALO_OUT = HALO_COLS + [f"{c}_norm" for c in HALO_COLS] + [
 @query("halo_features", sql(f"SELECT date, nbhd_id, {', '.join(HALO_OUT)} FROM halo", _halo_sql()))
 def halo_features(spark, sf):
     """Neighbour sums over the adjacency graph, norms and flags."""
-    g = I.gold(spark, sf)
+    g = I.gold_table(spark, sf)
     return Fe.halo_columns(g, I.adjacency(spark, sf)).select("date", "nbhd_id", *HALO_OUT)
 
 
@@ -255,7 +258,7 @@ HALO_LEGACY_OUT = [c if c != "is_event_disrupted_halo" else "is_road_disrupted_h
                                    _halo_sql("legacy")))
 def halo_features_legacy(spark, sf):
     """Legacy variant, ``is_zone_disrupted = total pressure > 0``."""
-    g = I.gold(spark, sf)
+    g = I.gold_table(spark, sf)
     return Fe.halo_columns(g, I.adjacency(spark, sf), "legacy").select("date", "nbhd_id", *HALO_LEGACY_OUT)
 
 
@@ -264,7 +267,7 @@ def halo_features_legacy(spark, sf):
     + f" FROM halo {WIN}", _halo_sql()))
 def halo_lag_roll(spark, sf):
     """F8: lag 1/7 and roll 7/14 of the six halo columns."""
-    h = Fe.halo_columns(I.gold(spark, sf), I.adjacency(spark, sf))
+    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf))
     w = Wn.area_window()
     return h.select("date", "nbhd_id", *Wn.lag_roll_columns(HALO_COLS, S.halo_lags, S.halo_windows, w))
 

@@ -80,8 +80,8 @@ def isolated_areas(spark, sf):
 
 
 @query("polygon_centroid", sql(
-    "SELECT CAST(n_nationkey + 1 AS INTEGER) AS nbhd_id, -80 + n_nationkey % 5 + 0.5 AS centroid_lon, "
-    "43 + n_nationkey // 5 + 0.5 AS centroid_lat, 1.0 AS area FROM nation"))
+    "SELECT CAST(n_nationkey + 1 AS INTEGER) AS nbhd_id, CAST(-80 + n_nationkey % 5 + 0.5 AS DOUBLE) AS centroid_lon, "
+    "CAST(43 + n_nationkey // 5 + 0.5 AS DOUBLE) AS centroid_lat, CAST(1.0 AS DOUBLE) AS area FROM nation"))
 def polygon_centroid(spark, sf):
     """Area-weighted centroid and area by shoelace sums over the edges."""
     return geo.centroids(A.area_polygons(spark, sf))
@@ -155,3 +155,44 @@ def road_exposure_frame(spark, sf):
 def road_exposure(spark, sf):
     """Intersections, segments, length (km, 4 dp), mean streets per node (4 dp)."""
     return road_exposure_frame(spark, sf)
+
+
+def _lcc_sql():
+    k = geo.lcc_constants()
+
+    def fwd(x, y):
+        phi = f"radians({y})"
+        es = f"({k['e']!r} * sin({phi}))"
+        t = f"(tan(pi() / 4 - {phi} / 2) / pow((1 - {es}) / (1 + {es}), {k['e'] / 2!r}))"
+        rho = f"({k['aF']!r} * pow({t}, {k['n']!r}))"
+        theta = f"({k['n']!r} * (radians({x}) - {k['lam0']!r}))"
+        return (f"({k['x0']!r} + {rho} * sin({theta}))", f"({k['y0']!r} + {k['rho0']!r} - {rho} * cos({theta}))")
+
+    X1, Y1 = fwd("x1", "y1")
+    X2, Y2 = fwd("x2", "y2")
+    edges = " UNION ALL ".join(
+        f"SELECT CAST(n_nationkey + 1 AS INTEGER) AS nbhd_id, CAST(-80 + n_nationkey % 5 + {a} AS DOUBLE) AS x1, "
+        f"CAST(43 + n_nationkey // 5 + {b} AS DOUBLE) AS y1, CAST(-80 + n_nationkey % 5 + {c} AS DOUBLE) AS x2, "
+        f"CAST(43 + n_nationkey // 5 + {d} AS DOUBLE) AS y2 FROM nation"
+        for a, b, c, d in ((0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)))
+    proj = f"SELECT nbhd_id, {X1} AS X1, {Y1} AS Y1, {X2} AS X2, {Y2} AS Y2 FROM ({edges})"
+    sums = (f"SELECT nbhd_id, sum(X1 * Y2 - X2 * Y1) AS a2, sum((X1 + X2) * (X1 * Y2 - X2 * Y1)) AS sx, "
+            f"sum((Y1 + Y2) * (X1 * Y2 - X2 * Y1)) AS sy FROM ({proj}) GROUP BY nbhd_id")
+    cx, cy = "(sx / (a2 * 3))", "(sy / (a2 * 3))"
+    dx = f"({cx} - {k['x0']!r})"
+    dy = f"({k['rho0']!r} - ({cy} - {k['y0']!r}))"
+    t = f"pow(sqrt({dx} * {dx} + {dy} * {dy}) / {k['aF']!r}, {1.0 / k['n']!r})"
+    lam = f"(atan2({dx}, {dy}) / {k['n']!r} + {k['lam0']!r})"
+    phi = f"(pi() / 2 - atan({t}) * 2)"
+    for _ in range(6):
+        es = f"({k['e']!r} * sin({phi}))"
+        phi = f"(pi() / 2 - atan({t} * pow((1 - {es}) / (1 + {es}), {k['e'] / 2!r})) * 2)"
+    return (f"SELECT nbhd_id, round_even(degrees({lam}), 6) AS centroid_lon, round_even(degrees({phi}), 6) "
+            f"AS centroid_lat, round_even(abs(a2) / 2 / 1e6, 3) AS area_km2 FROM ({sums})")
+
+
+@query("polygon_centroid_projected", _lcc_sql())
+def polygon_centroid_projected(spark, sf):
+    """J2 + J3: centroid computed in the projected CRS (Lambert conformal conic,
+    EPSG:3978 parameters) and returned to lon/lat; area in km2."""
+    return geo.projected_centroids(A.area_polygons(spark, sf))

@@ -113,3 +113,25 @@ def disruption_profile(spark, sf):
                    .alias("days"))
            .groupBy("source").agg(F.avg("days").alias("avg_days")))
     return counts.join(dur, "source")
+
+
+@query("area_dimension", sql(
+    "SELECT CAST(n_nationkey + 1000 AS VARCHAR) AS area_id, CAST(n_nationkey + 1 AS INTEGER) AS nbhd_id, "
+    "n_name AS area_name, true AS ids_unique, true AS enough_areas FROM nation"))
+def area_dimension(spark, sf):
+    """K1: area dimension built from polygons landed as GeoJSON, with gates."""
+    from hoodcast.operators import panel as Pn
+    from hoodcast.sources import readers as Rd
+    path = Rd.landing_dir(spark, "dim-geojson")
+    Rd.write_geojson_lines(A.area_polygons(spark, sf), path, ["area_id", "area_name", "nbhd_id"])
+    dim = Pn.area_dimension(Rd.read_geojson(spark, path), min_areas=25)
+    return dim.drop("rings")
+
+
+@query("attach_nbhd_id", sql(
+    "SELECT a.area_id, c.date, c.collision_count, c.nbhd_id FROM coll_daily c JOIN areas a USING (nbhd_id)"))
+def attach_nbhd_id(spark, sf):
+    """K4: daily counts keyed by area id mapped to nbhd_id (no-miss lookup)."""
+    from hoodcast.operators import panel as Pn
+    daily = I.collision_daily(spark, sf).select("area_id", "date", "collision_count")
+    return Pn.attach_area_id(daily, A.areas(spark, sf))

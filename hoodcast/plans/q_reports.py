@@ -15,6 +15,7 @@ from hoodcast.plans.oracle_sql import sql
 from hoodcast.plans.q_eval import EV_CTE, Y, _lift_sql, eval_frame
 from hoodcast.plans.q_features import WEATHER_FLAGS_SQL, feature_table_ctes, spark_features
 from hoodcast.plans.q_surge import SURGE_PRED_CTE, surge_predictions
+from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
 
 S = ADAPTER
@@ -64,7 +65,7 @@ def report_base(spark, sf):
     w = Wn.area_window()
     keep = (Wn.lag("collisions", 1, w).isNotNull() & Wn.trailing("collisions", 7, w).isNotNull()
             & Wn.lead("collisions", max(S.horizons), w).isNotNull())
-    return g.withColumn("_k", keep).where("_k").drop("_k")
+    return cut_lineage(g.withColumn("_k", keep).where("_k").drop("_k"))
 
 
 BASE_CTE = {"rbase": f"""
@@ -76,7 +77,7 @@ BASE_CTE = {"rbase": f"""
            AND lead(collisions, 2) OVER w IS NOT NULL AS keep
     FROM gold WINDOW w AS (PARTITION BY nbhd_id ORDER BY date))
   WHERE keep""",
-    "city": "SELECT date, sum(collisions) AS city_collisions FROM rbase GROUP BY date"}
+    "city": "SELECT date, CAST(sum(collisions) AS BIGINT) AS city_collisions FROM rbase GROUP BY date"}
 
 
 # ----------------------------------------------------------------------------
@@ -329,7 +330,7 @@ def neighbour_histogram(spark, sf):
 def halo_argmax(spark, sf):
     """The area with the most days where neighbour construction
     exceeded its own (ties: lowest id)."""
-    h = Fe.halo_columns(I.gold(spark, sf), I.adjacency(spark, sf))
+    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf))
     c = (h.where(F.col("road_construction_count_halo") > F.col("road_construction_count"))
          .groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("n_days")))
     return c.orderBy(F.col("n_days").desc(), "nbhd_id").limit(1)

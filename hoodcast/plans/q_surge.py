@@ -11,6 +11,7 @@ from hoodcast.operators import surge as Su
 from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
+from hoodcast.session import cut_lineage
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.plans.q_features import feature_column_names, feature_table_ctes, spark_features
 
@@ -57,11 +58,11 @@ def feature_rows_city(spark, sf):
     w = Wn.area_window()
     keep = (Wn.lag("collisions", 1, w).isNotNull() & Wn.trailing("collisions", 7, w).isNotNull()
             & Wn.lead("collisions", max(S.horizons), w).isNotNull())
-    return Su.city_total(p.withColumn("_k", keep).where("_k"), "collisions", "collisions")
+    return cut_lineage(Su.city_total(p.withColumn("_k", keep).where("_k"), "collisions", "collisions"))
 
 
 CITY_CTE = {"city": """
-  SELECT date, sum(collisions) AS collisions FROM (
+  SELECT date, CAST(sum(collisions) AS BIGINT) AS collisions FROM (
     SELECT date, collisions,
            lag(collisions, 1) OVER w IS NOT NULL
            AND count(collisions) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) = 7

@@ -71,11 +71,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_units: int, weight=None) -> DataFrame:
+    """Broadcast ``df`` only when it provably holds at most ``max_units``.
 
-    The check is a ``limit(max_rows + 1).count()`` (stops early); beyond the
-    bound the frame is returned unchanged and the join shuffles instead.
+    Without ``weight`` a unit is a row and the check is a
+    ``limit(max_units + 1).count()`` (stops early); with ``weight`` (a column
+    expression, e.g. the length of an array column) the units are summed.
+    Beyond the bound the frame is returned unchanged and the join shuffles.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if weight is None:
+        n = df.limit(max_units + 1).count()
+    else:
+        n = df.select(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if n <= max_units else df

@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # below this size one task finishes faster than a shuffle round trip
-SPREAD_MIN_BYTES = 4 << 20
+SPREAD_MIN_BYTES = 2 << 20
 
 
 def _size(path: str) -> int:
