@@ -24,6 +24,7 @@ from hoodcast.operators import features as Fe
 from hoodcast.operators import models as M
 from hoodcast.operators import quality as Q
 from hoodcast.operators import surge as Su
+from hoodcast.session import cut_lineage
 from hoodcast.sources import readers as Rd
 
 
@@ -48,12 +49,12 @@ def train_surge(features: DataFrame, out: str, settings: Settings = DEFAULTS,
     preds, metrics = [], []
     for h in settings.horizons:
         lab = Su.surge_labels(daily.select("date", "collisions"), h, settings)
-        d = daily.join(lab, "date").checkpoint()
+        d = cut_lineage(daily.join(lab, "date"))
         xcols = Su.numeric_columns(d, drop={"city_collisions_future", "y", "threshold"} | _targets(settings))
         split = F.lit(settings.split_date)
         ens = M.fit_calibrated(d.where(F.col("date") < split), xcols, "y", ["date"], params)
-        p = ens.predict(d.where(F.col("date") >= split), f"surge_proba_t{h}").select(
-            "date", f"surge_proba_t{h}", F.col("y").alias(f"surge_label_t{h}"), "threshold").checkpoint()
+        p = cut_lineage(ens.predict(d.where(F.col("date") >= split), f"surge_proba_t{h}").select(
+            "date", f"surge_proba_t{h}", F.col("y").alias(f"surge_label_t{h}"), "threshold"))
         metrics.append(Ev.classification_metrics(p, f"surge_proba_t{h}", f"surge_label_t{h}", f"surge_t{h}"))
         preds.append(p if h == settings.horizons[0] else p.drop("threshold"))
     merged = reduce(lambda a, b: a.join(b, "date", "full"), preds)
@@ -66,7 +67,7 @@ def train_nbhd(features: DataFrame, surge: DataFrame, out: str, settings: Settin
                params: M.TreeParams = M.NBHD_PARAMS):
     """Per horizon: collision and KSI ensembles (KSI guarded), blended risk,
     classification + ranking metrics, drift; horizons merged (D5)."""
-    f = Su.merge_surge_neutral(features, surge, settings).checkpoint()
+    f = cut_lineage(Su.merge_surge_neutral(features, surge, settings))
     xcols = Su.numeric_columns(f, drop=_targets(settings) | BASE_LEAKAGE)
     split = F.lit(settings.split_date)
     train, test = f.where(F.col("date") < split), f.where(F.col("date") >= split)
@@ -78,8 +79,8 @@ def train_nbhd(features: DataFrame, surge: DataFrame, out: str, settings: Settin
         p = m_ksi.predict(m_col.predict(test, f"proba_collision_t{h}"), f"proba_ksi_t{h}")
         p = p.withColumn(f"risk_score_t{h}", M.blend(f"proba_collision_t{h}", f"proba_ksi_t{h}",
                                                      settings.blend_collision, settings.blend_ksi))
-        p = p.select("date", "nbhd_id", ct, kt, f"proba_collision_t{h}", f"proba_ksi_t{h}",
-                     f"risk_score_t{h}").checkpoint()
+        p = cut_lineage(p.select("date", "nbhd_id", ct, kt, f"proba_collision_t{h}", f"proba_ksi_t{h}",
+                                 f"risk_score_t{h}"))
         metrics.append(Ev.classification_metrics(p, f"proba_collision_t{h}", ct, f"collision_prob_t{h}"))
         drift.append(Ev.drift_check(p, f"risk_score_t{h}", ct, 10, settings.drift_warn)
                      .withColumn("horizon", F.lit(h)))

@@ -104,3 +104,16 @@ def test_centroid_and_validity(spark):
     assert abs(c[2]["area"] - 7.0) < 1e-12
     ok = {r["nbhd_id"] for r in geo.valid_polygons(polys).collect()}
     assert ok == {1, 2}  # the bow-tie self-crosses
+
+
+def test_lcc_round_trip(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(-79.38, 43.65), (-123.1, 49.28), (-95.0, 49.0), (-63.6, 44.65)], "lon double, lat double")
+    x, y = geo.lcc_forward(F.col("lon"), F.col("lat"))
+    p = df.select("lon", "lat", x.alias("x"), y.alias("y"))
+    lon, lat = geo.lcc_inverse(F.col("x"), F.col("y"))
+    r = p.select("lon", "lat", "x", "y", lon.alias("lon2"), lat.alias("lat2")).collect()
+    for row in r:
+        assert abs(row["lon"] - row["lon2"]) < 1e-9 and abs(row["lat"] - row["lat2"]) < 1e-9
+    origin = [row for row in r if row["lon"] == -95.0][0]
+    assert abs(origin["x"]) < 1e-6 and abs(origin["y"]) < 1e-6  # projection origin (lon0, lat0)
