@@ -49,6 +49,9 @@ class TreeParams:
 
 SURGE_PARAMS = TreeParams()
 NBHD_PARAMS = TreeParams(max_depth=6, min_instances=30, small_below=10_000)
+# L4: legacy surge classifiers (300 trees / 31 leaves; 100 trees / 15 leaves for the recent era)
+LEGACY_SURGE_PARAMS = TreeParams(max_iter=300, max_depth=5)
+LEGACY_RECENT_SURGE_PARAMS = TreeParams(max_iter=100, max_depth=4)
 
 
 def clean_features(df: DataFrame, cols) -> DataFrame:

@@ -321,3 +321,20 @@ def feature_column_names() -> list[str]:
            + ["collision_momentum"] + _lag_names(HALO_COLS, S.halo_lags) + _roll_names(HALO_COLS, S.halo_windows)
            + TARGET_COLS)
     return gold + CAL_COLS + WX_COLS + ["ksi_ratio"] + HALO_OUT + win
+
+
+@query("pressure_roll14", sql(
+    "SELECT date, nbhd_id, construction_total_pressure, "
+    "CASE WHEN count(construction_total_pressure) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) = 14 "
+    "THEN sum(CAST(construction_total_pressure AS DOUBLE)) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) END "
+    "AS construction_total_pressure_roll14, is_zone_disrupted FROM halo " + WIN, _halo_sql("legacy")))
+def pressure_roll14(spark, sf):
+    """Combined direct + neighbour construction pressure and its
+    trailing 14-day sum (today excluded), legacy zone flag."""
+    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf), "legacy")
+    w = Wn.area_window()
+    out = Wn.add_lag_roll(h.select("date", "nbhd_id", "construction_total_pressure", "is_zone_disrupted"),
+                          ["construction_total_pressure"], [], [14], w)
+    return out.select("date", "nbhd_id", "construction_total_pressure",
+                      "construction_total_pressure_roll14_sum", "is_zone_disrupted").withColumnRenamed(
+        "construction_total_pressure_roll14_sum", "construction_total_pressure_roll14")
