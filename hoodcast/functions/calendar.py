@@ -71,8 +71,38 @@ def is_holiday(d: Column, include_observed: bool = False) -> Column:
     return hit
 
 
-def holidays_of_year(y: Column) -> Column:
-    """Array of the holiday dates of year ``y`` (Family Day absent before 2008)."""
+def holidays_of_year_sql(y: str) -> str:
+    """SQL text of :func:`holidays_of_year` for a year expression ``y`` (one
+    expression string: a single call into the JVM instead of hundreds)."""
+    a, b, c = f"({y} % 19)", f"({y} div 100)", f"({y} % 100)"
+    d, e = f"({b} div 4)", f"({b} % 4)"
+    f_ = f"(({b} + 8) div 25)"
+    g = f"(({b} - {f_} + 1) div 3)"
+    h = f"((19 * {a} + {b} - {d} - {g} + 15) % 30)"
+    i, k = f"({c} div 4)", f"({c} % 4)"
+    el = f"((32 + 2 * {e} + 2 * {i} - {h} - {k}) % 7)"
+    m = f"(({a} + 11 * {h} + 22 * {el}) div 451)"
+    s = f"({h} + {el} - 7 * {m} + 114)"
+    easter = f"make_date(CAST({y} AS INT), CAST({s} div 31 AS INT), CAST({s} % 31 + 1 AS INT))"
+
+    def md(mo, dy):
+        return f"make_date(CAST({y} AS INT), {mo}, {dy})"
+
+    def nth_monday(mo, n):
+        first = md(mo, 1)
+        return f"date_add({first}, pmod(7 - weekday({first}), 7) + {7 * (n - 1)})"
+
+    rules = [md(1, 1), f"CASE WHEN {y} >= 2008 THEN {nth_monday(2, 3)} END", f"date_sub({easter}, 2)",
+             f"date_sub({md(5, 24)}, weekday({md(5, 24)}))", md(7, 1), nth_monday(9, 1), nth_monday(10, 2),
+             md(12, 25), md(12, 26)]
+    return f"filter(array({', '.join(rules)}), x -> x IS NOT NULL)"
+
+
+def holidays_of_year(y: Column | str) -> Column:
+    """Array of the holiday dates of year ``y`` (Family Day absent before 2008).
+    ``y`` is a Column or SQL text."""
+    if isinstance(y, str):
+        return F.expr(holidays_of_year_sql(y))
     return F.filter(F.array(*_rules(y)), lambda d: d.isNotNull())
 
 

@@ -28,10 +28,13 @@ def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     """
     obs = settings.include_observed_holidays
     d = F.col("date")
+    src = df
     if obs:
         is_h, pre, post = is_holiday(d, True), is_holiday(F.date_add(d, 1), True), is_holiday(F.date_sub(d, 1), True)
     else:
-        hol = holidays_of_year(F.year(d))
+        # the year's holiday array is built once per row and referenced three times
+        src = df.withColumn("__hol", holidays_of_year("year(`date`)"))
+        hol = F.col("__hol")
         is_h = F.array_contains(hol, d)
         pre = F.array_contains(hol, F.date_add(d, 1)) | ((F.month(d) == 12) & (F.dayofmonth(d) == 31))
         post = F.array_contains(hol, F.date_sub(d, 1))
@@ -39,8 +42,8 @@ def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     month = F.month("date")
     ds, dc = C.cyclic(dow, 7)
     ms, mc = C.cyclic(month, 12)
-    return df.select(
-        "*",
+    return src.select(
+        *[F.col(c) for c in df.columns],
         dow.alias("dow"), month.alias("month"), F.year("date").alias("year"),
         (dow >= 5).cast("int").alias("is_weekend"),
         is_h.cast("int").alias("is_holiday"), pre.cast("int").alias("pre_holiday"),

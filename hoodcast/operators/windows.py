@@ -67,37 +67,44 @@ def _is_integral(df, c: str) -> bool:
     return isinstance(df.schema[c].dataType, IntegralType)
 
 
-def add_lag_roll(df, cols, lags, widths, w, extra=()):
+def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str = "nbhd_id", order: str = "date"):
     """K15 as a frame transform: ``{c}_lag{L}``, ``{c}_roll{W}_sum``,
     ``{c}_roll{W}_mean`` for each present column, plus ``extra`` columns.
 
     Integral columns use running totals: one unbounded-preceding sum and count
     per column (linear per area), after which every trailing window is the
     difference of two lags of the totals, exact in integer arithmetic.  Other
-    columns use bounded ``rowsBetween(-W, -1)`` frames.  Either way the result
-    is null unless all W prior values are present.
+    columns use bounded ``ROWS BETWEEN W PRECEDING AND 1 PRECEDING`` frames.
+    Either way the result is null unless all W prior values are present.
+
+    The window expressions are generated as SQL text for one ``selectExpr``
+    (dozens of columns become one call into the JVM instead of thousands of
+    small Column calls); all share ``PARTITION BY part ORDER BY order``.
     """
+    spec = f"PARTITION BY `{part}` ORDER BY `{order}`"
     present = [c for c in cols if c in df.columns]
     integral = [c for c in present if _is_integral(df, c)]
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
     helpers = []
     for c in integral:
-        helpers += [F.coalesce(F.sum(c).over(run), F.lit(0)).alias(f"__cs_{c}"),
-                    F.count(c).over(run).alias(f"__cn_{c}")]
-    base = df.select("*", *helpers) if helpers else df
-    out = list(extra)
+        helpers += [f"coalesce(sum(`{c}`) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) "
+                    f"AS `__cs_{c}`",
+                    f"count(`{c}`) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS `__cn_{c}`"]
+    base = df.selectExpr("*", *helpers) if helpers else df
+    out = []
     for c in present:
-        out += [lag(c, L, w).alias(f"{c}_lag{L}") for L in lags]
+        out += [f"lag(`{c}`, {L}) OVER ({spec}) AS `{c}_lag{L}`" for L in lags]
         for W in widths:
             if c in integral:
-                s = F.lag(f"__cs_{c}", 1).over(w) - F.lag(f"__cs_{c}", W + 1, 0).over(w)
-                n = F.lag(f"__cn_{c}", 1).over(w) - F.lag(f"__cn_{c}", W + 1, 0).over(w)
-                full = n == W
-                out.append(F.when(full, s.cast("double")).alias(f"{c}_roll{W}_sum"))
-                out.append(F.when(full, s.cast("double") / W).alias(f"{c}_roll{W}_mean"))
+                s_ = f"(lag(`__cs_{c}`, 1) OVER ({spec}) - lag(`__cs_{c}`, {W + 1}, 0) OVER ({spec}))"
+                n_ = f"(lag(`__cn_{c}`, 1) OVER ({spec}) - lag(`__cn_{c}`, {W + 1}, 0) OVER ({spec}))"
+                out.append(f"CASE WHEN {n_} = {W} THEN CAST({s_} AS DOUBLE) END AS `{c}_roll{W}_sum`")
+                out.append(f"CASE WHEN {n_} = {W} THEN CAST({s_} AS DOUBLE) / {W} END AS `{c}_roll{W}_mean`")
             else:
-                out.append(trailing(c, W, w, "sum").alias(f"{c}_roll{W}_sum"))
-                out.append(trailing(c, W, w, "mean").alias(f"{c}_roll{W}_mean"))
-    res = base.select("*", *out)
+                fr = f"({spec} ROWS BETWEEN {W} PRECEDING AND 1 PRECEDING)"
+                ok = f"count(`{c}`) OVER {fr} = {W}"
+                out.append(f"CASE WHEN {ok} THEN sum(CAST(`{c}` AS DOUBLE)) OVER {fr} END AS `{c}_roll{W}_sum`")
+                out.append(f"CASE WHEN {ok} THEN avg(CAST(`{c}` AS DOUBLE)) OVER {fr} END AS `{c}_roll{W}_mean`")
+    res = base.select("*", *extra) if extra else base
+    res = res.selectExpr("*", *out) if out else res
     drop = [f"__cs_{c}" for c in integral] + [f"__cn_{c}" for c in integral]
     return res.drop(*drop) if drop else res
