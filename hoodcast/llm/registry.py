@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +22,24 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (Spark distributes the archive)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        to = os.path.join(tempfile.mkdtemp(), os.path.basename(package))
+        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(package), os.path.basename(package)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as Spark reads it: no local file access, no re-dealing."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def load_all() -> None:
-    from hoodcast.llm import quality_rules  # noqa: F401
+    from hoodcast.llm import language_id, quality_classifier, quality_rules  # noqa: F401
