@@ -42,4 +42,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from hoodcast.llm import language_id, quality_classifier, quality_rules  # noqa: F401
+    from hoodcast.llm import language_id, packing, quality_classifier, quality_rules, warc  # noqa: F401
