@@ -36,10 +36,10 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hoodcast.llm import bitfilter
 from hoodcast.llm.components import connected_components, staged
 from hoodcast.llm.registry import query, table
 from hoodcast.llm.text import Slice, lower_ascii, mix, slices, window_hashes, window_starts, word_hashes, words
@@ -142,26 +142,11 @@ def _prefix(n: int, percent: int, ranks):
     return run
 
 
-def _bit(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(np.uint64) + np.uint64(1)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """This task's ids as set bits, by byte place."""
-    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for b in batches:
-        at = _bit(b.column("rep").to_numpy())
-        np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-    some = np.flatnonzero(bits)
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(bits[some].astype(np.int32))], ["at", "b"])
-
-
 def _sets(n: int, ranks, members):
     """(rep, n, items, bitmap) of the documents whose bit is set: a few too many, none too few."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = _bit(b.column("id").fill_null(-1).to_numpy())
-            mine = np.flatnonzero(members.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            mine = np.flatnonzero(bitfilter.passes(members.value, b.column("id").fill_null(-1).to_numpy()))
             if not len(mine):
                 continue
             b = b.take(pa.array(mine))
@@ -285,11 +270,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         .groupBy("rep").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader"))
     pairs = staged(led.select(F.col("rep").alias("a"), F.col("leader").alias("b")), at("pairs1"))
     found = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    flags = lists.join(leaders.select("key"), "key").select("rep").union(found).distinct() \
-        .mapInArrow(_filter_bits, "at int, b int").groupBy("at").agg(F.bit_or("b").alias("b")).toArrow()
-    bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    bits[flags.column("at").to_numpy()] = flags.column("b").to_numpy()
-    members = spark.sparkContext.broadcast(bits)
+    wanted = lists.join(leaders.select("key"), "key").select("rep").union(found).distinct()
+    members = spark.sparkContext.broadcast(bitfilter.build(wanted, "rep", FILTER_BITS))
     sets = staged(rows.mapInArrow(_sets(n, ranks, members), "rep long, items binary, bits binary")
                   .where("rep is not null"), at("sets"))
     first = staged(verify(pairs, sets), at("verified1"))
