@@ -42,5 +42,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from hoodcast.llm import decontaminate, jaccard_join, language_id, packing, quality_classifier, quality_rules  # noqa: F401
+    from hoodcast.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules  # noqa: F401
     from hoodcast.llm import substring_dedup, warc  # noqa: F401
