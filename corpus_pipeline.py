@@ -12,25 +12,70 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hoodcast.llm import quality_rules
+from hoodcast.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
+from hoodcast.llm.components import staged
+from hoodcast.llm.registry import ship, table
 from hoodcast.session import ensure_checkpoint_dir
 
+#: The near-duplicate stage takes five words and a similarity of 0.8.
+SHINGLE, PERCENT = 5, 80
+
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
     return quality_rules.keep_good(docs)
 
 
+def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go, and documents of which nothing but such lines is there."""
+    out = line_dedup.drop_recurring(docs).where("left")
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text")),
+           "n_chars": F.when(changed, F.char_length("kept")).otherwise(F.col("row.n_chars"))}
+    kinds = dict(docs.dtypes)
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).cast(kinds[c]).alias(c) for c in docs.columns])
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays (one of them, if
+    rows share it; documents without an id come last). Rows get a number of their own,
+    written with them, so that ids need not be unique."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "near", uuid.uuid4().hex)
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), path)
+    linked = jaccard_join.link(rows.select("__row", "text"), "__row", n=SHINGLE, percent=PERCENT)
+    linked = linked.select("__row", "component_id").join(rows.select("__row", "doc_id"), "__row")
+    stay = linked.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first"))
+    stay = staged(stay.select(F.col("first.__row").alias("__row")), os.path.join(path + "-stay"))
+    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
+
+
+def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, as it is or with other numbers and names, go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document that is left, tokenised and packed: pieces with their ids and places."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", _quality),
+    ("line_dedup", _lines),
+    ("ngram_jaccard_join", _near_duplicates),
+    ("benchmark_decontamination", _decontaminate),
+    ("best_fit_packing", _pack),
 ]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = os.path.join(ensure_checkpoint_dir(spark), "pipeline", uuid.uuid4().hex, name)
         stage(spark, docs, sf_dir).write.parquet(path)
