@@ -7,9 +7,8 @@ Count-min prefilter, then an exact pass, all by keys whose number grows with the
 data and none of which gathers more than one entry per chunk of documents:
 
 1. Documents are written as chunks (one row: some ids, their texts compressed).
-2. Every chunk sketches its windows: one count, saturating at two, for each cell of a
-   count-min row ``2**bits`` wide (256 cells a window over the whole corpus, or more).
-   Being sparse, a sketch is stored as its sorted non-empty cells, cut into blocks.
+2. Every chunk sketches its windows (``sketches``): a count for each cell of a count-min
+   row ``2**bits`` wide, 256 cells a window over the whole corpus or more.
 3. Sketches are merged block by block. Merged counts are never below a window's
    true count, so a cell counted once holds no repeated window; each chunk is told
    which of its cells were counted twice or more.
@@ -29,76 +28,25 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoodcast.llm.registry import query, table
-from hoodcast.llm.text import Words, slices, window_hashes, window_starts, word_hashes, words
+from hoodcast.llm.sketches import (BLOCK_ENTRIES, CELL_BITS, LAST, Told, by_block, merged, open_chunk, pack, pack_sorted,
+                                   unpack, unpack_sorted, widths, write_chunks)
+from hoodcast.llm.text import Slice, Words, window_hashes, window_starts, word_hashes, words
 from hoodcast.session import ensure_checkpoint_dir
 
 WINDOW = 20
-#: log2 of the sketch's cells per window of the corpus: one unique window in 256 is passed on for nothing.
-CELL_BITS = 8
-#: Entries that one block is to hold.
-BLOCK_ENTRIES = 1 << 21
 
-#: Stands for a null id inside the operator: after all others.
-_LAST = (1 << 63) - 1
-_CHUNK = "chunk long, ids array<long>, lengths array<int>, texts binary, n_windows long"
 
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    """Ascending unsigned integers as compressed byte planes of their differences."""
-    return pack(np.diff(values, prepend=values.dtype.type(0)))
-
-
-def pack(values: np.ndarray) -> bytes:
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(blob: bytes, dtype) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
-
-
-def unpack_sorted(blob: bytes, dtype) -> np.ndarray:
-    return np.cumsum(unpack(blob, dtype), dtype=dtype)
-
-
-def _chunks(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for b in batches:
-            ids = [_LAST if x is None else x for x in b.column("id").to_pylist()]
-            for s in slices(b.column("text")):
-                own = ids[s.lo:s.hi]
-                order = sorted(range(len(own)), key=own.__getitem__)
-                texts = [s.text(i) for i in order]
-                count = words(s.data, s.offsets).counts
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([number], pa.int64()),
-                    pa.array([[own[i] for i in order]], pa.list_(pa.int64())),
-                    pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
-                    pa.array([zstandard.ZstdCompressor(level=3).compress(b"".join(texts))], pa.binary()),
-                    pa.array([int(np.maximum(count - n + 1, 0).sum())], pa.int64())],
-                    ["chunk", "ids", "lengths", "texts", "n_windows"])
-                number += 1
-    return run
-
-
-def _open(lengths, texts: bytes) -> tuple[np.ndarray, np.ndarray, Words]:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(texts), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64))]).astype(np.int64)
-    return data, offsets, words(data, offsets)
+def _count(n: int):
+    def count(s: Slice) -> tuple[int, dict]:
+        return int(np.maximum(words(s.data, s.offsets).counts - n + 1, 0).sum()), {}
+    return count
 
 
 def _windows(data: np.ndarray, w: Words, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,54 +55,10 @@ def _windows(data: np.ndarray, w: Words, n: int, seed: int) -> tuple[np.ndarray,
     return at, window_hashes(word_hashes(data, w, seed), n)[at]
 
 
-def _by_block(sorted_hashes: np.ndarray, block_bits: int) -> Iterator[tuple[int, slice]]:
-    block = (sorted_hashes >> np.uint64(64 - block_bits)).astype(np.int64) if block_bits else \
-        np.zeros(len(sorted_hashes), np.int64)
-    edges = np.flatnonzero(np.diff(block, prepend=-1))
-    for lo, hi in zip(edges, np.append(edges[1:], len(block))):
-        yield int(block[lo]), slice(lo, hi)
-
-
-def _local(hashes: np.ndarray, bits: int, block_bits: int) -> np.ndarray:
-    """A hash's cell within its block."""
-    return ((hashes << np.uint64(block_bits)) >> np.uint64(64 - bits + block_bits)).astype(np.uint32)
-
-
-def _sketch(n: int, bits: int, block_bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for chunk, lengths, texts in zip(*(b.column(c).to_pylist() for c in ("chunk", "lengths", "texts"))):
-                data, _, w = _open(lengths, texts)
-                h = np.sort(_windows(data, w, n, 0)[1])
-                blocks, cells, twice = [], [], []
-                for block, part in _by_block(h, block_bits):
-                    cell, count = np.unique(_local(h[part], bits, block_bits), return_counts=True)
-                    blocks.append(block)
-                    cells.append(pack_sorted(cell))
-                    twice.append(np.packbits(count > 1).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks, pa.int32()), pa.array([chunk] * len(blocks), pa.int64()),
-                     pa.array(cells, pa.binary()), pa.array(twice, pa.binary())], ["block", "chunk", "cells", "twice"])
-    return run
-
-
-def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """Add up one block's sketches; per chunk, its cells with a count of two or more."""
-    parts = [unpack_sorted(x, np.uint32) for x in group["cells"]]
-    cell = np.concatenate(parts)
-    source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=len(p)) for t, p in
-                            zip(group["twice"], parts)])
-    order = np.argsort(cell, kind="stable")
-    c = cell[order]
-    first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-    total = np.add.reduceat(1 + twice[order].astype(np.int64), first)
-    repeated = np.zeros(len(cell), bool)
-    repeated[order] = np.repeat(total > 1, np.diff(np.append(first, len(c))))
-    out = [(chunk, block, pack_sorted(p[own])) for chunk, block, p, own in zip(
-        group["chunk"], group["block"], parts, np.split(repeated, np.cumsum([len(p) for p in parts])[:-1]))
-        if own.any()]
-    return pd.DataFrame(out, columns=["chunk", "block", "cells"])
+def _items(n: int):
+    def items(s: Slice) -> np.ndarray:
+        return _windows(s.data, words(s.data, s.offsets), n, 0)[1]
+    return items
 
 
 def _exact(n: int, bits: int, block_bits: int):
@@ -163,16 +67,10 @@ def _exact(n: int, bits: int, block_bits: int):
         if not len(chunk) or not len(told):
             return pd.DataFrame(columns=names)
         row = chunk.iloc[0]
-        data, _, w = _open(row["lengths"], row["texts"])
+        s = open_chunk(row["lengths"], row["texts"])
+        data, w = s.data, words(s.data, s.offsets)
         at, h = _windows(data, w, n, 0)
-        shift = np.uint64(bits - block_bits)
-        # blocks in ascending order: the whole is sorted
-        told = told.sort_values("block")
-        cells = np.concatenate([(np.uint64(b) << shift) + unpack_sorted(c, np.uint32).astype(np.uint64)
-                                for b, c in zip(told["block"], told["cells"])])
-        own = h >> np.uint64(64 - bits)
-        place = np.minimum(np.searchsorted(cells, own), len(cells) - 1)
-        some = np.flatnonzero(cells[place] == own)
+        some = np.flatnonzero(Told(told, bits, block_bits).rank(h))
         tail = (_windows(data, w, n, 1)[1][some] >> np.uint64(32)).astype(np.uint32)
         order, first = _groups(h[some], tail)
         pick = order[first]
@@ -180,7 +78,7 @@ def _exact(n: int, bits: int, block_bits: int):
         doc = np.searchsorted(w.first, at, "right") - 1
         ids = np.asarray(row["ids"], np.int64)[doc]
         out = [(block, row["chunk"], pack_sorted(head[s]), pack(tail[s]), pack(ids[s]), pack(at[s].astype(np.uint32)))
-               for block, s in _by_block(head, block_bits)]
+               for block, s in by_block(head, block_bits)]
         return pd.DataFrame(out, columns=names)
     return run
 
@@ -219,7 +117,8 @@ def _first_anywhere(group: pd.DataFrame) -> pd.DataFrame:
 def _cut(n: int):
     def run(chunk: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
-        data, _, w = _open(row["lengths"], row["texts"])
+        s = open_chunk(row["lengths"], row["texts"])
+        data, w = s.data, words(s.data, s.offsets)
         at, h = _windows(data, w, n, 0)
         order, first = _groups(h, (_windows(data, w, n, 1)[1] >> np.uint64(32)).astype(np.uint32))
         again = np.ones(len(h), bool)
@@ -234,7 +133,7 @@ def _cut(n: int):
             lo, hi = int(w.first[k]), int(w.first[k + 1])
             kept = np.flatnonzero(~gone[lo:hi]) + lo
             text = b" ".join([raw[a:b] for a, b in zip(w.starts[kept].tolist(), w.ends[kept].tolist())])
-            out.append((None if key == _LAST else int(key), hi - lo, hi - lo - len(kept),
+            out.append((None if key == LAST else int(key), hi - lo, hi - lo - len(kept),
                         text.decode("utf-8", "replace")))
         df = pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept"])
         return df.astype({"id": "Int64"})
@@ -246,16 +145,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_words, n_removed, kept): ``kept`` is the remaining words joined by one space."""
     spark = docs.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "substring", uuid.uuid4().hex)
-    docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")) \
-        .mapInArrow(_chunks(n), _CHUNK).write.parquet(path)
-    chunks = spark.read.parquet(path)
-    total = chunks.agg(F.sum("n_windows")).first()[0] or 0
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    block_bits = max(2 * partitions - 1, total // block_entries).bit_length()
-    bits = max(min(total.bit_length() + cell_bits, block_bits + 32), block_bits + 8)
-
-    told = chunks.mapInArrow(_sketch(n, bits, block_bits), "block int, chunk long, cells binary, twice binary") \
-        .groupBy("block").applyInPandas(_merge, "chunk long, block int, cells binary")
+    chunks = write_chunks(docs, path, _count(n), id_col=id_col, text_col=text_col)
+    bits, block_bits = widths(chunks, cell_bits, block_entries)
+    told = merged(chunks, _items(n), bits, block_bits)
     texts = chunks.select("chunk", "ids", "lengths", "texts")
     digests = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
         _exact(n, bits, block_bits), "block int, chunk long, head binary, tail binary, ids binary, at binary")
