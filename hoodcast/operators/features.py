@@ -72,15 +72,18 @@ def halo_sums(df: DataFrame, adj: DataFrame, cols=ROAD_COLS) -> DataFrame:
         *[F.sum(c).alias(f"{c}_halo") for c in cols])
 
 
-def halo_columns(df: DataFrame, adj: DataFrame, variant: str = "production") -> DataFrame:
+def halo_columns(df: DataFrame, adj: DataFrame, variant: str = "production", facts: DataFrame | None = None) -> DataFrame:
     """K17 (and K21 variant): halo sums (null -> 0), log1p norms, disruption
     flags, total construction pressure.
 
     ``variant='production'``: ``is_zone_disrupted = construction halo > 0``;
     ``'legacy'``: ``is_zone_disrupted = total pressure > 0`` and the event flag
     is named ``is_road_disrupted_halo`` (T10).
+
+    ``facts`` are the road measures (``ROAD_COLS``) of the (date, area) pairs that have any;
+    given them the neighbour sums never touch the dense panel, which is then read once.
     """
-    h = halo_sums(df, adj)
+    h = halo_sums(df if facts is None else facts, adj)
     out = df.join(h, ["date", "nbhd_id"], "left")
     hcols = [f"{c}_halo" for c in ROAD_COLS]
     out = out.select(*[c for c in out.columns if c not in hcols],
@@ -129,14 +132,14 @@ def window_family(df: DataFrame, settings: Settings = DEFAULTS, halo: bool = Tru
 
 
 def feature_table(gold: DataFrame, adj: DataFrame, settings: Settings = DEFAULTS,
-                  variant: str = "production") -> DataFrame:
+                  variant: str = "production", facts: DataFrame | None = None) -> DataFrame:
     """Calendar -> weather flags -> KSI ratio -> lag/roll -> momentum ->
     halo -> targets; rows without the furthest target, ``collisions_lag1`` or
     ``collisions_roll7_mean`` are dropped."""
     df = calendar_features(gold, settings)
     df = weather_interactions(df)
     df = ksi_ratio_columns(df)
-    df = halo_columns(df, adj, variant)
+    df = halo_columns(df, adj, variant, facts)
     df = window_family(df, settings)
     hmax = max(settings.horizons)
     return df.dropna(subset=[f"collisions_t{hmax}", "collisions_lag1", "collisions_roll7_mean"])

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import safe_div as C_safe
-from hoodcast.session import bounded_broadcast
 
 EDGE_T = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -89,18 +88,27 @@ def valid_coords(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -
 
 def valid_polygons(polys: DataFrame) -> DataFrame:
     """C6/J5 structural checks: non-null, every ring has >= 4 vertices and is
-    closed, no proper self-crossing between two edges of the same polygon."""
+    closed, no proper self-crossing between two edges of the same polygon.
+
+    Edges meet in the grid cells that their boxes touch (about as many cells a side as a
+    polygon has edges), so an outline of V vertices is not compared with itself V x V.
+    """
     ok_rings = F.expr(
         "rings IS NOT NULL AND size(rings) > 0 AND forall(rings, r -> r IS NOT NULL AND size(r) >= 4 "
         "AND r[0].x = r[size(r)-1].x AND r[0].y = r[size(r)-1].y)")
     structural = polys.where(ok_rings)
-    e = polygon_edges(structural).withColumn("k", F.monotonically_increasing_id())
+    e = structural.select(F.col("nbhd_id").alias("poly_id"), F.posexplode(ring_edges_expr()).alias("k", "e")) \
+        .select("poly_id", "k", "e.*")
+    box = e.groupBy("poly_id").agg(
+        F.min(F.least("x1", "x2")).alias("x0"), F.min(F.least("y1", "y2")).alias("y0"),
+        F.greatest((F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))) / F.count("*"), F.lit(1e-12)).alias("sx"),
+        F.greatest((F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))) / F.count("*"), F.lit(1e-12)).alias("sy"))
+    span = lambda v, o, w: F.explode(F.sequence(
+        F.floor((F.least(f"{v}1", f"{v}2") - F.col(o)) / F.col(w)), F.floor((F.greatest(f"{v}1", f"{v}2") - F.col(o)) / F.col(w))))
+    e = e.join(box, "poly_id").withColumn("cx", span("x", "x0", "sx")).withColumn("cy", span("y", "y0", "sy"))
     a, b = e.alias("a"), e.alias("b")
-    cross = (a.join(b, (F.col("a.poly_id") == F.col("b.poly_id")) & (F.col("a.k") < F.col("b.k"))
-                    & (F.greatest("a.x1", "a.x2") >= F.least("b.x1", "b.x2"))
-                    & (F.greatest("b.x1", "b.x2") >= F.least("a.x1", "a.x2"))
-                    & (F.greatest("a.y1", "a.y2") >= F.least("b.y1", "b.y2"))
-                    & (F.greatest("b.y1", "b.y2") >= F.least("a.y1", "a.y2")))
+    cross = (a.join(b, (F.col("a.poly_id") == F.col("b.poly_id")) & (F.col("a.cx") == F.col("b.cx"))
+                    & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.k") < F.col("b.k")))
              .where(_proper_cross("a", "b")).select(F.col("a.poly_id").alias("nbhd_id")).distinct())
     return structural.join(cross, "nbhd_id", "left_anti")
 
@@ -185,7 +193,7 @@ def inside_expr(edges: str, px: str, py: str, predicate: str) -> str:
 
 def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: str,
                   predicate: str = "within", single: bool = False,
-                  out_col: str = "nbhd_id", broadcast_units: int = 2_000_000) -> DataFrame:
+                  out_col: str = "nbhd_id") -> DataFrame:
     """Inner spatial join of points to polygons.
 
     ``predicate='within'`` keeps points strictly inside (boundary excluded);
@@ -193,16 +201,12 @@ def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: s
     lowest polygon id per point (the reference keeps the first match);
     otherwise a point inside several overlapping polygons yields several rows.
 
-    The index is broadcast only when it provably holds at most
-    ``broadcast_units`` (one per polygon entry plus one per stored edge, about
-    40 bytes each); beyond that the join shuffles on the cell and AQE splits
-    hot cells (skew join).
+    Spark's own size estimate decides whether the index is broadcast; otherwise
+    the join shuffles on the cell and AQE splits hot cells (skew join).
     """
     s = float(cell)
     pts = points.withColumn("_cx", F.floor(F.col(x) / s)).withColumn("_cy", F.floor(F.col(y) / s))
-    units = F.aggregate("polys", F.lit(1), lambda acc, p: acc + F.size(p["edges"]) + 1)
-    idx = bounded_broadcast(index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy"),
-                            broadcast_units, weight=units)
+    idx = index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
     j = pts.join(idx, ["_cx", "_cy"], "inner")
     test = inside_expr('p.edges', f'`{x}`', f'`{y}`', predicate)
     hit = F.expr(f"transform(filter(polys, p -> p.inside OR {test}), p -> p.poly_id)")

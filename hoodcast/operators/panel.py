@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from hoodcast.config import KSI_COLS, ROAD_COLS, WEATHER_COLS
 from hoodcast.functions import columns as C
 from hoodcast.operators import geo
-from hoodcast.session import cut_lineage
 
 def _parallelism(spark) -> int:
     try:
@@ -46,20 +45,18 @@ def collision_daily(points: DataFrame, polys: DataFrame, predicate: str = "withi
 
 
 def dense_panel(daily: DataFrame, areas: DataFrame, count_col: str = "collision_count",
-                out_col: str = "collisions", materialize: bool = True) -> DataFrame:
+                out_col: str = "collisions") -> DataFrame:
     """K3 (D1 + D3): every area x every day between the first and last date of
     ``daily``; missing counts become 0.
 
     The spine is generated per area by ``explode(sequence(lo, hi))`` where
     ``lo``/``hi`` are scalar subqueries (no join at all); the spine then meets
-    the daily counts in one equi-join on ``(date, nbhd_id)``.  The daily table
-    is read twice (bounds and join), so by default it is first written once
-    to the checkpoint folder (it is small next to the raw events, which are
-    then scanned only once).
+    the daily counts in one equi-join on ``(date, nbhd_id)``. Bounds and join read
+    the same aggregate with the same columns, so Spark reuses its exchange.
     """
-    if materialize:
-        daily = cut_lineage(daily)
-    b = daily.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    daily = daily.select("date", "nbhd_id", count_col)
+    day = F.when(F.col(count_col) > 0, F.col("date"))
+    b = daily.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
     lo, hi = b["lo"], b["hi"]
     a = areas.select("nbhd_id", "area_id", "area_name").dropna(subset=["nbhd_id"])
     # spread the (small) area table over the shuffle partitions first, so the

@@ -28,7 +28,7 @@ def latest_surge(surge: DataFrame, horizons=(1, 2)) -> DataFrame:
     cols = [F.col(f"surge_proba_t{h}") if f"surge_proba_t{h}" in surge.columns
             else F.lit(None).cast("double") for h in horizons]
     return l.select(F.date_format("date", "yyyy-MM-dd").alias("date"),
-                    *[c.alias(f"surge_proba_t{h}") for c, h in zip(cols, horizons)]).limit(1)
+                    *[c.alias(f"surge_proba_t{h}") for c, h in zip(cols, horizons)])
 
 
 def topk_areas(preds: DataFrame, names: DataFrame, horizon: int = 1, k: int = 10) -> DataFrame:
@@ -49,6 +49,7 @@ def topk_areas(preds: DataFrame, names: DataFrame, horizon: int = 1, k: int = 10
                     f"rank_t{horizon}"))
 
 
+#: The slim mart's columns.
 SLIM_COLS = ("date", "nbhd_id", "collisions", "ksi_collisions", "collisions_lag1", "collisions_roll30_mean",
              "collision_momentum", "tavg", "prcp", "snow", "wspd", "freezing_rain", "heavy_snow", "feels_bad",
              "wind_rain", "is_holiday", "pre_holiday", "post_holiday", "is_weekend",
@@ -101,58 +102,74 @@ def trend_90d(city: DataFrame, value: str = "city_collisions") -> DataFrame:
     t = last_n_days(city, 90)
     return t.select("date", value, avg30.alias("avg_30"),
                     F.least(F.col(value).cast("double"), avg30).alias("clipped"),
+                    F.greatest(F.col(value).cast("double"), avg30).alias("upper"),
                     (F.col(value) > avg30).alias("above"),
                     F.when(r7 > avg30, "Above normal").otherwise("Below normal").alias("recent_7_vs_avg"))
 
 
-def weather_card(daily_weather: DataFrame) -> DataFrame:
-    """Latest weather row with condition labels."""
-    l = latest(daily_weather)
-    label = (F.when(F.col("freezing_rain") == 1, "Freezing rain").when(F.col("heavy_snow") == 1, "Heavy snow")
-             .when(F.col("wind_rain") == 1, "High wind and rain").when(F.col("snow") > 0, "Snow")
-             .when(F.col("prcp") > 0, "Rain").otherwise("Clear"))
-    return l.select("date", "tavg", "tmin", "tmax", "prcp", "snow", "wspd", label.alias("condition"))
+def condition_label() -> Column:
+    """Freezing rain and/or heavy snow joined by a comma, else adverse, else normal (fixed texts)."""
+    both = F.concat_ws(", ", F.when(F.col("freezing_rain") == 1, "Freezing Rain"),
+                       F.when(F.col("heavy_snow") == 1, "Heavy Snow"))
+    return F.when(both != "", both).when(F.col("feels_bad") == 1, "Adverse").otherwise("Normal")
 
 
-def risk_map(dim: DataFrame, preds_latest: DataFrame, score: str, top_k: int = 10) -> DataFrame:
-    """Every area with its latest score (3 dp, missing -> 0), a top-K flag
-    and the score min-max scaled over the areas."""
+def weather_card(days: DataFrame) -> DataFrame:
+    """The latest date's weather with its condition labels; ``days`` has one row per date."""
+    return latest(days).select("date", "tavg", "prcp", "snow", "wspd", condition_label().alias("conditions"))
+
+
+def risk_map(dim: DataFrame, preds_latest: DataFrame, score: str, top_k: int = 10, proba: str | None = None) -> DataFrame:
+    """Every area with its latest score (3 dp, missing -> 0), a top-K flag and the score
+    min-max scaled over the areas; with ``proba`` also that probability (3 dp) and the
+    expected collisions (``exp_coll`` of ``preds_latest``)."""
     w = Window.orderBy(F.col(score).desc_nulls_last(), "nbhd_id")  # one day of areas
-    ranked = preds_latest.select("nbhd_id", score, F.row_number().over(w).alias("_rk"))
+    more = [F.bround(proba, 3).alias("proba"), "exp_coll"] if proba else []
+    ranked = preds_latest.select("nbhd_id", score, *more, F.row_number().over(w).alias("_rk"))
     j = dim.select("nbhd_id", "area_name").join(ranked, "nbhd_id", "left")
     s = F.coalesce(F.bround(F.col(score), 3), F.lit(0.0))
     mm = j.select(F.struct(F.min(s).alias("lo"), F.max(s).alias("hi"))).scalar()
-    return j.select("nbhd_id", "area_name", s.alias("score"),
+    return j.select("nbhd_id", "area_name", s.alias("score"), *(["proba", "exp_coll"] if proba else []),
                     F.coalesce(F.col("_rk") <= top_k, F.lit(False)).alias("top_k"),
                     F.coalesce(safe_div(s - mm["lo"], mm["hi"] - mm["lo"]), F.lit(0.0)).alias("scaled"))
 
 
 def why_high_risk(features: DataFrame) -> DataFrame:
-    """Per area on the latest date, up to four ordered reasons.
+    """``reasons`` per area on the latest date, against the mean of its last 30 rows."""
+    return reasons(latest(features).join(area_recent_mean(features, 30), "nbhd_id"))
+
+
+def reasons(rows: DataFrame) -> DataFrame:
+    """Up to four ordered reasons per row, and their categories (fixed texts).
 
-    lag1 > 1.5 x 30-row mean; momentum > 1.4; first of freezing rain / heavy
-    snow / adverse weather; first of holiday / pre-holiday / weekend;
-    construction yesterday else adjacent disruption; a default when none.
+    lag1 > 1.5 x ``avg_30d``; momentum > 1.4 (rounded in the text only; none or 0 counts as 1);
+    first of freezing rain / heavy snow / adverse weather; first of holiday / pre-holiday /
+    weekend; construction yesterday else adjacent disruption; a default when none.
     """
-    recent = area_recent_mean(features, 30)
-    l = latest(features).join(recent, "nbhd_id")
     lag1 = F.coalesce(F.col("collisions_lag1").cast("double"), F.lit(0.0))
-    mom = F.coalesce(F.col("collision_momentum"), F.lit(1.0))
-    r_traffic = F.when(lag1 > F.col("avg_30d") * 1.5, F.format_string(
-        "Yesterday had %d collisions (above average)", lag1.cast("int")))
-    r_mom = F.when(mom > 1.4, F.format_string("Collision activity is %.1fx the recent baseline", mom))
-    r_wx = (F.when(F.col("freezing_rain") == 1, "Freezing rain forecast")
-            .when(F.col("heavy_snow") == 1, "Heavy snow forecast")
-            .when(F.col("feels_bad") == 1, "Adverse weather conditions"))
-    r_cal = (F.when(F.col("is_holiday") == 1, "Public holiday")
-             .when(F.col("pre_holiday") == 1, "Day before a public holiday")
-             .when(F.col("is_weekend") == 1, "Weekend traffic patterns"))
-    r_road = (F.when(F.col("road_construction_count_lag1") > 0, "Active road construction nearby")
-              .when(F.col("is_zone_disrupted") == 1, "Road disruptions in adjacent zones"))
-    reasons = F.filter(F.array(r_traffic, r_mom, r_wx, r_cal, r_road), lambda x: x.isNotNull())
-    reasons = F.when(F.size(reasons) == 0, F.array(F.lit("Elevated collision history in this area"))) \
-        .otherwise(F.slice(reasons, 1, 4))
-    return l.select("date", "nbhd_id", reasons.alias("reasons"))
+    mom = F.when(F.coalesce(F.col("collision_momentum"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col("collision_momentum"))
+
+    def reason(category: str, when: Column, text) -> Column:
+        return F.when(when, F.struct(F.lit(category).alias("c"), (F.lit(text) if isinstance(text, str) else text).alias("t")))
+
+    flag_ = lambda c: F.col(c) == 1
+    found = F.array(
+        reason("traffic", lag1 > F.col("avg_30d") * 1.5,
+               F.format_string("Yesterday had %d collisions (above average)", lag1.cast("int"))),
+        reason("traffic", mom > 1.4,
+               F.format_string("Collision activity is %.1fx the recent baseline", F.bround(mom, 1))),
+        F.coalesce(reason("weather", flag_("freezing_rain"), "Freezing rain forecast"),
+                   reason("weather", flag_("heavy_snow"), "Heavy snow forecast"),
+                   reason("weather", flag_("feels_bad"), "Adverse weather conditions")),
+        F.coalesce(reason("calendar", flag_("is_holiday"), "Public holiday"),
+                   reason("calendar", flag_("pre_holiday"), "Day before a public holiday"),
+                   reason("calendar", flag_("is_weekend"), "Weekend traffic patterns")),
+        F.coalesce(reason("road", F.col("road_construction_count_lag1") > 0, "Active road construction nearby"),
+                   reason("road", flag_("is_zone_disrupted"), "Road disruptions in adjacent zones")))
+    found = F.slice(F.filter(found, lambda x: x.isNotNull()), 1, 4)
+    none = F.array(F.struct(F.lit("traffic").alias("c"), F.lit("Elevated collision history in this area").alias("t")))
+    r = rows.select("date", "nbhd_id", F.when(F.size(found) == 0, none).otherwise(found).alias("r"))
+    return r.select("date", "nbhd_id", F.col("r.t").alias("reasons"), F.col("r.c").alias("categories"))
 
 
 def risk_bands(preds_latest: DataFrame, score: str, high: float = 0.70, medium: float = 0.40) -> DataFrame:

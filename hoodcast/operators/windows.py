@@ -90,7 +90,7 @@ def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str = "nbhd_id"
                     f"AS `__cs_{c}`",
                     f"count(`{c}`) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS `__cn_{c}`"]
     base = df.selectExpr("*", *helpers) if helpers else df
-    out = []
+    out, means = [], []
     for c in present:
         out += [f"lag(`{c}`, {L}) OVER ({spec}) AS `{c}_lag{L}`" for L in lags]
         for W in widths:
@@ -98,13 +98,17 @@ def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str = "nbhd_id"
                 s_ = f"(lag(`__cs_{c}`, 1) OVER ({spec}) - lag(`__cs_{c}`, {W + 1}, 0) OVER ({spec}))"
                 n_ = f"(lag(`__cn_{c}`, 1) OVER ({spec}) - lag(`__cn_{c}`, {W + 1}, 0) OVER ({spec}))"
                 out.append(f"CASE WHEN {n_} = {W} THEN CAST({s_} AS DOUBLE) END AS `{c}_roll{W}_sum`")
-                out.append(f"CASE WHEN {n_} = {W} THEN CAST({s_} AS DOUBLE) / {W} END AS `{c}_roll{W}_mean`")
             else:
                 fr = f"({spec} ROWS BETWEEN {W} PRECEDING AND 1 PRECEDING)"
-                ok = f"count(`{c}`) OVER {fr} = {W}"
-                out.append(f"CASE WHEN {ok} THEN sum(CAST(`{c}` AS DOUBLE)) OVER {fr} END AS `{c}_roll{W}_sum`")
-                out.append(f"CASE WHEN {ok} THEN avg(CAST(`{c}` AS DOUBLE)) OVER {fr} END AS `{c}_roll{W}_mean`")
+                out.append(f"CASE WHEN count(`{c}`) OVER {fr} = {W} THEN sum(CAST(`{c}` AS DOUBLE)) OVER {fr} END "
+                           f"AS `{c}_roll{W}_sum`")
+            # the window is full where the sum is present, so the mean is the sum over W
+            means.append((f"{c}_roll{W}_sum", f"`{c}_roll{W}_sum` / {W} AS `{c}_roll{W}_mean`"))
     res = base.select("*", *extra) if extra else base
-    res = res.selectExpr("*", *out) if out else res
-    drop = [f"__cs_{c}" for c in integral] + [f"__cn_{c}" for c in integral]
-    return res.drop(*drop) if drop else res
+    if out:
+        res = res.selectExpr("*", *out)
+        after = dict(means)
+        drop = {f"__cs_{c}" for c in integral} | {f"__cn_{c}" for c in integral}
+        res = res.selectExpr(*[e for c in res.columns if c not in drop
+                               for e in ([f"`{c}`", after[c]] if c in after else [f"`{c}`"])])
+    return res

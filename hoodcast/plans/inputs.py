@@ -7,11 +7,11 @@ reads the columns its result needs (Catalyst prunes the rest).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hoodcast.config import ADAPTER
+from hoodcast.config import ADAPTER, ROAD_COLS
 from hoodcast.operators import features as Fe
 from hoodcast.operators import geo, panel
-from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
 
 # unit squares on the adapter grid: 16 cells per side (most cells interior)
@@ -45,17 +45,28 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
                       disruption_daily(spark, sf))
 
 
-def gold_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The gold panel written once (for plans that read it more than once)."""
-    return cut_lineage(gold(spark, sf))
+def road_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Road measures of the (date, area) pairs with a disruption, named as in the panel."""
+    d = disruption_daily(spark, sf)
+    return d.select("date", "nbhd_id", *[F.col(c.removeprefix("road_")).alias(c) for c in ROAD_COLS])
 
 
 def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return geo.adjacency(A.area_polygons(spark, sf), cell=ADAPTER_CELL)
 
 
+def halo(spark: SparkSession, sf: str, variant: str = "production") -> DataFrame:
+    return Fe.halo_columns(gold(spark, sf), adjacency(spark, sf), variant, road_facts(spark, sf))
+
+
 def features(spark: SparkSession, sf: str, variant: str = "production") -> DataFrame:
-    """The feature table over a materialised gold panel and adjacency list:
-    the halo step reads the panel twice (neighbour sums and the join back), so
-    the panel is written once (a stage boundary, as in the pipeline jobs)."""
-    return Fe.feature_table(gold_table(spark, sf), cut_lineage(adjacency(spark, sf)), ADAPTER, variant)
+    """The feature table as one lazy plan: the panel is read once, the neighbour sums come
+    from the sparse road facts."""
+    return Fe.feature_table(gold(spark, sf), adjacency(spark, sf), ADAPTER, variant, road_facts(spark, sf))
+
+
+def panel_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel's (date, nbhd_id) spine without its counts: the first and last day that has a
+    point with usable coordinates, times the areas. No spatial join."""
+    days = A.usable_days(spark, sf).select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    return A.areas(spark, sf).select("nbhd_id", F.explode(F.sequence(days["lo"], days["hi"])).alias("date"))

@@ -158,9 +158,14 @@ def _round_cyclic(df):
 
 
 def spark_features(spark, sf, variant="production"):
-    """The feature table, written once: downstream queries read it several
-    times (latest date, recent means, roll-ups), never re-running the build."""
-    return cut_lineage(_round_cyclic(I.features(spark, sf, variant)))
+    """The feature table, lazily: a query that reads a few columns builds only those."""
+    return _round_cyclic(I.features(spark, sf, variant))
+
+
+def staged_features(spark, sf, cols=None):
+    """Written once, for the plans that read it several times; only ``cols`` when given."""
+    f = spark_features(spark, sf)
+    return cut_lineage(f.select(*cols) if cols else f)
 
 
 # ----------------------------------------------------------------------------
@@ -247,8 +252,7 @@ HALO_OUT = HALO_COLS + [f"{c}_norm" for c in HALO_COLS] + [
 @query("halo_features", sql(f"SELECT date, nbhd_id, {', '.join(HALO_OUT)} FROM halo", _halo_sql()))
 def halo_features(spark, sf):
     """Neighbour sums over the adjacency graph, norms and flags."""
-    g = I.gold_table(spark, sf)
-    return Fe.halo_columns(g, I.adjacency(spark, sf)).select("date", "nbhd_id", *HALO_OUT)
+    return I.halo(spark, sf).select("date", "nbhd_id", *HALO_OUT)
 
 
 HALO_LEGACY_OUT = [c if c != "is_event_disrupted_halo" else "is_road_disrupted_halo" for c in HALO_OUT]
@@ -258,8 +262,7 @@ HALO_LEGACY_OUT = [c if c != "is_event_disrupted_halo" else "is_road_disrupted_h
                                    _halo_sql("legacy")))
 def halo_features_legacy(spark, sf):
     """Legacy variant, ``is_zone_disrupted = total pressure > 0``."""
-    g = I.gold_table(spark, sf)
-    return Fe.halo_columns(g, I.adjacency(spark, sf), "legacy").select("date", "nbhd_id", *HALO_LEGACY_OUT)
+    return I.halo(spark, sf, "legacy").select("date", "nbhd_id", *HALO_LEGACY_OUT)
 
 
 @query("halo_lag_roll", sql(
@@ -267,7 +270,7 @@ def halo_features_legacy(spark, sf):
     + f" FROM halo {WIN}", _halo_sql()))
 def halo_lag_roll(spark, sf):
     """F8: lag 1/7 and roll 7/14 of the six halo columns."""
-    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf))
+    h = I.halo(spark, sf)
     w = Wn.area_window()
     return h.select("date", "nbhd_id", *Wn.lag_roll_columns(HALO_COLS, S.halo_lags, S.halo_windows, w))
 
@@ -331,7 +334,7 @@ def feature_column_names() -> list[str]:
 def pressure_roll14(spark, sf):
     """Combined direct + neighbour construction pressure and its
     trailing 14-day sum (today excluded), legacy zone flag."""
-    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf), "legacy")
+    h = I.halo(spark, sf, "legacy")
     w = Wn.area_window()
     out = Wn.add_lag_roll(h.select("date", "nbhd_id", "construction_total_pressure", "is_zone_disrupted"),
                           ["construction_total_pressure"], [], [14], w)

@@ -13,7 +13,7 @@ from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.plans.q_eval import EV_CTE, Y, _lift_sql, eval_frame
-from hoodcast.plans.q_features import WEATHER_FLAGS_SQL, feature_table_ctes, spark_features
+from hoodcast.plans.q_features import WEATHER_FLAGS_SQL, _halo_sql, feature_table_ctes, spark_features, staged_features
 from hoodcast.plans.q_surge import SURGE_PRED_CTE, surge_predictions
 from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
@@ -30,7 +30,7 @@ DD = "datediff('day', DATE '1995-01-01', date)"
 def nbhd_predictions(spark, sf):
     """Test-period area predictions (stand-in for trained models' output):
     ``proba_collision_t{h}``, ``proba_ksi_t{h}``, ``risk_score_t{h} = 0.6 p + 0.4 k`` (L8)."""
-    p = I.dense(spark, sf).select("date", "nbhd_id").where(F.col("date") >= F.lit(S.split_date))
+    p = I.panel_days(spark, sf).where(F.col("date") >= F.lit(S.split_date))
     d = F.datediff("date", F.lit("1995-01-01").cast("date"))
     cols = []
     for h in S.horizons:
@@ -112,22 +112,16 @@ def topk_areas_t2(spark, sf):
     return R.topk_areas(nbhd_predictions(spark, sf), A.areas(spark, sf), 2, 5)
 
 
-def _slim_sql(latest: bool):
-    cols = ", ".join(c for c in R.SLIM_COLS)
-    where = " WHERE date = (SELECT max(date) FROM features)" if latest else ""
-    return sql(f"SELECT {cols} FROM features{where}", feature_table_ctes())
-
-
-@query("slim_mart", _slim_sql(False))
+@query("slim_mart", sql(f"SELECT {', '.join(R.SLIM_COLS)} FROM features", feature_table_ctes()))
 def slim_mart(spark, sf):
     """The dashboard's slim feature mart (wanted columns that exist)."""
     return R.slim_mart(spark_features(spark, sf))
 
 
-@query("latest_mart", _slim_sql(True))
+@query("latest_mart", sql("SELECT * FROM pred_latest", PRED_CTE))
 def latest_mart(spark, sf):
-    """Slim mart rows of the latest date."""
-    return R.latest(R.slim_mart(spark_features(spark, sf)))
+    """The area predictions of the latest date, all columns."""
+    return R.latest(nbhd_predictions(spark, sf))
 
 
 # ----------------------------------------------------------------------------
@@ -166,7 +160,7 @@ def expected_collisions(spark, sf):
 
 @query("trend_90d", sql(f"""
   SELECT date, city_collisions, a30 AS avg_30, least(CAST(city_collisions AS DOUBLE), a30) AS clipped,
-         city_collisions > a30 AS above,
+         greatest(CAST(city_collisions AS DOUBLE), a30) AS upper, city_collisions > a30 AS above,
          CASE WHEN r7 > a30 THEN 'Above normal' ELSE 'Below normal' END AS recent_7_vs_avg
   FROM (SELECT *, (SELECT avg(city_collisions) FROM city WHERE date > {LAST} - 30) AS a30,
                (SELECT avg(city_collisions) FROM city WHERE date > {LAST} - 7) AS r7
@@ -176,54 +170,97 @@ def trend_90d(spark, sf):
     return R.trend_90d(R.city_series(report_base(spark, sf)))
 
 
-@query("current_weather", sql(f"""
-  SELECT date, tavg, tmin, tmax, prcp, snow, wspd,
-         CASE WHEN freezing_rain = 1 THEN 'Freezing rain' WHEN heavy_snow = 1 THEN 'Heavy snow'
-              WHEN wind_rain = 1 THEN 'High wind and rain' WHEN snow > 0 THEN 'Snow' WHEN prcp > 0 THEN 'Rain'
-              ELSE 'Clear' END AS condition
-  FROM (SELECT *, {WEATHER_FLAGS_SQL} FROM weather) WHERE date = (SELECT max(date) FROM weather)"""))
+@query("current_weather", sql("""
+  SELECT date, tavg, prcp, snow, wspd,
+         CASE WHEN fr = 1 AND hs = 1 THEN 'Freezing Rain, Heavy Snow' WHEN fr = 1 THEN 'Freezing Rain'
+              WHEN hs = 1 THEN 'Heavy Snow' WHEN bad = 1 THEN 'Adverse' ELSE 'Normal' END AS conditions
+  FROM (SELECT DISTINCT date, tavg, prcp, snow, wspd,
+               CAST(prcp > 0 AND tmin <= 0 AS INT) AS fr, CAST(snow > 5 AS INT) AS hs,
+               CAST((prcp > 0 AND tmin <= 0) OR (prcp > 2 AND wspd > 30) OR snow > 5 AS INT) AS bad
+        FROM rbase WHERE date = (SELECT max(date) FROM rbase))""", BASE_CTE))
 def current_weather(spark, sf):
-    """Latest weather row with a condition label."""
-    return R.weather_card(Fe.weather_interactions(I.weather_daily(spark, sf)))
+    """Weather of the latest feature date with its condition labels."""
+    return R.weather_card(report_base(spark, sf).where(F.col("nbhd_id") == 1))
+
+
+@query("weather_conditions", sql("""
+  SELECT DISTINCT date,
+         CASE WHEN prcp > 0 AND tmin <= 0 AND snow > 5 THEN 'Freezing Rain, Heavy Snow'
+              WHEN prcp > 0 AND tmin <= 0 THEN 'Freezing Rain' WHEN snow > 5 THEN 'Heavy Snow'
+              WHEN prcp > 2 AND wspd > 30 THEN 'Adverse' ELSE 'Normal' END AS conditions
+  FROM rbase""", BASE_CTE))
+def weather_conditions(spark, sf):
+    """O8 on every date: the card's condition label."""
+    b = report_base(spark, sf).where(F.col("nbhd_id") == 1)
+    return b.select("date", R.condition_label().alias("conditions"))
 
 
 @query("risk_map", sql("""
-  SELECT nbhd_id, area_name, s AS score, coalesce(rk <= 10, false) AS top_k,
+  SELECT nbhd_id, area_name, s AS score, p1 AS proba, exp_coll, coalesce(rk <= 10, false) AS top_k,
          coalesce(CASE WHEN max(s) OVER () - min(s) OVER () <> 0
                        THEN (s - min(s) OVER ()) / (max(s) OVER () - min(s) OVER ()) END, 0.0) AS scaled
-  FROM (SELECT a.nbhd_id, a.area_name, coalesce(round_even(p.risk_score_t1, 3), 0.0) AS s, p.rk
-        FROM areas a LEFT JOIN (SELECT nbhd_id, risk_score_t1,
-                                       row_number() OVER (ORDER BY risk_score_t1 DESC, nbhd_id) AS rk
-                                FROM pred_latest) p USING (nbhd_id))""", PRED_CTE))
+  FROM (SELECT a.nbhd_id, a.area_name, coalesce(round_even(p.risk_score_t1, 3), 0.0) AS s,
+               round_even(p.proba_collision_t1, 3) AS p1, p.exp_coll, p.rk
+        FROM areas a LEFT JOIN (
+          SELECT nbhd_id, risk_score_t1, proba_collision_t1,
+                 row_number() OVER (ORDER BY risk_score_t1 DESC, nbhd_id) AS rk,
+                 round_even(coalesce(r.avg_30d, 1.0) * risk_score_t1 * 2, 1) AS exp_coll
+          FROM pred_latest LEFT JOIN recent r USING (nbhd_id)) p USING (nbhd_id))""",
+                        {**BASE_CTE, **PRED_CTE, "recent": """
+    SELECT nbhd_id, avg(collisions) AS avg_30d FROM (
+      SELECT nbhd_id, collisions, row_number() OVER (PARTITION BY nbhd_id ORDER BY date DESC) AS rn FROM rbase)
+    WHERE rn <= 30 GROUP BY nbhd_id"""}))
 def risk_map(spark, sf):
-    """All areas with the latest score (3 dp, missing -> 0), top-10 flag, min-max scale."""
+    """All areas with the latest score and probability (3 dp, missing score -> 0), expected
+    collisions, top-10 flag, min-max scale."""
     pl = R.latest(nbhd_predictions(spark, sf))
-    return R.risk_map(A.areas(spark, sf), pl, "risk_score_t1", 10)
+    exp = R.expected_collisions(pl, R.area_recent_mean(report_base(spark, sf), 30), "risk_score_t1")
+    return R.risk_map(A.areas(spark, sf), pl.join(exp.select("nbhd_id", "exp_coll"), "nbhd_id", "left"),
+                      "risk_score_t1", 10, "proba_collision_t1")
+
 
+REASON_COLS = ["date", "nbhd_id", "collisions", "collisions_lag1", "collision_momentum", "freezing_rain", "heavy_snow",
+               "feels_bad", "is_holiday", "pre_holiday", "is_weekend", "road_construction_count_lag1", "is_zone_disrupted"]
 
-@query("why_high_risk", sql("""
-  SELECT date, nbhd_id, CASE WHEN len(r) = 0 THEN ['Elevated collision history in this area'] ELSE r[1:4] END AS reasons
+#: Per area and date the reasons with their categories, over ``rows`` with ``avg_30d``.
+REASONS_SQL = """
+  SELECT date, nbhd_id,
+         CASE WHEN len(r) = 0 THEN ['Elevated collision history in this area'] ELSE list_transform(r[1:4], lambda x: x[2]) END AS reasons,
+         CASE WHEN len(r) = 0 THEN ['traffic'] ELSE list_transform(r[1:4], lambda x: x[1]) END AS categories
   FROM (
-    SELECT f.date, f.nbhd_id, list_filter([
-        CASE WHEN coalesce(CAST(collisions_lag1 AS DOUBLE), 0.0) > m.avg_30d * 1.5
-             THEN printf('Yesterday had %d collisions (above average)', CAST(coalesce(collisions_lag1, 0) AS INTEGER)) END,
-        CASE WHEN coalesce(collision_momentum, 1.0) > 1.4
-             THEN printf('Collision activity is %.1fx the recent baseline', round_even(coalesce(collision_momentum, 1.0), 1)) END,
-        CASE WHEN freezing_rain = 1 THEN 'Freezing rain forecast' WHEN heavy_snow = 1 THEN 'Heavy snow forecast'
-             WHEN feels_bad = 1 THEN 'Adverse weather conditions' END,
-        CASE WHEN is_holiday = 1 THEN 'Public holiday' WHEN pre_holiday = 1 THEN 'Day before a public holiday'
-             WHEN is_weekend = 1 THEN 'Weekend traffic patterns' END,
-        CASE WHEN road_construction_count_lag1 > 0 THEN 'Active road construction nearby'
-             WHEN is_zone_disrupted = 1 THEN 'Road disruptions in adjacent zones' END], lambda x: x IS NOT NULL) AS r
-    FROM features f JOIN (
+    SELECT date, nbhd_id, list_filter([
+        CASE WHEN coalesce(CAST(collisions_lag1 AS DOUBLE), 0.0) > avg_30d * 1.5
+             THEN ['traffic', printf('Yesterday had %d collisions (above average)', CAST(coalesce(collisions_lag1, 0) AS INTEGER))] END,
+        CASE WHEN mom > 1.4
+             THEN ['traffic', printf('Collision activity is %.1fx the recent baseline', round_even(mom, 1))] END,
+        CASE WHEN freezing_rain = 1 THEN ['weather', 'Freezing rain forecast'] WHEN heavy_snow = 1 THEN ['weather', 'Heavy snow forecast']
+             WHEN feels_bad = 1 THEN ['weather', 'Adverse weather conditions'] END,
+        CASE WHEN is_holiday = 1 THEN ['calendar', 'Public holiday'] WHEN pre_holiday = 1 THEN ['calendar', 'Day before a public holiday']
+             WHEN is_weekend = 1 THEN ['calendar', 'Weekend traffic patterns'] END,
+        CASE WHEN road_construction_count_lag1 > 0 THEN ['road', 'Active road construction nearby']
+             WHEN is_zone_disrupted = 1 THEN ['road', 'Road disruptions in adjacent zones'] END], lambda x: x IS NOT NULL) AS r
+    FROM (SELECT *, CASE WHEN coalesce(collision_momentum, 0.0) = 0 THEN 1.0 ELSE collision_momentum END AS mom FROM rows_))"""
+
+
+@query("why_high_risk", sql(REASONS_SQL, {**feature_table_ctes(), "rows_": """
+    SELECT f.*, m.avg_30d FROM features f JOIN (
       SELECT nbhd_id, avg(collisions) AS avg_30d FROM (
         SELECT nbhd_id, collisions, row_number() OVER (PARTITION BY nbhd_id ORDER BY date DESC) AS rn FROM features)
       WHERE rn <= 30 GROUP BY nbhd_id) m USING (nbhd_id)
-    WHERE f.date = (SELECT max(date) FROM features))""", feature_table_ctes()))
+    WHERE f.date = (SELECT max(date) FROM features)"""}))
 def why_high_risk(spark, sf):
-    """Up to four ordered reasons per area on the latest date."""
-    f = spark_features(spark, sf).withColumn("collision_momentum", F.bround("collision_momentum", 1))
-    return R.why_high_risk(f)
+    """Up to four ordered reasons per area on the latest date, with their categories."""
+    return R.why_high_risk(staged_features(spark, sf, REASON_COLS))
+
+
+@query("why_high_risk_history", sql(REASONS_SQL, {**feature_table_ctes(), "rows_": """
+    SELECT *, avg(collisions) OVER (PARTITION BY nbhd_id ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS avg_30d
+    FROM features"""}))
+def why_high_risk_history(spark, sf):
+    """O10 as of every date: the reasons of each (date, area)."""
+    w = Wn.area_window().rowsBetween(-29, 0)
+    f = spark_features(spark, sf).select(*REASON_COLS).withColumn("avg_30d", F.avg("collisions").over(w))
+    return R.reasons(f)
 
 
 @query("risk_bands", sql("""
@@ -326,11 +363,11 @@ def neighbour_histogram(spark, sf):
   SELECT nbhd_id, n_days FROM (
     SELECT nbhd_id, count(*) AS n_days FROM halo WHERE road_construction_count_halo > road_construction_count
     GROUP BY 1) ORDER BY n_days DESC, nbhd_id LIMIT 1""",
-                           __import__("hoodcast.plans.q_features", fromlist=["_halo_sql"])._halo_sql()))
+                           _halo_sql()))
 def halo_argmax(spark, sf):
     """The area with the most days where neighbour construction
     exceeded its own (ties: lowest id)."""
-    h = Fe.halo_columns(I.gold_table(spark, sf), I.adjacency(spark, sf))
+    h = I.halo(spark, sf)
     c = (h.where(F.col("road_construction_count_halo") > F.col("road_construction_count"))
          .groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("n_days")))
     return c.orderBy(F.col("n_days").desc(), "nbhd_id").limit(1)

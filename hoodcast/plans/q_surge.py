@@ -143,7 +143,7 @@ def surge_label(spark, sf):
 def surge_predictions(spark, sf):
     """Deterministic city-level probabilities for the test period only (the
     stand-in for a trained surge model's output): ``date, surge_proba_t{h}``."""
-    days = I.dense(spark, sf).select("date").distinct().where(F.col("date") >= F.lit(S.split_date))
+    days = I.panel_days(spark, sf).select("date").distinct().where(F.col("date") >= F.lit(S.split_date))
     d = F.datediff("date", F.lit("1995-01-01").cast("date"))
     return days.select("date", *[(((d * 104729 + h * 7919) % 1000) / 1000.0).alias(f"surge_proba_t{h}")
                                  for h in S.horizons])

@@ -1,9 +1,10 @@
-"""Session helpers: a local session for tests/bench, checkpoint location,
-and size-checked broadcasting."""
+"""Session helpers: a local session for tests and bench, the checkpoint folder and stage tables."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +39,9 @@ def local_session(cpus: int | str = "*", app: str = "hoodcast",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a scratch folder set.
+    A session in local mode that names none (tests, notebooks) gets a scratch folder of its
+    own, removed when the process ends. On a cluster a folder on one machine would not
+    be seen by the others, so there the setting is required.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -46,11 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="hoodcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001 - core conf not settable at runtime; the context setting suffices
-        pass
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="hoodcast-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
@@ -62,25 +64,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Unlike ``Dataset.checkpoint`` (which computes the plan once for the action
     and again to write the checkpoint unless it was cached), the write job
     computes the plan exactly once; later readers scan files that survive
-    executor loss.
+    executor loss. ``drop_stage_tables`` deletes them when a job is done.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "tables", uuid.uuid4().hex)
+    path = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_units: int, weight=None) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_units``.
+def stage_folder(spark: SparkSession) -> str:
+    """Where this application's stage tables are."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{spark.sparkContext.applicationId}"
 
-    Without ``weight`` a unit is a row and the check is a
-    ``limit(max_units + 1).count()`` (stops early); with ``weight`` (a column
-    expression, e.g. the length of an array column) the units are summed.
-    Beyond the bound the frame is returned unchanged and the join shuffles.
-    """
-    if weight is None:
-        n = df.limit(max_units + 1).count()
-    else:
-        n = df.select(F.sum(weight)).first()[0] or 0
-    return F.broadcast(df) if n <= max_units else df
+
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Delete the application's stage tables, through Spark's file systems."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -130,6 +130,12 @@ def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("date"))
 
 
+def usable_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship dates of the points that do not sit at (0, 0), one column ``date``."""
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 50 != 0)
+    return li.select(F.to_date("l_shipdate").alias("date"))
+
+
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily city weather (``date, tavg, tmin, tmax, prcp, snow, wspd`` as DOUBLE)
     by a fixed day-of-year rule over the data's calendar."""

@@ -3,49 +3,18 @@ pushdown are left to Catalyst: callers select what they use."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Tables that are small by nature (dimensions); never re-split.
-_DIMENSIONS = {"region", "nation"}
-
 
 def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table.
-
-    A file written as a single row group scans as a single task; when the scan
-    yields fewer splits than the session's parallelism the rows are spread
-    round-robin so downstream work uses every core.  Large inputs (many files /
-    row groups) already scan with at least that many splits and are left as is.
-    Filters and column pruning still reach the scan through the repartition.
-    """
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if name in _DIMENSIONS or _size(path) < SPREAD_MIN_BYTES:
-        return df
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
-
-
-# below this size one task finishes faster than a shuffle round trip
-SPREAD_MIN_BYTES = 2 << 20
-
-
-def _size(path: str) -> int:
-    try:
-        if os.path.isdir(path):
-            return sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
-        return os.path.getsize(path)
-    except OSError:  # remote file systems: let the scan decide
-        return SPREAD_MIN_BYTES
+    """Scan one table. How many tasks scan it is the session's business
+    (``spark.sql.files.maxPartitionBytes`` and the file's row groups)."""
+    return spark.read.parquet(table_path(sf_dir, name))
