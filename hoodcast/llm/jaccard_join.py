@@ -2,18 +2,22 @@
 n-gram sets have a Jaccard similarity of at least ``percent`` %, as components.
 
 * Copies: documents with equal sets form a class; one row stands for it.
-* Order: a count-min sketch of fixed size, merged over all tasks, ranks n-grams from
-  rare to frequent. It only orders; any order gives the same links.
-* Index: the first ``|x| - ceil(t |x|) + 1`` n-grams of each set, with position and set
-  size. Two sets that link share one of these.
-* Answers by relation: a set is compared with the one leader it shares most index
-  lists with. The distance to the leader is kept: as 1 - Jaccard is a metric, a set's
-  answers are among those of its leader's whose distances differ by 1 - t at most.
-* Block skip: lists whose sets are all in one component already are done. The others are
-  cut into blocks by set size; within and between blocks a stretch of sizes, the
-  positions, the leader distances and at last a parity bitmap (an upper bound of the
-  intersection) rule out pairs before any set is read. Lists longer than a block
-  are dealt to several tasks by pairs of blocks.
+* Order: a sparse count-min sketch (``sketches``), whose size follows the data, tells each
+  chunk of documents which n-grams may occur twice or more and how often; n-grams are ordered
+  from rare to frequent by that. It only orders; any order gives the same links.
+* Index: the first ``|x| - ceil(t |x|) + SHARED`` n-grams of each set, with position and set
+  size. Those that occur once need no entry. Two sets that link share ``SHARED`` entries (small
+  sets: as many as they must have in common), so a set found in fewer lists is done.
+* Answers by relation: a set is compared with the one leader it shares most index lists
+  with. The distance is kept: as 1 - Jaccard is a metric, a set's answers are among those
+  of its leader's answers whose distances differ from its own by 1 - t at most.
+* Block skip: the entries of a list that have one leader and one class of sizes form a
+  block, known by its ranges of size, position and component. Two blocks whose ranges
+  rule out a link, or that lie in one component, are skipped whole. What remains are pairs
+  of groups (leader, size class) that meet in enough lists, each looked at once;
+  within them the leader distances and then parity bitmaps, an upper bound of the
+  intersection, rule out pairs before any set is read. Groups longer than ``block``
+  are dealt to several tasks by pairs of parts.
 * What is left is compared exactly, and the components are joined.
 
 Two links between the same components add nothing, so pairs within one are skipped;
@@ -36,20 +40,21 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoodcast.llm import bitfilter
 from hoodcast.llm.components import connected_components, staged
 from hoodcast.llm.registry import query, table
-from hoodcast.llm.text import Slice, lower_ascii, mix, slices, window_hashes, window_starts, word_hashes, words
+from hoodcast.llm.sketches import LAST, Told, merged, open_chunk, widths, write_chunks
+from hoodcast.llm.text import Slice, lower_ascii, slices, window_hashes, window_starts, word_hashes, words
 from hoodcast.session import ensure_checkpoint_dir
 
-#: log2 of the cells of the order sketch and of the bits of the id filter: sizes fixed, not growing with the data.
-ORDER_BITS, FILTER_BITS = 20, 26
-#: Sets of one index list compared by one task at most.
-BLOCK = 8192
-_PART = 1 << 12
+#: log2 of the bits of the id filter, which only saves reading: its size is fixed.
+FILTER_BITS = 26
+#: Sets of one group compared by one task at most; index entries that two linked sets share at least.
+BLOCK, SHARED = 8192, 8
 
 
 def shingles(s: Slice, n: int) -> list[np.ndarray]:
@@ -65,96 +70,68 @@ def shingles(s: Slice, n: int) -> list[np.ndarray]:
     return out
 
 
-def _describe(n: int):
-    """Per document its set's size and digest; at a task's end its part of the order sketch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << ORDER_BITS, np.int64)
-        names = ["id", "n", "digest", "part", "counts"]
-        for b in batches:
-            size, digest = np.zeros(b.num_rows, np.int64), [None] * b.num_rows
-            for s in slices(b.column("text")):
-                sets = shingles(s, n)
-                for i, x in enumerate(sets):
-                    if len(x):
-                        size[s.lo + i] = len(x)
-                        digest[s.lo + i] = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
-                every = np.concatenate(sets)
-                cells += np.bincount((every >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(cells))
-            none = pa.nulls(b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(size), pa.array(digest, pa.binary()),
-                                              none.cast(pa.int32()), none.cast(pa.binary())], names)
-        some = [k for k in range(len(cells) // _PART) if cells[k * _PART:(k + 1) * _PART].any()]
-        none = pa.nulls(len(some))
-        yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(some, pa.int32()),
-             pa.array([np.minimum(cells[k * _PART:(k + 1) * _PART], 0xFFFFFFFF).astype("<u4").tobytes()
-                       for k in some], pa.binary())], names)
-    return run
-
-
-def _add_up(group: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(_PART, np.int64)
-    for x in group["counts"]:
-        total += np.frombuffer(x, "<u4")
-    return pd.DataFrame({"part": [group["part"].iloc[0]],
-                         "counts": [np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()]})
+def _digest(x: np.ndarray) -> bytes:
+    return hashlib.blake2b(x.tobytes(), digest_size=16).digest()
 
 
-def _ranks(parts: DataFrame) -> np.ndarray:
-    """Rank 0 to 31 of each cell: how many binary orders its count is above twice the usual."""
-    first = parts.withColumn("salt", F.xxhash64("counts") % 64).groupBy("part", "salt") \
-        .applyInPandas(_add_up, "part int, counts binary")
-    cells = np.zeros(1 << ORDER_BITS, np.int64)
-    for r in first.groupBy("part").applyInPandas(_add_up, "part int, counts binary").toLocalIterator():
-        cells[r.part * _PART:(r.part + 1) * _PART] = np.frombuffer(r.counts, "<u4")
-    above = np.maximum(cells - 2 * int(np.median(cells)), 0)
-    return np.ceil(np.log2(above + 1)).astype(np.uint8)
-
-
-def _ordered(x: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The set in the global order, as integers that sort and compare like its n-grams."""
-    rank = ranks[(x >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64)
-    return np.sort(rank << np.uint64(58) | (mix(x.copy()) >> np.uint64(6)))
-
-
-def _prefix(n: int, percent: int, ranks):
-    """Index entries (key, id, n, at); of copies met in one task the first is enough."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for b in batches:
-            ids = b.column("id")
-            for s in slices(b.column("text")):
-                rows, keys, sizes, ats = [], [], [], []
-                for i, x in enumerate(shingles(s, n)):
-                    digest = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
-                    if not len(x) or digest in seen:
-                        continue
-                    seen.add(digest)
-                    p = len(x) - -(-percent * len(x) // 100) + 1
-                    keys.append(_ordered(x, ranks.value)[:p])
-                    sizes.append(np.full(p, len(x), np.int32))
-                    ats.append(np.arange(p, dtype=np.int32))
-                    rows.append(np.full(p, s.lo + i))
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), ids.take(pa.array(np.concatenate(rows))),
-                         pa.array(np.concatenate(sizes)), pa.array(np.concatenate(ats))], ["key", "id", "n", "at"])
+def _describe(n: int):
+    """A slice's items (n-grams of its sets), set sizes and digests."""
+    def count(s: Slice) -> tuple[int, dict]:
+        sets = shingles(s, n)
+        sizes = [len(x) for x in sets]
+        return sum(sizes), {"sizes": sizes, "digests": [_digest(x) if len(x) else None for x in sets]}
+    return count
+
+
+def _items(n: int):
+    def items(s: Slice) -> np.ndarray:
+        sets = shingles(s, n)
+        return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    return items
+
+
+def _least(size: int, percent: int) -> int:
+    """Common items that a set of this size needs for a link."""
+    return -(-percent * size // 100)
+
+
+def _prefix(n: int, percent: int, bits: int, block_bits: int):
+    """A chunk's index entries (key, id, n, at): the n-grams of each set's prefix that may occur
+    elsewhere. Of copies within the chunk the first is enough."""
+    def run(chunk: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[np.ndarray, ...]] = []
+        if len(chunk) and len(told):
+            row, known, seen = chunk.iloc[0], Told(told, bits, block_bits), set()
+            for key, x in zip(row["ids"], shingles(open_chunk(row["lengths"], row["texts"]), n)):
+                digest = _digest(x)
+                if not len(x) or key == LAST or digest in seen:
+                    continue
+                seen.add(digest)
+                least = _least(len(x), percent)
+                rank = known.rank(x)
+                order = np.lexsort((x, rank))[:len(x) - least + min(SHARED, least)]
+                at = np.flatnonzero(rank[order])
+                if len(at):
+                    out.append((x[order[at]].view(np.int64), np.full(len(at), key), np.full(len(at), len(x)), at))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
+        return pd.DataFrame(dict(zip(("key", "id", "n", "at"), columns)))
     return run
 
 
-def _sets(n: int, ranks, members):
-    """(rep, n, items, bitmap) of the documents whose bit is set: a few too many, none too few."""
+def _sets(n: int, members):
+    """(rep, text, bits) of the documents that pass the filter: text compressed, parity bitmap of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for b in batches:
             mine = np.flatnonzero(bitfilter.passes(members.value, b.column("id").fill_null(-1).to_numpy()))
             if not len(mine):
                 continue
             b = b.take(pa.array(mine))
             for s in slices(b.column("text")):
-                sets = [_ordered(x, ranks.value) for x in shingles(s, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").slice(s.lo, s.hi - s.lo), pa.array([x.tobytes() for x in sets], pa.binary()),
-                     pa.array([bitmap(x) for x in sets], pa.binary())], ["rep", "items", "bits"])
+                    [b.column("id").slice(s.lo, s.hi - s.lo),
+                     pa.array([squeeze.compress(s.text(i)) for i in range(s.hi - s.lo)], pa.binary()),
+                     pa.array([bitmap(x) for x in shingles(s, n)], pa.binary())], ["rep", "text", "bits"])
     return run
 
 
@@ -165,34 +142,58 @@ def bitmap(x: np.ndarray) -> bytes:
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        both, sizes = [], []
-        for x, y in zip(b.column("a_items").to_pylist(), b.column("b_items").to_pylist()):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both.append(len(np.intersect1d(p, q, assume_unique=True)))
-            sizes.append(len(p) + len(q))
-        common = np.array(both, np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(common),
-                                          pa.array(np.array(sizes, np.int64) - common)], ["a", "b", "common", "union"])
+def _compare(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                texts = [open_.decompress(x) for x in b.column("a_text").to_pylist() + b.column("b_text").to_pylist()]
+                sets = [x for s in slices(pa.array(texts, pa.binary())) for x in shingles(s, n)]
+                m = b.num_rows
+                common = [len(np.intersect1d(sets[i], sets[m + i], assume_unique=True)) for i in range(m)]
+                union = [len(sets[i]) + len(sets[m + i]) - common[i] for i in range(m)]
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(common, pa.int64()),
+                                                  pa.array(union, pa.int64())], ["a", "b", "common", "union"])
+    return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
     """(a, b, common, union) of each pair, exactly."""
-    one = sets.select(F.col("rep").alias("a"), F.col("items").alias("a_items"))
-    two = sets.select(F.col("rep").alias("b"), F.col("items").alias("b_items"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "a_items", "b_items") \
-        .mapInArrow(_compare, "a long, b long, common long, union long")
+    one = sets.select(F.col("rep").alias("a"), F.col("text").alias("a_text"))
+    two = sets.select(F.col("rep").alias("b"), F.col("text").alias("b_text"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "a_text", "b_text") \
+        .mapInArrow(_compare(n), "a long, b long, common long, union long")
+
+
+_JOB = ["x_leader", "x_class", "y_leader", "y_class", "p", "q"]
+
+
+def _bundle(percent: int):
+    one = _block_pairs(percent)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        g = rows.sort_values([*_JOB, "n", "rep"], kind="stable")
+        jobs = g[_JOB].to_numpy()
+        edges = np.flatnonzero((jobs[1:] != jobs[:-1]).any(1)) + 1
+        columns = {c: g[c].to_numpy() for c in ("rep", "component", "n", "d", "leader", "side", "bits")}
+        found = [one({c: v[lo:hi] for c, v in columns.items()})
+                 for lo, hi in zip([0, *edges], [*edges, len(g)]) if hi - lo > 1]
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    return run
 
 
 def _block_pairs(percent: int):
-    """Pairs of one index list (or of two of its blocks) that may link across components."""
+    """Pairs of one group, or of two groups or parts (``side``), that may link across components;
+    the rows come sorted by size."""
     t = Fraction(percent, 100)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.sort_values(["n", "rep"], kind="stable")
-        rep, comp, n, at, d = (g[c].to_numpy() for c in ("rep", "component", "n", "at", "d"))
-        side, blobs, out = g["side"].to_numpy(), g["bits"].to_numpy(), []
+    def run(g: dict[str, np.ndarray]) -> np.ndarray:
+        rep, comp, n, d, leader = (g[c] for c in ("rep", "component", "n", "d", "leader"))
+        side, blobs, out = g["side"], g["bits"], []
+        if (comp == comp[0]).all():
+            return np.zeros((0, 2), np.int64)
         crossed = len(set(side.tolist())) > 1
         hi = np.searchsorted(n, n * 100 // percent, "right")
         length = np.array([len(x) for x in blobs])
@@ -215,9 +216,7 @@ def _block_pairs(percent: int):
                 ok = (j > i) & (j < hi[i]) & (comp[i] != comp[j])
                 if crossed:
                     ok &= side[i] != side[j]
-                # at most as many common items before this one, and after it, as the shorter part holds
-                ok &= np.minimum(at[i], at[j]) + np.minimum(n[i] - at[i], n[j] - at[j]) >= need
-                ok &= ~(np.abs(d[i] - d[j]) > float(1 - t) + 1e-9)  # unknown distances rule out nothing
+                ok &= (leader[i] != leader[j]) | (np.abs(d[i] - d[j]) <= float(1 - t) + 1e-9)
                 p, q = np.nonzero(ok)
                 if not len(p):
                     continue
@@ -226,8 +225,7 @@ def _block_pairs(percent: int):
                 may = (n[p] + n[q] - differ) // 2 >= need[p - lo, q - lo - 1]
                 out.append(np.stack([np.minimum(rep[p[may]], rep[q[may]]), np.maximum(rep[p[may]], rep[q[may]])], 1))
             start = stop
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
     return run
 
 
@@ -239,6 +237,31 @@ def fold(blob: bytes, size: int) -> np.ndarray:
     return x
 
 
+def _candidates(met: DataFrame, group: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs (a, b) that the bitmaps leave, of each pair of groups met; a group's rows go once to
+    each pair of parts they belong to."""
+    sizes = group.groupBy("leader", "class").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    s = {k: sizes.select(F.col("leader").alias(f"{k}_leader"), F.col("class").alias(f"{k}_class"),
+                         F.col("parts").alias(f"{k}_parts")) for k in "xy"}
+    jobs = met.join(s["x"], ["x_leader", "x_class"]).join(s["y"], ["y_leader", "y_class"])
+    alone = F.expr("x_leader = y_leader AND x_class = y_class")
+    key = ["x_leader", "x_class", "y_leader", "y_class"]
+    mine = jobs.select(*key, "x_parts", "y_parts", alone.alias("alone"), F.explode(F.expr(
+        "CASE WHEN x_leader = y_leader AND x_class = y_class THEN array(0) ELSE array(0, 1) END")).alias("side"))
+    mine = mine.withColumn("leader", F.expr("IF(side = 0, x_leader, y_leader)")) \
+        .withColumn("class", F.expr("IF(side = 0, x_class, y_class)"))
+    r = mine.join(group, ["leader", "class"]) \
+        .withColumn("part", F.expr("pmod(xxhash64(rep), IF(side = 0, x_parts, y_parts))").cast("int")) \
+        .withColumn("other", F.explode(F.expr("sequence(0, IF(side = 0, y_parts, x_parts) - 1)")))
+    r = r.withColumn("p", F.expr("IF(alone, least(part, other), IF(side = 0, part, other))")) \
+        .withColumn("q", F.expr("IF(alone, greatest(part, other), IF(side = 0, other, part))")) \
+        .withColumn("side", F.expr("IF(alone, part, side)"))
+    # many pairs of groups are tiny: some go to one call together
+    bundles = 16 * int(group.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = r.select(F.pmod(F.xxhash64(*key, "p", "q"), F.lit(bundles)).alias("bundle"), *key, "p", "q", "side", "rep", "component", "n", "d", "leader", "bits")
+    return r.groupBy("bundle").applyInPandas(_bundle(percent), "a long, b long").distinct()
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
          block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
@@ -247,56 +270,70 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     at = lambda name: os.path.join(path, name)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
 
-    facts = staged(rows.mapInArrow(_describe(n), "id long, n long, digest binary, part int, counts binary"), at("facts"))
-    every = facts.where("part is null").select("id", "n", "digest")
+    chunks = write_chunks(rows, at("chunks"), _describe(n), ", sizes array<long>, digests array<binary>", "id", "text")
+    every = chunks.select(F.explode(F.arrays_zip("ids", "sizes", "digests")).alias("x")).select(
+        F.when(F.col("x.ids") < LAST, F.col("x.ids")).alias("id"), F.col("x.sizes").alias("n"),
+        F.col("x.digests").alias("digest"))
     classes = staged(every.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), at("classes"))
-    ranks = spark.sparkContext.broadcast(_ranks(facts.where("part is not null").select("part", "counts")))
 
     # index lists with two sets or more; an entry's document becomes its class
-    entries = rows.mapInArrow(_prefix(n, percent, ranks), "key long, id long, n int, at int").where("id is not null")
-    shared = staged(entries.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"))
-                    .where("x <> y").select("key"), at("keys"))
-    near = staged(entries.join(shared, "key"), at("entries"))
+    bits, block_bits = widths(chunks)
+    told = merged(chunks, _items(n), bits, block_bits)
+    entries = chunks.select("chunk", "ids", "lengths", "texts").groupBy("chunk").cogroup(told.groupBy("chunk")) \
+        .applyInPandas(_prefix(n, percent, bits, block_bits), "key long, id long, n long, at long")
+    near = staged(entries, at("entries"))
     ids = every.where("digest is not null and id is not null").select("id", "digest").distinct() \
         .join(near.select("id").distinct(), "id")
     rep_of = staged(ids.join(classes, "digest").select("id", "rep"), at("reps"))
     lists = staged(near.join(rep_of, "id").groupBy("key", "rep").agg(F.max("n").alias("n"), F.min("at").alias("at")),
                    at("lists"))
+    # a set that may link is in this many lists with others; the smallest partner's need counts
+    need = F.least(F.lit(SHARED), F.expr(f"ceil({percent} * ceil({percent} * max(n) / 100) / 100)"))
+    for k in range(2):
+        full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"))
+        lists = lists.join(full, "key")
+        busy = staged(lists.groupBy("rep").agg(F.count("*").alias("found"), need.alias("need"))
+                      .where("found >= need").select("rep"), at(f"busy{k}"))
+        lists = staged(lists.join(busy, "rep"), at(f"lists{k}"))
 
     # every set against the one leader with which it shares most lists
-    leaders = staged(lists.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("size"))
-                     .where("size > 1"), at("leaders"))
-    led = lists.join(leaders, "key").where("rep <> leader").groupBy("rep", "leader").count() \
-        .groupBy("rep").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader"))
-    pairs = staged(led.select(F.col("rep").alias("a"), F.col("leader").alias("b")), at("pairs1"))
-    found = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    wanted = lists.join(leaders.select("key"), "key").select("rep").union(found).distinct()
-    members = spark.sparkContext.broadcast(bitfilter.build(wanted, "rep", FILTER_BITS))
-    sets = staged(rows.mapInArrow(_sets(n, ranks, members), "rep long, items binary, bits binary")
-                  .where("rep is not null"), at("sets"))
-    first = staged(verify(pairs, sets), at("verified1"))
+    heads = staged(lists.groupBy("key").agg(F.min("rep").alias("leader")), at("heads"))
+    led = lists.join(heads, "key").groupBy("rep", "leader").agg(F.count("*").alias("count"), F.max("n").alias("n"))
+    led = led.groupBy("rep").agg(
+        F.coalesce(F.max_by("leader", F.when(F.col("rep") != F.col("leader"), F.struct("count", -F.col("leader")))),
+                   F.first("rep")).alias("leader"), F.max("n").alias("n"))
+    led = staged(led, at("led"))
+    pairs = led.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b"))
+    members = spark.sparkContext.broadcast(bitfilter.build(led, "rep", FILTER_BITS))
+    sets = staged(rows.mapInArrow(_sets(n, members), "rep long, text binary, bits binary").where("rep is not null")
+                  .join(led.select("rep"), "rep").dropDuplicates(["rep"]), at("sets"))
+    first = staged(verify(pairs, sets, n), at("verified1"))
     linked = F.expr(f"100 * common >= {percent} * union")
-    label1 = staged(connected_components(first.where(linked), at("components1")), at("labels1"))
-
-    # lists that still hold two components
-    label = label1.withColumnRenamed("node", "rep")
-    open_ = staged(lists.join(leaders, "key").join(label, "rep", "left")
-                   .withColumn("component", F.coalesce("component", "rep")), at("open"))
-    mixed = staged(open_.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                   .where("x <> y").select("key"), at("mixed"))
-    known = first.select(F.col("a").alias("rep"), F.col("b").alias("leader"),
-                         (1 - F.col("common") / F.col("union")).alias("d"))
-    todo = open_.join(mixed, "key").join(known, ["rep", "leader"], "left") \
-        .withColumn("d", F.when(F.col("rep") == F.col("leader"), 0.0).otherwise(F.coalesce("d", F.lit(float("nan")))))
-    todo = todo.join(sets.select("rep", "bits").dropDuplicates(["rep"]), "rep")
-    cut = F.ceil(F.col("size") / block).cast("int")
-    todo = todo.withColumn("side", F.pmod(F.xxhash64("rep"), cut).cast("int"))
-    todo = todo.withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)))
-    todo = todo.select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
-                       "side", "rep", "component", "n", "at", "d", "bits")
-    second = todo.groupBy("key", "p", "q").applyInPandas(_block_pairs(percent), "a long, b long").distinct()
-    second = staged(second, at("pairs2"))
-    more = staged(verify(second, sets), at("verified2"))
+    label = staged(connected_components(first.where(linked), at("components1")), at("labels1"))
+
+    # sets by group: leader, distance to it, size class, component so far
+    known = first.select(F.col("a").alias("rep"), (1 - F.col("common") / F.col("union")).alias("d"))
+    group = led.join(known, "rep", "left").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "n", "leader", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("component", "rep").alias("component"),
+        F.floor(F.log("n") / -np.log(percent / 100)).cast("int").alias("class"))
+    group = staged(group, at("groups"))
+    blocks = lists.drop("n").join(group, "rep").groupBy("key", "leader", "class").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("n", "at", "component")])
+    blocks = staged(blocks, at("blocks"))
+    x = blocks.select("key", *[F.col(c).alias(f"x_{c}") for c in blocks.columns if c != "key"])
+    y = blocks.select("key", *[F.col(c).alias(f"y_{c}") for c in blocks.columns if c != "key"])
+    met = x.join(y, "key").where(f"""
+        struct(x_leader, x_class) <= struct(y_leader, y_class)
+        AND NOT (x_min_component = x_max_component AND y_min_component = y_max_component
+                 AND x_min_component = y_min_component)
+        AND {percent} * x_min_n <= 100 * y_max_n AND {percent} * y_min_n <= 100 * x_max_n
+        AND least(x_max_at, y_max_at) + least(x_max_n - x_min_at, y_max_n - y_min_at)
+            >= {percent} * (x_min_n + y_min_n) / (100.0 + {percent})""")
+    least = F.expr(f"least({SHARED}, ceil({percent} * min(least(x_min_n, y_min_n)) / 100))")
+    met = met.groupBy("x_leader", "x_class", "y_leader", "y_class").agg(F.count("*").alias("lists"), least.alias("least"))
+    met = staged(met.where("lists >= least").drop("lists", "least"), at("met"))
+    second = _candidates(met, staged(group.join(sets.select("rep", "bits"), "rep"), at("bitmaps")), percent, block)
+    more = staged(verify(staged(second, at("pairs2")), sets, n), at("verified2"))
     links = first.where(linked).select("a", "b").union(more.where(linked).select("a", "b"))
     labels = connected_components(links, at("components2"))
     named = staged(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
