@@ -13,7 +13,7 @@ at least half as many marks as documents (exact copies counted once). One functi
 would not do: its smallest word may belong to the recurring line itself.
 
 Everything is grouped minima and counts over hashes; texts are read three times and
-move once, for those documents that lose a line. A leaf or a template is never gathered.
+move once, to meet the lines they lose. A leaf or a template is never gathered.
 
 Edge cases: null texts stay null, empty ones empty; lines of fewer than ``min_tokens``
 tokens stay; a line that repeats within one document counts once; the judgement depends
@@ -31,22 +31,24 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoodcast.llm import bitfilter
 from hoodcast.llm.components import staged
 from hoodcast.llm.registry import query, table
-from hoodcast.llm.text import slices, word_hashes, words
+from hoodcast.llm.text import mix, slices, word_hashes, words
 from hoodcast.session import ensure_checkpoint_dir
 
 DEPTH, MIN_TOKENS, MIN_DOCUMENTS, MIN_CONSTANT = 3, 3, 8, 0.6
 FILTER_BITS = 26
-#: Hash functions for family marks.
-MARKS = 3
+#: Hash functions for family marks; places of a line that are looked up together.
+MARKS, CHUNK = 3, 16
 #: Bytes from which on a word counts as long.
 LONG = 7
 
+_DIGIT = re.compile(rb"[0-9]")
 _FIELD = re.compile(rb"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*")
 
 
@@ -56,7 +58,7 @@ def _hash(x: bytes) -> int:
 
 def canonical(text: bytes) -> list[list[bytes]]:
     """Tokens of every \\n-split line, words with a digit as ``<*>``."""
-    return [line.split() for line in _FIELD.sub(b"<*>", text).split(b"\n")]
+    return [(_FIELD.sub(b"<*>", line) if _DIGIT.search(line) else line).split() for line in text.split(b"\n")]
 
 
 def line_key(tokens: list[bytes]) -> int:
@@ -71,25 +73,24 @@ def _family(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Per text and hash function the smallest hash of its long words (of all words, without long ones)."""
     w = words(data, offsets)
     out = np.zeros((len(offsets) - 1, MARKS), np.uint64)
-    some = np.flatnonzero(w.counts)
+    h, some = word_hashes(data, w), np.flatnonzero(w.counts)
     if len(some):
         short = (w.ends - w.starts < LONG).astype(np.uint64) << np.uint64(63)
         for k in range(MARKS):
-            out[some, k] = np.minimum.reduceat(short | word_hashes(data, w, k) >> np.uint64(1), w.first[some])
+            out[some, k] = np.minimum.reduceat(short | mix(h + np.uint64(k)) >> np.uint64(1), w.first[some])
     return out.view(np.int64)
 
 
 def _occurrences(depth: int, min_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            digests = b.column("digest").to_numpy()
             for s in slices(b.column("text")):
                 family = _family(s.data, s.offsets)
                 rows: list[tuple[int, int, int, int]] = []
                 for i in range(s.hi - s.lo):
-                    text = s.text(i)
-                    digest = _hash(text)
-                    found = {line_key(t): t for t in canonical(text) if len(t) >= min_tokens}
-                    rows += [(digest, k, leaf_key(t, depth), i) for k, t in found.items()]
+                    found = {line_key(t): t for t in canonical(s.text(i)) if len(t) >= min_tokens}
+                    rows += [(digests[s.lo + i], k, leaf_key(t, depth), i) for k, t in found.items()]
                 if rows:
                     digest, line, leaf, i = (np.array(c, np.int64) for c in zip(*rows))
                     marks = pa.FixedSizeListArray.from_arrays(pa.array(family[i].ravel()), MARKS)
@@ -100,7 +101,8 @@ def _occurrences(depth: int, min_tokens: int):
 
 
 def _tokens(depth: int, min_tokens: int, leaves):
-    """(leaf, line, tokens) of the lines whose leaf passes the filter, once a task."""
+    """(leaf, line, size, chunk, fields) of the lines whose leaf passes the filter, once a task.
+    Tokens after the leading ones, hashed with their place, go in chunks of CHUNK places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
@@ -109,21 +111,41 @@ def _tokens(depth: int, min_tokens: int, leaves):
                 leaf = np.array([leaf_key(t, depth) for t in lines], np.int64)
                 rows = []
                 for k in np.flatnonzero(bitfilter.passes(leaves.value, leaf)):
-                    key = line_key(lines[k])
+                    key, t = line_key(lines[k]), lines[k]
                     if key not in seen:
                         seen.add(key)
-                        rows.append((int(leaf[k]), key, [_hash(t) for t in lines[k]]))
+                        rows += [(int(leaf[k]), key, len(t), c, [
+                            _hash(b"%d %s" % (i, t[i])) for i in range(max(c * CHUNK, depth), min((c + 1) * CHUNK, len(t)))])
+                            for c in range(-(-len(t) // CHUNK))]
                 if rows:
-                    leaf_, key_, tokens = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf_, pa.int64()), pa.array(key_, pa.int64()),
-                                                      pa.array(tokens, pa.list_(pa.int64()))], ["leaf", "line", "tokens"])
+                    columns = list(zip(*rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.list_(pa.int64()))],
+                        ["leaf", "line", "size", "chunk", "fields"])
     return run
 
 
+def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Families per field, added up within the task."""
+    def rows(found: dict) -> pa.RecordBatch:
+        keys = list(zip(*found)) if found else [(), (), ()]
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in keys],
+                                           pa.array(list(found.values()), pa.int64())], ["leaf", "chunk", "field", "n"])
+    found: dict[tuple[int, int, int], int] = {}
+    for b in batches:
+        for leaf, chunk, n, fields in zip(*(b.column(c).to_pylist() for c in ("leaf", "chunk", "families", "fields"))):
+            for f in fields:
+                found[leaf, chunk, f] = found.get((leaf, chunk, f), 0) + n
+        if len(found) > 1 << 19:
+            yield rows(found)
+            found.clear()
+    yield rows(found)
+
+
 def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
                     min_documents: int = MIN_DOCUMENTS, min_constant: float = MIN_CONSTANT) -> tuple[DataFrame, DataFrame]:
     """(occurrences: digest, line, leaf, marks; recurring: line, template, n_documents) of a
-    frame with a binary column ``text``."""
+    frame with a binary column ``text`` and a long ``digest`` of it."""
     at = lambda name: os.path.join(path, name)
     texts = texts.where("text is not null")
     seen = staged(texts.mapInArrow(_occurrences(depth, min_tokens),
@@ -136,20 +158,25 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
     leaves = staged(by_family.select("leaf", "k", "family").distinct().groupBy("leaf", "k").count()
                     .where(F.col("count") >= min_documents).select("leaf").distinct(), at("leaves"))
     keep = texts.sparkSession.sparkContext.broadcast(bitfilter.build(leaves, "leaf", FILTER_BITS))
-    lines = texts.mapInArrow(_tokens(depth, min_tokens, keep), "leaf long, line long, tokens array<long>") \
-        .dropDuplicates(["line"]).join(leaves, "leaf")
+    lines = texts.select("text").mapInArrow(_tokens(depth, min_tokens, keep),
+                             "leaf long, line long, size long, chunk long, fields array<long>") \
+        .dropDuplicates(["line", "chunk"]).join(leaves, "leaf")
     weight = by_family.groupBy("line", "k").agg(F.count("*").alias("n")).groupBy("line").agg(F.max("n").alias("families"))
-    places = staged(lines.join(weight, "line")
-                    .select("leaf", "line", "families", F.posexplode("tokens").alias("place", "token")), at("places"))
-    constant = staged(places.groupBy("leaf", "place", "token").agg(F.sum("families").alias("n"))
-                      .where(F.col("n") >= min_documents).drop("n"), at("constants"))
-    masked = places.join(constant.withColumn("fixed", F.lit(1)), ["leaf", "place", "token"], "left")
-    # an order-free hash of the constant (place, token) pairs stands for the template
-    template = masked.groupBy("line", "leaf").agg(
-        F.expr("bit_xor(CASE WHEN fixed = 1 THEN xxhash64(place, token) ELSE 0L END)").alias("template"),
-        F.avg(F.coalesce("fixed", F.lit(0))).alias("constant"))
-    template = staged(template.where(F.col("constant") >= min_constant)
-                      .select("line", F.xxhash64("leaf", "template").alias("template")), at("templates"))
+    lines = staged(lines.join(weight, "line"), at("lines"))
+    constant = lines.select("leaf", "chunk", "families", "fields") \
+        .mapInArrow(_support, "leaf long, chunk long, field long, n long") \
+        .groupBy("leaf", "chunk", "field").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents) \
+        .groupBy("leaf", "chunk").agg(F.collect_list("field").alias("constants"))
+    constant = staged(constant, at("constants"))
+    fixed = lines.join(constant, ["leaf", "chunk"], "left").select(
+        "line", "leaf", "size", F.coalesce(F.array_intersect("fields", "constants"), F.array().cast("array<long>"))
+        .alias("fixed"))
+    # an order-free hash of the constant fields, which carry their places, stands for the template
+    template = fixed.groupBy("line", "leaf", "size").agg(
+        F.bit_xor(F.aggregate("fixed", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.xxhash64(x)))).alias("template"),
+        F.sum(F.size("fixed")).alias("n"))
+    template = template.where(F.least("size", F.lit(depth)) + F.col("n") >= min_constant * F.col("size"))
+    template = staged(template.select("line", F.xxhash64("leaf", "template").alias("template")), at("templates"))
     counted = by_family.join(template, "line").groupBy("template", "k", "family") \
         .agg(F.sum("documents").alias("documents")) \
         .groupBy("template", "k").agg(F.count("*").alias("families"), F.sum("documents").alias("n_documents")) \
@@ -158,28 +185,29 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
     return seen, staged(template.join(counted, "template").select("line", "template", "n_documents"), at("recurring"))
 
 
-def _rewrite(min_tokens: int):
+def _rewrite(min_tokens: int, text_col: str):
+    """Rows with their text without the lines in ``drop``; others as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept, n_lines, n_dropped, left = [], [], [], []
-            for text, drop in zip(b.column("__text").to_pylist(), b.column("__drop").to_pylist()):
-                raw = (text or b"").split(b"\n")
-                out, worded = raw, 0
-                if drop:
-                    gone = set(drop)
-                    tokens = canonical(text)
-                    stay = [not (len(t) >= min_tokens and line_key(t) in gone) for t in tokens]
-                    out = [x for x, ok in zip(raw, stay) if ok]
-                    worded = sum(ok and bool(t) for t, ok in zip(tokens, stay))
-                kept.append(None if text is None else b"\n".join(out).decode("utf-8", "replace"))
-                n_lines.append(len(raw) if text else 0)
-                n_dropped.append(len(raw) - len(out))
-                left.append(not drop or worded > 0)
-            rest = [b.column(c) for c in b.schema.names[2:]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()),
-                 pa.array(left, pa.bool_()), *rest],
-                ["__kept", "__n_lines", "__n_dropped", "__left", *b.schema.names[2:]])
+            texts = b.column("row").field(text_col).cast(pa.string())
+            n_lines = pc.add(pc.cast(pc.count_substring(texts, "\n"), pa.int64()), 1)
+            n_lines = pc.if_else(pc.equal(pc.binary_length(texts), 0), 0, n_lines).fill_null(0).to_numpy().copy()
+            kept, n_dropped, left = {}, np.zeros(b.num_rows, np.int64), np.ones(b.num_rows, bool)
+            for i, drop in enumerate(b.column("drop").to_pylist()):
+                if not drop:
+                    continue
+                text, gone = texts[i].as_py().encode(), set(drop)
+                tokens = canonical(text)
+                stay = [not (len(t) >= min_tokens and line_key(t) in gone) for t in tokens]
+                kept[i] = b"\n".join([x for x, ok in zip(text.split(b"\n"), stay) if ok]).decode("utf-8", "replace")
+                n_dropped[i] = len(stay) - sum(stay)
+                left[i] = any(ok and t for t, ok in zip(tokens, stay))
+            if kept:
+                changed = np.zeros(b.num_rows, bool)
+                changed[list(kept)] = True
+                texts = pc.replace_with_mask(texts, pa.array(changed), pa.array(list(kept.values()), pa.string()))
+            yield pa.RecordBatch.from_arrays([b.column("row"), texts, pa.array(n_lines), pa.array(n_dropped),
+                                              pa.array(left)], ["row", "kept", "n_lines", "n_dropped", "left"])
     return run
 
 
@@ -189,24 +217,16 @@ def drop_recurring(docs: DataFrame, text_col: str = "text", min_tokens: int = MI
     text that lost some)."""
     path = os.path.join(ensure_checkpoint_dir(docs.sparkSession), "lines", uuid.uuid4().hex)
     text = F.col(text_col).cast("binary")
-    seen, recurring = recurring_lines(docs.select(text.alias("text")), path, min_tokens=min_tokens, **options)
-    marks = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), text.alias("__text"))
+    # a digest that two texts share would only join their lists of recurring lines
+    seen, recurring = recurring_lines(docs.select(text.alias("text"), F.xxhash64(text).alias("digest")), path,
+                                      min_tokens=min_tokens, **options)
     lost = staged(seen.join(recurring.select("line").distinct(), "line").groupBy("digest")
-                  .agg(F.collect_set("line").alias("__drop")), os.path.join(path, "lost"))
-    marks = marks.mapInArrow(_digests, f"__text binary, digest long, __row {marks.schema['__row'].dataType.simpleString()}")
-    joined = marks.join(lost, "digest", "left").select("__text", "__drop", "__row")
-    kind = joined.schema["__row"].dataType.simpleString()
-    out = joined.mapInArrow(_rewrite(min_tokens),
-                            f"__kept string, __n_lines long, __n_dropped long, __left boolean, __row {kind}")
-    return out.select(F.col("__row").alias("row"), F.col("__kept").alias("kept"), F.col("__n_lines").alias("n_lines"),
-                      F.col("__n_dropped").alias("n_dropped"), F.col("__left").alias("left"))
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        digest = [None if x is None else _hash(x) for x in b.column("__text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("__text"), pa.array(digest, pa.int64()), b.column("__row")],
-                                         ["__text", "digest", "__row"])
+                  .agg(F.collect_set("line").alias("drop")), os.path.join(path, "lost"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text).alias("digest"))
+    kind = rows.schema["row"].dataType.simpleString()
+    # sort-merge at every size: a broadcast would fit small inputs only
+    return rows.join(lost.hint("merge"), "digest", "left").select("row", "drop").mapInArrow(
+        _rewrite(min_tokens, text_col), f"row {kind}, kept string, n_lines long, n_dropped long, left boolean")
 
 
 @query("op7_line_dedup")
