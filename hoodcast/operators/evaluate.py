@@ -39,9 +39,11 @@ def score_histogram(df: DataFrame, score: str, label: str) -> DataFrame:
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
 
 
-def descending_prefix(hist: DataFrame, cols=("pos", "neg"), buckets: int = 64) -> DataFrame:
+def descending_prefix(hist: DataFrame, cols=("pos", "neg"), buckets: int | None = None) -> DataFrame:
     """Adds ``{c}_above`` (sum over strictly higher scores) and ``{c}_cum``
     (inclusive) for each column of a one-row-per-score histogram."""
+    # as many tasks share the ordered sum as a shuffle has partitions
+    buckets = buckets or max(2, int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     qs = [i / buckets for i in range(1, buckets)]
     bounds = hist.select(F.percentile_approx("s", qs, 10000).alias("b")).scalar()
     # bucket 0 holds the highest scores; equal scores share a bucket
@@ -62,7 +64,7 @@ def descending_prefix(hist: DataFrame, cols=("pos", "neg"), buckets: int = 64) -
     return out.drop("_bk", *[f"_o_{c}" for c in cols])
 
 
-def auc_ap(df: DataFrame, score: str, label: str, buckets: int = 64) -> DataFrame:
+def auc_ap(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
     """M1 ROC-AUC (Mann-Whitney, ties count one half) and M2 average precision
     (``sum (R_n - R_{n-1}) P_n`` over distinct scores, descending)."""
     c = descending_prefix(score_histogram(df, score, label), buckets=buckets)

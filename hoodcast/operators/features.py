@@ -145,6 +145,29 @@ def feature_table(gold: DataFrame, adj: DataFrame, settings: Settings = DEFAULTS
     return df.dropna(subset=[f"collisions_t{hmax}", "collisions_lag1", "collisions_roll7_mean"])
 
 
+def with_road_stats(gold: DataFrame, stats: DataFrame) -> DataFrame:
+    """Road statistics per area joined onto the panel, gaps filled with the column's median."""
+    cols = [c for c in stats.columns if c != "nbhd_id"]
+    medians = stats.select(F.struct(*[F.median(c).alias(c) for c in cols])).scalar()
+    out = gold.join(stats, "nbhd_id", "left")
+    return out.select(*gold.columns, *[F.coalesce(F.col(c).cast("double"), medians[c]).alias(c) for c in cols])
+
+
+#: Columns of the legacy v2 family, those with lags and those with trailing sums.
+LEGACY_V2_LAGS = ("collisions", "ksi_collisions", "ksi_weighted_score", *ROAD_COLS)
+LEGACY_V2_SUMS = ("collisions", "ksi_collisions", "ksi_weighted_score", "road_events_count", "road_construction_count",
+                  "road_events_severity_weighted", "road_construction_severity_weighted")
+
+
+def legacy_features_v2(gold: DataFrame) -> DataFrame:
+    """Nine columns with lags 1/7/14 and seven with trailing 7/14/30-day sums, per area."""
+    out = Wn.add_lag_roll(gold.select("date", "nbhd_id", *LEGACY_V2_LAGS), list(LEGACY_V2_SUMS), [], [7, 14, 30])
+    w = Wn.area_window()
+    sums = [f"{c}_roll{W}_sum" for c in LEGACY_V2_SUMS for W in (7, 14, 30)]
+    lags = [Wn.lag(c, L, w).alias(f"{c}_lag{L}") for c in LEGACY_V2_LAGS for L in (1, 7, 14)]
+    return out.select("date", "nbhd_id", *lags, *sums)
+
+
 def legacy_features_v1(gold: DataFrame) -> DataFrame:
     """Lags 1/7/14 of collisions and the KSI measures, roll 7/14 means,
     calendar parts (computed per area, i.e. without trap T1)."""

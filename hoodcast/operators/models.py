@@ -8,22 +8,28 @@
 * folds come from a hash of the row key (deterministic, no shuffle, no global
   ordering), which is stratified in expectation;
 * features are cleaned in the JVM (NaN/inf/null -> 0, B14) before assembly;
-* the no-positives guard (L7) returns a constant-0 scorer and placeholder metrics.
+* the no-positives guard (L7) returns a constant-0 scorer and placeholder metrics;
+* a fit may be bounded to ``fit_rows`` labelled rows, those with the smallest hash of their
+  key; scoring always covers every row. Independent fits run side by side (``fit_many``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import clean_feature
+from hoodcast.operators.reports import last_row_per_date
+from hoodcast.session import cut_lineage
 
 
 @dataclass
@@ -39,7 +45,7 @@ class TreeParams:
     small_below: int = 500
     seed: int = 42
     max_iter: int | None = None  # explicit override of the size rule
-    extra: dict = field(default_factory=dict)
+    fit_rows: int | None = None  # labelled rows that a fit reads at most; None: all
 
     def trees(self, n_train: int) -> int:
         if self.max_iter is not None:
@@ -50,8 +56,23 @@ class TreeParams:
 SURGE_PARAMS = TreeParams()
 NBHD_PARAMS = TreeParams(max_depth=6, min_instances=30, small_below=10_000)
 # L4: legacy surge classifiers (300 trees / 31 leaves; 100 trees / 15 leaves for the recent era)
-LEGACY_SURGE_PARAMS = TreeParams(max_iter=300, max_depth=5)
-LEGACY_RECENT_SURGE_PARAMS = TreeParams(max_iter=100, max_depth=4)
+LEGACY_SURGE_PARAMS = TreeParams(max_iter=300, max_depth=5, step_size=0.05)
+LEGACY_RECENT_SURGE_PARAMS = TreeParams(max_iter=100, max_depth=4, step_size=0.05)
+# Strict / enhanced comparison (300 trees, balanced classes, no calibration)
+COMPARISON_PARAMS = TreeParams(max_iter=300, max_depth=5, step_size=0.05)
+# Next-day count regressor
+COUNT_PARAMS = TreeParams(max_iter=800, max_depth=6, step_size=0.05)
+
+
+def fit_many(fits: list[Callable], workers: int = 8) -> list:
+    """Results of independent fits, run side by side: their many small jobs then share the cluster."""
+    with ThreadPoolExecutor(min(workers, max(1, len(fits)))) as pool:
+        return list(pool.map(lambda f: f(), fits))
+
+
+def bounded(train: DataFrame, keys, fit_rows: int | None) -> DataFrame:
+    """At most ``fit_rows`` rows of a training set: those with the smallest key hash."""
+    return train if fit_rows is None else train.orderBy(F.xxhash64(*keys), *keys).limit(fit_rows)
 
 
 def clean_features(df: DataFrame, cols) -> DataFrame:
@@ -90,7 +111,8 @@ class CalibratedEnsemble:
         for i, (gbt, iso) in enumerate(self.members):
             p = gbt.transform(x).withColumn(f"_raw{i}", vector_to_array("probability")[1]) \
                 .drop("probability", "rawPrediction", "prediction", "_vec")
-            p = iso.setFeaturesCol(f"_raw{i}").setPredictionCol(f"_cal{i}").transform(p)
+            p = iso.setFeaturesCol(f"_raw{i}").setPredictionCol(f"_cal{i}").transform(p) if iso is not None \
+                else p.withColumn(f"_cal{i}", F.col(f"_raw{i}"))
             x = p
             cols.append(F.col(f"_cal{i}"))
         avg = sum(cols[1:], cols[0]) / len(cols)
@@ -109,36 +131,59 @@ class CalibratedEnsemble:
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
+def _weighted(train: DataFrame, features, label: str, keys, params: TreeParams, folds: int) -> tuple[DataFrame, int, int]:
+    """(assembled rows with weight and fold, positives, rows): written once, read by every fit."""
+    rows = clean_features(bounded(train.where(F.col(label).isNotNull()), keys, params.fit_rows), features)
+    rows = with_folds(rows, keys, folds, params.seed)
+    rows = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(rows).select("_vec", label, "_fold")
+    rows = cut_lineage(rows)
+    stats = rows.agg(F.sum(label).alias("pos"), F.count(F.lit(1)).alias("n")).first()
+    return balance_weight(rows, label), int(stats["pos"] or 0), int(stats["n"])
+
+
+def _classifier(label: str, params: TreeParams, n: int) -> GBTClassifier:
+    return GBTClassifier(featuresCol="_vec", labelCol=label, weightCol="_w", maxIter=params.trees(n),
+                         stepSize=params.step_size, maxDepth=params.max_depth, minInstancesPerNode=params.min_instances,
+                         featureSubsetStrategy=params.feature_subset, subsamplingRate=1.0, seed=params.seed)
+
+
+def _scorer(features, model) -> PipelineModel:
+    return PipelineModel(stages=[VectorAssembler(inputCols=list(features), outputCol="_vec"), model])
+
+
 def fit_calibrated(train: DataFrame, features, label: str, keys, params: TreeParams,
                    folds: int = 3) -> CalibratedEnsemble:
-    """L1/L2 + L3. ``train`` should be materialised (checkpointed) by the caller:
-    each fold reads it twice."""
-    stats = train.agg(F.sum(label).alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    pos, n = int(stats["pos"] or 0), int(stats["n"])
+    """L1/L2 + L3: per fold a classifier on the other folds and an isotonic map of its scores on the fold."""
+    x, pos, n = _weighted(train, features, label, keys, params, folds)
     if pos == 0:
         return CalibratedEnsemble(list(features), [], constant=0.0)
-    x = balance_weight(with_folds(clean_features(train, features), keys, folds, params.seed), label)
-    members = []
-    for f in range(folds):
-        fit_part, cal_part = x.where(F.col("_fold") != f), x.where(F.col("_fold") == f)
-        gbt = GBTClassifier(featuresCol="_vec", labelCol=label, weightCol="_w", maxIter=params.trees(n),
-                            stepSize=params.step_size, maxDepth=params.max_depth,
-                            minInstancesPerNode=params.min_instances,
-                            featureSubsetStrategy=params.feature_subset, subsamplingRate=1.0, seed=params.seed)
-        pm = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_vec"), gbt]).fit(fit_part)
-        raw = (pm.transform(cal_part).withColumn("_raw", vector_to_array("probability")[1])
-               .select("_raw", label))
-        iso = IsotonicRegression(featuresCol="_raw", labelCol=label, isotonic=True).fit(raw)
-        members.append((pm, iso))
-    return CalibratedEnsemble(list(features), members)
-
-
-def fit_count_regressor(train: DataFrame, features, label: str, max_iter: int = 800,
-                        seed: int = 42) -> PipelineModel:
+
+    def member(f: int):
+        gbt = _classifier(label, params, n).fit(x.where(F.col("_fold") != f))
+        raw = gbt.transform(x.where(F.col("_fold") == f)).select(vector_to_array("probability")[1].alias("_raw"), label)
+        # equal scores pool into one weighted row: the same fit, and what reaches the driver stays small
+        raw = raw.groupBy("_raw").agg(F.avg(label).alias("_y"), F.count(F.lit(1)).cast("double").alias("_n"))
+        iso = IsotonicRegression(featuresCol="_raw", labelCol="_y", weightCol="_n", isotonic=True).fit(raw)
+        return _scorer(features, gbt), iso
+
+    return CalibratedEnsemble(list(features), fit_many([lambda f=f: member(f) for f in range(folds)]))
+
+
+def fit_balanced(train: DataFrame, features, label: str, keys, params: TreeParams) -> CalibratedEnsemble:
+    """One classifier with balanced classes, not calibrated."""
+    x, pos, n = _weighted(train, features, label, keys, params, 1)
+    if pos == 0:
+        return CalibratedEnsemble(list(features), [], constant=0.0)
+    return CalibratedEnsemble(list(features), [(_scorer(features, _classifier(label, params, n).fit(x)), None)])
+
+
+def fit_count_regressor(train: DataFrame, features, label: str, keys, params: TreeParams = COUNT_PARAMS) -> PipelineModel:
     """Next-day count regressor."""
-    x = clean_features(train, features)
-    gbt = GBTRegressor(featuresCol="_vec", labelCol=label, maxIter=max_iter, stepSize=0.05, maxDepth=5, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_vec"), gbt]).fit(x)
+    x = clean_features(bounded(train.where(F.col(label).isNotNull()), keys, params.fit_rows), features)
+    x = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(x).select("_vec", label)
+    gbt = GBTRegressor(featuresCol="_vec", labelCol=label, maxIter=params.max_iter, stepSize=params.step_size,
+                       maxDepth=params.max_depth, seed=params.seed).fit(cut_lineage(x))
+    return _scorer(features, gbt)
 
 
 def blend(p_col: str, p_ksi: str, w_col: float = 0.6, w_ksi: float = 0.4):
@@ -149,3 +194,50 @@ def blend(p_col: str, p_ksi: str, w_col: float = 0.6, w_ksi: float = 0.4):
 def label_from_proba(p: str, threshold: float = 0.5):
     """``p >= 0.5``; null stays null."""
     return F.when(F.col(p).isNotNull(), (F.col(p) >= threshold).cast("int"))
+
+
+def save(model: CalibratedEnsemble, path: str) -> None:
+    """Every member under ``path``, in Spark's own model format."""
+    for i, (gbt, iso) in enumerate(model.members):
+        gbt.write().overwrite().save(f"{path}/gbt{i}")
+        if iso is not None:
+            iso.write().overwrite().save(f"{path}/iso{i}")
+
+
+def load(path: str, features, members: int, calibrated: bool = True, constant: float | None = None) -> CalibratedEnsemble:
+    return CalibratedEnsemble(list(features), [
+        (PipelineModel.load(f"{path}/gbt{i}"), IsotonicRegressionModel.load(f"{path}/iso{i}") if calibrated else None)
+        for i in range(members)], constant)
+
+
+def score_city(features: DataFrame, model: CalibratedEnsemble, created_at: str, version: str,
+               threshold: float = 0.5) -> DataFrame:
+    """L10-L13, city: the last area's row of every date is scored; T+2 is the next date's T+1 (null
+    at the end). Eight columns, one row per date."""
+    city = last_row_per_date(features, "nbhd_id", [c for c in features.columns if c not in ("date", "nbhd_id")])
+    w = Window.orderBy("date")  # one row per day
+    s = model.predict(city, "surge_proba_t1").select("date", "surge_proba_t1")
+    s = s.withColumn("surge_proba_t2", F.lead("surge_proba_t1", 1).over(w))
+    return s.select("date", "surge_proba_t1", label_from_proba("surge_proba_t1", threshold).alias("surge_label_t1"),
+                    F.lit(threshold).alias("threshold"), "surge_proba_t2",
+                    label_from_proba("surge_proba_t2", threshold).alias("surge_label_t2"),
+                    F.lit(created_at).alias("created_at"), F.lit(version).alias("model_version"))
+
+
+def score_areas(features: DataFrame, city: DataFrame, model: CalibratedEnsemble, created_at: str, version: str,
+                w_col: float = 0.6, w_ksi: float = 0.4) -> DataFrame:
+    """L8, L10-L13, areas: every feature row, with the city's probabilities as features; T+2 is the
+    area's next row's T+1; KSI is not scored (0). Fourteen columns."""
+    f = features.drop("surge_proba_t1", "surge_proba_t2") \
+        .join(city.select("date", "surge_proba_t1", "surge_proba_t2"), "date", "left")
+    targets = [c if c in f.columns else F.lit(None).cast("int").alias(c)
+               for h in (1, 2) for c in (f"target_collision_t{h}", f"target_ksi_t{h}")]
+    s = model.predict(f, "proba_collision_t1").select("date", "nbhd_id", "proba_collision_t1", *targets)
+    w = Window.partitionBy("nbhd_id").orderBy("date")
+    s = s.withColumn("proba_collision_t2", F.lead("proba_collision_t1", 1).over(w)) \
+        .withColumn("proba_ksi_t1", F.lit(0.0)).withColumn("proba_ksi_t2", F.lit(0.0))
+    out = ["date", "nbhd_id"]
+    for h in (1, 2):
+        out += [f"target_collision_t{h}", f"target_ksi_t{h}", f"proba_collision_t{h}", f"proba_ksi_t{h}",
+                blend(f"proba_collision_t{h}", f"proba_ksi_t{h}", w_col, w_ksi).alias(f"risk_score_t{h}")]
+    return s.select(*out, F.lit(created_at).alias("created_at"), F.lit(version).alias("model_version"))

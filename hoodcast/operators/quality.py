@@ -38,6 +38,54 @@ def contract_violations(df: DataFrame, rules: dict) -> DataFrame:
                     for name, cond in rules.items()])
 
 
+def contract(name: str) -> dict:
+    """The named rules of a table's contract."""
+    key = {"date_not_null": F.col("date").isNotNull()}
+    area = key | {"nbhd_id_ge_1": F.coalesce(F.col("nbhd_id") >= 1, F.lit(False))}
+    return {
+        "gold": area | {"collisions_ge_0": F.col("collisions") >= 0, "weather_present": F.col("tavg").isNotNull(),
+                        "fatal_le_victims": F.col("ksi_fatal_victims") <= F.col("ksi_victim_count")},
+        "features": area | {"lag_present": F.col("collisions_lag1").isNotNull(),
+                            "targets_binary": F.col("target_collision_t1").isin(0, 1)},
+        "surge_predictions": key | {"proba_in_range": F.col("surge_proba_t1").isNull() | F.col("surge_proba_t1").between(0, 1)},
+        "nbhd_predictions": area | {"proba_in_range": F.col("proba_collision_t1").isNull()
+                                    | F.col("proba_collision_t1").between(0, 1)},
+    }[name]
+
+
+def require_contract(df: DataFrame, name: str) -> None:
+    """Raise with the violation counts when a rule of the contract is broken (N6 first:
+    its columns must exist)."""
+    require_columns(df, {"gold": ("date", "nbhd_id", "collisions", "tavg"),
+                         "features": ("date", "nbhd_id", "collisions_lag1", "target_collision_t1"),
+                         "surge_predictions": ("date", "surge_proba_t1"),
+                         "nbhd_predictions": ("date", "nbhd_id", "proba_collision_t1")}[name])
+    broken = {k: n for k, n in contract_violations(df, contract(name)).first().asDict().items() if n}
+    if broken:
+        raise ValueError(f"{name} contract: {broken}")
+
+
+def require_entities(df: DataFrame, expected: int, what: str, col: str = "nbhd_id") -> None:
+    """N2 as a gate."""
+    n = expected_entities(df, expected, col).first()["n"]
+    if n != expected:
+        raise ValueError(f"{what} has {n} distinct {col}; expected {expected}")
+
+
+def require_same_rows(before: DataFrame, after: DataFrame, what: str) -> None:
+    """A left join must not change the number of rows."""
+    a, b = before.count(), after.count()
+    if a != b:
+        raise ValueError(f"{what}: {a} rows before, {b} after")
+
+
+def require_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, what: str) -> DataFrame:
+    """``facts`` when every key is in the dimension, which must be unique on it."""
+    require_empty(duplicate_keys(dim, [dim_key]), f"{what} dimension key")
+    require_empty(missing_lookup(facts, dim, fact_key, dim_key), f"{what} without a match")
+    return facts
+
+
 def missing_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                    limit: int = 10) -> DataFrame:
     """Fact keys without a dimension match (up to ``limit`` offending keys,
@@ -126,15 +174,21 @@ def is_subset(part: DataFrame, whole: DataFrame, keys) -> DataFrame:
     return n.select((F.col("n") == 0).alias("subset"))
 
 
-def incremental_merge(old: DataFrame, new: DataFrame, keys, seq: str = "load_seq") -> DataFrame:
+def incremental_merge(old: DataFrame, new: DataFrame, keys, seq: str = "load_seq",
+                      grid: DataFrame | None = None) -> DataFrame:
     """Idempotent merge, keep the last load per key.
 
-    Old state is discarded when its schema differs from the new batch (the
-    reference's schema gate); otherwise ``old UNION new`` and
-    ``row_number() over (key order by seq desc) = 1``.  The result is meant to
-    be written to a new path (never over the input it was read from).
+    Old state is discarded when its schema, names or types, differs from the new batch (the
+    reference's schema gate); otherwise ``old UNION new`` and the row with the highest
+    ``seq`` per key. With ``grid`` (the expected keys) a batch with a key off the grid, or
+    with a key twice in one load, is refused. The result is meant to be written to a new
+    path (never over the input it was read from).
     """
-    if sorted(old.columns) != sorted(new.columns):
+    if grid is not None:
+        require_empty(new.select(*keys).distinct().join(grid.select(*keys).distinct(), list(keys), "left_anti"),
+                      "batch keys off the grid")
+        require_empty(duplicate_keys(new, [*keys, seq]), "batch keys")
+    if sorted(old.dtypes) != sorted(new.dtypes):
         return new
     w = Window.partitionBy(*keys).orderBy(F.col(seq).desc())
     u = old.unionByName(new)

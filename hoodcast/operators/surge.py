@@ -116,10 +116,11 @@ def merge_surge_neutral(features: DataFrame, surge: DataFrame, settings: Setting
     """Left join surge probabilities on date; training-period rows and
     missing values get the neutral ``fill`` (leakage guard, T21).
 
-    The surge table is first made unique per date (N1) so the row count holds.
+    The surge table has to be unique per date (the jobs gate it, N1); of several rows for a
+    date the highest probabilities are taken, so that the row count holds in any case.
     """
     cols = [c for c in surge.columns if c.startswith("surge_proba")]
-    s = surge.select("date", *cols).dropDuplicates(["date"])
+    s = surge.groupBy("date").agg(*[F.max(c).alias(c) for c in cols])
     out = features.join(s, "date", "left")
     for c in cols:
         out = out.withColumn(c, F.when((F.col("date") < F.lit(settings.split_date)) | F.col(c).isNull(),

@@ -19,6 +19,10 @@ from hoodcast.operators import quality as Q
 PERTURB = {"tavg": 0.6, "tmin": 0.7, "tmax": 0.5, "prcp": -0.15, "snow": 0.20, "wspd": 0.05}
 
 
+#: Cells that one day's row may carry (0.1 degree cells of one region).
+MAX_CELLS = 100_000
+
+
 def centroid_cells(centroids: DataFrame, lat: str = "centroid_lat", lon: str = "centroid_lon") -> DataFrame:
     """Each area's 0.1-degree cell (half-even rounding) ``nbhd_id,
     coord_key, lat_round, lon_round``."""
@@ -38,6 +42,9 @@ def micro_weather_proxy(city_weather: DataFrame, cells: DataFrame) -> DataFrame:
     perturbations by latitude / longitude offset from the cells' mean, clipped
     at 0 for precipitation, snow and wind; flags recomputed."""
     meta = cells.select("coord_key", "lat_round", "lon_round").distinct()
+    n = meta.limit(MAX_CELLS + 1).count()
+    if n > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} weather cells; each day's row would carry them all")
     arr = meta.select(F.collect_list(F.struct("coord_key", "lat_round", "lon_round"))).scalar()
     m = meta.select(F.struct(F.avg("lat_round").alias("la"), F.avg("lon_round").alias("lo"))).scalar()
     w = city_weather.select("date", *WEATHER_COLS, F.explode(arr).alias("c")).select(

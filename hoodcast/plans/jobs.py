@@ -7,7 +7,11 @@ Stage boundaries are written tables (parquet, panel tables partitioned by
     features  gold + adjacency -> feature table                     (K12-K19)
     surge     features -> city roll-up -> threshold -> models        (E5, K22-K24, L1, L3, M1-M4)
     nbhd      features + surge -> collision / KSI models -> metrics  (K25, L2, L3, L7, L8, M1-M6, M9)
-    refresh   merge newly landed feature rows, score the latest day  (A13, L10-L13)
+    refresh   merge newly landed feature rows                          (A13)
+    score     saved models over every feature row                      (L8, L10-L13)
+
+Gates raise before anything is written: unique keys, expected areas, contracts, daily density,
+row counts of joins, merged predictions.
 """
 
 from __future__ import annotations
@@ -22,18 +26,43 @@ from hoodcast.config import BASE_LEAKAGE, DEFAULTS, Settings
 from hoodcast.operators import evaluate as Ev
 from hoodcast.operators import features as Fe
 from hoodcast.operators import models as M
+from hoodcast.operators import panel as Pn
 from hoodcast.operators import quality as Q
 from hoodcast.operators import surge as Su
 from hoodcast.session import cut_lineage
 from hoodcast.sources import readers as Rd
 
 
-def build_features(gold: DataFrame, adj: DataFrame, out: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Gates on the input (unique key, expected areas), build, write by year."""
+def build_gold(panel: DataFrame, ksi: DataFrame, weather: DataFrame, road: DataFrame, out: str) -> DataFrame:
+    """K6 + K8 + K10 with the row-count invariant (N5) and a weather row for every day, written by year."""
+    Q.require_empty(Q.duplicate_keys(weather, ["date"]), "weather key")
+    Q.require_empty(Q.set_difference(panel, weather, ["date"]), "days without weather")
+    gold = Pn.gold(panel, ksi, weather, road)
+    Rd.write_parquet(gold.withColumn("_year", F.year("date")), out, ["_year"])
+    gold = gold.sparkSession.read.parquet(out).drop("_year")
+    Q.require_same_rows(panel, gold, "gold joins")
+    return gold
+
+
+def build_features(gold: DataFrame, adj: DataFrame, out: str, settings: Settings = DEFAULTS,
+                   road_stats: DataFrame | None = None) -> DataFrame:
+    """Gates on the input (unique key, expected areas, contract, one row per day), optional road
+    statistics (left join, row count kept, gaps filled with the median), build, gates on the
+    result, written by year."""
     Q.require_empty(Q.duplicate_keys(gold, ["date", "nbhd_id"]), "gold key")
+    Q.require_entities(gold, settings.expected_areas, "gold")
+    Q.require_contract(gold, "gold")
+    Q.require_empty(Q.density_violations(gold), "gold days")
+    if road_stats is not None:
+        Q.require_empty(Q.duplicate_keys(road_stats, ["nbhd_id"]), "road statistics key")
+        gold = cut_lineage(Fe.with_road_stats(gold, road_stats))
     f = Fe.feature_table(gold, adj, settings)
     Rd.write_parquet(f.withColumn("_year", F.year("date")), out, ["_year"])
-    return f.sparkSession.read.parquet(out).drop("_year")
+    f = f.sparkSession.read.parquet(out).drop("_year")
+    Q.require_contract(f, "features")
+    Q.require_empty(Q.duplicate_keys(f, ["date", "nbhd_id"]), "feature key")
+    Q.require_entities(f, settings.expected_areas, "features")
+    return f
 
 
 def _targets(settings: Settings) -> set:
@@ -57,7 +86,10 @@ def train_surge(features: DataFrame, out: str, settings: Settings = DEFAULTS,
             "date", f"surge_proba_t{h}", F.col("y").alias(f"surge_label_t{h}"), "threshold"))
         metrics.append(Ev.classification_metrics(p, f"surge_proba_t{h}", f"surge_label_t{h}", f"surge_t{h}"))
         preds.append(p if h == settings.horizons[0] else p.drop("threshold"))
-    merged = reduce(lambda a, b: a.join(b, "date", "full"), preds)
+        M.save(ens, os.path.join(out, f"surge_model_t{h}"))
+    merged = cut_lineage(reduce(lambda a, b: a.join(b, "date", "full"), preds))
+    Q.require_empty(Q.duplicate_keys(merged, ["date"]), "surge prediction key")
+    Q.require_contract(merged, "surge_predictions")
     Rd.write_parquet(merged, os.path.join(out, "surge_predictions"))
     Rd.write_small_json(reduce(lambda a, b: a.unionByName(b), metrics), os.path.join(out, "surge_metrics"))
     return spark.read.parquet(os.path.join(out, "surge_predictions"))
@@ -67,15 +99,18 @@ def train_nbhd(features: DataFrame, surge: DataFrame, out: str, settings: Settin
                params: M.TreeParams = M.NBHD_PARAMS):
     """Per horizon: collision and KSI ensembles (KSI guarded), blended risk,
     classification + ranking metrics, drift; horizons merged (D5)."""
+    Q.require_empty(Q.duplicate_keys(surge, ["date"]), "surge prediction key")
     f = cut_lineage(Su.merge_surge_neutral(features, surge, settings))
+    Q.require_same_rows(features, f, "surge merge")
     xcols = Su.numeric_columns(f, drop=_targets(settings) | BASE_LEAKAGE)
     split = F.lit(settings.split_date)
     train, test = f.where(F.col("date") < split), f.where(F.col("date") >= split)
     preds, metrics, drift = [], [], []
     for h in settings.horizons:
         ct, kt = f"target_collision_t{h}", f"target_ksi_t{h}"
-        m_col = M.fit_calibrated(train, xcols, ct, ["date", "nbhd_id"], params)
-        m_ksi = M.fit_calibrated(train, xcols, kt, ["date", "nbhd_id"], params)
+        m_col, m_ksi = M.fit_many([lambda t=t: M.fit_calibrated(train, xcols, t, ["date", "nbhd_id"], params)
+                                   for t in (ct, kt)])
+        M.save(m_col, os.path.join(out, f"collision_model_t{h}"))
         p = m_ksi.predict(m_col.predict(test, f"proba_collision_t{h}"), f"proba_ksi_t{h}")
         p = p.withColumn(f"risk_score_t{h}", M.blend(f"proba_collision_t{h}", f"proba_ksi_t{h}",
                                                      settings.blend_collision, settings.blend_ksi))
@@ -85,7 +120,9 @@ def train_nbhd(features: DataFrame, surge: DataFrame, out: str, settings: Settin
         drift.append(Ev.drift_check(p, f"risk_score_t{h}", ct, 10, settings.drift_warn)
                      .withColumn("horizon", F.lit(h)))
         preds.append(p)
-    merged = reduce(lambda a, b: a.join(b, ["date", "nbhd_id"], "full"), preds)
+    merged = cut_lineage(reduce(lambda a, b: a.join(b, ["date", "nbhd_id"], "full"), preds))
+    Q.require_empty(Q.duplicate_keys(merged, ["date", "nbhd_id"]), "area prediction key")
+    Q.require_contract(merged, "nbhd_predictions")
     Rd.write_parquet(merged.withColumn("_year", F.year("date")), os.path.join(out, "nbhd_predictions"), ["_year"])
     Rd.write_small_json(reduce(lambda a, b: a.unionByName(b), metrics), os.path.join(out, "nbhd_metrics"))
     Rd.write_small_json(reduce(lambda a, b: a.unionByName(b), drift), os.path.join(out, "drift"))
@@ -93,11 +130,27 @@ def train_nbhd(features: DataFrame, surge: DataFrame, out: str, settings: Settin
 
 
 def refresh(spark: SparkSession, state: DataFrame, landed: DataFrame, keys=("date", "nbhd_id"),
-            out: str | None = None) -> DataFrame:
+            out: str | None = None, grid: DataFrame | None = None) -> DataFrame:
     """Daily refresh: merge newly landed rows into the state (last load wins,
     A13); the result is written to a new path, never over its own input."""
-    merged = Q.incremental_merge(state, landed, list(keys))
+    merged = Q.incremental_merge(state, landed, list(keys), grid=grid)
     if out:
         Rd.write_parquet(merged, out)
         return spark.read.parquet(out)
     return merged
+
+
+def score(features: DataFrame, city_model: M.CalibratedEnsemble, area_model: M.CalibratedEnsemble, out: str,
+          created_at: str, version: str) -> tuple[DataFrame, DataFrame]:
+    """Batch scoring of every feature row: the city table (8 columns) and the area table (14)."""
+    spark = features.sparkSession
+    city = M.score_city(features, city_model, created_at, version)
+    Rd.write_parquet(city, os.path.join(out, "surge_scores"))
+    city = spark.read.parquet(os.path.join(out, "surge_scores"))
+    Q.require_contract(city, "surge_predictions")
+    areas = M.score_areas(features, city, area_model, created_at, version)
+    Rd.write_parquet(areas, os.path.join(out, "nbhd_scores"))
+    areas = spark.read.parquet(os.path.join(out, "nbhd_scores"))
+    Q.require_contract(areas, "nbhd_predictions")
+    Q.require_same_rows(features, areas, "area scores")
+    return city, areas

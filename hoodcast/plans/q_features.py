@@ -341,3 +341,34 @@ def pressure_roll14(spark, sf):
     return out.select("date", "nbhd_id", "construction_total_pressure",
                       "construction_total_pressure_roll14_sum", "is_zone_disrupted").withColumnRenamed(
         "construction_total_pressure_roll14_sum", "construction_total_pressure_roll14")
+
+
+V2_LAGS = ["collisions", "ksi_collisions", "ksi_weighted_score", "road_events_count", "road_events_severity_weighted",
+           "road_events_full_closure_count", "road_construction_count", "road_construction_severity_weighted",
+           "road_construction_full_closure_count"]
+V2_SUMS = ["collisions", "ksi_collisions", "ksi_weighted_score", "road_events_count", "road_construction_count",
+           "road_events_severity_weighted", "road_construction_severity_weighted"]
+
+
+@query("legacy_features_v2", sql(
+    "SELECT date, nbhd_id, " + ", ".join(
+        [f"lag({c}, {L}) OVER w AS {c}_lag{L}" for c in V2_LAGS for L in (1, 7, 14)]
+        + [x for x in _lag_roll_sql(V2_SUMS, [], (7, 14, 30)) if x.endswith("_sum")]) + " FROM gold " + WIN))
+def legacy_features_v2(spark, sf):
+    """Legacy v2 family, nine columns x three lags and seven columns x three trailing sums."""
+    return Fe.legacy_features_v2(I.gold(spark, sf))
+
+
+@query("road_statistics", sql("""
+  SELECT g.date, g.nbhd_id, coalesce(r.n_roads, m.n_roads) AS n_roads, coalesce(r.length, m.length) AS length
+  FROM gold g LEFT JOIN roads r USING (nbhd_id),
+       (SELECT median(n_roads) AS n_roads, median(length) AS length FROM roads) m""", {"roads": """
+  SELECT CAST(s_nationkey + 1 AS INTEGER) AS nbhd_id, CAST(count(*) AS DOUBLE) AS n_roads, CAST(sum(s_suppkey % 13) AS DOUBLE) AS length
+  FROM supplier WHERE s_nationkey % 7 <> 3 GROUP BY 1"""}))
+def road_statistics(spark, sf):
+    """Per-area road statistics on the panel, areas without any filled with the median."""
+    from hoodcast.sources.tables import read_table
+    roads = read_table(spark, sf, "supplier").where("s_nationkey % 7 <> 3").groupBy(
+        (F.col("s_nationkey") + 1).cast("int").alias("nbhd_id")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_roads"), F.sum(F.col("s_suppkey") % 13).cast("double").alias("length"))
+    return Fe.with_road_stats(I.gold(spark, sf).select("date", "nbhd_id"), roads)

@@ -196,3 +196,91 @@ def polygon_centroid_projected(spark, sf):
     """J2 + J3: centroid computed in the projected CRS (Lambert conformal conic,
     EPSG:3978 parameters) and returned to lon/lat; area in km2."""
     return geo.projected_centroids(A.area_polygons(spark, sf))
+
+
+# ----------------------------------------------------------------------------
+# shapes from a table that grows: one polygon per customer, with planted faults
+# ----------------------------------------------------------------------------
+
+def customer_shapes(spark, sf):
+    """One outline per customer by its key: 0 valid square, 1 concave arrow, 2 bow tie (crosses itself),
+    3 open ring, 4 two parts, 5 ring of three points."""
+    k = F.col("c_custkey")
+    x, y = (k % 1000).cast("double") * 4, F.floor(k / 1000).cast("double") * 4
+
+    def ring(*points):
+        return F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in points])
+
+    square = ring((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))
+    shapes = [F.array(square), F.array(ring((0, 0), (2, 0), (2, 2), (1, 1), (0, 2), (0, 0))),
+              F.array(ring((0, 0), (2, 2), (2, 0), (0, 2), (0, 0))), F.array(ring((0, 0), (2, 0), (2, 2), (0, 2))),
+              F.array(square, ring((2.5, 0), (3, 0), (3, 1), (2.5, 0))), F.array(ring((0, 0), (2, 0), (0, 0)))]
+    pick = shapes[-1]
+    for i, s in enumerate(shapes[:-1]):
+        pick = F.when(k % 6 == i, s).otherwise(pick)
+    return read_table(spark, sf, "customer").select(k.cast("int").alias("nbhd_id"), pick.alias("rings"))
+
+
+@query("valid_shapes", "SELECT CAST(c_custkey AS INTEGER) AS nbhd_id FROM customer WHERE c_custkey % 6 IN (0, 1, 4)")
+def valid_shapes(spark, sf):
+    """Of one outline per customer the bow ties, open rings and two-point rings are refused."""
+    return geo.valid_polygons(customer_shapes(spark, sf)).select("nbhd_id")
+
+
+def shape_points(spark, sf):
+    """Per customer four points: inside, on the edge, in the arrow's notch, outside."""
+    k = F.col("c_custkey")
+    x, y = (k % 1000).cast("double") * 4, F.floor(k / 1000).cast("double") * 4
+    pts = [(0.5, 0.25, "inside"), (1.0, 0.0, "edge"), (1.0, 1.5, "notch"), (3.5, 3.5, "outside")]
+    return read_table(spark, sf, "customer").select(k.cast("int").alias("cust"), F.inline(F.array(*[
+        F.struct((x + a).alias("x"), (y + b).alias("y"), F.lit(n).alias("place")) for a, b, n in pts])))
+
+
+def _shape_join(spark, sf, predicate):
+    shapes = customer_shapes(spark, sf).where("nbhd_id % 6 IN (0, 1, 4)")
+    return geo.spatial_join(shape_points(spark, sf), shapes, "x", "y", predicate=predicate, cell=2.0).select("cust", "place", "nbhd_id")
+
+
+@query("shapes_within", """
+  SELECT CAST(c_custkey AS INTEGER) AS cust, place, CAST(c_custkey AS INTEGER) AS nbhd_id
+  FROM customer, (SELECT unnest(['inside', 'notch']) AS place)
+  WHERE c_custkey % 6 IN (0, 1, 4) AND (place = 'inside' OR c_custkey % 6 <> 1)""")
+def shapes_within(spark, sf):
+    """D8 over concave and two-part outlines: the edge and the notch are not within."""
+    return _shape_join(spark, sf, "within")
+
+
+@query("shapes_intersects", """
+  SELECT CAST(c_custkey AS INTEGER) AS cust, place, CAST(c_custkey AS INTEGER) AS nbhd_id
+  FROM customer, (SELECT unnest(['inside', 'edge', 'notch']) AS place)
+  WHERE c_custkey % 6 IN (0, 1, 4) AND (place <> 'notch' OR c_custkey % 6 <> 1)""")
+def shapes_intersects(spark, sf):
+    """The boundary counts."""
+    return _shape_join(spark, sf, "intersects")
+
+
+@query("adopted_predicate", """
+  SELECT CASE WHEN w >= i THEN 'within' ELSE 'intersects' END AS adopted, w AS n_within, i AS n_intersects
+  FROM (SELECT count(*) FILTER (WHERE c_custkey % 6 IN (0, 1, 4)) + count(*) FILTER (WHERE c_custkey % 6 IN (0, 4)) AS w,
+               2 * count(*) FILTER (WHERE c_custkey % 6 IN (0, 1, 4)) + count(*) FILTER (WHERE c_custkey % 6 IN (0, 4)) AS i
+        FROM customer)""")
+def adopted_predicate(spark, sf):
+    """The boundary-inclusive join is adopted when it matches more points."""
+    counts = [_shape_join(spark, sf, p).agg(F.count(F.lit(1)).alias(f"n_{p}")) for p in ("within", "intersects")]
+    w, i = (c.select(c.columns[0]).scalar() for c in counts)
+    return spark.range(1).select(F.when(w >= i, "within").otherwise("intersects").alias("adopted"),
+                                 w.alias("n_within"), i.alias("n_intersects"))
+
+
+@query("neighbourless_shapes", "SELECT CAST(c_custkey AS INTEGER) AS nbhd_id FROM customer WHERE c_custkey % 6 = 0")
+def neighbourless_shapes(spark, sf):
+    """The customers' squares lie apart, so none has a neighbour."""
+    squares = customer_shapes(spark, sf).where("nbhd_id % 6 = 0")
+    return geo.isolated_areas(squares, geo.adjacency(squares, cell=4.0)).select("nbhd_id")
+
+
+@query("one_way_pairs", sql("SELECT nbhd_id, adjacent_nbhd_id FROM adj WHERE nbhd_id < adjacent_nbhd_id AND nbhd_id % 3 = 0"))
+def one_way_pairs(spark, sf):
+    """D13 over planted faults: pairs whose reverse was taken away."""
+    a = I.adjacency(spark, sf)
+    return geo.missing_reverse_pairs(a.where(~((F.col("nbhd_id") > F.col("adjacent_nbhd_id")) & (F.col("adjacent_nbhd_id") % 3 == 0))))

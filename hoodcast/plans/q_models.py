@@ -1,17 +1,21 @@
-"""Model queries (L1-L13). No SQL oracle exists for trained trees, so these
-are rows-only checks in the registry; pytest covers their properties.
+"""Model queries.
 
-The registry runs cap the tree count (``REGISTRY_TREES``) so that the check
-finishes in minutes; ``TreeParams`` defaults (used by ``hoodcast.plans.jobs``)
-follow the reference's size rule (200/400 trees).
+A trained tree's probability has no SQL counterpart, so every query returns, row by row,
+what SQL can state (keys, labels, thresholds, targets, nulls) next to checks of the
+probabilities; the probabilities themselves come from the functions the queries call
+(``surge_scores``, ``nbhd_scores``, ...) and from ``hoodcast.plans.jobs``.
+
+Trees, rates, depths, folds and horizons are the reference's. Only the labelled rows that
+a fit reads are bounded here (``FIT_ROWS``); scoring covers every row. A model is fitted
+once per application and table folder and then shared by the queries.
 """
 
 from __future__ import annotations
 
-import os
+import datetime
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hoodcast.config import ADAPTER, BASE_LEAKAGE
@@ -19,128 +23,269 @@ from hoodcast.operators import evaluate as Ev
 from hoodcast.operators import models as M
 from hoodcast.operators import surge as Su
 from hoodcast.plans.catalog import query
-from hoodcast.plans.q_features import spark_features
-from hoodcast.plans.q_surge import surge_predictions
+from hoodcast.plans.oracle_sql import sql
+from hoodcast.plans.q_features import feature_table_ctes, spark_features
+from hoodcast.plans.q_surge import CITY_CTE, _label_sql, _thr_sql, surge_predictions
 from hoodcast.session import cut_lineage
 from hoodcast.sources.readers import landing_dir
 
 S = ADAPTER
-REGISTRY_TREES = 30
+#: Labelled rows that a fit reads at most in this registry.
+FIT_ROWS = 2_000
 TARGETS = {f"{p}_t{h}" for h in S.horizons for p in ("target_collision", "target_ksi", "collisions")}
+SPLIT = f"DATE '{S.split_date.isoformat()}'"
+#: First day of the recent era (C7) on the adapter's calendar: two years before the split.
+RECENT = datetime.date(S.split_date.year - 2, S.split_date.month, S.split_date.day)
+CREATED_AT, VERSION = "1998-08-02T00:00:00+00:00", "hoodcast-gbt-iso-v2"
 
+_once: dict[tuple, object] = {}
 
-def _features(spark, sf):
-    f = spark_features(spark, sf)
-    f = Su.merge_surge_neutral(f, surge_predictions(spark, sf), S)
-    return cut_lineage(f)
 
+def _shared(spark, sf, what: str, make):
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in _once:
+        _once[key] = make()
+    return _once[key]
 
-def nbhd_feature_cols(df):
-    return Su.numeric_columns(df, drop=TARGETS | BASE_LEAKAGE)
+
+def _features(spark, sf):
+    """The feature table with the test period's surge probabilities (K25), written once."""
+    return _shared(spark, sf, "features", lambda: cut_lineage(
+        Su.merge_surge_neutral(spark_features(spark, sf), surge_predictions(spark, sf), S)))
 
 
 def _split(df):
     return df.where(F.col("date") < F.lit(S.split_date)), df.where(F.col("date") >= F.lit(S.split_date))
 
 
-@query("surge_model_scores")
+def _bounded(params: M.TreeParams) -> M.TreeParams:
+    return replace(params, fit_rows=FIT_ROWS)
+
+
+def _proba_ok(c):
+    return F.coalesce(F.col(c).between(0, 1), F.lit(False))
+
+
+# ----------------------------------------------------------------------------
+# city
+# ----------------------------------------------------------------------------
+
+def city_table(spark, sf):
+    """Per horizon the city roll-up with its future total, label and threshold."""
+    def make():
+        daily = cut_lineage(Su.city_daily(_features(spark, sf).drop(*[f"surge_proba_t{h}" for h in S.horizons])))
+        return {h: cut_lineage(daily.join(Su.surge_labels(daily.select("date", "collisions"), h, S), "date"))
+                for h in S.horizons}
+    return _shared(spark, sf, "city", make)
+
+
+def city_columns(d):
+    return Su.numeric_columns(d, drop={"city_collisions_future", "y", "threshold"} | TARGETS)
+
+
+def surge_models(spark, sf):
+    def make():
+        tables = city_table(spark, sf)
+        return dict(zip(tables, M.fit_many([
+            lambda d=d: M.fit_calibrated(_split(d)[0], city_columns(d), "y", ["date"], _bounded(M.SURGE_PARAMS))
+            for d in tables.values()])))
+    return _shared(spark, sf, "surge", make)
+
+
+def surge_scores(spark, sf):
+    """L1 + L3 + K24: test-period probabilities of both horizons (date, horizon, y, threshold, proba)."""
+    models = surge_models(spark, sf)
+    out = [models[h].predict(_split(d)[1], "proba").select("date", F.lit(h).alias("horizon"), "y", "threshold", "proba")
+           for h, d in city_table(spark, sf).items()]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("surge_model_scores", f"SELECT date, horizon, y, threshold, true AS proba_ok FROM ({_label_sql()}) WHERE date >= {SPLIT}")
 def surge_model_scores(spark, sf):
-    """L1 + L3 + K24: citywide surge classifier T+1 on the E5a roll-up, 3-fold
-    isotonic ensemble; test-period probabilities with labels and threshold."""
-    f = spark_features(spark, sf)
-    daily = Su.city_daily(f)
-    lab = Su.surge_labels(daily.select("date", "collisions"), 1, S)
-    d = cut_lineage(daily.join(lab, "date"))
-    xcols = Su.numeric_columns(d, drop={"city_collisions_future", "y", "threshold"} | TARGETS)
-    train, test = _split(d)
-    params = M.TreeParams(max_iter=REGISTRY_TREES)
-    ens = M.fit_calibrated(train, xcols, "y", ["date"], params)
-    p = ens.predict(test, "surge_proba_t1")
-    return p.select("date", "surge_proba_t1", F.col("y").alias("surge_label_t1"), "threshold")
-
-
-def _nbhd(spark, sf, horizon=1, trees=REGISTRY_TREES, ksi=True):
+    """L1-L3, both horizons: labels and thresholds of the test days, probabilities within 0 and 1."""
+    return surge_scores(spark, sf).select("date", "horizon", "y", F.bround("threshold", 6).alias("threshold"),
+                                          _proba_ok("proba").alias("proba_ok"))
+
+
+def legacy_surge_scores(spark, sf):
+    """L4 + C7: the legacy classifier over the whole history and over the recent era (T+1, not calibrated)."""
+    d = city_table(spark, sf)[1]
+    eras = {"full_history": (d, M.LEGACY_SURGE_PARAMS),
+            "recent_era": (d.where(F.col("date") >= F.lit(RECENT)), M.LEGACY_RECENT_SURGE_PARAMS)}
+    models = _shared(spark, sf, "legacy_surge", lambda: M.fit_many([
+        lambda x=x, p=p: M.fit_balanced(_split(x)[0], city_columns(x), "y", ["date"], _bounded(p))
+        for x, p in eras.values()]))
+    out = [m.predict(x, "proba").select(F.lit(era).alias("era"), "date", "y", "proba", (F.col("date") >= F.lit(S.split_date))
+                                        .alias("test")) for m, (era, (x, _)) in zip(models, eras.items())]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("surge_legacy_eras", sql(f"""
+  SELECT era, date, CAST(f >= (SELECT threshold FROM ({_thr_sql(1, True)})) AS INTEGER) AS y, date >= {SPLIT} AS test, true AS proba_ok
+  FROM (SELECT date, lead(collisions, 1) OVER (ORDER BY date) AS f FROM city),
+       (SELECT unnest(['full_history', 'recent_era']) AS era)
+  WHERE f IS NOT NULL AND (era = 'full_history' OR date >= DATE '{RECENT.isoformat()}')""", CITY_CTE))
+def surge_legacy_eras(spark, sf):
+    """L4 + C7: rows and labels of both eras, probabilities within 0 and 1."""
+    return legacy_surge_scores(spark, sf).select("era", "date", "y", "test", _proba_ok("proba").alias("proba_ok"))
+
+
+# ----------------------------------------------------------------------------
+# areas
+# ----------------------------------------------------------------------------
+
+def nbhd_feature_cols(df):
+    return Su.numeric_columns(df, drop=TARGETS | BASE_LEAKAGE)
+
+
+def collision_models(spark, sf, horizons=S.horizons, kinds=("collision", "ksi")):
+    """{(kind, horizon): ensemble}, fitted side by side."""
     f = _features(spark, sf)
-    xcols = nbhd_feature_cols(f)
-    train, test = _split(f)
-    params = M.TreeParams(max_depth=6, min_instances=30, small_below=10_000, max_iter=trees)
-    col_t, ksi_t = f"target_collision_t{horizon}", f"target_ksi_t{horizon}"
-    m_col = M.fit_calibrated(train, xcols, col_t, ["date", "nbhd_id"], params)
-    m_ksi = (M.fit_calibrated(train, xcols, ksi_t, ["date", "nbhd_id"], params) if ksi
-             else M.CalibratedEnsemble(xcols, [], constant=0.0))
-    p = m_ksi.predict(m_col.predict(test, f"proba_collision_t{horizon}"), f"proba_ksi_t{horizon}")
-    p = p.withColumn(f"risk_score_t{horizon}", M.blend(f"proba_collision_t{horizon}", f"proba_ksi_t{horizon}",
-                                                       S.blend_collision, S.blend_ksi))
-    return p, m_col, m_ksi, xcols
-
-
-@query("nbhd_model_scores")
+    cols, train = nbhd_feature_cols(f), _split(f)[0]
+    wanted = [(k, h) for h in horizons for k in kinds]
+    have = _shared(spark, sf, "nbhd", dict)
+    todo = [w for w in wanted if w not in have]
+    have.update(zip(todo, M.fit_many([
+        lambda k=k, h=h: M.fit_calibrated(train, cols, f"target_{k}_t{h}", ["date", "nbhd_id"], _bounded(M.NBHD_PARAMS))
+        for k, h in todo])))
+    return {w: have[w] for w in wanted}
+
+
+def nbhd_scores(spark, sf):
+    """L2 + L3 + L7 + L8: both horizons' collision and KSI probabilities per area and test day and the
+    blended risk (date, nbhd_id, horizon, targets, probabilities, risk)."""
+    models, test = collision_models(spark, sf), _split(_features(spark, sf))[1]
+    out = []
+    for h in S.horizons:
+        p = models["ksi", h].predict(models["collision", h].predict(test, "proba_collision"), "proba_ksi")
+        out.append(p.select("date", "nbhd_id", F.lit(h).alias("horizon"), F.col(f"target_collision_t{h}").alias("target_collision"),
+                            F.col(f"target_ksi_t{h}").alias("target_ksi"), "proba_collision", "proba_ksi",
+                            M.blend("proba_collision", "proba_ksi", S.blend_collision, S.blend_ksi).alias("risk_score")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("nbhd_model_scores", sql(" UNION ALL ".join(
+    f"SELECT date, nbhd_id, {h} AS horizon, target_collision_t{h} AS target_collision, target_ksi_t{h} AS target_ksi, "
+    f"true AS proba_ok, true AS risk_ok FROM features WHERE date >= {SPLIT}" for h in S.horizons), feature_table_ctes()))
 def nbhd_model_scores(spark, sf):
-    """L2 + L3 + L7 + L8: collision and KSI probabilities T+1 per area-day
-    (KSI falls back to 0 without positives) and the blended risk score."""
-    p, *_ = _nbhd(spark, sf)
-    return p.select("date", "nbhd_id", "target_collision_t1", "target_ksi_t1", "proba_collision_t1",
-                    "proba_ksi_t1", "risk_score_t1")
+    """L2, L3, L7, L8, both horizons: every area and test day, probabilities and blend checked."""
+    s = nbhd_scores(spark, sf)
+    risk = F.col("proba_collision") * 0.6 + F.col("proba_ksi") * 0.4
+    return s.select("date", "nbhd_id", "horizon", "target_collision", "target_ksi",
+                    (_proba_ok("proba_collision") & _proba_ok("proba_ksi")).alias("proba_ok"),
+                    (F.abs(F.col("risk_score") - risk) < 1e-9).alias("risk_ok"))
 
 
-@query("feature_importance")
-def feature_importance(spark, sf):
+@query("no_positives_guard", sql(f"SELECT date, nbhd_id, 0.0::DOUBLE AS proba_ksi FROM features WHERE date >= {SPLIT}",
+                                 feature_table_ctes()))
+def no_positives_guard(spark, sf):
+    """A label without positives is not fitted, its scores are 0."""
+    f = spark_features(spark, sf).select("date", "nbhd_id", "collisions_lag1").withColumn("y", F.lit(0))
+    train, test = _split(cut_lineage(f))
+    model = M.fit_calibrated(train, ["collisions_lag1"], "y", ["date", "nbhd_id"], M.NBHD_PARAMS)
+    return model.predict(test, "proba_ksi").select("date", "nbhd_id", "proba_ksi")
+
+
+def importances(spark, sf):
     """Mean fold importances of the collision model, positive only, top 15."""
-    _, m_col, _, _ = _nbhd(spark, sf, ksi=False)
-    imp = m_col.importances(spark)
+    imp = collision_models(spark, sf, (1,), ("collision",))["collision", 1].importances(spark)
     return imp.where(F.col("importance") > 0).orderBy(F.desc("importance"), "feature").limit(15)
 
 
-@query("count_regressor")
-def count_regressor(spark, sf):
-    """Next-day count regressor (legacy ranking model) on lag/roll features."""
+@query("feature_importance", "SELECT 15::BIGINT AS n, true AS positive, true AS known, true AS shares")
+def feature_importance(spark, sf):
+    """Fifteen known features, each with a positive share, the shares at most 1 together."""
+    known = nbhd_feature_cols(_features(spark, sf))
+    return importances(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col("importance") > 0).alias("positive"),
+        F.min(F.col("feature").isin(known)).alias("known"), (F.sum("importance") <= 1 + 1e-9).alias("shares"))
+
+
+def count_scores(spark, sf):
+    """Predicted next-day counts of the test rows, from all columns but keys, targets and the same-day count."""
     f = _features(spark, sf)
-    xcols = [c for c in f.columns if c.startswith("collisions_lag") or c.startswith("collisions_roll")]
+    cols = [c for c in Su.numeric_columns(f, drop=TARGETS | {"nbhd_id"}) if c != "collisions"]
     train, test = _split(f)
-    model = M.fit_count_regressor(M.clean_features(train, xcols), xcols, "collisions_t1", REGISTRY_TREES)
-    pred = model.transform(M.clean_features(test, xcols))
-    return pred.select("date", "nbhd_id", "collisions_t1", F.col("prediction").alias("pred_collisions_t1"))
+    model = _shared(spark, sf, "count", lambda: M.fit_count_regressor(
+        train, cols, "collisions_t1", ["date", "nbhd_id"], _bounded(M.COUNT_PARAMS)))
+    return model.transform(M.clean_features(test, cols)).select(
+        "date", "nbhd_id", "collisions_t1", F.col("prediction").alias("pred_collisions_t1"))
 
 
-@query("strict_vs_enhanced")
-def strict_vs_enhanced(spark, sf):
-    """The same model without / with the same-day count; metric rows for both."""
+@query("count_regressor", sql(f"SELECT date, nbhd_id, collisions_t1, true AS pred_ok FROM features WHERE date >= {SPLIT}",
+                              feature_table_ctes()))
+def count_regressor(spark, sf):
+    """Every test row with a finite prediction."""
+    p = F.col("pred_collisions_t1")
+    return count_scores(spark, sf).select("date", "nbhd_id", "collisions_t1",
+                                          (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e6)).alias("pred_ok"))
+
+
+def comparison(spark, sf):
+    """The same model without and with the same-day count; metric rows for both."""
     f = _features(spark, sf)
     strict = nbhd_feature_cols(f)
-    enhanced = strict + ["collisions"]
     train, test = _split(f)
-    params = M.TreeParams(max_depth=6, min_instances=30, max_iter=REGISTRY_TREES)
+    kinds = {"strict": strict, "enhanced": [*strict, "collisions"]}
+    models = _shared(spark, sf, "comparison", lambda: M.fit_many([
+        lambda c=c: M.fit_balanced(train, c, "target_collision_t1", ["date", "nbhd_id"], _bounded(M.COMPARISON_PARAMS))
+        for c in kinds.values()]))
     rows = []
-    for name, cols in (("strict", strict), ("enhanced", enhanced)):
-        ens = M.fit_calibrated(train, cols, "target_collision_t1", ["date", "nbhd_id"], params)
-        p = cut_lineage(ens.predict(test, "p").select("date", "nbhd_id", "p", "target_collision_t1"))
+    for name, m in zip(kinds, models):
+        p = cut_lineage(m.predict(test, "p").select("date", "nbhd_id", "p", "target_collision_t1"))
         rows.append(Ev.classification_metrics(p, "p", "target_collision_t1", name))
     return rows[0].unionByName(rows[1])
 
 
-@query("score_latest")
+@query("strict_vs_enhanced", sql(f"""
+  SELECT model, n_test, pos_rate, true AS metrics_ok FROM (SELECT unnest(['strict', 'enhanced']) AS model),
+    (SELECT count(*) AS n_test, round_even(avg(CAST(target_collision_t1 AS DOUBLE)), 4) AS pos_rate
+     FROM features WHERE date >= {SPLIT})""", feature_table_ctes()))
+def strict_vs_enhanced(spark, sf):
+    """Test size and positive rate of both, their metrics within 0 and 1."""
+    ok = _proba_ok("roc_auc") & _proba_ok("pr_auc") & _proba_ok("brier")
+    return comparison(spark, sf).select("model", "n_test", "pos_rate", ok.alias("metrics_ok"))
+
+
+def latest_scores(spark, sf):
+    """The saved and reloaded T+1 models score every feature row: (city table, area table)."""
+    def make():
+        f = _features(spark, sf)
+        plain = f.drop(*[f"surge_proba_t{h}" for h in S.horizons])
+        models = {"surge": surge_models(spark, sf)[1], "nbhd": collision_models(spark, sf, (1,), ("collision",))["collision", 1]}
+        loaded = {}
+        for name, m in models.items():
+            path = f"{landing_dir(spark, 'models')}/{name}"
+            M.save(m, path)
+            loaded[name] = M.load(path, m.features, len(m.members), constant=m.constant)
+        city = cut_lineage(M.score_city(plain, loaded["surge"], CREATED_AT, VERSION))
+        return city, cut_lineage(M.score_areas(plain, city, loaded["nbhd"], CREATED_AT, VERSION))
+    return _shared(spark, sf, "latest", make)
+
+
+@query("score_latest", sql(f"""
+  SELECT date, nbhd_id, target_collision_t1, target_ksi_t1, target_collision_t2, target_ksi_t2, true AS t1_ok,
+         lead(date) OVER w IS NULL AS t2_null, true AS risk_ok, 0.0::DOUBLE AS proba_ksi_t1, 0.0::DOUBLE AS proba_ksi_t2,
+         '{CREATED_AT}' AS created_at, '{VERSION}' AS model_version
+  FROM features WINDOW w AS (PARTITION BY nbhd_id ORDER BY date)""", feature_table_ctes()))
 def score_latest(spark, sf):
-    """Fit, save and reload the collision model, score the latest
-    feature date(s), T+2 proxy = the next row's T+1 probability per area
-    (null at the end), labels at 0.5, fixed output columns with provenance."""
-    p, m_col, _, xcols = _nbhd(spark, sf, ksi=False)
-    root = landing_dir(spark, "models")
-    paths = []
-    for i, (gbt, iso) in enumerate(m_col.members):
-        gbt.write().overwrite().save(os.path.join(root, f"gbt{i}"))
-        iso.write().overwrite().save(os.path.join(root, f"iso{i}"))
-        paths.append(i)
-    from pyspark.ml.regression import IsotonicRegressionModel
-    loaded = M.CalibratedEnsemble(xcols, [(PipelineModel.load(os.path.join(root, f"gbt{i}")),
-                                           IsotonicRegressionModel.load(os.path.join(root, f"iso{i}")))
-                                          for i in paths], m_col.constant)
-    f = _features(spark, sf)
-    recent = f.where(F.col("date") >= F.date_sub(f.select(F.max("date")).scalar(), 6))
-    s = loaded.predict(recent, "proba_collision_t1")
-    w = Window.partitionBy("nbhd_id").orderBy("date")
-    s = s.withColumn("proba_collision_t2", F.lead("proba_collision_t1", 1).over(w))
-    return s.select("date", "nbhd_id", "proba_collision_t1",
-                    M.label_from_proba("proba_collision_t1").alias("label_t1"),
-                    "proba_collision_t2", M.label_from_proba("proba_collision_t2").alias("label_t2"),
-                    F.lit(0.0).alias("proba_ksi_t1"),
-                    F.lit("hoodcast-gbt-iso-v1").alias("model_version"))
+    """L8, L10-L13, areas: all fourteen columns over every feature row (probabilities as checks)."""
+    risk = F.coalesce(F.abs(F.col("risk_score_t1") - 0.6 * F.col("proba_collision_t1")) < 1e-9, F.lit(False)) \
+        & F.coalesce(F.abs(F.col("risk_score_t2") - 0.6 * F.col("proba_collision_t2")) < 1e-9, F.col("risk_score_t2").isNull())
+    return latest_scores(spark, sf)[1].select(
+        "date", "nbhd_id", "target_collision_t1", "target_ksi_t1", "target_collision_t2", "target_ksi_t2",
+        _proba_ok("proba_collision_t1").alias("t1_ok"), F.col("proba_collision_t2").isNull().alias("t2_null"),
+        risk.alias("risk_ok"), "proba_ksi_t1", "proba_ksi_t2", "created_at", "model_version")
+
+
+@query("score_latest_city", sql(f"""
+  SELECT date, 0.5::DOUBLE AS threshold, true AS t1_ok, true AS labels_ok, date = (SELECT max(date) FROM features) AS t2_null,
+         '{CREATED_AT}' AS created_at, '{VERSION}' AS model_version
+  FROM (SELECT DISTINCT date FROM features)""", feature_table_ctes()))
+def score_latest_city(spark, sf):
+    """L10-L13, city: all eight columns over every feature date (probabilities as checks)."""
+    labels = (F.col("surge_label_t1") == (F.col("surge_proba_t1") >= 0.5).cast("int")) \
+        & F.col("surge_label_t2").eqNullSafe((F.col("surge_proba_t2") >= 0.5).cast("int"))
+    return latest_scores(spark, sf)[0].select(
+        "date", "threshold", _proba_ok("surge_proba_t1").alias("t1_ok"), labels.alias("labels_ok"),
+        F.col("surge_proba_t2").isNull().alias("t2_null"), "created_at", "model_version")

@@ -195,3 +195,77 @@ def dq_column_profile(spark, sf):
 def dq_missing_rate(spark, sf):
     """Missing rate of the planned end and the severity of disruptions."""
     return Q.missing_rate(A.disruptions(spark, sf), ["PlannedEndDate", "Severity"])
+
+
+# ----------------------------------------------------------------------------
+# the gates over rows with planted faults
+# ----------------------------------------------------------------------------
+
+def _faulty(spark, sf):
+    """The dense panel with area 3's first days of a month twice, area 5's 13th days missing, area 7's
+    counts negative on Christmas Day and area 9's id lost on New Year's Day."""
+    p = I.dense(spark, sf).select("date", "nbhd_id", "collisions")
+    day = F.dayofmonth("date")
+    p = p.union(p.where((F.col("nbhd_id") == 3) & (day == 1))).where(~((F.col("nbhd_id") == 5) & (day == 13)))
+    xmas = (F.month("date") == 12) & (day == 25) & (F.col("nbhd_id") == 7)
+    new_year = (F.month("date") == 1) & (day == 1) & (F.col("nbhd_id") == 9)
+    return p.select("date", F.when(~new_year, F.col("nbhd_id")).alias("nbhd_id"),
+                    F.when(xmas, F.lit(-1)).otherwise(F.col("collisions")).cast("bigint").alias("collisions"))
+
+
+FAULTY = {"faulty": """
+  SELECT date, CASE WHEN NOT (month(date) = 1 AND day(date) = 1 AND nbhd_id = 9) THEN nbhd_id END AS nbhd_id,
+         CASE WHEN month(date) = 12 AND day(date) = 25 AND nbhd_id = 7 THEN -1 ELSE collisions END AS collisions
+  FROM (SELECT date, nbhd_id, collisions FROM panel
+        UNION ALL SELECT date, nbhd_id, collisions FROM panel WHERE nbhd_id = 3 AND day(date) = 1)
+  WHERE NOT (nbhd_id = 5 AND day(date) = 13)"""}
+
+
+@query("gate_duplicate_keys", sql(
+    "SELECT date, nbhd_id, count(*) AS n FROM faulty GROUP BY 1, 2 HAVING count(*) > 1", FAULTY))
+def gate_duplicate_keys(spark, sf):
+    """N1 over planted duplicates."""
+    return Q.duplicate_keys(_faulty(spark, sf), ["date", "nbhd_id"])
+
+
+@query("gate_density", sql("""
+  SELECT nbhd_id, n, d, span FROM (SELECT nbhd_id, count(*) AS n, count(DISTINCT date) AS d,
+         max(date) - min(date) + 1 AS span FROM faulty GROUP BY 1) WHERE n <> span OR d <> n""", FAULTY))
+def gate_density(spark, sf):
+    """T4 over planted gaps, duplicates and lost ids."""
+    return Q.density_violations(_faulty(spark, sf)).select("nbhd_id", "n", "d", F.col("span").cast("bigint").alias("span"))
+
+
+@query("gate_contract", sql("""
+  SELECT CAST(sum(CASE WHEN date IS NOT NULL THEN 0 ELSE 1 END) AS BIGINT) AS date_not_null,
+         CAST(sum(CASE WHEN nbhd_id >= 1 THEN 0 ELSE 1 END) AS BIGINT) AS nbhd_id_ge_1,
+         CAST(sum(CASE WHEN collisions >= 0 THEN 0 ELSE 1 END) AS BIGINT) AS collisions_ge_0 FROM faulty""", FAULTY))
+def gate_contract(spark, sf):
+    """N3 over planted negative counts and lost ids."""
+    rules = {k: v for k, v in Q.contract("gold").items() if k in ("date_not_null", "nbhd_id_ge_1", "collisions_ge_0")}
+    out = Q.contract_violations(_faulty(spark, sf), rules)
+    return out.select(*[F.col(c).cast("bigint").alias(c) for c in out.columns])
+
+
+@query("gate_key_grid", sql("""
+  SELECT date, nbhd_id FROM panel EXCEPT SELECT date, nbhd_id FROM faulty""", FAULTY))
+def gate_key_grid(spark, sf):
+    """Grid keys that the faulty table lacks."""
+    return Q.set_difference(I.dense(spark, sf), _faulty(spark, sf), ["date", "nbhd_id"])
+
+
+@query("gate_subset", sql("""
+  SELECT (SELECT count(*) FROM (SELECT date, nbhd_id FROM panel EXCEPT SELECT date, nbhd_id FROM faulty)) = 0 AS subset""", FAULTY))
+def gate_subset(spark, sf):
+    """H4: the panel's keys are not all in the faulty table."""
+    return Q.is_subset(I.dense(spark, sf), _faulty(spark, sf), ["date", "nbhd_id"])
+
+
+@query("gate_lookup", sql("""
+  SELECT n_name AS area_name, count(*) AS rows FROM customer JOIN nation ON c_nationkey = n_nationkey
+  WHERE n_nationkey >= 20 GROUP BY 1"""))
+def gate_lookup(spark, sf):
+    """customers' areas missing from a dimension that lacks the last five."""
+    c = read_table(spark, sf, "customer").join(read_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    dim = read_table(spark, sf, "nation").where("n_nationkey < 20").select(F.col("n_name").alias("name"))
+    return Q.missing_lookup(c.select(F.col("n_name").alias("area_name")), dim, "area_name", "name")

@@ -78,18 +78,29 @@ _DAILY = T.StructType([
 ])
 
 
-def read_columnar_daily(spark: SparkSession, path: str, expected_days: DataFrame | None = None) -> DataFrame:
-    """``{daily: {time: [...], <field>: [...]}}`` documents -> one row per day,
-    renamed to the engine's weather columns. Documents whose arrays disagree in
-    length are rejected (``bad_length`` rows dropped)."""
+def columnar_violations(spark: SparkSession, path: str, expected_days: int | None = None) -> DataFrame:
+    """A7 gate: documents without days, with arrays of unequal length, or (given ``expected_days``)
+    with another number of days: ``latitude, longitude, n_days, reason``."""
     raw = spark.read.schema(_DAILY).json(path)
-    lens = [F.size(F.col(f"daily.{k}")) for k in DAILY_FIELDS]
-    ok = F.size("daily.time") > 0
-    for n in lens:
-        ok = ok & (n == F.size("daily.time"))
+    n = F.coalesce(F.size("daily.time"), F.lit(-1))
+    unequal = F.lit(False)
+    for k in DAILY_FIELDS:
+        unequal = unequal | F.coalesce(F.size(f"daily.{k}") != n, F.lit(True))
+    reason = F.when(n <= 0, "no days").when(unequal, "unequal lengths")
+    if expected_days is not None:
+        reason = reason.when(n != expected_days, "day count")
+    return raw.select("latitude", "longitude", n.alias("n_days"), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def read_columnar_daily(spark: SparkSession, path: str, expected_days: int | None = None) -> DataFrame:
+    """``{daily: {time: [...], <field>: [...]}}`` documents -> one row per day, renamed to the
+    engine's weather columns. Raises when a document fails ``columnar_violations``."""
+    bad = columnar_violations(spark, path, expected_days).limit(10).collect()
+    if bad:
+        raise ValueError(f"columnar documents refused: {bad}")
     zipped = F.arrays_zip(F.col("daily.time").alias("time"),
                           *[F.col(f"daily.{k}").alias(v) for k, v in DAILY_FIELDS.items()])
-    rows = raw.where(ok).select("latitude", "longitude", F.inline(zipped))
+    rows = spark.read.schema(_DAILY).json(path).select("latitude", "longitude", F.inline(zipped))
     return rows.select(F.to_date("time").alias("date"), "latitude", "longitude", *DAILY_FIELDS.values())
 
 

@@ -1,19 +1,23 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from hoodcast.config import ADAPTER
 from hoodcast.operators import quality as Q
 from hoodcast.plans import inputs as I
 from hoodcast.plans import jobs
+from hoodcast.session import cut_lineage
 
 from conftest import SF_SMALL
 
 
 def test_build_features_and_refresh(spark):
     out = tempfile.mkdtemp(prefix="hoodcast-jobs-")
-    gold = I.gold_table(spark, SF_SMALL)
+    panel = cut_lineage(I.dense(spark, SF_SMALL))
+    gold = jobs.build_gold(panel, I.ksi_daily(spark, SF_SMALL), I.weather_daily(spark, SF_SMALL),
+                           I.disruption_daily(spark, SF_SMALL), os.path.join(out, "gold"))
     f = jobs.build_features(gold, I.adjacency(spark, SF_SMALL), os.path.join(out, "features"), ADAPTER)
     assert Q.duplicate_keys(f, ["date", "nbhd_id"]).count() == 0
     assert f.select(F.countDistinct("nbhd_id")).first()[0] == 25
@@ -25,3 +29,49 @@ def test_build_features_and_refresh(spark):
     merged = jobs.refresh(spark, state, landed, out=os.path.join(out, "state_v2"))
     assert merged.count() == state.count()
     assert merged.where(F.col("load_seq") == 2).count() == landed.count()
+    with pytest.raises(ValueError, match="off the grid"):
+        jobs.refresh(spark, state, landed.withColumn("nbhd_id", F.lit(99)), grid=state)
+
+
+def test_gates_raise(spark):
+    gold = cut_lineage(I.gold(spark, SF_SMALL))
+    adj = I.adjacency(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="hoodcast-gates-")
+    faults = {
+        "gold key": gold.union(gold.limit(1)),
+        "distinct nbhd_id": gold.where("nbhd_id <> 4"),
+        "collisions_ge_0": gold.withColumn("collisions", F.when(F.col("nbhd_id") == 4, -1).otherwise(F.col("collisions"))),
+        "gold days": gold.where("nbhd_id <> 4 OR dayofmonth(date) <> 7"),
+        "missing required": gold.drop("tavg"),
+    }
+    for text, bad in faults.items():
+        with pytest.raises(ValueError, match=text):
+            jobs.build_features(bad, adj, os.path.join(out, "f"), ADAPTER)
+    weather = I.weather_daily(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="days without weather"):
+        jobs.build_gold(gold.select("date", "nbhd_id", "area_id", "area_name", "collisions"), I.ksi_daily(spark, SF_SMALL),
+                        weather.where("dayofmonth(date) <> 9"), I.disruption_daily(spark, SF_SMALL), os.path.join(out, "g"))
+
+
+def test_train_and_score(spark):
+    """Train both layers on a slice with few trees, save, reload and score every row."""
+    from hoodcast.operators import models as M
+    out = tempfile.mkdtemp(prefix="hoodcast-train-")
+    f = cut_lineage(I.features(spark, SF_SMALL).where("nbhd_id <= 4 AND date >= '1999-01-01'"))
+    few = M.TreeParams(max_iter=2, max_depth=3, fit_rows=400)
+    surge = jobs.train_surge(f, os.path.join(out, "surge"), ADAPTER, few)
+    assert surge.count() == f.where(F.col("date") >= F.lit(ADAPTER.split_date)).select("date").distinct().count()
+    preds = jobs.train_nbhd(f, surge, os.path.join(out, "nbhd"), ADAPTER, few)
+    assert preds.count() == f.where(F.col("date") >= F.lit(ADAPTER.split_date)).count()
+    assert Q.duplicate_keys(preds, ["date", "nbhd_id"]).count() == 0
+    train = f.where(F.col("date") < F.lit(ADAPTER.split_date))
+    city = M.fit_calibrated(train, ["collisions", "tavg"], "target_collision_t1", ["date", "nbhd_id"], few)
+    area = M.fit_calibrated(train, ["collisions_lag1", "surge_proba_t1"], "target_collision_t1", ["date", "nbhd_id"],
+                            few) if "surge_proba_t1" in train.columns else city
+    M.save(area, os.path.join(out, "m"))
+    area = M.load(os.path.join(out, "m"), area.features, len(area.members), constant=area.constant)
+    c, a = jobs.score(f, city, area, os.path.join(out, "scores"), "now", "v")
+    assert len(c.columns) == 8 and len(a.columns) == 14 and a.count() == f.count()
+    last = a.groupBy("nbhd_id").agg(F.max("date").alias("date"))
+    assert a.where("proba_collision_t2 IS NULL").join(last, ["nbhd_id", "date"]).count() == 4
+    assert a.where("proba_collision_t2 IS NULL").count() == 4
