@@ -30,6 +30,7 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go, and documents of which nothing but such lines is there."""
+    ship(spark)
     out = line_dedup.drop_recurring(docs).where("left")
     changed = F.col("n_dropped") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text")),
@@ -42,6 +43,7 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of linked documents the one with the smallest id stays (one of them, if
     rows share it; documents without an id come last). Rows get a number of their own,
     written with them, so that ids need not be unique."""
+    ship(spark)
     path = os.path.join(ensure_checkpoint_dir(spark), "near", uuid.uuid4().hex)
     rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), path)
     linked = jaccard_join.link(rows.select("__row", "text"), "__row", n=SHINGLE, percent=PERCENT)
@@ -59,6 +61,7 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left, tokenised and packed: pieces with their ids and places."""
+    ship(spark)
     return packing.pack(docs)
 
 
@@ -74,7 +77,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = os.path.join(ensure_checkpoint_dir(spark), "pipeline", uuid.uuid4().hex, name)

@@ -25,8 +25,16 @@ def query(name: str, oracle: str | None = None):
 _shipped: set[str] = set()
 
 
+#: Rows of text that one Arrow batch carries: a few MB on either side of the worker's pipe.
+BATCH_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application (Spark distributes the archive)."""
+    """Give the Python workers this package, once per application (Spark distributes the archive),
+    and, unless the session has its own, a batch size fit for rows of text."""
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         _shipped.add(sc.applicationId)
