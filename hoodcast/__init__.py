@@ -7,7 +7,7 @@ functions  column-expression helpers (casts, maps, flags, calendar)
 operators  DataFrame -> DataFrame operators (geo, panel, windows, features,
            surge, evaluation, quality gates, models, reports)
 plans      end-to-end jobs and the query catalogue used by ``__spark_entry__``
-streaming  the daily refresh expressed as an ``availableNow`` stream
+llm        training-data operators (optional; nothing else imports it)
 """
 
 from hoodcast.config import Settings, DEFAULTS  # noqa: F401

@@ -37,7 +37,7 @@ KSI_COLS = (
     "ksi_weighted_score",
 )
 WEATHER_COLS = ("tavg", "tmin", "tmax", "prcp", "snow", "wspd")
-# Same-day actuals and identifiers never used as model inputs.
+# Keys, names and measures of the day itself, which a model must not see.
 BASE_LEAKAGE = frozenset({
     "date", "nbhd_id", "area_id", "AREA_ID", "area_name", "AREA_NAME",
     "geometry", "collisions", "city_collisions",

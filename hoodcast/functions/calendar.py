@@ -10,65 +10,20 @@ Observed (moved) dates are optional and off by default.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _nth_monday(year: Column, month: int, n: int) -> Column:
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    # weekday(): Monday = 0
-    offset = F.pmod(F.lit(7) - F.weekday(first), F.lit(7))
-    return F.date_add(first, offset + F.lit(7 * (n - 1)))
+def is_holiday(d: str, include_observed: bool = False) -> Column:
+    """Row expression: is the date ``d`` (SQL text) one of the nine holidays of its own year?
+    With ``include_observed`` the Monday after a holiday on a weekend counts too."""
+    def named(x: str) -> str:
+        return f"array_contains({holidays_of_year_sql(f'year({x})')}, {x})"
 
-
-def _easter_sunday(year: Column) -> Column:
-    """Anonymous Gregorian computus, integer arithmetic only."""
-    y = year
-    a = y % 19
-    b = F.floor(y / 100)
-    c = y % 100
-    d = F.floor(b / 4)
-    e = b % 4
-    f = F.floor((b + 8) / 25)
-    g = F.floor((b - f + 1) / 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i = F.floor(c / 4)
-    k = c % 4
-    el = (e * 2 + i * 2 - h - k + 32) % 7
-    m = F.floor((a + h * 11 + el * 22) / 451)
-    month = F.floor((h + el - m * 7 + 114) / 31)
-    day = (h + el - m * 7 + 114) % 31 + 1
-    return F.make_date(y.cast("int"), month.cast("int"), day.cast("int"))
-
-
-def _rules(y: Column) -> list:
-    may24 = F.make_date(y, F.lit(5), F.lit(24))
-    return [
-        F.make_date(y, F.lit(1), F.lit(1)),
-        F.when(y >= 2008, _nth_monday(y, 2, 3)),
-        F.date_sub(_easter_sunday(y), 2),
-        F.date_sub(may24, F.weekday(may24)),
-        F.make_date(y, F.lit(7), F.lit(1)),
-        _nth_monday(y, 9, 1),
-        _nth_monday(y, 10, 2),
-        F.make_date(y, F.lit(12), F.lit(25)),
-        F.make_date(y, F.lit(12), F.lit(26)),
-    ]
-
-
-def is_holiday(d: Column, include_observed: bool = False) -> Column:
-    """Row expression: is ``d`` one of the nine holidays of its own year?
-
-    No lookup table: each rule is evaluated for ``year(d)`` and compared.
-    """
-    y = F.year(d)
-    hit = F.lit(False)
-    for r in _rules(y):
-        hit = hit | F.coalesce(d == r, F.lit(False))
+    hit = named(d)
     if include_observed:
-        wd = F.weekday(d)
-        hit = hit | ((wd == 0) & (is_holiday(F.date_sub(d, 1)) | is_holiday(F.date_sub(d, 2))))
-    return hit
+        hit = f"({hit} OR (weekday({d}) = 0 AND ({named(f'date_sub({d}, 1)')} OR {named(f'date_sub({d}, 2)')})))"
+    return F.expr(hit)
 
 
 def holidays_of_year_sql(y: str) -> str:
@@ -98,23 +53,6 @@ def holidays_of_year_sql(y: str) -> str:
     return f"filter(array({', '.join(rules)}), x -> x IS NOT NULL)"
 
 
-def holidays_of_year(y: Column | str) -> Column:
-    """Array of the holiday dates of year ``y`` (Family Day absent before 2008).
-    ``y`` is a Column or SQL text."""
-    if isinstance(y, str):
-        return F.expr(holidays_of_year_sql(y))
-    return F.filter(F.array(*_rules(y)), lambda d: d.isNotNull())
-
-
-def holiday_dates(years: DataFrame, year_col: str = "year",
-                  include_observed: bool = False) -> DataFrame:
-    """One row per (holiday date) for the distinct years in ``years``."""
-    y = F.col(year_col).cast("int")
-    out = years.select(F.explode(F.array(*_rules(y))).alias("holiday")).where(F.col("holiday").isNotNull())
-    if include_observed:
-        # weekend holiday -> following Monday (Sat +2, Sun +1), kept alongside the day itself
-        wd = F.weekday("holiday")
-        obs = out.select(F.when(wd == 5, F.date_add("holiday", 2))
-                         .when(wd == 6, F.date_add("holiday", 1)).alias("holiday")).dropna()
-        out = out.unionByName(obs)
-    return out.distinct()
+def holidays_of_year(y: str) -> Column:
+    """Array of the holiday dates of the year ``y`` (SQL text); Family Day is absent before 2008."""
+    return F.expr(holidays_of_year_sql(y))

@@ -30,7 +30,7 @@ def calendar_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     d = F.col("date")
     src = df
     if obs:
-        is_h, pre, post = is_holiday(d, True), is_holiday(F.date_add(d, 1), True), is_holiday(F.date_sub(d, 1), True)
+        is_h, pre, post = (is_holiday(x, True) for x in ("`date`", "date_add(`date`, 1)", "date_sub(`date`, 1)"))
     else:
         # the year's holiday array is built once per row and referenced three times
         src = df.withColumn("__hol", holidays_of_year("year(`date`)"))

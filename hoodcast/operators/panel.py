@@ -103,12 +103,12 @@ def ksi_daily(persons: DataFrame) -> DataFrame:
 
 
 def weather_daily(raw: DataFrame) -> DataFrame:
-    """K7: required columns (N6), numeric coercion (B5), flags."""
+    """K7: required columns (N6), numeric coercion (B5), NaN to null (T8), flags."""
     missing = [c for c in ("date",) + WEATHER_COLS if c not in raw.columns]
     if missing:
         raise ValueError(f"weather input lacks columns {missing}")
     w = raw.select(F.to_date("date").alias("date"),
-                   *[C.to_number(F.col(c), "double").alias(c) for c in WEATHER_COLS])
+                   *[C.nan_to_null(C.to_number(F.col(c), "double")).alias(c) for c in WEATHER_COLS])
     return w.select("*",
                     C.flag(F.col("tmin") <= 0).alias("freeze_day"),
                     C.flag(F.col("snow") > 0).alias("snow_day"),

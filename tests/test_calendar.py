@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from hoodcast.config import Settings
 from hoodcast.operators.features import calendar_features
 
 
@@ -30,3 +31,11 @@ def test_year_end_boundaries(spark):
     assert r[dt.date(2023, 12, 31)]["pre_holiday"] == 1 and r[dt.date(2023, 12, 31)]["is_holiday"] == 0
     assert r[dt.date(2024, 1, 2)]["post_holiday"] == 1
     assert r[dt.date(2024, 1, 1)]["post_holiday"] == 0
+
+
+def test_observed(spark):
+    """Boxing Day 2021 is a Sunday and Christmas a Saturday: the Monday after counts when asked for."""
+    df = spark.createDataFrame([(dt.date(2021, 12, 27),), (dt.date(2021, 12, 28),)], "date date")
+    for observed, want in ((False, [0, 0]), (True, [1, 0])):
+        r = calendar_features(df, Settings(include_observed_holidays=observed)).orderBy("date").collect()
+        assert [x["is_holiday"] for x in r] == want

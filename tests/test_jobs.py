@@ -60,7 +60,8 @@ def test_train_and_score(spark):
     f = cut_lineage(I.features(spark, SF_SMALL).where("nbhd_id <= 4 AND date >= '1999-01-01'"))
     few = M.TreeParams(max_iter=2, max_depth=3, fit_rows=400)
     surge = jobs.train_surge(f, os.path.join(out, "surge"), ADAPTER, few)
-    assert surge.count() == f.where(F.col("date") >= F.lit(ADAPTER.split_date)).select("date").distinct().count()
+    # the last day has no next day to be labelled by
+    assert surge.count() == f.where(F.col("date") >= F.lit(ADAPTER.split_date)).select("date").distinct().count() - 1
     preds = jobs.train_nbhd(f, surge, os.path.join(out, "nbhd"), ADAPTER, few)
     assert preds.count() == f.where(F.col("date") >= F.lit(ADAPTER.split_date)).count()
     assert Q.duplicate_keys(preds, ["date", "nbhd_id"]).count() == 0
