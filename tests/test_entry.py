@@ -3,7 +3,7 @@ import duckdb
 import __spark_entry__ as E
 from hoodcast.sources.tables import TABLES, table_path
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 #: Some of every family; ``tools/check_oracle.py`` runs them all.
 FAST = ["dense_panel", "ksi_daily", "weather_daily", "disruption_daily", "topk_trailing30", "adjacency_touches",

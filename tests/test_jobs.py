@@ -10,7 +10,7 @@ from hoodcast.plans import inputs as I
 from hoodcast.plans import jobs
 from hoodcast.session import cut_lineage
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def test_build_features_and_refresh(spark):
