@@ -84,10 +84,12 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     t = Words(start, end, first)
     value = word_hashes(low, t)
     number = _DIGIT[data[start]]
-    # capitalised: A-Z, or an upper-case Latin letter of two bytes
-    lead = data[start]
-    follow = data[np.minimum(start + 1, len(data) - 1)] if len(data) else lead
-    capital = ((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (follow >= 0x80) & (follow <= 0x9E))
+    # capitalised: A-Z, or an upper-case Latin letter of two bytes, and no A-Z after it
+    # (a word in capitals is not a name)
+    byte = lambda k: data[np.minimum(start + k, len(data) - 1)] if len(data) else data[start]
+    upper = lambda x: (x >= 65) & (x <= 90)
+    latin = (byte(0) == 0xC3) & (byte(1) >= 0x80) & (byte(1) <= 0x9E)
+    capital = np.where(latin, ~(upper(byte(2)) & (start + 2 < end)), upper(byte(0)) & ~(upper(byte(1)) & (start + 1 < end)))
     # a sentence begins at a text's first word and after a stop, which lies between two words
     stops = np.cumsum(np.append(0, _STOP[data]))
     opens = np.ones(len(start), bool)

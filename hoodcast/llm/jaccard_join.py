@@ -53,8 +53,9 @@ from hoodcast.session import ensure_checkpoint_dir
 
 #: log2 of the bits of the id filter, which only saves reading: its size is fixed.
 FILTER_BITS = 26
-#: Sets of one group compared by one task at most; index entries that two linked sets share at least.
-BLOCK, SHARED = 8192, 8
+#: Sets of one group compared by one task at most, and bytes of their bitmaps; index entries that
+#: two linked sets share at least.
+BLOCK, BLOCK_BYTES, SHARED = 8192, 16 << 20, 8
 
 
 def shingles(s: Slice, n: int) -> list[np.ndarray]:
@@ -240,7 +241,8 @@ def fold(blob: bytes, size: int) -> np.ndarray:
 def _candidates(met: DataFrame, group: DataFrame, percent: int, block: int) -> DataFrame:
     """Pairs (a, b) that the bitmaps leave, of each pair of groups met; a group's rows go once to
     each pair of parts they belong to."""
-    sizes = group.groupBy("leader", "class").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    sizes = group.groupBy("leader", "class").agg(F.ceil(F.greatest(
+        F.count("*") / block, F.sum(F.octet_length("bits")) / BLOCK_BYTES)).cast("int").alias("parts"))
     s = {k: sizes.select(F.col("leader").alias(f"{k}_leader"), F.col("class").alias(f"{k}_class"),
                          F.col("parts").alias(f"{k}_parts")) for k in "xy"}
     jobs = met.join(s["x"], ["x_leader", "x_class"]).join(s["y"], ["y_leader", "y_class"])

@@ -166,14 +166,14 @@ def test_decontamination_of_reparameterised_questions(spark, nothing):
         (12, "A train travels 80 miles in 4 days while another train covers 70 miles in the same span of time"),
         (13, "a train travels 60 km in 2 hours while another train covers 90 km in the same span of time, said Tom"),
         (14, None), (15, ""), (16, "Nothing of the sort is in here at all, only words that say little of any train or farmer."),
-        (17, "A train travels 60 km in"), (10, "again an id"), (None, ITEMS[1][1]),
+        (17, "A train travels 60 km in"), (19, ITEMS[1][1].upper()), (10, "again an id"), (None, ITEMS[1][1]),
         (18, "A farmer named Eva has 7 red apples and gives 2 of them to his friend Eva before Eva walks home"),
     ]
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.exact for r in decontaminate.find(d, b).collect()}
     # 11: Tom stands for Eva and for Ida; 18: Tom and Ann both for Eva
-    assert got == {(10, 1): False, (12, 2): False, (13, 2): True, (None, 2): True}
+    assert got == {(10, 1): False, (12, 2): False, (13, 2): True, (19, 2): True, (None, 2): True}
     assert decontaminate.find(nothing, b).count() == 0
     assert decontaminate.find(d, b.limit(0)).count() == 0
     left = decontaminate.drop_contaminated(d.withColumn("hash", F.lit(1)), b)
@@ -206,7 +206,8 @@ def brute_template(text):
             kind = "<num>"
         elif number and low in decontaminate.UNITS:
             kind = "<unit>"
-        elif (core[0].isascii() and core[0].isupper() or "À" <= core[0] <= "Þ") and not opens:
+        elif (core[0].isascii() and core[0].isupper() or "À" <= core[0] <= "Þ") and not opens \
+                and not (core[1:2].isascii() and core[1:2].isupper()):
             kind = "<name>"
         else:
             kind = low
@@ -218,7 +219,7 @@ def brute_template(text):
 def test_template_brute_force():
     import numpy as np
     texts = ["Tom has 5 kg, and Ann 3.5 km. The Road (to Élan) is 10kg long!\nNow \"Eva\" -- 7 hours: Yes", "", "x 5 m Y",
-             "km 5", "1,000 dollars? No Name here"]
+             "km 5", "1,000 dollars? No Name here", "we saw NASA, ÉTAT and I go TO Élan A"]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
     token, value, t = decontaminate.template(data, offsets)
