@@ -24,10 +24,17 @@ def _rollup_cols():
     return [c for c in feature_column_names() if c not in NON_NUMERIC and c not in BASE_LEAKAGE]
 
 
+#: The oracle's own statement of the roll-up rules: first fragment list that a name matches wins.
+ROLLUP_SQL = {
+    False: [("sum", ("count", "collisions", "weighted", "score", "victims", "halo", "pressure", "lag", "roll", "momentum"))],
+    True: [("max", ("is_", "disrupted", "pressure")), ("sum", ("count", "collisions", "weighted"))],
+}
+
+
 def _city_sql(three_way: bool) -> str:
     parts = ["round(CAST(sum(collisions) AS DOUBLE), 6) AS collisions"]
     for c in _rollup_cols():
-        fn = {"sum": "sum", "mean": "avg", "max": "max"}[Su.rollup_rule(c, three_way)]
+        fn = next((f for f, fragments in ROLLUP_SQL[three_way] if any(x in c for x in fragments)), "avg")
         parts.append(f"round(CAST({fn}({c}) AS DOUBLE), 6) AS {c}")
     return sql(f"SELECT date, {', '.join(parts)} FROM features GROUP BY date", feature_table_ctes())
 

@@ -117,3 +117,29 @@ def test_lcc_round_trip(spark):
         assert abs(row["lon"] - row["lon2"]) < 1e-9 and abs(row["lat"] - row["lat2"]) < 1e-9
     origin = [row for row in r if row["lon"] == -95.0][0]
     assert abs(origin["x"]) < 1e-6 and abs(origin["y"]) < 1e-6  # projection origin (lon0, lat0)
+
+
+def test_lcc_against_its_definition(spark):
+    """EPSG:3978 by its definition: origin 49 N 95 W, true scale along 49 N and 77 N, conformal between."""
+    import math
+
+    from pyspark.sql import functions as F
+    a, e2 = 6378137.0, 0.00669438002290
+    step = 1e-4
+    pts = []
+    for lat in (49.0, 77.0, 60.0):
+        pts += [(-95.0, lat), (-95.0 + step, lat), (-95.0, lat + step), (-70.0, lat), (-120.0, lat)]
+    df = spark.createDataFrame(pts, "lon double, lat double")
+    x, y = geo.lcc_forward(F.col("lon"), F.col("lat"))
+    at = {(r.lon, r.lat): (r.x, r.y) for r in df.select("lon", "lat", x.alias("x"), y.alias("y")).collect()}
+    assert max(map(abs, at[-95.0, 49.0])) < 1e-6
+    for lat in (49.0, 77.0, 60.0):
+        phi = math.radians(lat)
+        w = math.sqrt(1 - e2 * math.sin(phi) ** 2)
+        east, north = a / w * math.cos(phi) * math.radians(step), a * (1 - e2) / w ** 3 * math.radians(step)
+        k_east = math.dist(at[-95.0, lat], at[-95.0 + step, lat]) / east
+        k_north = math.dist(at[-95.0, lat], at[-95.0, lat + step]) / north
+        assert abs(k_east - k_north) < 1e-4
+        assert (abs(k_east - 1) < 1e-4) == (lat != 60.0) and k_east < 1 + 1e-4
+        (xe, ye), (xw, yw) = at[-70.0, lat], at[-120.0, lat]
+        assert abs(xe + xw) < 1e-6 and abs(ye - yw) < 1e-6 and xe > 0
