@@ -51,7 +51,7 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stay = linked.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first"))
     stay = staged(stay.select(F.col("first.__row").alias("__row")), os.path.join(path + "-stay"))
-    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
+    return rows.join(stay.hint("merge"), "__row", "left_semi").select(*docs.columns)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

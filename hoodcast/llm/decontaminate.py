@@ -221,7 +221,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     texts = docs.select(key.alias("__key"), F.col(text_col).alias("text"))
     bad = staged(find(texts, benchmark, id_col="__key", text_col="text", **options).select("__key").distinct(),
                  os.path.join(ensure_checkpoint_dir(spark), "decontaminate", uuid.uuid4().hex))
-    return docs.withColumn("__key", key).join(bad, "__key", "left_anti").select(*docs.columns)
+    # sort-merge at every size: a broadcast would fit small inputs only
+    return docs.withColumn("__key", key).join(bad.hint("merge"), "__key", "left_anti").select(*docs.columns)
 
 
 @query("op3_benchmark_decontamination")

@@ -18,7 +18,8 @@ n-gram sets have a Jaccard similarity of at least ``percent`` %, as components.
   within them the leader distances and then parity bitmaps, an upper bound of the
   intersection, rule out pairs before any set is read. Groups longer than ``block``
   are dealt to several tasks by pairs of parts.
-* What is left is compared exactly, and the components are joined.
+* What is left is compared exactly, and the components are joined. First, twice, only the
+  likeliest pairs of each set, then, between the components that are still apart, all.
 
 Two links between the same components add nothing, so pairs within one are skipped;
 no link between components is lost. Nothing is capped.
@@ -56,6 +57,8 @@ FILTER_BITS = 26
 #: Sets of one group compared by one task at most, and bytes of their bitmaps; index entries that
 #: two linked sets share at least.
 BLOCK, BLOCK_BYTES, SHARED = 8192, 16 << 20, 8
+#: Rounds in which a set names its LIKELIEST pairs only, before the round that takes all that are left.
+ROUNDS, LIKELIEST = 2, 2
 
 
 def shingles(s: Slice, n: int) -> list[np.ndarray]:
@@ -170,8 +173,8 @@ def verify(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
 _JOB = ["x_leader", "x_class", "y_leader", "y_class", "p", "q"]
 
 
-def _bundle(percent: int):
-    one = _block_pairs(percent)
+def _bundle(percent: int, likeliest: int | None):
+    one = _block_pairs(percent, likeliest)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         g = rows.sort_values([*_JOB, "n", "rep"], kind="stable")
@@ -185,9 +188,17 @@ def _bundle(percent: int):
     return run
 
 
-def _block_pairs(percent: int):
+def _best(p: np.ndarray, q: np.ndarray, surplus: np.ndarray, k: int) -> np.ndarray:
+    """For each set in ``p`` or ``q`` the places of its ``k`` pairs of the greatest surplus."""
+    own, at = np.concatenate([p, q]), np.tile(np.arange(len(p)), 2)
+    order = np.lexsort((-np.tile(surplus, 2), own))
+    first = np.searchsorted(own[order], own[order])
+    return np.unique(at[order[np.arange(len(order)) - first < k]])
+
+
+def _block_pairs(percent: int, likeliest: int | None = None):
     """Pairs of one group, or of two groups or parts (``side``), that may link across components;
-    the rows come sorted by size."""
+    the rows come sorted by size. ``likeliest``: only so many a set, by the bound on the intersection."""
     t = Fraction(percent, 100)
 
     def run(g: dict[str, np.ndarray]) -> np.ndarray:
@@ -223,10 +234,20 @@ def _block_pairs(percent: int):
                     continue
                 p, q = p + lo, q + lo + 1
                 differ = np.bitwise_count(table_[p - start] ^ table_[q - start]).sum(1, dtype=np.int64)
-                may = (n[p] + n[q] - differ) // 2 >= need[p - lo, q - lo - 1]
-                out.append(np.stack([np.minimum(rep[p[may]], rep[q[may]]), np.maximum(rep[p[may]], rep[q[may]])], 1))
+                surplus = (n[p] + n[q] - differ) // 2 - need[p - lo, q - lo - 1]
+                may = surplus >= 0
+                out.append(np.stack([p[may], q[may], surplus[may]], 1))
+                if likeliest and sum(map(len, out)) > 1 << 20:  # a set's best so far are enough
+                    every = np.concatenate(out)
+                    out = [every[_best(*every.T, likeliest)]]
             start = stop
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        if not out:
+            return np.zeros((0, 2), np.int64)
+        every = np.concatenate(out)
+        if likeliest:
+            every = every[_best(*every.T, likeliest)]
+        a, b = rep[every[:, 0]], rep[every[:, 1]]
+        return np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
     return run
 
 
@@ -238,7 +259,27 @@ def fold(blob: bytes, size: int) -> np.ndarray:
     return x
 
 
-def _candidates(met: DataFrame, group: DataFrame, percent: int, block: int) -> DataFrame:
+def _met(lists: DataFrame, group: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (x, y) that may hold a link across components: their blocks meet, not ruled out,
+    in as many lists as two linked sets share."""
+    blocks = lists.join(group, "rep").groupBy("key", "leader", "class").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("n", "at", "component")])
+    x = blocks.select("key", *[F.col(c).alias(f"x_{c}") for c in blocks.columns if c != "key"])
+    y = blocks.select("key", *[F.col(c).alias(f"y_{c}") for c in blocks.columns if c != "key"])
+    met = x.join(y, "key").where(f"""
+        struct(x_leader, x_class) <= struct(y_leader, y_class)
+        AND NOT (x_min_component = x_max_component AND y_min_component = y_max_component
+                 AND x_min_component = y_min_component)
+        AND {percent} * x_min_n <= 100 * y_max_n AND {percent} * y_min_n <= 100 * x_max_n
+        AND least(x_max_at, y_max_at) + least(x_max_n - x_min_at, y_max_n - y_min_at)
+            >= {percent} * (x_min_n + y_min_n) / (100.0 + {percent})""")
+    least = F.expr(f"least({SHARED}, ceil({percent} * min(least(x_min_n, y_min_n)) / 100))")
+    met = met.groupBy("x_leader", "x_class", "y_leader", "y_class").agg(F.count("*").alias("lists"), least.alias("least"))
+    return met.where("lists >= least").drop("lists", "least")
+
+
+def _candidates(met: DataFrame, group: DataFrame, component: DataFrame, percent: int, block: int,
+                likeliest: int | None) -> DataFrame:
     """Pairs (a, b) that the bitmaps leave, of each pair of groups met; a group's rows go once to
     each pair of parts they belong to."""
     sizes = group.groupBy("leader", "class").agg(F.ceil(F.greatest(
@@ -252,7 +293,7 @@ def _candidates(met: DataFrame, group: DataFrame, percent: int, block: int) -> D
         "CASE WHEN x_leader = y_leader AND x_class = y_class THEN array(0) ELSE array(0, 1) END")).alias("side"))
     mine = mine.withColumn("leader", F.expr("IF(side = 0, x_leader, y_leader)")) \
         .withColumn("class", F.expr("IF(side = 0, x_class, y_class)"))
-    r = mine.join(group, ["leader", "class"]) \
+    r = mine.join(group.join(component, "rep"), ["leader", "class"]) \
         .withColumn("part", F.expr("pmod(xxhash64(rep), IF(side = 0, x_parts, y_parts))").cast("int")) \
         .withColumn("other", F.explode(F.expr("sequence(0, IF(side = 0, y_parts, x_parts) - 1)")))
     r = r.withColumn("p", F.expr("IF(alone, least(part, other), IF(side = 0, part, other))")) \
@@ -261,7 +302,7 @@ def _candidates(met: DataFrame, group: DataFrame, percent: int, block: int) -> D
     # many pairs of groups are tiny: some go to one call together
     bundles = 16 * int(group.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = r.select(F.pmod(F.xxhash64(*key, "p", "q"), F.lit(bundles)).alias("bundle"), *key, "p", "q", "side", "rep", "component", "n", "d", "leader", "bits")
-    return r.groupBy("bundle").applyInPandas(_bundle(percent), "a long, b long").distinct()
+    return r.groupBy("bundle").applyInPandas(_bundle(percent, likeliest), "a long, b long").distinct()
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
@@ -295,11 +336,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"))
         lists = lists.join(full, "key")
         busy = staged(lists.groupBy("rep").agg(F.count("*").alias("found"), need.alias("need"))
-                      .where("found >= need").select("rep"), at(f"busy{k}"))
-        lists = staged(lists.join(busy, "rep"), at(f"lists{k}"))
+                      .where("found >= need").drop("need"), at(f"busy{k}"))
+        lists = staged(lists.drop("found").join(busy, "rep"), at(f"lists{k}"))
 
     # every set against the one leader with which it shares most lists
-    heads = staged(lists.groupBy("key").agg(F.min("rep").alias("leader")), at("heads"))
+    heads = staged(lists.groupBy("key").agg(F.max_by("rep", F.struct("found", -F.col("rep"))).alias("leader")), at("heads"))
     led = lists.join(heads, "key").groupBy("rep", "leader").agg(F.count("*").alias("count"), F.max("n").alias("n"))
     led = led.groupBy("rep").agg(
         F.coalesce(F.max_by("leader", F.when(F.col("rep") != F.col("leader"), F.struct("count", -F.col("leader")))),
@@ -311,33 +352,22 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
                   .join(led.select("rep"), "rep").dropDuplicates(["rep"]), at("sets"))
     first = staged(verify(pairs, sets, n), at("verified1"))
     linked = F.expr(f"100 * common >= {percent} * union")
-    label = staged(connected_components(first.where(linked), at("components1")), at("labels1"))
-
-    # sets by group: leader, distance to it, size class, component so far
+    # sets by group: leader, distance to it, size class
     known = first.select(F.col("a").alias("rep"), (1 - F.col("common") / F.col("union")).alias("d"))
-    group = led.join(known, "rep", "left").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "n", "leader", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("component", "rep").alias("component"),
-        F.floor(F.log("n") / -np.log(percent / 100)).cast("int").alias("class"))
+    group = led.join(known, "rep", "left").join(sets.select("rep", "bits"), "rep").select(
+        "rep", "n", "leader", F.coalesce("d", F.lit(0.0)).alias("d"),
+        F.floor(F.log("n") / -np.log(percent / 100)).cast("int").alias("class"), "bits")
     group = staged(group, at("groups"))
-    blocks = lists.drop("n").join(group, "rep").groupBy("key", "leader", "class").agg(
-        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("n", "at", "component")])
-    blocks = staged(blocks, at("blocks"))
-    x = blocks.select("key", *[F.col(c).alias(f"x_{c}") for c in blocks.columns if c != "key"])
-    y = blocks.select("key", *[F.col(c).alias(f"y_{c}") for c in blocks.columns if c != "key"])
-    met = x.join(y, "key").where(f"""
-        struct(x_leader, x_class) <= struct(y_leader, y_class)
-        AND NOT (x_min_component = x_max_component AND y_min_component = y_max_component
-                 AND x_min_component = y_min_component)
-        AND {percent} * x_min_n <= 100 * y_max_n AND {percent} * y_min_n <= 100 * x_max_n
-        AND least(x_max_at, y_max_at) + least(x_max_n - x_min_at, y_max_n - y_min_at)
-            >= {percent} * (x_min_n + y_min_n) / (100.0 + {percent})""")
-    least = F.expr(f"least({SHARED}, ceil({percent} * min(least(x_min_n, y_min_n)) / 100))")
-    met = met.groupBy("x_leader", "x_class", "y_leader", "y_class").agg(F.count("*").alias("lists"), least.alias("least"))
-    met = staged(met.where("lists >= least").drop("lists", "least"), at("met"))
-    second = _candidates(met, staged(group.join(sets.select("rep", "bits"), "rep"), at("bitmaps")), percent, block)
-    more = staged(verify(staged(second, at("pairs2")), sets, n), at("verified2"))
-    links = first.where(linked).select("a", "b").union(more.where(linked).select("a", "b"))
-    labels = connected_components(links, at("components2"))
+    links = first.where(linked).select("a", "b")
+    for k in range(ROUNDS + 1):
+        label = connected_components(links, at(f"components{k}")).withColumnRenamed("node", "rep")
+        component = staged(led.select("rep").join(label, "rep", "left")
+                           .select("rep", F.coalesce("component", "rep").alias("component")), at(f"component{k}"))
+        met = staged(_met(lists.select("key", "rep", "at"), group.drop("bits").join(component, "rep"), percent), at(f"met{k}"))
+        pairs = _candidates(met, group, component, percent, block, LIKELIEST if k < ROUNDS else None)
+        more = staged(verify(staged(pairs, at(f"pairs{k}")), sets, n), at(f"verified{k + 2}"))
+        links = links.union(more.where(linked).select("a", "b"))
+    labels = connected_components(links, at("components"))
     named = staged(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("digest", F.coalesce("component", "rep").alias("component_id")), at("named"))
     out = every.join(named, "digest", "left")
