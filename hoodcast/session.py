@@ -9,7 +9,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "hoodcast",
