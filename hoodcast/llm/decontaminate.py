@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from hoodcast.llm import bitfilter
 from hoodcast.llm.components import staged
 from hoodcast.llm.registry import query, table
-from hoodcast.llm.text import SPACE, Words, lower_ascii, slices, window_hashes, window_starts, word_hashes, words
+from hoodcast.llm.text import Words, lower_ascii, slices, window_hashes, window_starts, word_hashes, words
 from hoodcast.session import ensure_checkpoint_dir
 
 WINDOW, MIN_LITERALS, COVERAGE, MIN_TOKENS, FILTER_BITS = 8, 5, 0.5, 12, 26
