@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from hoodcast.config import KSI_COLS, ROAD_COLS, WEATHER_COLS
 from hoodcast.functions import columns as C
 from hoodcast.operators import geo
+from hoodcast.session import cut_lineage
 
 def _parallelism(spark) -> int:
     try:
@@ -51,12 +52,13 @@ def dense_panel(daily: DataFrame, areas: DataFrame, count_col: str = "collision_
 
     The spine is generated per area by ``explode(sequence(lo, hi))`` where
     ``lo``/``hi`` are scalar subqueries (no join at all); the spine then meets
-    the daily counts in one equi-join on ``(date, nbhd_id)``. Bounds and join read
-    the same aggregate with the same columns, so Spark reuses its exchange.
+    the daily counts in one equi-join on ``(date, nbhd_id)``. Bounds and join both read the
+    daily table, and Spark does not reuse an exchange between a subquery and the plan
+    around it here; so it is written once (it is small next to the events, which are then
+    scanned and spatially joined once).
     """
-    daily = daily.select("date", "nbhd_id", count_col)
-    day = F.when(F.col(count_col) > 0, F.col("date"))
-    b = daily.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    daily = cut_lineage(daily.select("date", "nbhd_id", count_col))
+    b = daily.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     lo, hi = b["lo"], b["hi"]
     a = areas.select("nbhd_id", "area_id", "area_name").dropna(subset=["nbhd_id"])
     # spread the (small) area table over the shuffle partitions first, so the

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hoodcast.config import ADAPTER, ROAD_COLS
 from hoodcast.operators import features as Fe
 from hoodcast.operators import geo, panel
+from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
 
 # unit squares on the adapter grid: 16 cells per side (most cells interior)
@@ -40,15 +41,17 @@ def disruption_daily(spark: SparkSession, sf: str) -> DataFrame:
                                   cell=ADAPTER_CELL)
 
 
-def gold(spark: SparkSession, sf: str) -> DataFrame:
-    return panel.gold(dense(spark, sf), ksi_daily(spark, sf), weather_daily(spark, sf),
-                      disruption_daily(spark, sf))
+def gold(spark: SparkSession, sf: str, road: DataFrame | None = None) -> DataFrame:
+    road = disruption_daily(spark, sf) if road is None else road
+    return panel.gold(dense(spark, sf), ksi_daily(spark, sf), weather_daily(spark, sf), road)
 
 
-def road_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Road measures of the (date, area) pairs with a disruption, named as in the panel."""
-    d = disruption_daily(spark, sf)
-    return d.select("date", "nbhd_id", *[F.col(c.removeprefix("road_")).alias(c) for c in ROAD_COLS])
+def gold_and_facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The gold panel and the road measures of the (date, area) pairs with a disruption, named as in
+    the panel. Both read the daily disruptions, which are written once."""
+    road = cut_lineage(disruption_daily(spark, sf))
+    facts = road.select("date", "nbhd_id", *[F.col(c.removeprefix("road_")).alias(c) for c in ROAD_COLS])
+    return gold(spark, sf, road), facts
 
 
 def adjacency(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,13 +59,15 @@ def adjacency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def halo(spark: SparkSession, sf: str, variant: str = "production") -> DataFrame:
-    return Fe.halo_columns(gold(spark, sf), adjacency(spark, sf), variant, road_facts(spark, sf))
+    g, facts = gold_and_facts(spark, sf)
+    return Fe.halo_columns(g, adjacency(spark, sf), variant, facts)
 
 
 def features(spark: SparkSession, sf: str, variant: str = "production") -> DataFrame:
-    """The feature table as one lazy plan: the panel is read once, the neighbour sums come
-    from the sparse road facts."""
-    return Fe.feature_table(gold(spark, sf), adjacency(spark, sf), ADAPTER, variant, road_facts(spark, sf))
+    """The feature table as one lazy plan over the daily tables: the panel is read once, the
+    neighbour sums come from the sparse road facts."""
+    g, facts = gold_and_facts(spark, sf)
+    return Fe.feature_table(g, adjacency(spark, sf), ADAPTER, variant, facts)
 
 
 def panel_days(spark: SparkSession, sf: str) -> DataFrame:
