@@ -170,7 +170,7 @@ def verify(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
         .mapInArrow(_compare(n), "a long, b long, common long, union long")
 
 
-_JOB = ["x_leader", "x_class", "y_leader", "y_class", "p", "q"]
+_JOB = ["o_leader", "o_class", "kind", "p", "q"]
 
 
 def _bundle(percent: int, likeliest: int | None):
@@ -180,7 +180,7 @@ def _bundle(percent: int, likeliest: int | None):
         g = rows.sort_values([*_JOB, "n", "rep"], kind="stable")
         jobs = g[_JOB].to_numpy()
         edges = np.flatnonzero((jobs[1:] != jobs[:-1]).any(1)) + 1
-        columns = {c: g[c].to_numpy() for c in ("rep", "component", "n", "d", "leader", "side", "bits")}
+        columns = {c: g[c].to_numpy() for c in ("rep", "component", "n", "d", "leader", "side", "itself", "bits")}
         found = [one({c: v[lo:hi] for c, v in columns.items()})
                  for lo, hi in zip([0, *edges], [*edges, len(g)]) if hi - lo > 1]
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -197,8 +197,8 @@ def _best(p: np.ndarray, q: np.ndarray, surplus: np.ndarray, k: int) -> np.ndarr
 
 
 def _block_pairs(percent: int, likeliest: int | None = None):
-    """Pairs of one group, or of two groups or parts (``side``), that may link across components;
-    the rows come sorted by size. ``likeliest``: only so many a set, by the bound on the intersection."""
+    """Pairs of sides 0 and 1, and of side 0 with ``itself``, that may link across components; the
+    rows come sorted by size. ``likeliest``: only so many a set, by the bound on the intersection."""
     t = Fraction(percent, 100)
 
     def run(g: dict[str, np.ndarray]) -> np.ndarray:
@@ -206,7 +206,7 @@ def _block_pairs(percent: int, likeliest: int | None = None):
         side, blobs, out = g["side"], g["bits"], []
         if (comp == comp[0]).all():
             return np.zeros((0, 2), np.int64)
-        crossed = len(set(side.tolist())) > 1
+        itself = bool(g["itself"][0])
         hi = np.searchsorted(n, n * 100 // percent, "right")
         length = np.array([len(x) for x in blobs])
         start = 0
@@ -226,8 +226,7 @@ def _block_pairs(percent: int, likeliest: int | None = None):
                 total = n[i] + n[j]
                 need = -(-total * t.numerator // (t.numerator + t.denominator))
                 ok = (j > i) & (j < hi[i]) & (comp[i] != comp[j])
-                if crossed:
-                    ok &= side[i] != side[j]
+                ok &= (side[i] != side[j]) | (itself & (side[i] + side[j] == 0))
                 ok &= (leader[i] != leader[j]) | (np.abs(d[i] - d[j]) <= float(1 - t) + 1e-9)
                 p, q = np.nonzero(ok)
                 if not len(p):
@@ -280,28 +279,40 @@ def _met(lists: DataFrame, group: DataFrame, percent: int) -> DataFrame:
 
 def _candidates(met: DataFrame, group: DataFrame, component: DataFrame, percent: int, block: int,
                 likeliest: int | None) -> DataFrame:
-    """Pairs (a, b) that the bitmaps leave, of each pair of groups met; a group's rows go once to
-    each pair of parts they belong to."""
-    sizes = group.groupBy("leader", "class").agg(F.ceil(F.greatest(
-        F.count("*") / block, F.sum(F.octet_length("bits")) / BLOCK_BYTES)).cast("int").alias("parts"))
-    s = {k: sizes.select(F.col("leader").alias(f"{k}_leader"), F.col("class").alias(f"{k}_class"),
-                         F.col("parts").alias(f"{k}_parts")) for k in "xy"}
-    jobs = met.join(s["x"], ["x_leader", "x_class"]).join(s["y"], ["y_leader", "y_class"])
-    alone = F.expr("x_leader = y_leader AND x_class = y_class")
-    key = ["x_leader", "x_class", "y_leader", "y_class"]
-    mine = jobs.select(*key, "x_parts", "y_parts", alone.alias("alone"), F.explode(F.expr(
-        "CASE WHEN x_leader = y_leader AND x_class = y_class THEN array(0) ELSE array(0, 1) END")).alias("side"))
-    mine = mine.withColumn("leader", F.expr("IF(side = 0, x_leader, y_leader)")) \
-        .withColumn("class", F.expr("IF(side = 0, x_class, y_class)"))
-    r = mine.join(group.join(component, "rep"), ["leader", "class"]) \
-        .withColumn("part", F.expr("pmod(xxhash64(rep), IF(side = 0, x_parts, y_parts))").cast("int")) \
-        .withColumn("other", F.explode(F.expr("sequence(0, IF(side = 0, y_parts, x_parts) - 1)")))
-    r = r.withColumn("p", F.expr("IF(alone, least(part, other), IF(side = 0, part, other))")) \
-        .withColumn("q", F.expr("IF(alone, greatest(part, other), IF(side = 0, other, part))")) \
-        .withColumn("side", F.expr("IF(alone, part, side)"))
-    # many pairs of groups are tiny: some go to one call together
+    """Pairs (a, b) that the bitmaps leave. Of two groups that met the larger one owns the pair: its
+    sets (side 0) go once to all sets of the smaller groups it met (side 1), in parts of bounded
+    size, and to each other if the group met itself."""
+    size = group.groupBy("leader", "class").agg(F.count("*").alias("count"), F.sum(F.octet_length("bits")).alias("bytes"))
+    named = lambda k: size.select(*[F.col(c).alias(f"{k}_{c}") for c in size.columns])
+    m = met.join(named("x"), ["x_leader", "x_class"]).join(named("y"), ["y_leader", "y_class"])
+    first = F.expr("x_count >= y_count")
+    pick = lambda yes, no, c: F.when(first, F.col(f"{yes}_{c}")).otherwise(F.col(f"{no}_{c}"))
+    m = m.select(*[pick("x", "y", c).alias(f"o_{c}") for c in size.columns],
+                 *[pick("y", "x", c).alias(f"m_{c}") for c in size.columns],
+                 F.expr("x_leader = y_leader AND x_class = y_class").alias("alone"))
+    parts = lambda n, b: F.greatest(F.ceil(n / block), F.ceil(b / BLOCK_BYTES), F.lit(1)).cast("int")
+    other = F.expr("NOT alone")
+    owners = m.groupBy("o_leader", "o_class").agg(
+        parts(F.max("o_count"), F.max("o_bytes")).alias("own_parts"),
+        parts(F.coalesce(F.sum(F.when(other, F.col("m_count"))), F.lit(0)),
+              F.coalesce(F.sum(F.when(other, F.col("m_bytes"))), F.lit(0))).alias("other_parts"),
+        F.max("alone").alias("alone"))
+    zero = owners.select("*", F.col("o_leader").alias("leader"), F.col("o_class").alias("class"), F.lit(0).alias("side"))
+    one = m.where(other).select("o_leader", "o_class", F.col("m_leader").alias("leader"), F.col("m_class").alias("class")) \
+        .join(owners, ["o_leader", "o_class"]).withColumn("side", F.lit(1)).select(zero.columns)
+    r = zero.union(one).join(group.join(component, "rep"), ["leader", "class"])
+    r = r.withColumn("part", F.expr("pmod(xxhash64(rep), IF(side = 0, own_parts, other_parts))").cast("int"))
+    # (kind, p, q): kind 0 own part p against others' part q (and itself, once), kind 1 own parts p < q
+    r = r.withColumn("t", F.explode(F.expr("""CASE
+        WHEN side = 1 THEN transform(sequence(0, own_parts - 1), p -> struct(0 AS kind, p AS p, part AS q, 1 AS side))
+        ELSE concat(transform(sequence(0, other_parts - 1), q -> struct(0 AS kind, part AS p, q AS q, 0 AS side)),
+            transform(filter(sequence(0, own_parts - 1), o -> alone AND o <> part), o -> struct(
+                1 AS kind, least(part, o) AS p, greatest(part, o) AS q, IF(part < o, 0, 1) AS side))) END""")))
+    # many jobs are tiny: some go to one call together
     bundles = 16 * int(group.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = r.select(F.pmod(F.xxhash64(*key, "p", "q"), F.lit(bundles)).alias("bundle"), *key, "p", "q", "side", "rep", "component", "n", "d", "leader", "bits")
+    r = r.select("o_leader", "o_class", "t.kind", "t.p", "t.q", "t.side", F.expr("alone AND t.kind = 0 AND t.q = 0").alias("itself"),
+                 "rep", "component", "n", "d", "leader", "bits")
+    r = r.withColumn("bundle", F.pmod(F.xxhash64(*_JOB), F.lit(bundles)))
     return r.groupBy("bundle").applyInPandas(_bundle(percent, likeliest), "a long, b long").distinct()
 
 
