@@ -5,9 +5,10 @@ n-gram sets have a Jaccard similarity of at least ``percent`` %, as components.
 * Order: a sparse count-min sketch (``sketches``), whose size follows the data, tells each
   chunk of documents which n-grams may occur twice or more and how often; n-grams are ordered
   from rare to frequent by that. It only orders; any order gives the same links.
-* Index: the first ``|x| - ceil(t |x|) + SHARED`` n-grams of each set, with position and set
-  size. Those that occur once need no entry. Two sets that link share ``SHARED`` entries (small
-  sets: as many as they must have in common), so a set found in fewer lists is done.
+* Index: the first ``|x| - ceil(t |x|) + l`` n-grams of each set, with position and set size; l is
+  a fifth of the set, 8 at least (small sets: what they must have in common). Those that occur
+  once need no entry. Two sets that link share l of these, the smaller one's, so a set of which
+  fewer occur elsewhere has no entry at all, and one found in fewer lists is done.
 * Answers by relation: a set is compared with the one leader it shares most index lists
   with. The distance is kept: as 1 - Jaccard is a metric, a set's answers are among those
   of its leader's answers whose distances differ from its own by 1 - t at most.
@@ -18,7 +19,7 @@ n-gram sets have a Jaccard similarity of at least ``percent`` %, as components.
   within them the leader distances and then parity bitmaps, an upper bound of the
   intersection, rule out pairs before any set is read. Groups longer than ``block``
   are dealt to several tasks by pairs of parts.
-* What is left is compared exactly, and the components are joined. First, twice, only the
+* What is left is compared exactly, and the components are joined. First only the
   likeliest pairs of each set, then, between the components that are still apart, all.
 
 Two links between the same components add nothing, so pairs within one are skipped;
@@ -54,11 +55,11 @@ from hoodcast.session import ensure_checkpoint_dir
 
 #: log2 of the bits of the id filter, which only saves reading: its size is fixed.
 FILTER_BITS = 26
-#: Sets of one group compared by one task at most, and bytes of their bitmaps; index entries that
-#: two linked sets share at least.
+#: Sets of one group compared by one task at most, and bytes of their bitmaps; least number of index
+#: entries that two linked sets share.
 BLOCK, BLOCK_BYTES, SHARED = 8192, 16 << 20, 8
 #: Rounds in which a set names its LIKELIEST pairs only, before the round that takes all that are left.
-ROUNDS, LIKELIEST = 2, 2
+ROUNDS, LIKELIEST = 1, 2
 
 
 def shingles(s: Slice, n: int) -> list[np.ndarray]:
@@ -99,6 +100,15 @@ def _least(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def _shared(size: int, percent: int) -> int:
+    """Index entries that a set of this size shares with every linked set that is not smaller."""
+    return min(_least(size, percent), max(SHARED, size // 5))
+
+
+def _shared_sql(size: str, percent: int) -> str:
+    return f"least(ceil({percent} * {size} / 100), greatest({SHARED}, floor({size} / 5)))"
+
+
 def _prefix(n: int, percent: int, bits: int, block_bits: int):
     """A chunk's index entries (key, id, n, at): the n-grams of each set's prefix that may occur
     elsewhere. Of copies within the chunk the first is enough."""
@@ -113,9 +123,9 @@ def _prefix(n: int, percent: int, bits: int, block_bits: int):
                 seen.add(digest)
                 least = _least(len(x), percent)
                 rank = known.rank(x)
-                order = np.lexsort((x, rank))[:len(x) - least + min(SHARED, least)]
+                order = np.lexsort((x, rank))[:len(x) - least + _shared(len(x), percent)]
                 at = np.flatnonzero(rank[order])
-                if len(at):
+                if len(at) >= _shared(least, percent):  # the smallest partner has ``least`` items
                     out.append((x[order[at]].view(np.int64), np.full(len(at), key), np.full(len(at), len(x)), at))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
         return pd.DataFrame(dict(zip(("key", "id", "n", "at"), columns)))
@@ -272,7 +282,7 @@ def _met(lists: DataFrame, group: DataFrame, percent: int) -> DataFrame:
         AND {percent} * x_min_n <= 100 * y_max_n AND {percent} * y_min_n <= 100 * x_max_n
         AND least(x_max_at, y_max_at) + least(x_max_n - x_min_at, y_max_n - y_min_at)
             >= {percent} * (x_min_n + y_min_n) / (100.0 + {percent})""")
-    least = F.expr(f"least({SHARED}, ceil({percent} * min(least(x_min_n, y_min_n)) / 100))")
+    least = F.expr(_shared_sql("min(least(x_min_n, y_min_n))", percent))
     met = met.groupBy("x_leader", "x_class", "y_leader", "y_class").agg(F.count("*").alias("lists"), least.alias("least"))
     return met.where("lists >= least").drop("lists", "least")
 
@@ -342,7 +352,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     lists = staged(near.join(rep_of, "id").groupBy("key", "rep").agg(F.max("n").alias("n"), F.min("at").alias("at")),
                    at("lists"))
     # a set that may link is in this many lists with others; the smallest partner's need counts
-    need = F.least(F.lit(SHARED), F.expr(f"ceil({percent} * ceil({percent} * max(n) / 100) / 100)"))
+    need = F.expr(_shared_sql(f"ceil({percent} * max(n) / 100)", percent))
     for k in range(2):
         full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"))
         lists = lists.join(full, "key")
