@@ -6,14 +6,15 @@ Within a leaf a token that enough documents have at its place is constant, any o
 is a variable field; the line's template is what remains. Templates that recur across
 documents are dropped from all of them.
 
-Copies of a document are not recurrences. Each document has family marks, the smallest
-hash of its long words by several hash functions, which copies and near copies mostly
-share; a template recurs when by one of them it has ``min_documents`` marks or more and
-at least half as many marks as documents (exact copies counted once). One function
-would not do: its smallest word may belong to the recurring line itself.
+Copies of a document are not recurrences: a template recurs when ``min_documents``
+families or more have it, however many documents a family has. A family is a connected
+component of near copies: the texts' word n-grams are cut into BINS parts by their hash,
+the smallest of each part is kept, and texts that agree in all ``BINS / BANDS`` parts of a
+band are linked. Texts that share one line only agree in a band when all its minima lie
+in that line; those count as one family, the others stay apart.
 
 Everything is grouped minima and counts over hashes; texts are read three times and
-move once, to meet the lines they lose. A leaf or a template is never gathered.
+move once, to meet the lines they lose. A leaf, a template or a family is never gathered.
 
 Edge cases: null texts stay null, empty ones empty; lines of fewer than ``min_tokens``
 tokens stay; a line that repeats within one document counts once; the judgement depends
@@ -36,17 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoodcast.llm import bitfilter
-from hoodcast.llm.components import staged
+from hoodcast.llm.components import connected_components, staged
 from hoodcast.llm.registry import query, table
-from hoodcast.llm.text import mix, slices, word_hashes, words
+from hoodcast.llm.text import combine, slices, window_hashes, window_starts, word_hashes, words
 from hoodcast.session import ensure_checkpoint_dir
 
 DEPTH, MIN_TOKENS, MIN_DOCUMENTS, MIN_CONSTANT = 3, 3, 8, 0.6
 FILTER_BITS = 26
-#: Hash functions for family marks; places of a line that are looked up together.
-MARKS, CHUNK = 3, 16
-#: Bytes from which on a word counts as long.
-LONG = 7
+#: Words of an n-gram; parts of a text's n-grams (a power of two); bands of them, one of which near copies share.
+GRAM, BINS, BANDS = 3, 64, 16
+#: Places of a line that are looked up together.
+CHUNK = 16
 
 _DIGIT = re.compile(rb"[0-9]")
 _FIELD = re.compile(rb"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*")
@@ -69,37 +70,60 @@ def leaf_key(tokens: list[bytes], depth: int) -> int:
     return _hash(b"%d %s" % (len(tokens), b" ".join(tokens[:depth])))
 
 
-def _family(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per text and hash function the smallest hash of its long words (of all words, without long ones)."""
+def _bands(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per text and band the hash of its smallest n-grams (texts without n-grams: all alike)."""
+    n = len(offsets) - 1
     w = words(data, offsets)
-    out = np.zeros((len(offsets) - 1, MARKS), np.uint64)
-    h, some = word_hashes(data, w), np.flatnonzero(w.counts)
-    if len(some):
-        short = (w.ends - w.starts < LONG).astype(np.uint64) << np.uint64(63)
-        for k in range(MARKS):
-            out[some, k] = np.minimum.reduceat(short | mix(h + np.uint64(k)) >> np.uint64(1), w.first[some])
+    h, at = window_hashes(word_hashes(data, w), GRAM), window_starts(w.first, GRAM)
+    none = np.uint64(np.iinfo(np.uint64).max)
+    low = np.full(n * BINS, none)
+    if len(at):
+        h = h[at]
+        doc = np.searchsorted(w.first, at, "right") - 1
+        np.minimum.at(low, doc * BINS + (h >> np.uint64(65 - BINS.bit_length())).astype(np.int64), h)
+    low = low.reshape(n, BINS)
+    # a part without n-grams takes the next one's
+    step = 1
+    while step < BINS:
+        low = np.where(low == none, np.roll(low, -step, axis=1), low)
+        step *= 2
+    low = low.reshape(n, BANDS, BINS // BANDS)
+    out = np.tile(np.arange(BANDS, dtype=np.uint64), (n, 1))
+    for k in range(BINS // BANDS):
+        out = combine(out, low[:, :, k])
     return out.view(np.int64)
 
 
 def _occurrences(depth: int, min_tokens: int):
+    """A row per line, and one with the bands per text that has lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digests = b.column("digest").to_numpy()
             for s in slices(b.column("text")):
-                family = _family(s.data, s.offsets)
-                rows: list[tuple[int, int, int, int]] = []
+                bands = _bands(s.data, s.offsets)
+                rows: list[tuple] = []
                 for i in range(s.hi - s.lo):
                     found = {line_key(t): t for t in canonical(s.text(i)) if len(t) >= min_tokens}
-                    rows += [(digests[s.lo + i], k, leaf_key(t, depth), i) for k, t in found.items()]
+                    rows += [(digests[s.lo + i], k, leaf_key(t, depth), None) for k, t in found.items()]
+                    if found:
+                        rows.append((digests[s.lo + i], None, None, bands[i]))
                 if rows:
-                    digest, line, leaf, i = (np.array(c, np.int64) for c in zip(*rows))
-                    marks = pa.FixedSizeListArray.from_arrays(pa.array(family[i].ravel()), MARKS)
+                    digest, line, leaf, own = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(digest), pa.array(line), pa.array(leaf), marks.cast(pa.list_(pa.int64()))],
-                        ["digest", "line", "leaf", "marks"])
+                        [pa.array(digest, pa.int64()), pa.array(line, pa.int64()), pa.array(leaf, pa.int64()),
+                         pa.array(own, pa.list_(pa.int64()))], ["digest", "line", "leaf", "bands"])
     return run
 
 
+def _families(bands: DataFrame, path: str) -> DataFrame:
+    """(digest, family) of the texts that share a band with another text."""
+    bands = bands.select("digest", F.explode("bands").alias("band"))
+    first = bands.groupBy("band").agg(F.min("digest").alias("first"), F.max("digest").alias("last"))
+    first = staged(first.where("first <> last").select("band", "first"), path + "-bands")
+    links = bands.join(first, "band").select(F.col("digest").alias("a"), F.col("first").alias("b"))
+    return connected_components(links, path).select(F.col("node").alias("digest"), F.col("component").alias("family"))
+
+
 def _tokens(depth: int, min_tokens: int, leaves):
     """(leaf, line, size, chunk, fields) of the lines whose leaf passes the filter, once a task.
     Tokens after the leading ones, hashed with their place, go in chunks of CHUNK places."""
@@ -144,24 +168,25 @@ def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
                     min_documents: int = MIN_DOCUMENTS, min_constant: float = MIN_CONSTANT) -> tuple[DataFrame, DataFrame]:
-    """(occurrences: digest, line, leaf, marks; recurring: line, template, n_documents) of a
+    """(occurrences: digest, line, leaf; recurring: line, template, families) of a
     frame with a binary column ``text`` and a long ``digest`` of it."""
     at = lambda name: os.path.join(path, name)
     texts = texts.where("text is not null")
-    seen = staged(texts.mapInArrow(_occurrences(depth, min_tokens),
-                                   "digest long, line long, leaf long, marks array<long>"), at("occurrences"))
-    # per line, hash function and family the documents (copies once)
-    by_family = seen.dropDuplicates(["digest", "line"]) \
-        .select("line", "leaf", F.posexplode("marks").alias("k", "family")) \
-        .groupBy("line", "leaf", "k", "family").agg(F.count("*").alias("documents"))
+    rows = staged(texts.mapInArrow(_occurrences(depth, min_tokens),
+                                   "digest long, line long, leaf long, bands array<long>"), at("occurrences"))
+    seen = rows.where("line is not null").select("digest", "line", "leaf")
+    family = _families(rows.where("line is null").dropDuplicates(["digest"]), at("components"))
+    # sort-merge at every size: a broadcast would fit small inputs only
+    by_family = seen.join(family.hint("merge"), "digest", "left") \
+        .select("line", "leaf", F.coalesce("family", "digest").alias("family")).distinct()
     by_family = staged(by_family, at("families"))
-    leaves = staged(by_family.select("leaf", "k", "family").distinct().groupBy("leaf", "k").count()
-                    .where(F.col("count") >= min_documents).select("leaf").distinct(), at("leaves"))
+    leaves = staged(by_family.select("leaf", "family").distinct().groupBy("leaf").count()
+                    .where(F.col("count") >= min_documents).select("leaf"), at("leaves"))
     keep = texts.sparkSession.sparkContext.broadcast(bitfilter.build(leaves, "leaf", FILTER_BITS))
     lines = texts.select("text").mapInArrow(_tokens(depth, min_tokens, keep),
                              "leaf long, line long, size long, chunk long, fields array<long>") \
         .dropDuplicates(["line", "chunk"]).join(leaves, "leaf")
-    weight = by_family.groupBy("line", "k").agg(F.count("*").alias("n")).groupBy("line").agg(F.max("n").alias("families"))
+    weight = by_family.groupBy("line").agg(F.count("*").alias("families"))
     lines = staged(lines.join(weight, "line"), at("lines"))
     constant = lines.select("leaf", "chunk", "families", "fields") \
         .mapInArrow(_support, "leaf long, chunk long, field long, n long") \
@@ -177,12 +202,10 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
         F.sum(F.size("fixed")).alias("n"))
     template = template.where(F.least("size", F.lit(depth)) + F.col("n") >= min_constant * F.col("size"))
     template = staged(template.select("line", F.xxhash64("leaf", "template").alias("template")), at("templates"))
-    counted = by_family.join(template, "line").groupBy("template", "k", "family") \
-        .agg(F.sum("documents").alias("documents")) \
-        .groupBy("template", "k").agg(F.count("*").alias("families"), F.sum("documents").alias("n_documents")) \
-        .where((F.col("families") >= min_documents) & (2 * F.col("families") >= F.col("n_documents")))
-    counted = staged(counted.groupBy("template").agg(F.max("n_documents").alias("n_documents")), at("counted"))
-    return seen, staged(template.join(counted, "template").select("line", "template", "n_documents"), at("recurring"))
+    counted = by_family.join(template, "line").select("template", "family").distinct() \
+        .groupBy("template").agg(F.count("*").alias("families")).where(F.col("families") >= min_documents)
+    counted = staged(counted, at("counted"))
+    return seen, staged(template.join(counted, "template").select("line", "template", "families"), at("recurring"))
 
 
 def _rewrite(min_tokens: int, text_col: str):

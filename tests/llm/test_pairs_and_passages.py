@@ -273,3 +273,23 @@ def test_line_dedup_on_odd_rows(odd):
     out = line_dedup.drop_recurring(odd).collect()
     assert sorted(str(r.row.text) for r in out) == sorted(str(r[1]) for r in ODD)
     assert all(r.kept == r.row.text and r.left for r in out)
+
+
+def long_words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(n))
+
+
+def dropped_lines(spark, docs, **options):
+    """(id, kept text) of every document that loses a line."""
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    return {r.row.doc_id: r.kept for r in line_dedup.drop_recurring(df, **options).where("n_dropped > 0").collect()}
+
+
+def test_line_recurs_however_many_documents_have_it(spark):
+    """Documents of a small vocabulary: words that stand for them are soon all taken."""
+    rng = random.Random(11)
+    vocabulary = [long_words(rng, 1) for _ in range(60)]
+    own = lambda: "\n".join(" ".join(rng.choice(vocabulary) for _ in range(12)) for _ in range(5))
+    docs = [(i, f"{own()}\nAll rights reserved by the owner of this site") for i in range(900)]
+    got = dropped_lines(spark, docs)
+    assert got == {k: t[:t.rindex("\n")] for k, t in docs}
