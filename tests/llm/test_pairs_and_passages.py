@@ -293,3 +293,16 @@ def test_line_recurs_however_many_documents_have_it(spark):
     docs = [(i, f"{own()}\nAll rights reserved by the owner of this site") for i in range(900)]
     got = dropped_lines(spark, docs)
     assert got == {k: t[:t.rindex("\n")] for k, t in docs}
+
+
+def test_near_copies_do_not_outvote_unrelated_documents(spark):
+    rng = random.Random(12)
+    notice = "\nLicensed to the reader under the terms of this site"
+    docs = [(i, "\n".join(long_words(rng, 12) for _ in range(5)) + notice) for i in range(30)]
+    base = [long_words(rng, 12) for _ in range(6)]
+    for i in range(200):
+        text = [line.split() for line in base]
+        text[rng.randrange(6)][rng.randrange(4, 12)] = long_words(rng, 1)
+        docs.append((100 + i, "\n".join(map(" ".join, text)) + notice))
+    got = dropped_lines(spark, docs)
+    assert got == {k: t[:-len(notice)] for k, t in docs}
