@@ -2,9 +2,11 @@
 
 A line's tokens lose their digits' words (``<*>``). The tree has two levels: the
 number of tokens, then the leading tokens; a leaf holds the lines that agree on both.
-Within a leaf a token that enough documents have at its place is constant, any other
-is a variable field; the line's template is what remains. Templates that recur across
-documents are dropped from all of them.
+Within a leaf a line goes by its backbone: the ``min_constant`` of its tokens that most
+others share. Among the lines of one backbone a token is constant if at least half of
+them have it at its place (a share, so that the verdict is the same at every size), any
+other is a variable field; the line's template is what remains. Templates that recur
+across documents are dropped from all of them.
 
 Copies of a document are not recurrences: a template recurs when ``min_documents``
 families or more have it, however many documents a family has. A family is a connected
@@ -33,7 +35,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.llm import bitfilter
@@ -150,7 +152,7 @@ def _tokens(depth: int, min_tokens: int, leaves):
 
 
 def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Families per field, added up within the task."""
+    """Families per field (one line's added to another's), added up within the task."""
     def rows(found: dict) -> pa.RecordBatch:
         keys = list(zip(*found)) if found else [(), (), ()]
         return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in keys],
@@ -188,20 +190,39 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
         .dropDuplicates(["line", "chunk"]).join(leaves, "leaf")
     weight = by_family.groupBy("line").agg(F.count("*").alias("families"))
     lines = staged(lines.join(weight, "line"), at("lines"))
-    constant = lines.select("leaf", "chunk", "families", "fields") \
+    support = lines.select("leaf", "chunk", "families", "fields") \
         .mapInArrow(_support, "leaf long, chunk long, field long, n long") \
-        .groupBy("leaf", "chunk", "field").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents) \
-        .groupBy("leaf", "chunk").agg(F.collect_list("field").alias("constants"))
+        .groupBy("leaf", "chunk", "field").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)
+    support = staged(support, at("support"))
+    known = support.groupBy("leaf", "chunk").agg(F.collect_list("field").alias("known"))
+    shared = lines.join(known, ["leaf", "chunk"], "left").select(
+        "line", "leaf", "size", "families",
+        F.coalesce(F.array_intersect("fields", "known"), F.array().cast("array<long>")).alias("shared"))
+    shared = staged(shared, at("shared"))
+    # tokens that the backbone takes beside the leading ones; a line with fewer shared ones cannot recur
+    need = F.ceil(min_constant * F.col("size")) - F.least("size", F.lit(depth))
+    able = shared.groupBy("line", "leaf", "families", need.alias("need")).agg(F.sum(F.size("shared")).alias("n"))
+    able = staged(able.where("n >= need").drop("n"), at("able"))
+    fields = shared.select("line", "leaf", F.explode("shared").alias("field")) \
+        .join(able.select("line", "need"), "line").join(support.select("leaf", "field", "n"), ["leaf", "field"])
+    by_support = Window.partitionBy("line").orderBy(F.desc("n"), "field")
+    fields = staged(fields.select("line", "field", (F.row_number().over(by_support) <= F.col("need")).alias("backbone")),
+                    at("fields"))
+    # order-free hashes of fields, which carry their places
+    together = F.bit_xor(F.xxhash64("field"))
+    backbone = fields.where("backbone").groupBy("line").agg(together.alias("backbone"))
+    groups = able.join(backbone, "line", "left").select(
+        "line", "families", F.xxhash64("leaf", F.coalesce("backbone", F.lit(0).cast("long"))).alias("group"))
+    groups = staged(groups, at("groups"))
+    total = groups.groupBy("group").agg(F.sum("families").alias("total")).where(F.col("total") >= min_documents)
+    grouped = fields.join(groups, "line")
+    constant = grouped.groupBy("group", "field").agg(F.sum("families").alias("n")).join(total, "group") \
+        .where((F.col("n") >= min_documents) & (2 * F.col("n") >= F.col("total"))).select("group", "field")
     constant = staged(constant, at("constants"))
-    fixed = lines.join(constant, ["leaf", "chunk"], "left").select(
-        "line", "leaf", "size", F.coalesce(F.array_intersect("fields", "constants"), F.array().cast("array<long>"))
-        .alias("fixed"))
-    # an order-free hash of the constant fields, which carry their places, stands for the template
-    template = fixed.groupBy("line", "leaf", "size").agg(
-        F.bit_xor(F.aggregate("fixed", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.xxhash64(x)))).alias("template"),
-        F.sum(F.size("fixed")).alias("n"))
-    template = template.where(F.least("size", F.lit(depth)) + F.col("n") >= min_constant * F.col("size"))
-    template = staged(template.select("line", F.xxhash64("leaf", "template").alias("template")), at("templates"))
+    fixed = grouped.join(constant, ["group", "field"]).groupBy("line").agg(together.alias("fixed"))
+    template = groups.join(fixed, "line", "left").select(
+        "line", F.xxhash64("group", F.coalesce("fixed", F.lit(0).cast("long"))).alias("template"))
+    template = staged(template, at("templates"))
     counted = by_family.join(template, "line").select("template", "family").distinct() \
         .groupBy("template").agg(F.count("*").alias("families")).where(F.col("families") >= min_documents)
     counted = staged(counted, at("counted"))

@@ -306,3 +306,14 @@ def test_near_copies_do_not_outvote_unrelated_documents(spark):
         docs.append((100 + i, "\n".join(map(" ".join, text)) + notice))
     got = dropped_lines(spark, docs)
     assert got == {k: t[:-len(notice)] for k, t in docs}
+
+
+def test_fields_whose_values_recur(spark):
+    """Twenty values of either field, each in twenty documents, each pair in one."""
+    rng = random.Random(13)
+    a, b = ([long_words(rng, 1) for _ in range(20)] for _ in range(2))
+    lines = [f"Posted in section {x} by author {y} on the main board" for x in a for y in b]
+    docs = [(i, "\n".join(long_words(rng, 12) for _ in range(5)) + "\n" + line) for i, line in enumerate(lines)]
+    alone = (1000, long_words(rng, 12) + "\nPosted in section one of an old book that nobody here")
+    got = dropped_lines(spark, [*docs, alone])
+    assert got == {k: t[:t.rindex("\n")] for k, t in docs}
