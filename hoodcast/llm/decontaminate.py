@@ -7,6 +7,9 @@ are hash-joined with those of the documents, so that a question also matches whe
 its numbers, names and units were exchanged. A match counts when, along one
 alignment, the placeholders' values are consistent: one value of the item always
 stands for one value of the document, and two names or units never for the same.
+Where the windows of an alignment contradict each other, those with the item's own values
+count, and with them the others that agree with them and with one another; if no window has
+the item's own values, none counts.
 
 A (document, item) pair is contaminated when consistent windows of one alignment
 cover ``coverage`` of the item's tokens and at least ``min_tokens`` of them (all of
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,17 +153,46 @@ def _emit(sizes: tuple[int, ...], min_literals: int, keep=None, whole_only: bool
     return run
 
 
-def consistent(types: list[bytes], ours: list[bytes], theirs: list[bytes]) -> bool:
-    """Whether the placeholder values of aligned windows map one to one (numbers: to one)."""
-    forward: dict[tuple[int, int], int] = {}
-    backward: dict[tuple[int, int], int] = {}
-    for kinds, a, b in zip(types, ours, theirs):
-        for k, x, y in zip(kinds, np.frombuffer(a, np.uint64).tolist(), np.frombuffer(b, np.uint64).tolist()):
-            if k and forward.setdefault((k, x), y) != y:
+class Mapping:
+    """Placeholder values of the item and what they stand for (numbers: many to one; others one to one)."""
+
+    def __init__(self):
+        self.forward: dict[tuple[int, int], int] = {}
+        self.backward: dict[tuple[int, int], int] = {}
+
+    def takes(self, pairs: list[tuple[int, int, int]]) -> bool:
+        """Add these (kind, ours, theirs) unless they contradict what is there or each other."""
+        forward, backward = {}, {}
+        for k, x, y in pairs:
+            if self.forward.get((k, x), forward.setdefault((k, x), y)) != y or forward[k, x] != y:
                 return False
-            if k > NUM and backward.setdefault((k, y), x) != x:
+            if k > NUM and (self.backward.get((k, y), backward.setdefault((k, y), x)) != x or backward[k, y] != x):
                 return False
-    return True
+        self.forward |= forward
+        self.backward |= backward
+        return True
+
+
+def _pairs(kinds: bytes, ours: bytes, theirs: bytes) -> list[tuple[int, int, int]]:
+    values = zip(kinds, np.frombuffer(ours, np.uint64).tolist(), np.frombuffer(theirs, np.uint64).tolist())
+    return [(k, x, y) for k, x, y in values if k]
+
+
+def consistent(types: list[bytes], ours: list[bytes], theirs: list[bytes]) -> np.ndarray:
+    """Which of an alignment's windows count: all, if their placeholder values map one to one (numbers:
+    to one); else those with equal values and, the pairs of values that most windows have first, those
+    that agree with them and each other."""
+    windows = [_pairs(*w) for w in zip(types, ours, theirs)]
+    if Mapping().takes([p for w in windows for p in w]):
+        return np.ones(len(windows), bool)
+    same = np.array([a == b for a, b in zip(ours, theirs)])
+    if not same.any():
+        return same
+    mapping = Mapping()
+    mapping.takes([p for w, own in zip(windows, same) if own for p in w])
+    often = Counter(p for w, own in zip(windows, same) if not own for p in set(w))
+    agreed = {p for p, _ in often.most_common() if mapping.takes([p])}
+    return np.array([own or agreed.issuperset(w) for w, own in zip(windows, same)])
 
 
 def _judge(coverage: float, min_tokens: int):
@@ -167,15 +200,13 @@ def _judge(coverage: float, min_tokens: int):
         best = None
         for shift, g in group.groupby(group["at"] - group["item_at"]):
             g = g.sort_values("item_at")
-            if not consistent(g["types"].tolist(), g["item_slots"].tolist(), g["slots"].tolist()):
-                continue
-            total = int(g["item_total"].iloc[0])
+            total, same = int(g["item_total"].iloc[0]), (g["slots"] == g["item_slots"]).all()
+            g = g[consistent(g["types"].tolist(), g["item_slots"].tolist(), g["slots"].tolist())]
             hit = np.zeros(total, bool)
             for at, size in zip(g["item_at"], g["size"]):
                 hit[at:at + size] = True
             covered = int(hit.sum())
             if covered >= coverage * total and covered >= min(min_tokens, total):
-                same = (g["slots"] == g["item_slots"]).all()
                 found = (covered, bool(same), -int(g["at"].iloc[0]), total)
                 best = found if best is None or found > best else best
         if best is None:

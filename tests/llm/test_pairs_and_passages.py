@@ -181,6 +181,18 @@ def test_decontamination_of_reparameterised_questions(spark, nothing):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, [11, 14, 15, 16, 17, 10, 18]))
 
 
+def test_decontamination_of_a_copy_with_one_value_changed(spark):
+    text = ("In spring a farmer named Tom plants 5 rows of beans and waters them every other morning until the "
+            "first leaves have come out of the dark soil and then the old man called Tom sells 5 boxes")
+    docs = [(1, text), (2, text.replace("called Tom", "called Sam")), (3, text.replace("sells 5", "sells 7")),
+            (4, text.replace("named Tom", "named Eva").replace("called Tom", "called Eva")),
+            (5, "In spring a farmer named Tom plants 5 rows of beans and then nothing else of it is here")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame([(1, text)], "item_id long, text string")
+    got = {r.doc_id: r.exact for r in decontaminate.find(d, b).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False}
+
+
 def test_decontamination_brute_force(spark):
     """Every document that holds an item literally is found, and no other."""
     docs, items = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "benchmark"))
