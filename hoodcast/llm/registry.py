@@ -50,5 +50,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from hoodcast.llm import chat_format, decontaminate, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules  # noqa: F401
-    from hoodcast.llm import substring_dedup, warc  # noqa: F401
+    from hoodcast.llm import byte_bpe, chat_format, decontaminate, filter_audit, jaccard_join, language_id, line_dedup, packing, quality_classifier, quality_rules  # noqa: F401
+    from hoodcast.llm import spelling_variants, substring_dedup, warc  # noqa: F401
