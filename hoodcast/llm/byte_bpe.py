@@ -29,6 +29,7 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -40,8 +41,8 @@ from hoodcast.llm.registry import query, table
 MEMO = 1 << 18
 #: Longer pieces are not kept in the memo.
 MEMO_PIECE = 64
-#: Ids and bytes that one output batch carries, a longer text aside.
-BATCH_IDS, BATCH_BYTES = 1 << 20, 1 << 22
+#: Ids that one output batch carries, a longer text aside.
+BATCH_IDS = 1 << 20
 
 
 def default_ranks() -> str:
@@ -86,18 +87,26 @@ def stand_ins() -> dict[int, str]:
 
 
 class Memo(dict):
-    """``make``'s results by argument, texts longer than ``MEMO_PIECE`` aside."""
+    """``make``'s results by argument, texts longer than ``MEMO_PIECE`` aside. When it is full
+    it starts anew, and takes over from its last contents what is still asked for."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.last = make, {}
 
     def __missing__(self, key):
-        found = self.make(key)
+        found = self.last.get(key, self)
+        if found is self:
+            found = self.make(key)
         if not isinstance(key, str) or len(key) <= MEMO_PIECE:
             self[key] = found
         return found
 
+    def bound(self, size: int) -> None:
+        if len(self) >= size:
+            self.last = dict(self)
+            self.clear()
+
 
 class Encoder:
     """``ids(text)`` by ranks and a splitting pattern, as tiktoken's ``encode_ordinary``."""
@@ -125,8 +134,7 @@ class Encoder:
         return [text[m.start():m.end()] for m in self.split.finditer(text.translate(self.other))]
 
     def ids(self, text: str) -> array:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
+        self.memo.bound(MEMO)
         return array("i", chain.from_iterable(map(self.memo.__getitem__, self.pieces(text))))
 
     def piece(self, piece: str) -> tuple[int, ...]:
@@ -231,17 +239,21 @@ def decode(df: DataFrame, ids_col: str = "ids", to: str = "decoded", ranks: str
     kinds = dict(df.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = spelling(ranks)
+        spell = spelling(ranks)
         for b in batches:
-            ids, lo, parts, size = b.column("ids"), 0, [], 0
-            for i in range(b.num_rows):
-                row = ids[i].as_py()
-                parts.append(None if row is None else b"".join(map(own.__getitem__, row)))
-                size += len(parts[-1] or b"")
-                if size >= BATCH_BYTES or i + 1 == b.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("row").slice(lo, i + 1 - lo), pa.array(parts, pa.binary())], ["row", "decoded"])
-                    lo, parts, size = i + 1, [], 0
+            lists = b.column("ids")
+            count = np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)
+            ends, values = np.cumsum(count), lists.flatten().to_numpy()
+            lo = 0
+            while lo < len(count):
+                first = ends[lo] - count[lo]
+                hi = max(lo + 1, int(np.searchsorted(ends, first + BATCH_IDS, "right")))
+                data, size = spell(values[first:ends[hi - 1]])
+                off = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends[lo:hi] - first])]
+                part = pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data)])
+                part = pc.if_else(lists.slice(lo, hi - lo).is_null(), pa.scalar(None, pa.large_binary()), part).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), part], ["row", "decoded"])
+                lo = hi
 
     row = F.struct(*[F.col(f"`{c}`") for c in keep])
     kind = "struct<" + ",".join(f"`{c}`:{kinds[c]}" for c in keep) + ">"
@@ -251,8 +263,23 @@ def decode(df: DataFrame, ids_col: str = "ids", to: str = "decoded", ranks: str
 
 
 @functools.cache
-def spelling(path: str) -> dict[int, bytes]:
-    return {i: b for b, i in read_ranks(path).items()}
+def spelling(path: str):
+    """``ids -> (their bytes one after the other, the length of each)``."""
+    ranks = read_ranks(path)
+    size = np.full(max(ranks.values()) + 1, -1, np.int64)
+    size[list(ranks.values())] = [len(b) for b in ranks]
+    by_id = {i: b for b, i in ranks.items()}
+    blob = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(len(size))), np.uint8)
+    start = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+
+    def spell(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or (size[ids] < 0).any()):
+            raise ValueError("an id outside the vocabulary")
+        own = size[ids]
+        at = np.repeat(start[ids] - (np.cumsum(own) - own), own)
+        at += np.arange(len(at))
+        return blob[at], own
+    return spell
 
 
 @query("op11_byte_level_bpe")

@@ -92,7 +92,7 @@ def test_encoding_of_odd_rows(spark, odd, nothing):
     assert Counter((r.doc_id, bytes(r.decoded)) for r in back.collect()) == Counter((i, (t or "").encode()) for i, t, *_ in ODD)
     assert byte_bpe.encode(nothing).count() == byte_bpe.decode(byte_bpe.encode(nothing)).count() == 0
     assert byte_bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().decoded is None
-    with pytest.raises(Exception, match="KeyError"):
+    with pytest.raises(Exception, match="outside the vocabulary"):
         byte_bpe.decode(spark.createDataFrame([(1, [60_000])], "doc_id long, ids array<int>")).collect()
 
 
