@@ -54,18 +54,16 @@ def write_archive(rows: DataFrame, path: str, id_col: str = "page_id", url_col:
         .withColumn("sha256", F.sha2("payload", 256))
     light = r.select("id", "url", "sha256", F.octet_length("payload").cast("long").alias("n"),
                      base32_sha1(F.col("payload")).alias("sha1"))
-    # Equal addresses must mean equal payloads: a second digest and the length have to agree.
-    owners = light.groupBy("sha256").agg(
-        F.min("id").alias("owner"),
-        F.max("n").alias("owner_n"),
-        ((F.min("n") == F.max("n")) & (F.min("sha1") == F.max("sha1"))).alias("verified"))
-    owners = owners.withColumn("verified", F.when(F.col("verified"), True).otherwise(
-        F.raise_error(F.concat(F.lit("payloads differ under one address: "), "sha256")).cast("boolean")))
-    # written: the joins below then split a hot payload's rows over tasks
-    owners = _stage(owners.where("verified"), f"{path}/owners")
-    mine = owners.select(F.col("sha256").alias("o_sha256"), "owner")
-    r.join(mine, (r.sha256 == mine.o_sha256) & r.id.eqNullSafe(mine.owner)) \
-        .dropDuplicates(["o_sha256", "owner"]).select("sha256", "payload").write.parquet(f"{path}/payloads")
+    # One exchange of payload bytes: copies collapse in their tasks before it. Equal addresses must mean
+    # equal payloads: a second digest and the length have to agree.
+    stored = r.select("id", "sha256", "payload", F.octet_length("payload").alias("n"), F.sha1("payload").alias("sha1")) \
+        .groupBy("sha256").agg(
+            F.min("id").alias("owner"), F.first("payload").alias("payload"),
+            ((F.min("n") == F.max("n")) & (F.min("sha1") == F.max("sha1"))).alias("verified"))
+    verified = F.when(F.col("verified"), True).otherwise(
+        F.raise_error(F.concat(F.lit("payloads differ under one address: "), "sha256")).cast("boolean"))
+    stored = _stage(stored.where(verified).select("sha256", "owner", "payload"), f"{path}/payloads")
+    mine = stored.select(F.col("sha256").alias("o_sha256"), "owner")
     j = light.join(mine, light.sha256 == mine.o_sha256)
     j = j.withColumn("revisit", F.coalesce(
         (F.col("n") >= min_bytes) & F.col("owner").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner")), F.lit(False)))
@@ -94,7 +92,7 @@ def field(header: Column, name: str) -> Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(header, payload): the original records, each payload verified against its
     address, its length and digest fields."""
-    heads, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
+    heads, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads").drop("owner")
     j = heads.join(payloads.withColumnRenamed("sha256", "address"), F.col("sha256") == F.col("address"))
     text = F.col("header").cast("string")
     good = (F.sha2("payload", 256) == F.col("address")) \
