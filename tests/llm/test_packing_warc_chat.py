@@ -1,10 +1,12 @@
 import base64
 import hashlib
+import json
 import random
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from samples import MEDIUM, ODD
@@ -156,7 +158,7 @@ def test_chat_links_orders_and_validates(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").repartition(3)
     rows = chat_format.format_chat(df, TOOLS).collect()
     at = {(r.conv_id, r.turn, r.place): r for r in rows}
-    assert len(rows) == sum(len(chat_format.parse(r or "unknown", t or "", {})) for _, _, r, t in TURNS)
+    assert len(rows) == sum(len(chat_format.parse(r or "unknown", t or "")) for _, _, r, t in TURNS)
     assert at[1, 0, 0].json == '{"content":"Say \\"hi\\"\\n é \\u0001 /","role":"user"}'
     assert at[1, 1, 0].json == '{"content":"ok  done","role":"assistant"}'
     assert at[1, 1, 1].json == '{"call":{"arguments":{"x":{"$ref":"a"},"y":2},"name":"add"},"id":"b","role":"assistant"}'
@@ -172,3 +174,46 @@ def test_chat_links_orders_and_validates(spark):
     whole = {r.conv_id: r.json for r in chat_format.conversations(chat_format.format_chat(df, TOOLS)).collect()}
     assert whole[1].index('"id":"a"') < whole[1].index('"name":"add"')
     assert chat_format.format_chat(df.limit(0), TOOLS).count() == 0
+
+
+def test_chat_hostile_markup(spark):
+    """Half surrogates, deep nesting, huge integers, constants that are no JSON, odd schemas."""
+    call = lambda i, a: f'<tool_call>{{"id":"{i}","name":"f","arguments":{a}}}</tool_call>'
+    deep = "[" * 3000 + "]" * 3000
+    turns = [(1, 0, "a", call("\\ud800", '{"v":"x\\udfffy","\\ud83d\\ude00":"\\ud83d\\ude00"}')), (1, 1, "tool", '{"id":"\\ud800","content":"\\udc00"}'),
+             (1, 2, "a", call("d", f'{{"v":{deep}}}')), (1, 3, "a", call("n", f'{{"v":{"9" * 400}}}')),
+             (1, 4, "a", call("c", '{"v":NaN}') + call("c", '{"v":-Infinity}') + call("c", '{"v":1e999}')),
+             (1, 5, "a", call("m", f'{{"v":{"9" * 9000}}}')), (1, 6, "tool", f'{{"id":"d","content":{"[" * 100_000}'),
+             (1, 7, "a", call("l", '{"v":null}')), (1, 8, "a", call("t", '{"v":"s"}')), (1, 9, "a", call("b", '{"v":true}'))]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    tools = {"f": {"properties": {"v": {"type": ["integer", "null"], "minimum": "x", "enum": None}}, "required": 3}}
+    rows = chat_format.format_chat(df, tools).collect()
+    at = {(r.turn, r.place): r for r in rows}
+    assert at[0, 1].json == '{"call":{"arguments":{"v":"x\ufffdy","\U0001f600":"\U0001f600"},"name":"f"},"id":"\ufffd","role":"a"}'
+    assert at[0, 1].linked and at[1, 0].linked and at[1, 0].json.startswith('{"content":"\ufffd"')
+    assert at[2, 0].problems == ["too deep call"] and deep in at[2, 0].json
+    assert at[3, 1].problems == ["no result"] and "9" * 400 in at[3, 1].json
+    assert at[4, 0].problems == ["malformed call"] * 3 and at[5, 0].problems == ["malformed call"]
+    assert (6, 0) in at and at[7, 1].problems == ["no result"]
+    assert at[8, 1].problems == at[9, 1].problems == ["arguments.v: not integer or null", "no result"]
+    for r in rows:
+        json.loads(r.json)
+    assert chat_format.violations(1, {"enum": [True]}) and not chat_format.violations(1.0, {"enum": [1]})
+    assert not chat_format.violations(10 ** 400, {"type": "integer", "minimum": 0.5}) and chat_format.violations(1, {"type": "x"})
+
+
+def test_chat_tools_declared_by_the_conversation(spark):
+    declare = '<tools>[{"name":"f","parameters":{"type":"object","required":["k"]}},{"name":"g"}]</tools>'
+    call = lambda n, a="{}": f'<tool_call>{{"id":"1","name":"{n}","arguments":{a}}}</tool_call>'
+    turns = [(1, 0, "system", "Use " + declare), (1, 1, "a", call("f")), (2, 0, "system", declare), (2, 1, "a", call("h")),
+             (3, 0, "user", declare), (3, 1, "a", call("f")), (4, 0, "system", "<tools>{}</tools>"), (4, 1, "a", call("f")),
+             (5, 0, "system", declare), (5, 1, "a", call("f", '{"k":1}')), (None, 0, "system", declare), (None, 1, "a", call("f"))]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("wrong", F.lit("x"))
+    rows = chat_format.format_chat(df).collect()
+    got = {(r.conv_id, r.turn): r.problems for r in rows if r.place == 1}
+    assert got[1, 1] == ["arguments.k: missing", "no result"] and got[2, 1] == ["unknown tool", "no result"]
+    assert got[3, 1] == got[5, 1] == got[4, 1] == ["no result"] and got[None, 1] == ["no result"]
+    texts = {(r.conv_id, r.turn): r for r in rows if r.place == 0}
+    assert texts[4, 0].problems == ["malformed tools"] and "f" in texts[1, 0].json and len(rows) == 18
+    rows = chat_format.format_chat(df, {}).collect()
+    assert {tuple(r.problems) for r in rows if r.conv_id in (3, 4) and r.place == 1} == {("unknown tool", "no result")}
