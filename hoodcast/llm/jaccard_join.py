@@ -387,7 +387,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         met = staged(_met(lists.select("key", "rep", "at"), group.drop("bits").join(component, "rep"), percent), at(f"met{k}"))
         pairs = _candidates(met, group, component, percent, block, LIKELIEST if k < ROUNDS else None)
         more = staged(verify(staged(pairs, at(f"pairs{k}")), sets, n), at(f"verified{k + 2}"))
-        links = links.union(more.where(linked).select("a", "b"))
+        # a component found is a star from now on
+        links = label.select(F.col("rep").alias("a"), F.col("component").alias("b")).union(more.where(linked).select("a", "b"))
     labels = connected_components(links, at("components"))
     named = staged(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("digest", F.coalesce("component", "rep").alias("component_id")), at("named"))
