@@ -4,12 +4,16 @@ Polygons are rows with ``rings ARRAY<ARRAY<STRUCT<x, y>>>`` (outer ring and
 holes share the even-odd rule). Everything below is built from DataFrame
 joins, aggregates and SQL higher-order functions:
 
-* point-in-polygon: points get a grid cell ``(cx, cy) = floor((x, y) / s)``;
-  a *cell index* holds, per cell, the polygons whose bounding box meets it
-  together with only the edges that matter for a rightward ray cast from that
-  cell.  Points join the index on the cell (an equi-join, many-to-one, so a
-  point never fans out) and the crossing parity is evaluated in the JVM with
-  ``aggregate``/``exists`` over the short edge list;
+* grid walk: an edge visits the cells that its line crosses, row by row, so the
+  number of (edge, cell) rows follows the edges' length in cells;
+* point-in-polygon: a *cell index* holds, per cell, the polygons that meet it: for
+  each the edges that visit this cell and whether the cell's lower left corner is inside. A point
+  joins the index on its cell (an equi-join, many-to-one, so a point never fans out); its
+  parity is the corner's, changed by every edge of the cell that the way from the point
+  to the corner crosses (left to the cell's border, then down). ``aggregate`` / ``exists``
+  run over that short list in the JVM;
+* ring nesting: a ring adds or takes away area by how many other rings of its polygon hold it,
+  whichever way it turns;
 * polygon adjacency (``touches``): an edge self-join bucketed by the same grid,
   with reference-cell de-duplication, plus a strict-interior probe for overlap.
 """
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import safe_div as C_safe
@@ -39,7 +43,7 @@ def _closed(ring: str) -> str:
 def ring_edges_expr(rings_col: str = "rings") -> Column:
     """All edges of all rings of a polygon as ``ARRAY<STRUCT<x1,y1,x2,y2>>``."""
     return F.expr(
-        f"flatten(transform({rings_col}, r -> transform(sequence(0, size({_closed('r')}) - 2), "
+        f"flatten(transform(filter({rings_col}, r -> size(r) > 1), r -> transform(sequence(0, size({_closed('r')}) - 2), "
         f"i -> named_struct('x1', {_closed('r')}[i].x, 'y1', {_closed('r')}[i].y, "
         f"'x2', {_closed('r')}[i+1].x, 'y2', {_closed('r')}[i+1].y))))"
     )
@@ -51,6 +55,43 @@ def polygon_edges(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
                         F.explode(ring_edges_expr()).alias("e")).select("poly_id", "e.*")
 
 
+def ring_edges(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
+    """``(poly_id, ring, k, x1, y1, x2, y2)``: edge ``k`` of ring ``ring``."""
+    rings = polys.select(F.col(id_col).alias("poly_id"), F.posexplode("rings").alias("ring", "r"))
+    return rings.select("poly_id", "ring", F.posexplode(ring_edges_expr("array(r)")).alias("k", "e")) \
+        .select("poly_id", "ring", "k", "e.*")
+
+
+def walk_rows(e: DataFrame, sy: Column, to: str = "cy") -> DataFrame:
+    """One row per edge and grid row that it visits."""
+    return e.withColumn(to, F.explode(F.sequence(F.floor(F.least("y1", "y2") / sy), F.floor(F.greatest("y1", "y2") / sy))))
+
+
+def walk_cells(e: DataFrame, sx: Column, sy: Column) -> DataFrame:
+    """One row per edge and cell (``cx``, ``cy``) that its line crosses: about |dx| / sx + |dy| / sy + 1 of them.
+
+    Within a row the columns are those between the places where the line enters and leaves it, rounded
+    outwards: a cell too many does no harm, the tests are exact."""
+    e = walk_rows(e, sy)
+    lo, hi = F.greatest(F.least("y1", "y2"), F.col("cy") * sy), F.least(F.greatest("y1", "y2"), (F.col("cy") + 1) * sy)
+
+    def at(y):
+        return F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+
+    slack = sx * 1e-9 + (F.abs("x1") + F.abs("x2")) * 4e-16
+    left = F.greatest(F.least("x1", "x2"), F.coalesce(F.least(at(lo), at(hi)) - slack, F.least("x1", "x2")))
+    right = F.least(F.greatest("x1", "x2"), F.coalesce(F.greatest(at(lo), at(hi)) + slack, F.greatest("x1", "x2")))
+    return e.withColumn("cx", F.explode(F.sequence(F.floor(F.least(left, right) / sx), F.floor(F.greatest(left, right) / sx))))
+
+
+def _own_grid(e: DataFrame) -> DataFrame:
+    """Per polygon the cell size that fits its edges, their mean extent: all its edges together
+    visit about three cells an edge, whatever their length and direction."""
+    step = lambda v: F.greatest(F.avg(F.abs(F.col(f"{v}2") - F.col(f"{v}1"))),
+                                (F.max(F.abs(f"{v}1")) + 1) * 1e-9).alias(f"s{v}")
+    return e.groupBy("poly_id").agg(step("x"), step("y"))
+
+
 def polygon_bounds(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
     """Per-polygon bounding box ``(poly_id, minx, miny, maxx, maxy)``."""
     pts = F.flatten(F.col("rings"))
@@ -90,29 +131,28 @@ def valid_polygons(polys: DataFrame) -> DataFrame:
     """C6/J5 structural checks: non-null, every ring has >= 4 vertices and is
     closed, no proper self-crossing between two edges of the same polygon.
 
-    Edges meet in the grid cells that their boxes touch (about as many cells a side as a
-    polygon has edges), so an outline of V vertices is not compared with itself V x V.
+    Two edges meet in the cells that both lines cross, on a grid of the polygon's own mean
+    edge extents: the rows are linear in the vertices.
     """
     ok_rings = F.expr(
         "rings IS NOT NULL AND size(rings) > 0 AND forall(rings, r -> r IS NOT NULL AND size(r) >= 4 "
         "AND r[0].x = r[size(r)-1].x AND r[0].y = r[size(r)-1].y)")
     structural = polys.where(ok_rings)
-    e = structural.select(F.col("nbhd_id").alias("poly_id"), F.posexplode(ring_edges_expr()).alias("k", "e")) \
-        .select("poly_id", "k", "e.*")
-    box = e.groupBy("poly_id").agg(
-        F.min(F.least("x1", "x2")).alias("x0"), F.min(F.least("y1", "y2")).alias("y0"),
-        F.greatest((F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))) / F.count("*"), F.lit(1e-12)).alias("sx"),
-        F.greatest((F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))) / F.count("*"), F.lit(1e-12)).alias("sy"))
-    span = lambda v, o, w: F.explode(F.sequence(
-        F.floor((F.least(f"{v}1", f"{v}2") - F.col(o)) / F.col(w)), F.floor((F.greatest(f"{v}1", f"{v}2") - F.col(o)) / F.col(w))))
-    e = e.join(box, "poly_id").withColumn("cx", span("x", "x0", "sx")).withColumn("cy", span("y", "y0", "sy"))
+    e = edge_visits(structural)
     a, b = e.alias("a"), e.alias("b")
     cross = (a.join(b, (F.col("a.poly_id") == F.col("b.poly_id")) & (F.col("a.cx") == F.col("b.cx"))
-                    & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.k") < F.col("b.k")))
+                    & (F.col("a.cy") == F.col("b.cy"))
+                    & (F.struct("a.ring", "a.k") < F.struct("b.ring", "b.k")))
              .where(_proper_cross("a", "b")).select(F.col("a.poly_id").alias("nbhd_id")).distinct())
     return structural.join(cross, "nbhd_id", "left_anti")
 
 
+def edge_visits(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
+    """Every edge with the cells it visits on its polygon's own grid."""
+    e = ring_edges(polys, id_col)
+    return walk_cells(e.join(_own_grid(e), "poly_id"), F.col("sx"), F.col("sy"))
+
+
 # ---------------------------------------------------------------------------
 # point-in-polygon via a cell index
 # ---------------------------------------------------------------------------
@@ -129,50 +169,56 @@ def choose_cell_size(polys: DataFrame, per_side: int = 4) -> float:
 
 
 def cell_index(polys: DataFrame, cell: float, id_col: str = "nbhd_id") -> DataFrame:
-    """``(cx, cy, polys ARRAY<STRUCT<poly_id, inside, edges>>)`` sorted by poly id.
-
-    Each polygon contributes to the cells of its bounding box; per cell it keeps
-    only edges whose y-range meets the cell's row and that reach the cell's
-    left border (the only ones a rightward ray from inside the cell can cross
-    or touch).  A cell lists few polygons (those whose boxes meet it), so the
-    per-cell collection is bounded by the geometry, not by the data volume.
+    """``(cx, cy, polys ARRAY<STRUCT<poly_id, inside, corner, edges>>)`` sorted by poly id.
+
+    Every polygon contributes the cells that its edges visit, with these edges and the parity of the cell's
+    lower left corner (``corner``), and the cells that lie inside whole (``inside``, no
+    edges). A corner's parity is a running count, along its row, of the edges that cross the row's
+    lower border to the left of it. Nothing is compared edge by cell: the rows are those of
+    the grid walk, the border crossings and the cells inside. A cell lists the few polygons that
+    meet it, a bound of the geometry, not of the data's volume.
     """
     s = float(cell)
-    base = polys.select(F.col(id_col).alias("poly_id"), ring_edges_expr().alias("edges"),
-                        F.flatten("rings").alias("pts"))
-    base = base.select(
-        "poly_id", "edges",
-        F.floor(F.array_min(F.transform("pts", lambda p: p["x"])) / s).alias("cx0"),
-        F.floor(F.array_max(F.transform("pts", lambda p: p["x"])) / s).alias("cx1"),
-        F.floor(F.array_min(F.transform("pts", lambda p: p["y"])) / s).alias("cy0"),
-        F.floor(F.array_max(F.transform("pts", lambda p: p["y"])) / s).alias("cy1"),
-    )
-    cells = (base
-             .withColumn("cx", F.explode(F.sequence("cx0", "cx1")))
-             .withColumn("cy", F.explode(F.sequence("cy0", "cy1"))))
-    band = F.expr(
-        f"filter(edges, e -> greatest(e.y1, e.y2) >= cy * {s!r} AND least(e.y1, e.y2) <= (cy + 1) * {s!r} "
-        f"AND greatest(e.x1, e.x2) >= cx * {s!r})")
-    # a cell no edge box touches lies entirely inside or entirely outside the
-    # polygon: decide once here by casting from the cell centre, so points in
-    # interior cells need no per-point test and exterior cells are dropped
-    touches = F.expr(
-        f"exists(edges, e -> greatest(e.x1, e.x2) >= cx * {s!r} AND least(e.x1, e.x2) <= (cx + 1) * {s!r} "
-        f"AND greatest(e.y1, e.y2) >= cy * {s!r} AND least(e.y1, e.y2) <= (cy + 1) * {s!r})")
-    cells = cells.select("poly_id", "cx", "cy", band.alias("edges"), touches.alias("boundary"))
-    centre_in = F.expr(f"({_crossings('edges', f'((cx + 0.5) * {s!r})', f'((cy + 0.5) * {s!r})')}) % 2 = 1")
-    cells = cells.withColumn("inside", ~F.col("boundary") & centre_in).where(F.col("boundary") | F.col("inside"))
-    entry = F.struct("poly_id", F.col("inside"),
-                     F.when(F.col("inside"), F.array().cast(f"array<{EDGE_T}>")).otherwise(F.col("edges"))
-                     .alias("edges"))
-    per_cell = cells.select("cx", "cy", entry.alias("p"))
+    size = F.lit(s)
+    e = ring_edges(polys, id_col).select("poly_id", F.struct("x1", "y1", "x2", "y2").alias("e"), "x1", "y1", "x2", "y2")
+    cells = walk_cells(e, size, size).select("poly_id", "cy", F.col("cx").alias("pos"), "e", F.lit(0).alias("add"))
+    # where an edge crosses a row's lower border: between the corners j and j + 1
+    up = walk_rows(e, size).where(f"(y1 > cy * {s!r}) != (y2 > cy * {s!r})")
+    x = F.expr(f"x1 + (x2 - x1) * ((cy * {s!r} - y1) / (y2 - y1))")
+    up = up.withColumn("j", F.floor(x / s))
+    right_of = lambda j: F.expr(f"({_side('e', f'({j} * {s!r})', f'(cy * {s!r})')}) = (y2 < y1)")
+    j = F.when(right_of("j"), F.col("j") - 1).when(~right_of("(j + 1)"), F.col("j") + 1).otherwise(F.col("j"))
+    up = up.select("poly_id", "cy", (j + 1).alias("pos"), F.lit(None).cast(EDGE_T).alias("e"), F.lit(1).alias("add"))
+    places = cells.unionByName(up).groupBy("poly_id", "cy", "pos").agg(
+        F.sum("add").alias("add"), F.collect_list("e").alias("edges"))
+    row = Window.partitionBy("poly_id", "cy").orderBy("pos")
+    places = places.select("*", (F.sum("add").over(row.rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1).alias("odd"),
+                           F.lead("pos").over(row).alias("next"))
+    some = F.size("edges") > 0
+    met = places.where(some).select("poly_id", "cy", F.col("pos").alias("cx"), F.lit(False).alias("inside"),
+                                    F.col("odd").alias("corner"), "edges")
+    first = F.col("pos") + F.when(some, 1).otherwise(0)
+    whole = places.where(F.col("odd") & F.col("next").isNotNull() & (first < F.col("next"))).select(
+        "poly_id", "cy", F.explode(F.sequence(first, F.col("next") - 1)).alias("cx"), F.lit(True).alias("inside"),
+        F.lit(True).alias("corner"), F.array().cast(f"array<{EDGE_T}>").alias("edges"))
+    entry = F.struct("poly_id", "inside", "corner", "edges")
+    per_cell = met.unionByName(whole).select("cx", "cy", entry.alias("p"))
     return per_cell.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("p")).alias("polys"))
 
 
-def _crossings(edges: str, px: str, py: str) -> str:
-    return (f"aggregate({edges}, 0, (acc, e) -> acc + CASE WHEN (e.y1 > {py}) != (e.y2 > {py}) THEN "
-            f"CASE WHEN {px} < (e.x2 - e.x1) * ({py} - e.y1) / (e.y2 - e.y1) + e.x1 THEN 1 ELSE 0 END "
-            f"ELSE 0 END)")
+def _side(e: str, x: str, y: str) -> str:
+    """Whether a point lies to the left of an edge's line (SQL text). On the line it counts as moved up a
+    little and right by less, as the half-open tests of ``_way_crossings`` do."""
+    o = f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
+    return f"({o} > 0 OR ({o} = 0 AND ({e}.x2 > {e}.x1 OR ({e}.x2 = {e}.x1 AND {e}.y2 < {e}.y1))))"
+
+
+def _way_crossings(edges: str, px: str, py: str, x0: str, y0: str) -> str:
+    """How often the way from a point left to the cell's border and down to its corner (x0, y0) crosses the edges."""
+    p, turn, corner = (_side("e", x, y) for x, y in ((px, py), (x0, py), (x0, y0)))
+    return (f"aggregate({edges}, 0, (acc, e) -> acc "
+            f"+ IF((e.y1 > {py}) != (e.y2 > {py}) AND {p} != {turn}, 1, 0) "
+            f"+ IF((e.x1 > {x0}) != (e.x2 > {x0}) AND {turn} != {corner}, 1, 0))")
 
 
 def _on_edge(edges: str, px: str, py: str) -> str:
@@ -181,13 +227,14 @@ def _on_edge(edges: str, px: str, py: str) -> str:
             f"AND {py} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))")
 
 
-def inside_expr(edges: str, px: str, py: str, predicate: str) -> str:
-    odd = f"({_crossings(edges, px, py)}) % 2 = 1"
-    on = _on_edge(edges, px, py)
+def inside_expr(entry: str, px: str, py: str, x0: str, y0: str, predicate: str) -> str:
+    """Whether a point of the cell with lower left corner (x0, y0) matches an index entry with edges."""
+    odd = f"(({_way_crossings(f'{entry}.edges', px, py, x0, y0)}) % 2 = 1) != {entry}.corner"
+    on = _on_edge(f"{entry}.edges", px, py)
     if predicate == "within":
-        return f"({odd} AND NOT {on})"
+        return f"(({odd}) AND NOT {on})"
     if predicate == "intersects":
-        return f"({odd} OR {on})"
+        return f"(({odd}) OR {on})"
     raise ValueError(predicate)
 
 
@@ -208,7 +255,7 @@ def assign_points(points: DataFrame, index: DataFrame, cell: float, x: str, y: s
     pts = points.withColumn("_cx", F.floor(F.col(x) / s)).withColumn("_cy", F.floor(F.col(y) / s))
     idx = index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
     j = pts.join(idx, ["_cx", "_cy"], "inner")
-    test = inside_expr('p.edges', f'`{x}`', f'`{y}`', predicate)
+    test = inside_expr('p', f'`{x}`', f'`{y}`', f'(_cx * {s!r})', f'(_cy * {s!r})', predicate)
     hit = F.expr(f"transform(filter(polys, p -> p.inside OR {test}), p -> p.poly_id)")
     j = j.withColumn("_hits", hit).drop("polys", "_cx", "_cy")
     if single:
@@ -323,19 +370,55 @@ def isolated_areas(areas: DataFrame, adj: DataFrame, id_col: str = "nbhd_id") ->
 # centroid, clustering
 # ---------------------------------------------------------------------------
 
-def centroids(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
-    """Area-weighted centroid by shoelace sums over the edges
-    (planar, in storage coordinates)."""
-    e = polygon_edges(polys, id_col)
+def ring_signs(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
+    """``(poly_id, ring, sign)``: 1 for a ring that adds area, -1 for one that takes it away.
+
+    A ring held by an even number of its polygon's other rings adds, whichever way it turns: outlines,
+    parts, islands in holes. It is asked of a ring's edge midpoints, which meet the other rings'
+    edges in the grid rows they share: a ring holds the midpoint if an odd number of its
+    edges cross the way to the left. A midpoint on none of the other rings decides; if there is
+    none, rings on it count as holding the later ones (of equal rings every other one adds).
+    """
+    several = ring_edges(polys.where("size(rings) > 1"), id_col)
+    grid = _own_grid(several).select("poly_id", "sy")
+    e = several.join(grid, "poly_id")
+    other = walk_rows(e, F.col("sy"), "row").select(
+        "poly_id", "row", F.col("ring").alias("other"), F.struct("x1", "y1", "x2", "y2").alias("e"))
+    middle = e.select("poly_id", "ring", "k", ((F.col("x1") + F.col("x2")) / 2).alias("mx"),
+                      ((F.col("y1") + F.col("y2")) / 2).alias("my"), "sy").withColumn("row", F.floor(F.col("my") / F.col("sy")))
+    # the probe's own ring keeps every probe in the join, and says nothing
+    j = middle.join(other, ["poly_id", "row"])
+    own = F.col("ring") == F.col("other")
+    on = F.expr(_on_edge("array(e)", "mx", "my")) & ~own
+    crossed = F.expr(f"(e.y1 > my) != (e.y2 > my) AND {_side('e', 'mx', 'my')} = (e.y2 < e.y1)") & ~own
+    held = j.groupBy("poly_id", "ring", "k", "other").agg(F.max(on).alias("on"), F.count_if(crossed).alias("n"))
+    held = held.groupBy("poly_id", "ring", "k").agg(
+        F.max("on").alias("on"), F.sum(F.when(F.col("on"), (F.col("other") < F.col("ring")).cast("int"))
+                                       .otherwise((F.col("n") % 2).cast("int"))).alias("depth"))
+    depth = held.groupBy("poly_id", "ring").agg(F.min_by("depth", F.struct("on", "k")).alias("depth"))
+    return depth.select("poly_id", "ring", F.when(F.col("depth") % 2 == 0, 1).otherwise(-1).alias("sign"))
+
+
+def _ring_sums(polys: DataFrame, e: DataFrame, id_col: str) -> DataFrame:
+    """``(poly_id, a2, sx, sy)``: twice the area and six times the area's moments, the rings' shoelace sums
+    over ``e`` (edges with ring, x1 .. y2) added or taken away by their nesting."""
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
-    g = e.groupBy("poly_id").agg(
-        F.sum(cross).alias("a2"),
-        F.sum((F.col("x1") + F.col("x2")) * cross).alias("sx"),
+    rings = e.groupBy("poly_id", "ring").agg(
+        F.sum(cross).alias("a2"), F.sum((F.col("x1") + F.col("x2")) * cross).alias("sx"),
         F.sum((F.col("y1") + F.col("y2")) * cross).alias("sy"))
+    sign = F.coalesce("sign", F.lit(1)) * F.signum("a2")
+    return rings.join(ring_signs(polys, id_col), ["poly_id", "ring"], "left").groupBy("poly_id").agg(
+        *[F.sum(sign * F.col(c)).alias(c) for c in ("a2", "sx", "sy")])
+
+
+def centroids(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
+    """Area-weighted centroid and area by shoelace sums over the edges (planar, in storage
+    coordinates), holes taken away. A polygon without area has no centroid, one without edges no row."""
+    g = _ring_sums(polys, ring_edges(polys, id_col), id_col)
     return g.select(F.col("poly_id").alias(id_col),
                     C_safe(F.col("sx"), F.col("a2") * 3).alias("centroid_lon"),
                     C_safe(F.col("sy"), F.col("a2") * 3).alias("centroid_lat"),
-                    (F.abs(F.col("a2")) / 2).alias("area"))
+                    (F.col("a2") / 2).alias("area"))
 
 
 # ---------------------------------------------------------------------------
@@ -398,15 +481,13 @@ def lcc_inverse(x, y, k: dict | None = None, iterations: int = 6):
 def projected_centroids(polys: DataFrame, id_col: str = "nbhd_id", digits: int = 6) -> DataFrame:
     """J3 (reference variant): centroid computed in the projected CRS, then
     returned to lon/lat; area in square kilometres."""
-    e = polygon_edges(polys, id_col)
+    e = ring_edges(polys, id_col)
     x1, y1 = lcc_forward(F.col("x1"), F.col("y1"))
     x2, y2 = lcc_forward(F.col("x2"), F.col("y2"))
-    p = e.select("poly_id", x1.alias("X1"), y1.alias("Y1"), x2.alias("X2"), y2.alias("Y2"))
-    cross = F.col("X1") * F.col("Y2") - F.col("X2") * F.col("Y1")
-    g = p.groupBy("poly_id").agg(F.sum(cross).alias("a2"), F.sum((F.col("X1") + F.col("X2")) * cross).alias("sx"),
-                                 F.sum((F.col("Y1") + F.col("Y2")) * cross).alias("sy"))
+    e = e.select("poly_id", "ring", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    g = _ring_sums(polys, e, id_col)
     cx, cy = C_safe(F.col("sx"), F.col("a2") * 3), C_safe(F.col("sy"), F.col("a2") * 3)
     lon, lat = lcc_inverse(cx, cy)
     return g.select(F.col("poly_id").alias(id_col), F.bround(lon, digits).alias("centroid_lon"),
                     F.bround(lat, digits).alias("centroid_lat"),
-                    F.bround(F.abs(F.col("a2")) / 2 / 1e6, 3).alias("area_km2"))
+                    F.bround(F.col("a2") / 2 / 1e6, 3).alias("area_km2"))

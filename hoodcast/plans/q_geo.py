@@ -284,3 +284,68 @@ def one_way_pairs(spark, sf):
     """D13 over planted faults: pairs whose reverse was taken away."""
     a = I.adjacency(spark, sf)
     return geo.missing_reverse_pairs(a.where(~((F.col("nbhd_id") > F.col("adjacent_nbhd_id")) & (F.col("adjacent_nbhd_id") % 3 == 0))))
+
+
+# ----------------------------------------------------------------------------
+# rings in rings, detailed outlines
+# ----------------------------------------------------------------------------
+
+def ringed_shapes(spark, sf):
+    """One polygon per customer by its key, rings turning either way: 0 a hole, 1 a hole turning like its outline, 2 two
+    parts of opposite turns, 3 an island in a hole, listed first, 4 an island along its hole's border, 5 a plain square."""
+    k = F.col("c_custkey")
+    x, y = (k % 1000).cast("double") * 8, F.floor(k / 1000).cast("double") * 8
+
+    def box(a, b, w, h, back=False):
+        p = [(a, b), (a + w, b), (a + w, b + h), (a, b + h), (a, b)]
+        return F.array(*[F.struct((x + u).alias("x"), (y + v).alias("y")) for u, v in (p[::-1] if back else p)])
+
+    shapes = [[box(0, 0, 6, 6), box(1, 1, 2, 4, True)], [box(0, 0, 6, 6, True), box(1, 1, 2, 4, True)],
+              [box(0, 0, 2, 2), box(3, 0, 2, 4, True)], [box(2, 2, 1, 2), box(0, 0, 7, 7), box(1, 1, 5, 5)],
+              [box(0, 0, 6, 6), box(1, 1, 4, 4), box(1, 1, 2, 4)], [box(0, 0, 4, 4)]]
+    pick = F.array(*shapes[-1])
+    for i, rings in enumerate(shapes[:-1]):
+        pick = F.when(k % 6 == i, F.array(*rings)).otherwise(pick)
+    return read_table(spark, sf, "customer").select(k.cast("int").alias("nbhd_id"), pick.alias("rings"))
+
+
+#: (area, moments of it about the shape's own corner) of the six kinds
+_RINGED = ((28, 36 * 3 - 8 * 2, 36 * 3 - 8 * 3), (28, 36 * 3 - 8 * 2, 36 * 3 - 8 * 3), (12, 4 * 1 + 8 * 4, 4 * 1 + 8 * 2),
+           (26, 49 * 3.5 - 25 * 3.5 + 2 * 2.5, 49 * 3.5 - 25 * 3.5 + 2 * 3), (28, 36 * 3 - 16 * 3 + 8 * 2, 36 * 3 - 16 * 3 + 8 * 3),
+           (16, 16 * 2, 16 * 2))
+
+
+@query("ringed_centroids", "SELECT CAST(c_custkey AS INTEGER) AS nbhd_id, v[1]::DOUBLE AS area, "
+       "round_even(c_custkey % 1000 * 8 + v[2] / v[1], 6) AS centroid_lon, "
+       "round_even(c_custkey // 1000 * 8 + v[3] / v[1], 6) AS centroid_lat FROM (SELECT c_custkey, CASE c_custkey % 6 "
+       + " ".join(f"WHEN {i} THEN [{a}::DOUBLE, {mx}, {my}]" for i, (a, mx, my) in enumerate(_RINGED)) + " END AS v FROM customer)")
+def ringed_centroids(spark, sf):
+    """Holes and islands by nesting, whichever way their rings turn."""
+    c = geo.centroids(ringed_shapes(spark, sf))
+    return c.select("nbhd_id", F.bround("area", 6).alias("area"), F.bround("centroid_lon", 6).alias("centroid_lon"),
+                    F.bround("centroid_lat", 6).alias("centroid_lat"))
+
+
+#: Vertices of a detailed outline, and of the zigzag: fixed by the fixture.
+WHEEL, SPOKES = 10_000, 24
+
+
+@query("detailed_outline", f"""
+  SELECT c_custkey % {SPOKES} AS spoke, count(*) AS points, count(*) FILTER (WHERE c_custkey % 100 < 90) AS inside
+  FROM customer GROUP BY 1""")
+def detailed_outline(spark, sf):
+    """D8 over one outline of 10,000 vertices (a regular polygon around the origin) per spoke: every customer is a
+    point on the spoke's ray, inside unless it lies in the outer tenth beyond the rim."""
+    spoke, k = F.col("c_custkey") % SPOKES, F.col("c_custkey")
+    cx = F.lit(300.0)
+    turn = F.expr(f"transform(sequence(0, {WHEEL}), i -> named_struct('x', nbhd_id * 300.0 + 100 * cos(2 * pi() * (i % {WHEEL}) / {WHEEL}), "
+                  f"'y', 100 * sin(2 * pi() * (i % {WHEEL}) / {WHEEL})))")
+    wheels = read_table(spark, sf, "customer").select(spoke.cast("int").alias("nbhd_id")).distinct() \
+        .select("nbhd_id", F.array(turn).alias("rings"))
+    r = F.when(k % 100 < 90, k % 100 + 9).otherwise(k % 100 + 12)
+    angle = k * 0.7
+    pts = read_table(spark, sf, "customer").select(spoke.alias("spoke"), (spoke * cx + r * F.cos(angle)).alias("x"), (r * F.sin(angle)).alias("y"))
+    hit = geo.spatial_join(pts, wheels, "x", "y", "within", cell=4.0)
+    inside = hit.where(F.col("nbhd_id") == F.col("spoke")).groupBy("spoke").agg(F.count("*").alias("inside"))
+    return pts.groupBy("spoke").agg(F.count("*").alias("points")).join(inside, "spoke", "left") \
+        .select("spoke", "points", F.coalesce("inside", F.lit(0)).cast("long").alias("inside"))

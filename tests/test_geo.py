@@ -143,3 +143,78 @@ def test_lcc_against_its_definition(spark):
         assert (abs(k_east - 1) < 1e-4) == (lat != 60.0) and k_east < 1 + 1e-4
         (xe, ye), (xw, yw) = at[-70.0, lat], at[-120.0, lat]
         assert abs(xe + xw) < 1e-6 and abs(ye - yw) < 1e-6 and xe > 0
+
+
+def _box(x, y, w, h, turn=1):
+    ring = [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+    return ring[::turn]
+
+
+def test_ring_nesting(spark):
+    """Area and centroid by even-odd nesting, whichever way the rings turn."""
+    cases = {
+        1: [_box(0, 0, 2, 2), _box(5, 0, 2, 2, -1)],                              # parts of opposite orientation
+        2: [_box(0, 0, 2, 2), _box(0.5, 0.5, 0.5, 0.5)],                          # hole turning like its outline
+        3: [_box(0, 0, 2, 2), _box(0.5, 0.5, 0.5, 0.5, -1)],
+        4: [_box(2, 2, 1, 1), _box(0, 0, 9, 9, -1), _box(1, 1, 6, 6, -1)],        # island in a hole, listed first
+        5: [_box(0, 0, 8, 8), _box(2, 2, 4, 4), _box(2, 2, 2, 4)],                # island along three sides of its hole
+        6: [_box(2, 2, 2, 4), _box(2, 2, 4, 4), _box(0, 0, 8, 8)],
+        7: [_box(0, 0, 4, 4), _box(1, 1, 2, 2), _box(1, 1, 2, 2, -1)],            # a hole and an island that fills it
+        8: [_box(0, 0, 3, 3), _box(3, 3, 3, 3, -1), _box(0, 3, 3, 3)],            # parts that meet at a corner and a side
+        9: [_box(0, 0, 1, 0)],                                                    # no area
+        10: [[(0, 0), (0, 0)], _box(0, 0, 1, 1, -1), [(5, 5)], []],
+    }
+    want = {1: (8, 3.5, 1.0), 2: (3.75, (4 - 0.25 * 0.75) / 3.75, (4 - 0.25 * 0.75) / 3.75), 3: (3.75, (4 - 0.25 * 0.75) / 3.75, (4 - 0.25 * 0.75) / 3.75),
+            4: (46, (81 * 4.5 - 36 * 4 + 2.5) / 46, (81 * 4.5 - 36 * 4 + 2.5) / 46), 5: (56, (64 * 4 - 16 * 4 + 8 * 3) / 56, 4.0),
+            6: (56, (64 * 4 - 16 * 4 + 8 * 3) / 56, 4.0), 7: (16, 2.0, 2.0), 8: (27, 7.5 / 3, 10.5 / 3), 9: (0, None, None), 10: (1, 0.5, 0.5)}
+    got = {r.nbhd_id: r for r in geo.centroids(_polys(spark, cases.items())).collect()}
+    assert set(got) == set(want)
+    for k, (area, x, y) in want.items():
+        assert abs(got[k].area - area) < 1e-9, k
+        assert (x is None and got[k].centroid_lon is None) or abs(got[k].centroid_lon - x) + abs(got[k].centroid_lat - y) < 1e-9, k
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000))
+def test_cells_of_detailed_outlines(spark, seed):
+    """Whole-number outlines and points on a fine and a coarse grid: borders, corners, cells inside."""
+    rnd = random.Random(seed)
+
+    def star(cx, cy, n):
+        import math
+        ring = [(round(cx + rnd.randint(1, 9) * math.cos(2 * math.pi * k / n)), round(cy + rnd.randint(1, 9) * math.sin(2 * math.pi * k / n)))
+                for k in range(n)]
+        return [*map(lambda p: (float(p[0]), float(p[1])), ring), (float(ring[0][0]), float(ring[0][1]))]
+
+    shapes = {k: [star(10, 10, rnd.randint(3, 40)) for _ in range(rnd.randint(1, 3))] for k in range(1, 5)}
+    pts = [(i, *rnd.choice([(rnd.uniform(0, 20), rnd.uniform(0, 20)), (float(rnd.randint(0, 20)), float(rnd.randint(0, 20))),
+                            (rnd.randint(0, 40) / 2, rnd.uniform(0, 20))])) for i in range(400)]
+    df = spark.createDataFrame(pts, "pid int, x double, y double")
+    polys = _polys(spark, shapes.items())
+    for cell in (0.5, 4.0):
+        for predicate in ("within", "intersects"):
+            got = {(r["pid"], r["nbhd_id"]) for r in geo.spatial_join(df, polys, "x", "y", predicate, cell=cell).collect()}
+            exp = {(i, p) for i, x, y in pts for p, rings in shapes.items()
+                   if (_on_boundary(x, y, rings) if _on_boundary(x, y, rings) else _pip(x, y, rings)) and
+                   (predicate == "intersects" or not _on_boundary(x, y, rings))}
+            assert got == exp
+
+
+def test_rows_follow_edges_plus_cells(spark):
+    """A 10,000-vertex zigzag and a 10,000-vertex ring."""
+    import math
+    teeth = [(float(k), float(100 * (k % 2))) for k in range(10_000)]
+    zigzag = [*teeth, (10_000.0, -50.0), (0.0, -50.0), teeth[0]]
+    wheel = [(1000 * math.cos(2 * math.pi * k / 10_000), 1000 * math.sin(2 * math.pi * k / 10_000)) for k in range(10_000)]
+    polys = _polys(spark, [(1, [zigzag]), (2, [[*wheel, wheel[0]]])])
+    visits = {r[0]: r[1] for r in geo.edge_visits(polys).groupBy("poly_id").count().collect()}
+    assert all(n < 50_000 for n in visits.values())
+    assert geo.valid_polygons(polys).count() == 2
+    index = geo.cell_index(polys.where("nbhd_id = 2"), 16.0)
+    from pyspark.sql import functions as F
+    stored = index.select(F.explode("polys").alias("p")).agg(F.sum(F.size("p.edges")), F.count("*")).first()
+    assert stored[0] < 12_000 and stored[1] < 14_000  # 10,000 edges; 12,300 cells inside
+    pts = [(i, 700.0 * math.cos(i), 1.0 * i) for i in range(1500)]
+    df = spark.createDataFrame(pts, "pid int, x double, y double")
+    got = {r.pid for r in geo.assign_points(df, index, 16.0, "x", "y").collect()}
+    assert got == {i for i, x, y in pts if _pip(x, y, [[*wheel, wheel[0]]])}
