@@ -8,7 +8,7 @@ before anything moves. Lookups onto the panel are left joins on the panel key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.config import KSI_COLS, ROAD_COLS, WEATHER_COLS
@@ -128,10 +128,35 @@ def expand_intervals(df: DataFrame, start: str = "start_date", end: str = "end_d
             .withColumn(out, F.explode(F.sequence(F.col(start), e))))
 
 
+def sweep_intervals(df: DataFrame, keys, measures: dict, start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """D14/E3 as a sweep line: per key and day the sums of whole-number ``measures`` over the intervals that hold the
+    day, and ``active``, their number; days without any have no row.
+
+    An interval is two rows, its measures added on its first day and taken away on the day after its last;
+    these collapse per key and date before the shuffle. Running totals then hold from one such date to the next:
+    a key's window is bounded by the calendar. Null end, reversed end and null start as in ``expand_intervals``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    first = F.col(start)
+    last = F.greatest(F.coalesce(F.col(end), first), first)
+    events = df.where(first.isNotNull()).select(
+        *keys, *[m.alias(name) for name, m in measures.items()],
+        F.inline(F.array(F.struct(first.alias("date"), F.lit(1).alias("sign")),
+                         F.struct(F.date_add(last, 1).alias("date"), F.lit(-1).alias("sign")))))
+    change = events.groupBy(*keys, "date").agg(
+        F.sum("sign").alias("active"), *[F.sum(F.col("sign") * F.col(m)).alias(m) for m in measures])
+    w = Window.partitionBy(*keys).orderBy("date")
+    total = [F.coalesce(F.sum(c).over(w), F.lit(0)).cast("bigint").alias(c) for c in ("active", *measures)]
+    held = change.select(*keys, "date", F.lead("date").over(w).alias("until"), *total).where("active > 0")
+    # as many rows as the result has
+    days = F.explode(F.sequence("date", F.date_sub("until", 1)))
+    return held.select(days.alias("date"), *keys, "active", *measures)
+
+
 def disruption_daily(raw: DataFrame, polys: DataFrame, cell: float | None = None) -> DataFrame:
     """K9: clean coords (C3), spatial join ``within`` (D8), severity weight
-    (B17; construction feed has none -> 1), full-closure flag (B18), day
-    expansion (D14), per-source daily counts (E3) pivoted into one row per
+    (B17; construction feed has none -> 1), full-closure flag (B18), per-source
+    daily counts (E3) by a sweep over the intervals' ends (D14), one row per
     (date, area) (the full outer join D5 of the two feeds), zero-filled.
     """
     d = geo.valid_coords(raw, "Latitude", "Longitude")
@@ -143,17 +168,13 @@ def disruption_daily(raw: DataFrame, polys: DataFrame, cell: float | None = None
         .alias("severity_weight"),
         C.truthy_flag("IsFullClosure").alias("full_closure_flag"))
     d = geo.spatial_join(d, polys, "Longitude", "Latitude", predicate="within", cell=cell)
-    x = expand_intervals(d)
-    ev, co = F.col("source") == "event", F.col("source") == "construction"
-    g = x.groupBy("date", "nbhd_id").agg(
-        F.count(F.when(ev, F.col("ID"))).alias("events_count"),
-        F.sum(F.when(ev, F.col("severity_weight"))).alias("events_severity_weighted"),
-        F.sum(F.when(ev, F.col("full_closure_flag"))).alias("events_full_closure_count"),
-        F.count(F.when(co, F.col("ID"))).alias("construction_count"),
-        F.sum(F.when(co, F.col("severity_weight"))).alias("construction_severity_weighted"),
-        F.sum(F.when(co, F.col("full_closure_flag"))).alias("construction_full_closure_count"))
-    return g.select("date", "nbhd_id", *[
-        F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in g.columns[2:]])
+    measures = {}
+    for source, name in (("event", "events"), ("construction", "construction")):
+        own = F.col("source") == source
+        for out, v in ((f"{name}_count", F.col("ID").isNotNull().cast("int")), (f"{name}_severity_weighted", F.col("severity_weight")),
+                       (f"{name}_full_closure_count", F.col("full_closure_flag"))):
+            measures[out] = F.when(own, v)
+    return sweep_intervals(d, "nbhd_id", measures).select("date", "nbhd_id", *measures)
 
 
 def left_fill(panel: DataFrame, facts: DataFrame, keys, cols, prefix: str = "",

@@ -15,6 +15,7 @@ from pyspark.sql.types import NumericType, BooleanType
 from hoodcast.config import (BASE_LEAKAGE, DEFAULTS, LEGACY_MAX_KEYWORDS, LEGACY_SUM_KEYWORDS,
                              SUM_KEYWORDS, Settings)
 from hoodcast.functions.columns import safe_div
+from hoodcast.operators.selection import median
 
 
 def numeric_columns(df: DataFrame, drop=frozenset()) -> list[str]:
@@ -130,8 +131,8 @@ def merge_surge_neutral(features: DataFrame, surge: DataFrame, settings: Setting
 
 def merge_surge_median(features: DataFrame, runs: DataFrame, col: str = "surge_proba") -> DataFrame:
     """K26 (legacy): average duplicate runs per date (E6), left join, nulls ->
-    the merged column's median (B13, a scalar subquery)."""
+    the merged column's median (B13, by distributed selection over the whole panel)."""
     s = runs.groupBy("date").agg(F.avg(col).alias(col))
     out = features.join(s, "date", "left")
-    med = out.select(F.median(col)).scalar()
+    med = median(out, col).scalar()
     return out.withColumn(col, F.coalesce(F.col(col), med))

@@ -115,10 +115,10 @@ BASE_CTES = {
 }
 
 
-def sql(body: str, extra: dict | None = None) -> str:
+def sql(body: str, extra: dict | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with every base CTE (DuckDB drops the unused ones)."""
     ctes = dict(BASE_CTES)
     if extra:
         ctes.update(extra)
     parts = ",\n".join(f"{k} AS ({v}\n)" for k, v in ctes.items())
-    return f"WITH {parts}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{parts}\n{body}"

@@ -11,6 +11,7 @@ from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
+from hoodcast.plans.q_geo import STREETS, road_exposure_frame
 from hoodcast.session import cut_lineage
 
 S = ADAPTER
@@ -372,3 +373,12 @@ def road_statistics(spark, sf):
         (F.col("s_nationkey") + 1).cast("int").alias("nbhd_id")).agg(
         F.count(F.lit(1)).cast("double").alias("n_roads"), F.sum(F.col("s_suppkey") % 13).cast("double").alias("length"))
     return Fe.with_road_stats(I.gold(spark, sf).select("date", "nbhd_id"), roads)
+
+
+@query("street_features", sql("""
+  SELECT g.date, g.nbhd_id, CAST(s.intersection_count AS DOUBLE) AS intersection_count,
+         CAST(s.street_segment_count AS DOUBLE) AS street_segment_count, s.arterial_length_km, s.streets_per_node_avg
+  FROM gold g JOIN streets s USING (nbhd_id)""", STREETS, recursive=True))
+def street_features(spark, sf):
+    """The areas' street networks as feature columns of the panel."""
+    return Fe.with_road_stats(I.gold(spark, sf).select("date", "nbhd_id"), road_exposure_frame(spark, sf))

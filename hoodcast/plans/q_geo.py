@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import coord_key
-from hoodcast.operators import geo
+from hoodcast.operators import geo, graph
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
@@ -118,42 +118,53 @@ def coord_clusters(spark, sf):
                                       F.count(F.lit(1)).alias("members"))
 
 
+def street_tables(spark, sf):
+    """Streets: every customer is a node inside its nation's square, every order a segment from its customer to another
+    one, of 20 to 519 metres. Most cross a border; what lies in one area falls into several parts."""
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nodes = c.select(F.col("c_custkey").alias("node"),
+                     (F.col("c_nationkey") % A.GRID_COLS + A.GRID_X0 + (F.col("c_custkey") % 97 + 1) / 98.0).alias("x"),
+                     (F.floor(F.col("c_nationkey") / A.GRID_COLS) + A.GRID_Y0 + (F.col("c_custkey") % 89 + 1) / 90.0).alias("y"))
+    n = c.select(F.max("c_custkey")).scalar()
+    other = F.pmod(F.col("o_orderkey") * 7919 + F.col("o_custkey"), n) + 1
+    segments = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("u"), other.alias("v"), (F.col("o_orderkey") % 500 + 20).alias("length_m"))
+    return nodes, segments
+
+
 def road_exposure_frame(spark, sf):
-    """J8 re-aimed: exposure per area from node and segment tables.
-
-    Nodes are suppliers (``street_count = s_suppkey % 5``) and segments are
-    parts (``length_m = p_size * 37``), placed in area ``key % 25 + 1``; areas
-    without rows report zeros.
-    """
-    nodes = read_table(spark, sf, "supplier").select(
-        (F.col("s_suppkey") % 25 + 1).cast("int").alias("nbhd_id"), (F.col("s_suppkey") % 5).alias("street_count"))
-    segs = read_table(spark, sf, "part").select(
-        (F.col("p_partkey") % 25 + 1).cast("int").alias("nbhd_id"), (F.col("p_size") * 37).alias("length_m"))
-    n = nodes.groupBy("nbhd_id").agg(F.count_if(F.col("street_count") > 1).alias("intersection_count"),
-                                     F.avg("street_count").alias("spn"))
-    s = segs.groupBy("nbhd_id").agg(F.count(F.lit(1)).alias("street_segment_count"),
-                                    F.sum("length_m").alias("len_m"))
-    a = A.areas(spark, sf).select("nbhd_id").join(n, "nbhd_id", "left").join(s, "nbhd_id", "left")
-    return a.select(
-        "nbhd_id",
-        F.coalesce("intersection_count", F.lit(0)).cast("bigint").alias("intersection_count"),
-        F.coalesce("street_segment_count", F.lit(0)).cast("bigint").alias("street_segment_count"),
-        F.coalesce(F.bround(F.col("len_m") / 1000.0, 4), F.lit(0.0)).alias("arterial_length_km"),
-        F.coalesce(F.bround("spn", 4), F.lit(0.0)).alias("streets_per_node_avg"))
-
-
-@query("road_exposure", sql("""
-  SELECT a.nbhd_id, CAST(coalesce(n.ic, 0) AS BIGINT) AS intersection_count,
-         CAST(coalesce(s.sc, 0) AS BIGINT) AS street_segment_count,
-         coalesce(round_even(s.len_m / 1000.0, 4), 0.0) AS arterial_length_km,
-         coalesce(round_even(n.spn, 4), 0.0) AS streets_per_node_avg
-  FROM areas a
-  LEFT JOIN (SELECT CAST(s_suppkey % 25 + 1 AS INTEGER) AS nbhd_id, count(*) FILTER (WHERE s_suppkey % 5 > 1) AS ic,
-                    avg(s_suppkey % 5) AS spn FROM supplier GROUP BY 1) n USING (nbhd_id)
-  LEFT JOIN (SELECT CAST(p_partkey % 25 + 1 AS INTEGER) AS nbhd_id, count(*) AS sc, sum(p_size * 37) AS len_m
-             FROM part GROUP BY 1) s USING (nbhd_id)"""))
+    """The street network of each area."""
+    nodes, segments = street_tables(spark, sf)
+    return graph.street_network(nodes, segments, A.area_polygons(spark, sf), cell=CELL)
+
+
+#: The street network in SQL: components by closure over the links inside an area.
+STREETS = {
+    "street": """SELECT o_custkey AS u, (o_orderkey * 7919 + o_custkey) % (SELECT max(c_custkey) FROM customer) + 1 AS v,
+      o_orderkey % 500 + 20 AS length_m FROM orders""",
+    "inner_street": """SELECT a.c_nationkey AS n, u, v, length_m FROM street JOIN customer a ON u = a.c_custkey
+      JOIN customer b ON v = b.c_custkey WHERE a.c_nationkey = b.c_nationkey""",
+    "way": """SELECT u, v FROM inner_street UNION SELECT v, u FROM inner_street UNION SELECT u, u FROM inner_street
+      UNION SELECT v, v FROM inner_street""",
+    "reach": """SELECT u AS node, v AS other FROM way UNION SELECT node, v FROM reach JOIN way ON other = u""",
+    "part_of": "SELECT node, min(other) AS part FROM reach GROUP BY node",
+    "degree": "SELECT k AS node, count(*) AS d FROM (SELECT u AS k FROM street UNION ALL SELECT v FROM street) GROUP BY k",
+    "part_size": """SELECT c_nationkey AS n, part, count(*) AS nodes, count(*) FILTER (WHERE d > 1) AS crossings, avg(d) AS spn
+      FROM part_of JOIN customer ON node = c_custkey JOIN degree USING (node) GROUP BY 1, 2""",
+    "largest": "SELECT * FROM part_size QUALIFY row_number() OVER (PARTITION BY n ORDER BY nodes DESC, part) = 1",
+    "streets": """SELECT a.nbhd_id, CAST(coalesce(l.crossings, 0) AS BIGINT) AS intersection_count,
+      CAST(coalesce(s.c, 0) AS BIGINT) AS street_segment_count, coalesce(round_even(s.len_m / 1000.0, 4), 0.0) AS arterial_length_km,
+      coalesce(round_even(l.spn, 4), 0.0) AS streets_per_node_avg
+      FROM areas a LEFT JOIN largest l ON l.n = a.nbhd_id - 1
+      LEFT JOIN (SELECT i.n, part, count(*) AS c, sum(length_m) AS len_m FROM inner_street i JOIN part_of ON u = node GROUP BY 1, 2) s
+        ON s.n = l.n AND s.part = l.part""",
+}
+
+
+@query("road_exposure", sql("SELECT * FROM streets", STREETS, recursive=True))
 def road_exposure(spark, sf):
-    """Intersections, segments, length (km, 4 dp), mean streets per node (4 dp)."""
+    """Intersections, segments, length (km, 4 dp), mean streets per node (4 dp) of the largest connected part of each
+    area's street graph; parts apart and segments across a border do not count."""
     return road_exposure_frame(spark, sf)
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from hoodcast.operators import panel as Pn
 from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.sources import adapter as A
+from hoodcast.sources.tables import read_table
 
 
 @query("collision_daily", sql("SELECT date, nbhd_id, area_id, area_name, collision_count "
@@ -135,3 +137,17 @@ def attach_nbhd_id(spark, sf):
     from hoodcast.operators import panel as Pn
     daily = I.collision_daily(spark, sf).select("area_id", "date", "collision_count")
     return Pn.attach_area_id(daily, A.areas(spark, sf))
+
+
+@query("closure_sweep", """
+  SELECT day::DATE AS date, o_custkey % 25 AS area, count(*) AS active, sum(o_orderkey % 5)::BIGINT AS severity
+  FROM (SELECT o_custkey, o_orderkey, unnest(generate_series(o_orderdate::DATE, greatest(coalesce(CASE WHEN o_orderkey % 17 <> 0
+        THEN o_orderdate::DATE + (o_orderkey % 3650 - 3)::INT END, o_orderdate::DATE), o_orderdate::DATE), INTERVAL 1 DAY)) AS day FROM orders)
+  GROUP BY 1, 2""")
+def closure_sweep(spark, sf):
+    """D14 over closures of up to ten years, some without an end or with one before the start."""
+    start = F.to_date("o_orderdate")
+    end = F.when(F.col("o_orderkey") % 17 != 0, F.date_add(start, (F.col("o_orderkey") % 3650 - 3).cast("int")))
+    d = read_table(spark, sf, "orders").select((F.col("o_custkey") % 25).alias("area"), start.alias("start_date"), end.alias("end_date"),
+                                               (F.col("o_orderkey") % 5).alias("severity"))
+    return Pn.sweep_intervals(d, "area", {"severity": F.col("severity")})

@@ -13,6 +13,7 @@ from hoodcast.operators import evaluate as Ev
 from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
+from hoodcast.plans.q_geo import ringed_shapes
 from hoodcast.plans.q_eval import EV_CTE, Y, _metrics_sql, eval_frame
 from hoodcast.sources import adapter as A
 from hoodcast.sources import readers as Rd
@@ -124,3 +125,15 @@ def provenance(spark, sf):
     """Constant provenance tags with a domain check."""
     w = A.weather_raw(spark, sf).select("date")
     return Rd.with_provenance(w, "weather_source", "citywide", ("citywide", "micro_proxy"), "v1")
+
+
+@query("feature_collection", """
+  SELECT CAST(c_custkey AS INTEGER) AS nbhd_id, 'Polygon' AS geometry_type, [2, 2, 2, 3, 3, 1][c_custkey % 6 + 1] AS n_rings,
+         CAST(c_custkey % 1000 * 8 + CASE WHEN c_custkey % 6 = 3 THEN 2 ELSE 0 END AS DOUBLE) AS x FROM customer""")
+def feature_collection(spark, sf):
+    """A2: one FeatureCollection document with a polygon per customer, read back by as many tasks as it has blocks."""
+    path = Rd.landing_dir(spark, "collection")
+    Rd.write_feature_collection(ringed_shapes(spark, sf), path, ["nbhd_id"], "nbhd_id")
+    g = Rd.read_geojson(spark, path, collection=True)
+    return g.select(F.col("properties")["nbhd_id"].try_cast("int").alias("nbhd_id"), "geometry_type", F.size("rings").alias("n_rings"),
+                    F.array_min(F.transform(F.col("rings")[0], lambda q: q["x"])).alias("x"))

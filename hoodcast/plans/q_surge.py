@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from hoodcast.config import ADAPTER, BASE_LEAKAGE
+from hoodcast.operators import selection as Se
 from hoodcast.operators import surge as Su
 from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
@@ -14,6 +15,7 @@ from hoodcast.plans.catalog import query
 from hoodcast.session import cut_lineage
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.plans.q_features import feature_column_names, feature_table_ctes, spark_features
+from hoodcast.sources.tables import read_table
 
 S = ADAPTER
 SPLIT = f"DATE '{S.split_date.isoformat()}'"
@@ -187,3 +189,21 @@ def surge_merge_median(spark, sf):
     runs = sp.select("date", F.col("surge_proba_t1").alias("surge_proba")).unionByName(
         sp.select("date", F.col("surge_proba_t2").alias("surge_proba")))
     return Su.merge_surge_median(p, runs).select("date", "nbhd_id", "surge_proba")
+
+
+@query("exact_quantiles", """
+  SELECT l_returnflag, l_linestatus, unnest(ps) AS p, n, round_even(unnest(qs), 4) AS quantile
+  FROM (SELECT l_returnflag, l_linestatus, count(*) AS n, [0.0, 0.05, 0.5, 0.9, 0.999, 1.0]::DOUBLE[] AS ps,
+               quantile_cont(l_extendedprice, [0.0, 0.05, 0.5, 0.9, 0.999, 1.0]) AS qs FROM lineitem GROUP BY 1, 2)""")
+def exact_quantiles(spark, sf):
+    """E8 grouped: exact interpolated quantiles of every price, hot groups among them, by distributed selection."""
+    q = Se.quantiles(read_table(spark, sf, "lineitem"), "l_extendedprice", [0.0, 0.05, 0.5, 0.9, 0.999, 1.0], ["l_returnflag", "l_linestatus"])
+    return q.withColumn("quantile", F.bround("quantile", 4))
+
+
+@query("median_per_supplier", """
+  SELECT l_suppkey, count(*) AS n, round_even(median(l_quantity), 4) AS median FROM lineitem GROUP BY 1""")
+def median_per_supplier(spark, sf):
+    """E9 grouped: the median of many small groups."""
+    q = Se.quantiles(read_table(spark, sf, "lineitem"), "l_quantity", [0.5], "l_suppkey")
+    return q.select("l_suppkey", "n", F.bround("quantile", 4).alias("median"))

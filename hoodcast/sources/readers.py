@@ -1,9 +1,9 @@
 """Readers and sinks (A2, A4-A10, A14) over landed files.
 
 Landed payloads are read with explicit schemas (no inference at scale).
-GeoJSON is accepted both as a FeatureCollection document and as one feature
-per line (GeoJSON text sequences), which is how large feature sets should be
-landed: each line is parsed independently, in parallel.
+GeoJSON is accepted both as a FeatureCollection document, of any size and read by several
+tasks (``split_features``), and as one feature per line (GeoJSON text sequences): each
+line is parsed independently, in parallel.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hoodcast.session import ensure_checkpoint_dir
+from hoodcast.session import cut_lineage, ensure_checkpoint_dir
 
 _GEOM = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 _FEATURE = T.StructType([
@@ -40,8 +40,7 @@ def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> Da
     polygon layout. Polygon and MultiPolygon are supported (parts' rings are
     concatenated; the even-odd rule treats disjoint parts correctly)."""
     if collection:
-        raw = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
-        feats = raw.select(F.explode("features").alias("f")).select("f.*")
+        feats = split_features(spark, path).select(F.from_json("feature", _FEATURE).alias("f")).where("f.type = 'Feature'").select("f.*")
     else:
         feats = spark.read.schema(_FEATURE).json(path)
     g = F.col("geometry")
@@ -51,14 +50,79 @@ def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> Da
     return feats.select("properties", g["type"].alias("geometry_type"), rings.alias("rings"))
 
 
-def write_geojson_lines(polys: DataFrame, path: str, props) -> None:
-    """Land polygons as one GeoJSON feature per line."""
+def split_features(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, at, feature)``: the objects inside the root object of each JSON document, as text, for a
+    FeatureCollection its features (and other members that are objects). ``at`` is their order within the file.
+
+    The text is read by as many tasks as the file has blocks, cut after every ``}``. Whether a piece
+    begins inside a string follows from the number of quotes before it, its depth from the braces
+    outside strings: two running totals, over the blocks' sums and within each block. Where the depth comes back to one an
+    object ends; its pieces are put together again. No task holds more than a block or a feature.
+    """
+    read = spark.read.option("lineSep", "}").text(path)
+    pieces = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("seq"), "value")
+    # the text between quotes; an escaped character is neither a quote nor a brace
+    parts = F.split(F.regexp_replace("value", r"\\.", ""), '"', -1)
+    braces = lambda odd: F.expr(
+        f"aggregate(filter(parts, (p, i) -> i % 2 = {odd}), 0, (n, p) -> n + length(p) - length(replace(p, '{{', '')))")
+    pieces = pieces.withColumn("parts", parts).select(
+        "file", "block", "seq", "value", (F.size("parts") - 1).alias("quotes"), braces(0).alias("open0"), braces(1).alias("open1"))
+    pieces = cut_lineage(pieces)
+    light = pieces.drop("value")
+    light = _before(light, "quotes", "quoted")
+    light = light.withColumn("inside", F.col("quoted") % 2 == 1)
+    ends_inside = (F.col("quoted") + F.col("quotes")) % 2 == 1
+    # a piece ends with "}": outside strings it closes an object
+    light = cut_lineage(light.select("file", "block", "seq", "inside", F.when(F.col("inside"), F.col("open1")).otherwise(F.col("open0")).alias("open"),
+                                     F.when(ends_inside, 0).otherwise(1).alias("close")).withColumn("step", F.col("open") - F.col("close")))
+    light = _before(light, "step", "depth")
+    light = light.withColumn("ends", ((F.col("close") == 1) & (F.col("depth") + F.col("step") == 1)).cast("int"))
+    light = cut_lineage(_before(light, "ends", "at").where("depth + open >= 2"))
+    # the first piece of an object has what comes before it: the rest of a string, the root's own brace, commas, other members
+    first = F.col("depth") <= 1
+    head = r'^[^{"]*+(?:"(?:[^"\\]++|\\.)*+"[^{"]*+)*+'
+    rest = r'^(?:[^"\\]++|\\.)*+"'
+    body = F.when(F.col("inside"), F.regexp_replace("value", rest, "")).when(F.col("depth") == 0, F.regexp_replace("value", head + r"\{", "")).otherwise(F.col("value"))
+    body = F.when(first, F.regexp_replace(body, head, "")).otherwise(F.col("value"))
+    whole = pieces.select("file", "block", "seq", "value").join(light.select("file", "block", "seq", "at", "depth", "inside"), ["file", "block", "seq"])
+    whole = whole.groupBy("file", "at").agg(F.sort_array(F.collect_list(F.struct("block", "seq", body.alias("text")))).alias("t"))
+    return whole.select("file", "at", F.concat(F.array_join(F.transform("t", lambda t: t["text"]), "}"), F.lit("}")).alias("feature"))
+
+
+def _before(rows: DataFrame, value: str, out: str) -> DataFrame:
+    """The sum of ``value`` over a file's earlier rows: over the blocks before, then within the block."""
+    blocks = rows.groupBy("file", "block").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    own = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("_base") + F.coalesce(F.sum(value).over(own), F.lit(0))
+    return rows.join(blocks, ["file", "block"]).withColumn(out, total).drop("_base")
+
+
+def feature_json(polys: DataFrame, props) -> Column:
+    """A row as a GeoJSON feature."""
     coords = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
-    feat = F.struct(
+    return F.to_json(F.struct(
         F.lit("Feature").alias("type"),
         F.create_map(*[x for c in props for x in (F.lit(c), F.col(c).cast("string"))]).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.to_json(coords).alias("coordinates")).alias("geometry"))
-    polys.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
+        F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry")))
+
+
+def write_geojson_lines(polys: DataFrame, path: str, props) -> None:
+    """Land polygons as one GeoJSON feature per line."""
+    polys.select(feature_json(polys, props).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_feature_collection(polys: DataFrame, path: str, props, order: str) -> None:
+    """Land polygons as one FeatureCollection document, features by ``order`` (a distinct number): one file, hence one task."""
+    spark = polys.sparkSession
+    body = polys.select(F.col(order).cast("long").alias("k"), feature_json(polys, props).alias("value"))
+    first = body.select(F.min("k")).scalar()
+    body = body.select("k", F.when(F.col("k") == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value"))
+    ends = spark.createDataFrame([(None, '{"type": "FeatureCollection", "name": "a{b}", "features": ['), (1 << 62, "]}")], "k long, value string")
+    ends.unionByName(body).coalesce(1).sortWithinPartitions(F.col("k").asc_nulls_first()).select("value") \
+        .write.mode("overwrite").text(path)
 
 
 # Columnar daily weather payload names -> engine column names.

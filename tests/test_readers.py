@@ -51,3 +51,47 @@ def test_columnar_documents_are_refused(spark, tmp_path):
         assert [r["reason"] for r in Rd.columnar_violations(spark, path, 3).collect()] == [reason]
         with pytest.raises(ValueError, match=reason):
             Rd.read_columnar_daily(spark, path, 3)
+
+
+def test_feature_collection_read_by_several_tasks(spark, tmp_path):
+    """Braces, quotes and escapes in strings, members that are no features, any key order and layout, cut anywhere."""
+    import random
+    rnd = random.Random(1)
+    odd = ["}", "{", '"', "\\", '\\"', "a{b}c", 'x"}', "\n", "é😀", "\\}", "[{", "", "Feature", '{"type":"Feature"}']
+    features = []
+    for i in range(300):
+        p = {"area_id": str(i), "note": "".join(rnd.choice(odd) for _ in range(rnd.randrange(6))), rnd.choice(["k}", "k"]): rnd.choice(["v", None])}
+        f = [("type", "Feature"), ("properties", p), ("geometry", {"type": "Polygon", "coordinates": [SQUARE] * rnd.randint(1, 3)})]
+        rnd.shuffle(f)
+        features.append(dict(f))
+    head = {"type": "FeatureCollection", "name": 'a"}{', "crs": {"type": "name", "properties": {"name": "x}"}}}
+    for k, layout in enumerate(({"separators": (",", ":")}, {"indent": 1}, {"ensure_ascii": False})):
+        path = tmp_path / f"c{k}"
+        path.mkdir()
+        for name, own in (("a.json", features), ("b.json", features[:3]), ("c.json", [])):
+            (path / name).write_text(json.dumps(head | {"features": own, "tail": {"a": {}}}, **layout), encoding="utf-8")
+        for size in ("777", "128m"):
+            before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            try:
+                tasks = spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions()
+                got = Rd.split_features(spark, str(path)).collect()
+                rows = Rd.read_geojson(spark, str(path), collection=True).collect()
+            finally:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            assert tasks > 50 or size == "128m"
+            for name, own in (("a.json", features), ("b.json", features[:3]), ("c.json", [])):
+                mine = [json.loads(r.feature) for r in sorted((r for r in got if r.file.endswith(name)), key=lambda r: r["at"])]
+                assert mine == [head["crs"], *own, {"a": {}}]
+            whole = spark.read.schema(Rd._COLLECTION).option("multiLine", True).json(str(path)).select(F.explode("features").alias("f"))
+            want = sorted((sorted(r.f.properties.items(), key=str) for r in whole.collect()), key=str)
+            assert sorted((sorted(r.properties.items(), key=str) for r in rows), key=str) == want
+            assert sorted(len(r.rings) for r in rows) == sorted(len(f["geometry"]["coordinates"]) for f in [*features, *features[:3]])
+
+
+def test_feature_collection_round_trip(spark, tmp_path):
+    from hoodcast.plans.q_geo import ringed_shapes
+    shapes = ringed_shapes(spark, "/root/testdata/sf0.001")
+    Rd.write_feature_collection(shapes, str(tmp_path / "d"), ["nbhd_id"], "nbhd_id")
+    back = Rd.read_geojson(spark, str(tmp_path / "d"), collection=True).select(F.col("properties")["nbhd_id"].cast("int").alias("nbhd_id"), "rings")
+    assert back.exceptAll(shapes).isEmpty() and back.count() == shapes.count()
