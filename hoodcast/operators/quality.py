@@ -53,16 +53,73 @@ def contract(name: str) -> dict:
     }[name]
 
 
-def require_contract(df: DataFrame, name: str) -> None:
-    """Raise with the violation counts when a rule of the contract is broken (N6 first:
-    its columns must exist)."""
-    require_columns(df, {"gold": ("date", "nbhd_id", "collisions", "tavg"),
-                         "features": ("date", "nbhd_id", "collisions_lag1", "target_collision_t1"),
-                         "surge_predictions": ("date", "surge_proba_t1"),
-                         "nbhd_predictions": ("date", "nbhd_id", "proba_collision_t1")}[name])
-    broken = {k: n for k, n in contract_violations(df, contract(name)).first().asDict().items() if n}
+#: Columns a table needs (N6), and the types of its contract; a text that is no such value counts as null.
+CONTRACT_TYPES = {
+    "gold": {"date": "date", "nbhd_id": "int", "collisions": "bigint", "tavg": "double"},
+    "features": {"date": "date", "nbhd_id": "int", "collisions_lag1": "double", "target_collision_t1": "int"},
+    "surge_predictions": {"date": "date", "surge_proba_t1": "double"},
+    "nbhd_predictions": {"date": "date", "nbhd_id": "int", "proba_collision_t1": "double"},
+}
+
+
+def coerced(df: DataFrame, name: str) -> DataFrame:
+    """The contract's columns in its types before the rules are read; what cannot be converted becomes null,
+    which the rules then refuse where a value is required. N6 first: the columns must exist."""
+    types = CONTRACT_TYPES[name]
+    require_columns(df, types)
+    have = dict(df.dtypes)
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if have[c] != t}) if any(
+        have[c] != t for c, t in types.items()) else df
+
+
+def contract_metrics(name: str) -> dict:
+    """N3 as aggregates: rows that break each rule of the contract (null counts as broken)."""
+    return {f"broken_{rule}": F.count_if(~F.coalesce(cond, F.lit(False))) for rule, cond in contract(name).items()}
+
+
+#: Ids that the entity count of ``entity_metrics`` covers: a fixed set of bits.
+ENTITY_IDS = 32_768
+
+
+def entity_metrics(col: str = "nbhd_id") -> dict:
+    """N2 as aggregates of fixed size: distinct ids from 1 to ``ENTITY_IDS``, and rows with an id beyond."""
+    good = F.col(col).between(1, ENTITY_IDS)
+    return {"entities": F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(F.when(good, F.col(col).cast("bigint"))))),
+            "ids_out_of_range": F.count_if(~F.coalesce(good, F.lit(False)))}
+
+
+def refuse(found: dict, name: str, expected: int | None = None, rows: int | None = None) -> None:
+    """Raise when the aggregates of ``contract_metrics`` / ``entity_metrics`` / ``rows`` say that a gate fails
+    (N2, N3, N5)."""
+    broken = {k.removeprefix("broken_"): n for k, n in found.items() if k.startswith("broken_") and n}
     if broken:
         raise ValueError(f"{name} contract: {broken}")
+    if expected is not None and (found["entities"] != expected or found["ids_out_of_range"]):
+        raise ValueError(f"{name} has {found['entities']} distinct nbhd_id and {found['ids_out_of_range']} rows with none; expected {expected}")
+    if rows is not None and found["rows"] != rows:
+        raise ValueError(f"{name}: {rows} rows before, {found['rows']} after")
+
+
+def require_contract(df: DataFrame, name: str) -> None:
+    """Raise with the violation counts when a rule of the contract is broken (types first, then rules)."""
+    refuse(coerced(df, name).agg(*[m.alias(k) for k, m in contract_metrics(name).items()]).first().asDict(), name)
+
+
+def require_panel(df: DataFrame, name: str, expected: int) -> None:
+    """A panel's gates in one pass over its rows: contract (N3), expected areas (N2), unique key (N1) and one row per
+    area and day (T4). Rows collapse per area first; what comes back is one row of counts."""
+    df = coerced(df, name)
+    area = df.groupBy("nbhd_id").agg(
+        F.count("*").alias("n"), F.count_distinct("date").alias("d"), (F.datediff(F.max("date"), F.min("date")) + 1).alias("span"),
+        *[m.alias(k) for k, m in contract_metrics(name).items()])
+    total = area.agg(F.count("nbhd_id").alias("entities"), F.sum(F.when(F.col("nbhd_id").isNull(), F.col("n")).otherwise(0)).alias("ids_out_of_range"),
+                     F.count_if(F.col("n") != F.col("d")).alias("repeated"), F.count_if(F.col("d") != F.col("span")).alias("gaps"),
+                     *[F.sum(k).alias(k) for k in contract_metrics(name)]).first().asDict()
+    if total["repeated"]:
+        raise ValueError(f"{name} key: {total['repeated']} areas with a day twice, or without a date")
+    refuse(total, name, expected)
+    if total["gaps"]:
+        raise ValueError(f"{name} days: {total['gaps']} areas with days missing")
 
 
 def require_entities(df: DataFrame, expected: int, what: str, col: str = "nbhd_id") -> None:

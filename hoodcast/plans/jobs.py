@@ -10,8 +10,9 @@ Stage boundaries are written tables (parquet, panel tables partitioned by
     refresh   merge newly landed feature rows                          (A13)
     score     saved models over every feature row                      (L8, L10-L13)
 
-Gates raise before anything is written: unique keys, expected areas, contracts, daily density,
-row counts of joins, merged predictions.
+Gates on a stage's input raise before anything is written: unique keys, expected areas, contracts, daily density,
+lookups. Those on its result (contract, areas, row counts of joins) are observed in the pass that
+writes it; a table that fails is removed again.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hoodcast.config import BASE_LEAKAGE, DEFAULTS, Settings
@@ -29,39 +30,64 @@ from hoodcast.operators import models as M
 from hoodcast.operators import panel as Pn
 from hoodcast.operators import quality as Q
 from hoodcast.operators import surge as Su
+from hoodcast.operators import weather as We
 from hoodcast.session import cut_lineage
 from hoodcast.sources import readers as Rd
 
 
+def write_gated(df: DataFrame, out: str, name: str, partition_by=None, expected: int | None = None, rows=None) -> DataFrame:
+    """Write ``df`` and check it in the same pass: contract (N3), areas (N2), row count (N5; ``rows`` is a number or a
+    function called after the write). A table that fails is removed and the job raises."""
+    spark = df.sparkSession
+    df = Q.coerced(df, name)
+    metrics = {"rows": F.count(F.lit(1))} | Q.contract_metrics(name) | (Q.entity_metrics() if expected is not None else {})
+    found = Rd.write_observed(df, out, metrics, partition_by)
+    try:
+        Q.refuse(found, name, expected, rows() if callable(rows) else rows)
+    except ValueError:
+        Rd.remove(spark, out)
+        raise
+    return spark.read.parquet(out)
+
+
+def attach_areas(daily: DataFrame, dim: DataFrame, key: str = "area_id") -> DataFrame:
+    """K4: area numbers for daily rows; any row without a match, or an area listed twice, stops the job."""
+    text = [x.withColumn(key, F.col(key).cast("string")) for x in (daily, dim)]
+    Q.require_lookup(*text, key, key, "areas")
+    return Pn.attach_area_id(daily, dim, key)
+
+
+def expand_weather(panel: DataFrame, cell_weather: DataFrame, area_cells: DataFrame) -> DataFrame:
+    """Cell weather onto the panel through the areas' cells. A cell twice a day or an area with two cells
+    would multiply rows (D12), a cell without weather would lose an area (N4): each stops the job."""
+    Q.require_empty(Q.duplicate_keys(cell_weather, ["date", "coord_key"]), "cell weather key")
+    Q.require_empty(Q.duplicate_keys(area_cells, ["nbhd_id"]), "area cell key")
+    Q.require_empty(Q.missing_lookup(area_cells, cell_weather, "coord_key", "coord_key"), "area cells without weather")
+    return We.replace_weather(panel, We.expand_to_areas(cell_weather, area_cells))
+
+
 def build_gold(panel: DataFrame, ksi: DataFrame, weather: DataFrame, road: DataFrame, out: str) -> DataFrame:
-    """K6 + K8 + K10 with the row-count invariant (N5) and a weather row for every day, written by year."""
+    """K6 + K8 + K10 with the row-count invariant (N5) and a weather row for every day, written by year. The panel's
+    rows and the result's are counted in the one pass that writes it."""
     Q.require_empty(Q.duplicate_keys(weather, ["date"]), "weather key")
     Q.require_empty(Q.set_difference(panel, weather, ["date"]), "days without weather")
-    gold = Pn.gold(panel, ksi, weather, road)
-    Rd.write_parquet(gold.withColumn("_year", F.year("date")), out, ["_year"])
-    gold = gold.sparkSession.read.parquet(out).drop("_year")
-    Q.require_same_rows(panel, gold, "gold joins")
-    return gold
+    before = Observation()
+    gold = Pn.gold(panel.observe(before, F.count(F.lit(1)).alias("rows")), ksi, weather, road)
+    return write_gated(gold.withColumn("_year", F.year("date")), out, "gold", ["_year"], rows=lambda: before.get["rows"]).drop("_year")
 
 
 def build_features(gold: DataFrame, adj: DataFrame, out: str, settings: Settings = DEFAULTS,
                    road_stats: DataFrame | None = None) -> DataFrame:
-    """Gates on the input (unique key, expected areas, contract, one row per day), optional road
-    statistics (left join, row count kept, gaps filled with the median), build, gates on the
-    result, written by year."""
-    Q.require_empty(Q.duplicate_keys(gold, ["date", "nbhd_id"]), "gold key")
-    Q.require_entities(gold, settings.expected_areas, "gold")
-    Q.require_contract(gold, "gold")
-    Q.require_empty(Q.density_violations(gold), "gold days")
+    """Gates on the input in one pass (unique key, expected areas, contract, one row per day), optional road
+    statistics (left join on a unique key, gaps filled with the median), build, gates on the
+    result in the pass that writes it, by year."""
+    Q.require_panel(gold, "gold", settings.expected_areas)
     if road_stats is not None:
         Q.require_empty(Q.duplicate_keys(road_stats, ["nbhd_id"]), "road statistics key")
         gold = cut_lineage(Fe.with_road_stats(gold, road_stats))
     f = Fe.feature_table(gold, adj, settings)
-    Rd.write_parquet(f.withColumn("_year", F.year("date")), out, ["_year"])
-    f = f.sparkSession.read.parquet(out).drop("_year")
-    Q.require_contract(f, "features")
+    f = write_gated(f.withColumn("_year", F.year("date")), out, "features", ["_year"], settings.expected_areas).drop("_year")
     Q.require_empty(Q.duplicate_keys(f, ["date", "nbhd_id"]), "feature key")
-    Q.require_entities(f, settings.expected_areas, "features")
     return f
 
 
@@ -143,14 +169,8 @@ def refresh(spark: SparkSession, state: DataFrame, landed: DataFrame, keys=("dat
 def score(features: DataFrame, city_model: M.CalibratedEnsemble, area_model: M.CalibratedEnsemble, out: str,
           created_at: str, version: str) -> tuple[DataFrame, DataFrame]:
     """Batch scoring of every feature row: the city table (8 columns) and the area table (14)."""
-    spark = features.sparkSession
     city = M.score_city(features, city_model, created_at, version)
-    Rd.write_parquet(city, os.path.join(out, "surge_scores"))
-    city = spark.read.parquet(os.path.join(out, "surge_scores"))
-    Q.require_contract(city, "surge_predictions")
+    city = write_gated(city, os.path.join(out, "surge_scores"), "surge_predictions")
     areas = M.score_areas(features, city, area_model, created_at, version)
-    Rd.write_parquet(areas, os.path.join(out, "nbhd_scores"))
-    areas = spark.read.parquet(os.path.join(out, "nbhd_scores"))
-    Q.require_contract(areas, "nbhd_predictions")
-    Q.require_same_rows(features, areas, "area scores")
+    areas = write_gated(areas, os.path.join(out, "nbhd_scores"), "nbhd_predictions", rows=features.count)
     return city, areas

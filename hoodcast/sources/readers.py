@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,7 +178,7 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType | None = N
     missing path yields an empty frame with ``schema``; without a schema the
     union of keys becomes the columns."""
     paths = [path] if isinstance(path, str) else list(path)
-    paths = [p for p in paths if _exists(p)]
+    paths = [p for p in paths if exists(spark, p)]
     if not paths:
         if schema is None:
             raise FileNotFoundError(path)
@@ -189,8 +189,20 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType | None = N
     return r.json(paths)
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(path) if "://" not in path else True
+def _fs(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or a glob names anything, asked of the file system that Spark reads it from."""
+    fs, where = _fs(spark, path)
+    return bool(fs.globStatus(where))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
@@ -201,6 +213,14 @@ def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
     w.parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, metrics: dict, partition_by=None) -> dict:
+    """Write ``df`` as ``write_parquet`` does and return the aggregates ``metrics`` (name -> column) of its rows, taken in
+    the pass that writes them."""
+    seen = Observation()
+    write_parquet(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), path, partition_by)
+    return seen.get
+
+
 def write_small_csv(df: DataFrame, path: str) -> None:
     """Tiny outputs (metrics, importances) as one CSV file with header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
