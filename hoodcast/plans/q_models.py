@@ -7,7 +7,8 @@ probabilities; the probabilities themselves come from the functions the queries
 
 Trees, rates, depths, folds and horizons are the reference's. Only the labelled rows that
 a fit reads are bounded here (``FIT_ROWS``); scoring covers every row. A model is fitted
-once per application and table folder and then shared by the queries.
+once per application and state of the tables' files and then shared by the queries.
+``planted_signal`` returns what a broken or constant model fails: rank metrics and the importances' names.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from hoodcast.operators import surge as Su
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.plans.q_features import feature_table_ctes, spark_features
-from hoodcast.plans.q_surge import CITY_CTE, _label_sql, _thr_sql, surge_predictions
+from hoodcast.plans.q_surge import CITY_CTE, _label_sql, _thr_sql
 from hoodcast.session import cut_lineage
-from hoodcast.sources.readers import landing_dir
+from hoodcast.sources.readers import file_stamp, landing_dir
 
 S = ADAPTER
 #: Labelled rows that a fit reads at most in this registry.
@@ -42,16 +43,25 @@ _once: dict[tuple, object] = {}
 
 
 def _shared(spark, sf, what: str, make):
-    key = (spark.sparkContext.applicationId, sf, what)
+    key = (spark.sparkContext.applicationId, sf, file_stamp(spark, f"{sf}/*.parquet"), what)
     if key not in _once:
         _once[key] = make()
     return _once[key]
 
 
+def _plain(spark, sf):
+    """The feature table, written once."""
+    return _shared(spark, sf, "plain", lambda: cut_lineage(spark_features(spark, sf)))
+
+
 def _features(spark, sf):
-    """The feature table with the test period's surge probabilities (K25), written once."""
-    return _shared(spark, sf, "features", lambda: cut_lineage(
-        Su.merge_surge_neutral(spark_features(spark, sf), surge_predictions(spark, sf), S)))
+    """The feature table with the city models' own probabilities of the test period (K25): the area models
+    stand on the city models, training rows have the neutral value."""
+    def make():
+        p = surge_scores(spark, sf).groupBy("date").pivot("horizon", list(S.horizons)).agg(F.first("proba"))
+        p = p.select("date", *[F.col(str(h)).alias(f"surge_proba_t{h}") for h in S.horizons])
+        return cut_lineage(Su.merge_surge_neutral(_plain(spark, sf), p, S))
+    return _shared(spark, sf, "features", make)
 
 
 def _split(df):
@@ -73,7 +83,7 @@ def _proba_ok(c):
 def city_table(spark, sf):
     """Per horizon the city roll-up with its future total, label and threshold."""
     def make():
-        daily = cut_lineage(Su.city_daily(_features(spark, sf).drop(*[f"surge_proba_t{h}" for h in S.horizons])))
+        daily = cut_lineage(Su.city_daily(_plain(spark, sf)))
         return {h: cut_lineage(daily.join(Su.surge_labels(daily.select("date", "collisions"), h, S), "date"))
                 for h in S.horizons}
     return _shared(spark, sf, "city", make)
@@ -250,8 +260,7 @@ def strict_vs_enhanced(spark, sf):
 def latest_scores(spark, sf):
     """The saved and reloaded T+1 models score every feature row: (city table, area table)."""
     def make():
-        f = _features(spark, sf)
-        plain = f.drop(*[f"surge_proba_t{h}" for h in S.horizons])
+        plain = _plain(spark, sf)
         models = {"surge": surge_models(spark, sf)[1], "nbhd": collision_models(spark, sf, (1,), ("collision",))["collision", 1]}
         loaded = {}
         for name, m in models.items():
@@ -289,3 +298,38 @@ def score_latest_city(spark, sf):
     return latest_scores(spark, sf)[0].select(
         "date", "threshold", _proba_ok("surge_proba_t1").alias("t1_ok"), labels.alias("labels_ok"),
         F.col("surge_proba_t2").isNull().alias("t2_null"), "created_at", "model_version")
+
+
+#: The planted label stands on these two columns; the others are noise to it.
+PLANTED = ("collisions_lag7", "road_construction_count_lag1")
+PLANTED_COLS = [*PLANTED, "collisions_lag1", "collisions_lag14", "ksi_collisions_lag1", "tavg", "prcp", "dow_sin", "month_cos"]
+
+
+def planted_scores(spark, sf):
+    """L2, L3, L9 on a label that a working model must learn: calibrated probabilities of the test rows, importances."""
+    def make():
+        f = _plain(spark, sf)
+        cols = [c for c in PLANTED_COLS if c in f.columns]
+        bound = f.select(F.avg(F.col(PLANTED[1]))).scalar()
+        y = ((F.col(PLANTED[0]) > 0) & (F.col(PLANTED[1]) <= bound)).cast("int")
+        train, test = _split(cut_lineage(f.select("date", "nbhd_id", *cols, y.alias("y"))))
+        m = M.fit_calibrated(train, cols, "y", ["date", "nbhd_id"], _bounded(M.NBHD_PARAMS))
+        return cut_lineage(m.predict(test, "p").select("date", "nbhd_id", "y", "p")), cut_lineage(m.importances(spark))
+    return _shared(spark, sf, "planted", make)
+
+
+@query("planted_signal", sql(f"""
+  SELECT count(*) AS n_test, sum(CASE WHEN {PLANTED[0]} > 0 AND {PLANTED[1]} <= (SELECT avg({PLANTED[1]}) FROM features) THEN 1 ELSE 0 END)::BIGINT
+           AS positives, true AS ranks, true AS sharp, true AS calibrated, '{PLANTED[0]},{PLANTED[1]}' AS leading
+  FROM features WHERE date >= {SPLIT}""", feature_table_ctes()))
+def planted_signal(spark, sf):
+    """L2, L3, L9, M1-M3 on a planted label: ROC-AUC and average precision of 0.95 and more, Brier score of 0.05 and less, mean
+    probability within 0.03 of the positive rate, and the two columns that make the label lead the importances."""
+    p, imp = planted_scores(spark, sf)
+    m = Ev.classification_metrics(p, "p", "y", "planted")
+    top = imp.orderBy(F.desc("importance")).limit(2)
+    leading = top.agg(F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("leading")).scalar()
+    off = p.select(F.abs(F.avg("p") - F.avg("y"))).scalar()
+    return m.select("n_test", p.select(F.sum("y")).scalar().cast("bigint").alias("positives"),
+                    ((F.col("roc_auc") >= 0.95) & (F.col("pr_auc") >= 0.95)).alias("ranks"), (F.col("brier") <= 0.05).alias("sharp"),
+                    (off <= 0.03).alias("calibrated"), leading.alias("leading"))

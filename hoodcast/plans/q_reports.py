@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hoodcast.config import ADAPTER
 from hoodcast.operators import evaluate as Ev
 from hoodcast.operators import features as Fe
+from hoodcast.operators import models as M
 from hoodcast.operators import reports as R
 from hoodcast.operators import windows as Wn
 from hoodcast.plans import inputs as I
@@ -20,35 +21,39 @@ from hoodcast.sources import adapter as A
 
 S = ADAPTER
 SPLIT = f"DATE '{S.split_date.isoformat()}'"
-DD = "datediff('day', DATE '1995-01-01', date)"
 
 
 # ----------------------------------------------------------------------------
-# inputs: deterministic prediction table and a narrow report base
+# inputs: a prediction table from the counts and a narrow report base
 # ----------------------------------------------------------------------------
 
 def nbhd_predictions(spark, sf):
-    """Test-period area predictions (stand-in for trained models' output):
-    ``proba_collision_t{h}``, ``proba_ksi_t{h}``, ``risk_score_t{h} = 0.6 p + 0.4 k`` (L8)."""
-    p = I.panel_days(spark, sf).where(F.col("date") >= F.lit(S.split_date))
-    d = F.datediff("date", F.lit("1995-01-01").cast("date"))
+    """Test-period area predictions from the counts themselves (a frequency model that SQL can state):
+    ``proba_collision_t{h}`` and ``proba_ksi_t{h}`` are the smoothed shares of the last 30 h days, the day
+    itself included, that had a collision or a KSI collision; ``risk_score_t{h} = 0.6 p + 0.4 k`` (L8)."""
+    first = F.date_sub(F.lit(S.split_date), 30 * max(S.horizons))
+    p = I.dense(spark, sf).select("date", "nbhd_id", "collisions").where(F.col("date") >= first)
+    p = p.join(I.ksi_daily(spark, sf).select("date", "nbhd_id", "ksi_collisions"), ["date", "nbhd_id"], "left")
     cols = []
     for h in S.horizons:
-        pc = ((F.col("nbhd_id") * 7919 + (d + (h - 1)) * 104729) % 1000) / 1000.0
-        pk = ((F.col("nbhd_id") * 104729 + (d + (h - 1)) * 7919) % 1000) / 1000.0
-        cols += [pc.alias(f"proba_collision_t{h}"), pk.alias(f"proba_ksi_t{h}"),
-                 (pc * S.blend_collision + pk * S.blend_ksi).alias(f"risk_score_t{h}")]
-    return p.select("date", "nbhd_id", *cols)
+        w = Wn.area_window().rowsBetween(1 - 30 * h, 0)
+        pc, pk = ((F.count_if(F.coalesce(F.col(c), F.lit(0)) > 0).over(w) + 1) / (F.count(F.lit(1)).over(w) + 2)
+                  for c in ("collisions", "ksi_collisions"))
+        cols += [pc.alias(f"proba_collision_t{h}"), pk.alias(f"proba_ksi_t{h}")]
+    p = p.select("date", "nbhd_id", *cols).where(F.col("date") >= F.lit(S.split_date))
+    risk = [M.blend(f"proba_collision_t{h}", f"proba_ksi_t{h}", S.blend_collision, S.blend_ksi).alias(f"risk_score_t{h}") for h in S.horizons]
+    return p.select("date", "nbhd_id", *[x for h, r in zip(S.horizons, risk) for x in (f"proba_collision_t{h}", f"proba_ksi_t{h}", r)])
 
 
 def _pred_sql():
-    cols = []
+    cols, risk = [], []
     for h in S.horizons:
-        pc = f"((nbhd_id * 7919 + ({DD} + {h - 1}) * 104729) % 1000) / 1000.0"
-        pk = f"((nbhd_id * 104729 + ({DD} + {h - 1}) * 7919) % 1000) / 1000.0"
-        cols += [f"{pc} AS proba_collision_t{h}", f"{pk} AS proba_ksi_t{h}",
-                 f"({pc}) * {S.blend_collision} + ({pk}) * {S.blend_ksi} AS risk_score_t{h}"]
-    return f"SELECT date, nbhd_id, {', '.join(cols)} FROM panel WHERE date >= {SPLIT}"
+        w = f"OVER (PARTITION BY nbhd_id ORDER BY date ROWS BETWEEN {30 * h - 1} PRECEDING AND CURRENT ROW)"
+        for c, name in (("collisions", "collision"), ("ksi_collisions", "ksi")):
+            cols.append(f"(sum(CASE WHEN {c} > 0 THEN 1 ELSE 0 END) {w} + 1)::DOUBLE / (count(*) {w} + 2)::DOUBLE AS proba_{name}_t{h}")
+        risk += [f"proba_collision_t{h}", f"proba_ksi_t{h}",
+                 f"{S.blend_collision}::DOUBLE * proba_collision_t{h} + {S.blend_ksi}::DOUBLE * proba_ksi_t{h} AS risk_score_t{h}"]
+    return f"SELECT date, nbhd_id, {', '.join(risk)} FROM (SELECT date, nbhd_id, {', '.join(cols)} FROM gold) WHERE date >= {SPLIT}"
 
 
 PRED_CTE = {"pred": _pred_sql(), "pred_latest": "SELECT * FROM pred WHERE date = (SELECT max(date) FROM pred)",

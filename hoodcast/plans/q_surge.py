@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hoodcast.config import ADAPTER, BASE_LEAKAGE
@@ -150,17 +151,23 @@ def surge_label(spark, sf):
 
 
 def surge_predictions(spark, sf):
-    """Deterministic city-level probabilities for the test period only (the
-    stand-in for a trained surge model's output): ``date, surge_proba_t{h}``."""
-    days = I.panel_days(spark, sf).select("date").distinct().where(F.col("date") >= F.lit(S.split_date))
-    d = F.datediff("date", F.lit("1995-01-01").cast("date"))
-    return days.select("date", *[(((d * 104729 + h * 7919) % 1000) / 1000.0).alias(f"surge_proba_t{h}")
-                                 for h in S.horizons])
-
-
-SURGE_PRED_CTE = {"surge_pred": f"""
-  SELECT DISTINCT date, {', '.join(f"((datediff('day', DATE '1995-01-01', date) * 104729 + {h} * 7919) % 1000) / 1000.0 AS surge_proba_t{h}" for h in S.horizons)}
-  FROM panel WHERE date >= {SPLIT}"""}
+    """City-level probabilities of the test period from the counts themselves (a model that SQL can state):
+    ``surge_proba_t{h} = x / (x + m)`` for the day's city total x and the mean m of the last 30 h days, the day included."""
+    city = Su.city_total(I.dense(spark, sf))
+    cols = []
+    for h in S.horizons:
+        w = Window.orderBy("date").rowsBetween(1 - 30 * h, 0)  # one row per day
+        weighted = F.col("city_collisions") * F.count(F.lit(1)).over(w)
+        both = weighted + F.sum("city_collisions").over(w)
+        cols.append(F.when(both > 0, weighted / both).otherwise(F.lit(0.5)).alias(f"surge_proba_t{h}"))
+    return city.select("date", *cols).where(F.col("date") >= F.lit(S.split_date))
+
+
+SURGE_PRED_CTE = {"city_total": "SELECT date, sum(collisions)::BIGINT AS x FROM panel GROUP BY date", "surge_pred": f"""
+  SELECT * FROM (SELECT date, {', '.join(f"""CASE WHEN x * count(*) OVER w{h} + sum(x) OVER w{h} > 0
+      THEN (x * count(*) OVER w{h})::DOUBLE / (x * count(*) OVER w{h} + sum(x) OVER w{h})::DOUBLE ELSE 0.5::DOUBLE END AS surge_proba_t{h}""" for h in S.horizons)}
+    FROM city_total WINDOW {', '.join(f"w{h} AS (ORDER BY date ROWS BETWEEN {30 * h - 1} PRECEDING AND CURRENT ROW)" for h in S.horizons)})
+  WHERE date >= {SPLIT}"""}
 
 
 @query("surge_merge_neutral", sql(

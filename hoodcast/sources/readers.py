@@ -200,6 +200,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(where))
 
 
+def file_stamp(spark: SparkSession, pattern: str) -> str:
+    """Names, sizes and times of the files (or folders) that a glob names: another stamp, other contents."""
+    fs, where = _fs(spark, pattern)
+    return ";".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.globStatus(where)))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = _fs(spark, path)
     fs.delete(where, True)
