@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def staged(df: DataFrame, path: str) -> DataFrame:
-    """Write once, read back: the lineage ends in shared files."""
-    df.write.parquet(path)
+def staged(df: DataFrame, path: str, tasks: int | None = None) -> DataFrame:
+    """Write once, read back: the lineage ends in shared files. ``tasks``: as many are enough for
+    the rows; small tables are then a few files instead of one per shuffle partition."""
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -249,11 +249,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     the verdict, ids need not be unique or present."""
     spark = docs.sparkSession
     key = F.sha2(F.col(text_col).cast("binary"), 256)
-    texts = docs.select(key.alias("__key"), F.col(text_col).alias("text"))
-    bad = staged(find(texts, benchmark, id_col="__key", text_col="text", **options).select("__key").distinct(),
+    texts = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    bad = staged(find(texts, benchmark, id_col="key", text_col="text", **options).select("key").distinct(),
                  os.path.join(ensure_checkpoint_dir(spark), "decontaminate", uuid.uuid4().hex))
-    # sort-merge at every size: a broadcast would fit small inputs only
-    return docs.withColumn("__key", key).join(bad.hint("merge"), "__key", "left_anti").select(*docs.columns)
+    # the row's own columns stay apart in a struct; sort-merge at every size: a broadcast would fit small inputs only
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"))
+    return rows.join(bad.hint("merge"), "key", "left_anti").select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 @query("op3_benchmark_decontamination")

@@ -58,6 +58,8 @@ FILTER_BITS = 26
 #: Sets of one group compared by one task at most, and bytes of their bitmaps; least number of index
 #: entries that two linked sets share.
 BLOCK, BLOCK_BYTES, SHARED = 8192, 16 << 20, 8
+#: Rows of light tables (an id and a few numbers) that one task is to write.
+LIGHT_ROWS = 50_000
 #: Rounds in which a set names its LIKELIEST pairs only, before the round that takes all that are left.
 ROUNDS, LIKELIEST = 1, 2
 
@@ -338,7 +340,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     every = chunks.select(F.explode(F.arrays_zip("ids", "sizes", "digests")).alias("x")).select(
         F.when(F.col("x.ids") < LAST, F.col("x.ids")).alias("id"), F.col("x.sizes").alias("n"),
         F.col("x.digests").alias("digest"))
-    classes = staged(every.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), at("classes"))
+    few = 1 + (chunks.agg(F.sum(F.size("ids"))).first()[0] or 0) // LIGHT_ROWS
+    classes = staged(every.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), at("classes"), few)
 
     # index lists with two sets or more; an entry's document becomes its class
     bits, block_bits = widths(chunks)
@@ -348,25 +351,26 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     near = staged(entries, at("entries"))
     ids = every.where("digest is not null and id is not null").select("id", "digest").distinct() \
         .join(near.select("id").distinct(), "id")
-    rep_of = staged(ids.join(classes, "digest").select("id", "rep"), at("reps"))
+    rep_of = staged(ids.join(classes, "digest").select("id", "rep"), at("reps"), few)
+    some = 1 + near.count() // LIGHT_ROWS
     lists = staged(near.join(rep_of, "id").groupBy("key", "rep").agg(F.max("n").alias("n"), F.min("at").alias("at")),
-                   at("lists"))
+                   at("lists"), some)
     # a set that may link is in this many lists with others; the smallest partner's need counts
     need = F.expr(_shared_sql(f"ceil({percent} * max(n) / 100)", percent))
     for k in range(2):
-        full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"))
+        full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"), some)
         lists = lists.join(full, "key")
         busy = staged(lists.groupBy("rep").agg(F.count("*").alias("found"), need.alias("need"))
-                      .where("found >= need").drop("need"), at(f"busy{k}"))
-        lists = staged(lists.drop("found").join(busy, "rep"), at(f"lists{k}"))
+                      .where("found >= need").drop("need"), at(f"busy{k}"), few)
+        lists = staged(lists.drop("found").join(busy, "rep"), at(f"lists{k}"), some)
 
     # every set against the one leader with which it shares most lists
-    heads = staged(lists.groupBy("key").agg(F.max_by("rep", F.struct("found", -F.col("rep"))).alias("leader")), at("heads"))
+    heads = staged(lists.groupBy("key").agg(F.max_by("rep", F.struct("found", -F.col("rep"))).alias("leader")), at("heads"), some)
     led = lists.join(heads, "key").groupBy("rep", "leader").agg(F.count("*").alias("count"), F.max("n").alias("n"))
     led = led.groupBy("rep").agg(
         F.coalesce(F.max_by("leader", F.when(F.col("rep") != F.col("leader"), F.struct("count", -F.col("leader")))),
                    F.first("rep")).alias("leader"), F.max("n").alias("n"))
-    led = staged(led, at("led"))
+    led = staged(led, at("led"), few)
     pairs = led.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b"))
     members = spark.sparkContext.broadcast(bitfilter.build(led, "rep", FILTER_BITS))
     sets = staged(rows.mapInArrow(_sets(n, members), "rep long, text binary, bits binary").where("rep is not null")
@@ -378,12 +382,12 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     group = led.join(known, "rep", "left").join(sets.select("rep", "bits"), "rep").select(
         "rep", "n", "leader", F.coalesce("d", F.lit(0.0)).alias("d"),
         F.floor(F.log("n") / -np.log(percent / 100)).cast("int").alias("class"), "bits")
-    group = staged(group, at("groups"))
+    group = staged(group, at("groups"), few)
     links = first.where(linked).select("a", "b")
     for k in range(ROUNDS + 1):
         label = connected_components(links, at(f"components{k}")).withColumnRenamed("node", "rep")
         component = staged(led.select("rep").join(label, "rep", "left")
-                           .select("rep", F.coalesce("component", "rep").alias("component")), at(f"component{k}"))
+                           .select("rep", F.coalesce("component", "rep").alias("component")), at(f"component{k}"), few)
         met = staged(_met(lists.select("key", "rep", "at"), group.drop("bits").join(component, "rep"), percent), at(f"met{k}"))
         pairs = _candidates(met, group, component, percent, block, LIKELIEST if k < ROUNDS else None)
         more = staged(verify(staged(pairs, at(f"pairs{k}")), sets, n), at(f"verified{k + 2}"))
@@ -391,7 +395,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         links = label.select(F.col("rep").alias("a"), F.col("component").alias("b")).union(more.where(linked).select("a", "b"))
     labels = connected_components(links, at("components"))
     named = staged(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                   .select("digest", F.coalesce("component", "rep").alias("component_id")), at("named"))
+                   .select("digest", F.coalesce("component", "rep").alias("component_id")), at("named"), few)
     out = every.join(named, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.coalesce("component_id", "id").alias("component_id"))

@@ -48,6 +48,8 @@ DEPTH, MIN_TOKENS, MIN_DOCUMENTS, MIN_CONSTANT = 3, 3, 8, 0.6
 FILTER_BITS = 26
 #: Words of an n-gram; parts of a text's n-grams (a power of two); bands of them, one of which near copies share.
 GRAM, BINS, BANDS = 3, 64, 16
+#: Rows of light tables that one task is to write.
+LIGHT_ROWS = 100_000
 #: Places of a line that are looked up together.
 CHUNK = 16
 
@@ -117,11 +119,11 @@ def _occurrences(depth: int, min_tokens: int):
     return run
 
 
-def _families(bands: DataFrame, path: str) -> DataFrame:
+def _families(bands: DataFrame, path: str, tasks: int) -> DataFrame:
     """(digest, family) of the texts that share a band with another text."""
     bands = bands.select("digest", F.explode("bands").alias("band"))
     first = bands.groupBy("band").agg(F.min("digest").alias("first"), F.max("digest").alias("last"))
-    first = staged(first.where("first <> last").select("band", "first"), path + "-bands")
+    first = staged(first.where("first <> last").select("band", "first"), path + "-bands", tasks)
     links = bands.join(first, "band").select(F.col("digest").alias("a"), F.col("first").alias("b"))
     return connected_components(links, path).select(F.col("node").alias("digest"), F.col("component").alias("family"))
 
@@ -176,14 +178,15 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
     texts = texts.where("text is not null")
     rows = staged(texts.mapInArrow(_occurrences(depth, min_tokens),
                                    "digest long, line long, leaf long, bands array<long>"), at("occurrences"))
+    few = 1 + rows.count() // LIGHT_ROWS
     seen = rows.where("line is not null").select("digest", "line", "leaf")
-    family = _families(rows.where("line is null").dropDuplicates(["digest"]), at("components"))
+    family = _families(rows.where("line is null").dropDuplicates(["digest"]), at("components"), few)
     # sort-merge at every size: a broadcast would fit small inputs only
     by_family = seen.join(family.hint("merge"), "digest", "left") \
         .select("line", "leaf", F.coalesce("family", "digest").alias("family")).distinct()
-    by_family = staged(by_family, at("families"))
+    by_family = staged(by_family, at("families"), few)
     leaves = staged(by_family.select("leaf", "family").distinct().groupBy("leaf").count()
-                    .where(F.col("count") >= min_documents).select("leaf"), at("leaves"))
+                    .where(F.col("count") >= min_documents).select("leaf"), at("leaves"), few)
     keep = texts.sparkSession.sparkContext.broadcast(bitfilter.build(leaves, "leaf", FILTER_BITS))
     lines = texts.select("text").mapInArrow(_tokens(depth, min_tokens, keep),
                              "leaf long, line long, size long, chunk long, fields array<long>") \
@@ -193,40 +196,40 @@ def recurring_lines(texts: DataFrame, path: str, depth: int = DEPTH, min_tokens:
     support = lines.select("leaf", "chunk", "families", "fields") \
         .mapInArrow(_support, "leaf long, chunk long, field long, n long") \
         .groupBy("leaf", "chunk", "field").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)
-    support = staged(support, at("support"))
+    support = staged(support, at("support"), few)
     known = support.groupBy("leaf", "chunk").agg(F.collect_list("field").alias("known"))
     shared = lines.join(known, ["leaf", "chunk"], "left").select(
         "line", "leaf", "size", "families",
         F.coalesce(F.array_intersect("fields", "known"), F.array().cast("array<long>")).alias("shared"))
-    shared = staged(shared, at("shared"))
+    shared = staged(shared, at("shared"), few)
     # tokens that the backbone takes beside the leading ones; a line with fewer shared ones cannot recur
     need = F.ceil(min_constant * F.col("size")) - F.least("size", F.lit(depth))
     able = shared.groupBy("line", "leaf", "families", need.alias("need")).agg(F.sum(F.size("shared")).alias("n"))
-    able = staged(able.where("n >= need").drop("n"), at("able"))
+    able = staged(able.where("n >= need").drop("n"), at("able"), few)
     fields = shared.select("line", "leaf", F.explode("shared").alias("field")) \
         .join(able.select("line", "need"), "line").join(support.select("leaf", "field", "n"), ["leaf", "field"])
     by_support = Window.partitionBy("line").orderBy(F.desc("n"), "field")
     fields = staged(fields.select("line", "field", (F.row_number().over(by_support) <= F.col("need")).alias("backbone")),
-                    at("fields"))
+                    at("fields"), few)
     # order-free hashes of fields, which carry their places
     together = F.bit_xor(F.xxhash64("field"))
     backbone = fields.where("backbone").groupBy("line").agg(together.alias("backbone"))
     groups = able.join(backbone, "line", "left").select(
         "line", "families", F.xxhash64("leaf", F.coalesce("backbone", F.lit(0).cast("long"))).alias("group"))
-    groups = staged(groups, at("groups"))
+    groups = staged(groups, at("groups"), few)
     total = groups.groupBy("group").agg(F.sum("families").alias("total")).where(F.col("total") >= min_documents)
     grouped = fields.join(groups, "line")
     constant = grouped.groupBy("group", "field").agg(F.sum("families").alias("n")).join(total, "group") \
         .where((F.col("n") >= min_documents) & (2 * F.col("n") >= F.col("total"))).select("group", "field")
-    constant = staged(constant, at("constants"))
+    constant = staged(constant, at("constants"), few)
     fixed = grouped.join(constant, ["group", "field"]).groupBy("line").agg(together.alias("fixed"))
     template = groups.join(fixed, "line", "left").select(
         "line", F.xxhash64("group", F.coalesce("fixed", F.lit(0).cast("long"))).alias("template"))
-    template = staged(template, at("templates"))
+    template = staged(template, at("templates"), few)
     counted = by_family.join(template, "line").select("template", "family").distinct() \
         .groupBy("template").agg(F.count("*").alias("families")).where(F.col("families") >= min_documents)
-    counted = staged(counted, at("counted"))
-    return seen, staged(template.join(counted, "template").select("line", "template", "families"), at("recurring"))
+    counted = staged(counted, at("counted"), few)
+    return seen, staged(template.join(counted, "template").select("line", "template", "families"), at("recurring"), few)
 
 
 def _rewrite(min_tokens: int, text_col: str):

@@ -63,7 +63,7 @@ def test_run_equals_the_stages(spark):
 def test_stages_on_odd_rows(spark, odd, nothing):
     for docs in (odd, nothing):
         frame = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) AS long) AS n_chars",
-                                "score", "kept", "1 AS __row1")
+                                "score", "kept", "'v' AS __row", "'w' AS __key", "1 AS `row`", "2 AS key", "3 AS doc")
         for name, stage in P.STAGES[:-1]:
             out = stage(spark, frame, MEDIUM)
             assert out.columns == frame.columns
