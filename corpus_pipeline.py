@@ -45,13 +45,16 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     written with them, so that ids need not be unique."""
     ship(spark)
     path = os.path.join(ensure_checkpoint_dir(spark), "near", uuid.uuid4().hex)
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), path)
-    linked = jaccard_join.link(rows.select("__row", "text"), "__row", n=SHINGLE, percent=PERCENT)
-    linked = linked.select("__row", "component_id").join(rows.select("__row", "doc_id"), "__row")
+    # the row's own columns stay apart in a struct: no name of theirs can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), whole.alias("doc")), path)
+    linked = jaccard_join.link(rows.select("row", F.col("doc.text").alias("text")), "row", n=SHINGLE, percent=PERCENT)
+    linked = linked.select("row", "component_id").join(rows.select("row", F.col("doc.doc_id").alias("doc_id")), "row")
     stay = linked.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first"))
-    stay = staged(stay.select(F.col("first.__row").alias("__row")), os.path.join(path + "-stay"))
-    return rows.join(stay.hint("merge"), "__row", "left_semi").select(*docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    stay = staged(stay.select(F.col("first.row").alias("row")), path + "-stay")
+    kept = rows.join(stay.hint("merge"), "row", "left_semi")
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
