@@ -87,10 +87,17 @@ def area_recent_mean(df: DataFrame, n: int = 30, col: str = "collisions", out: s
             .groupBy("nbhd_id").agg(F.avg(col).alias(out)))
 
 
-def expected_collisions(preds_latest: DataFrame, recent: DataFrame, score: str, fallback: float = 1.0) -> DataFrame:
-    """``round(avg30 * score * 2, 1)`` with the average defaulting to ``fallback``."""
+def city_share(city: DataFrame, n_areas: int, value: str = "city_collisions") -> Column:
+    """An area's part of the city's 30-day average, for areas without days of their own; 1 if there is no average."""
+    avg30 = last_n_days(city, 30).select(F.avg(value)).scalar()
+    return F.coalesce(F.when(avg30 != 0, avg30 / n_areas), F.lit(1.0))
+
+
+def expected_collisions(preds_latest: DataFrame, recent: DataFrame, score: str, fallback: float | Column = 1.0) -> DataFrame:
+    """``round(avg30 * score * 2, 1)`` with the average defaulting to ``fallback`` (a number or ``city_share``)."""
+    fallback = fallback if isinstance(fallback, Column) else F.lit(fallback)
     j = preds_latest.join(recent, "nbhd_id", "left").withColumn(
-        "avg_30d", F.coalesce(F.col("avg_30d"), F.lit(fallback)))
+        "avg_30d", F.coalesce(F.col("avg_30d"), fallback))
     return j.select("nbhd_id", score, "avg_30d", F.bround(F.col("avg_30d") * F.col(score) * 2, 1).alias("exp_coll"))
 
 
@@ -249,3 +256,24 @@ def batch_ids(df: DataFrame, order: str, n: int) -> DataFrame:
     """Fixed-size batches of an ordered (bounded) table: ``(row_number - 1) div n``."""
     w = Window.orderBy(order)
     return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / n).cast("int"))
+
+
+def metrics_lists(surge: DataFrame, nbhd: DataFrame) -> DataFrame:
+    """O3: one row with the two lists of metric records, each in the order of ``model``; none is an empty list."""
+    lists = [d.agg(F.array_sort(F.collect_list(F.struct("model", *[c for c in d.columns if c != "model"]))).alias(name))
+             .select(name).scalar().alias(name) for d, name in ((surge, "surge_metrics"), (nbhd, "nbhd_metrics"))]
+    return surge.sparkSession.range(1).select(*lists)
+
+
+def metric_card(metrics: DataFrame, horizon: int) -> DataFrame:
+    """The metric record of a horizon's model, else the first one by name."""
+    own = F.col("model").contains(f"t{horizon}")
+    first = F.min_by(F.struct(*metrics.columns), F.struct((~own).cast("int").alias("other"), F.col("model").alias("by")))
+    return metrics.agg(first.alias("m")).where("m IS NOT NULL").select(F.lit(horizon).alias("horizon"), "m.*")
+
+
+def leading_factors(importances: DataFrame, labels: dict, k: int = 15) -> DataFrame:
+    """The ``k`` largest importances, positive ones only, with a readable label (the feature itself without one)."""
+    top = importances.orderBy(F.desc("importance"), "feature").limit(k).where(F.col("importance") > 0)
+    label = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[F.col("feature")] if labels else F.lit(None).cast("string")
+    return top.select("feature", "importance", F.coalesce(label, F.col("feature")).alias("label"))

@@ -10,6 +10,8 @@ from hoodcast.plans import inputs as I
 from hoodcast.plans.catalog import query
 from hoodcast.plans.oracle_sql import sql
 from hoodcast.sources import adapter as A
+from hoodcast.sources import readers as Rd
+from hoodcast.sources import state as St
 from hoodcast.sources.tables import TABLES, read_table, table_path
 
 S = ADAPTER
@@ -269,3 +271,77 @@ def gate_lookup(spark, sf):
     c = read_table(spark, sf, "customer").join(read_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     dim = read_table(spark, sf, "nation").where("n_nationkey < 20").select(F.col("n_name").alias("name"))
     return Q.missing_lookup(c.select(F.col("n_name").alias("area_name")), dim, "area_name", "name")
+
+
+@query("audit_statuses", """
+  SELECT 'good' AS name, 'OK' AS status, (SELECT count(*) FROM customer) AS rows, 2::BIGINT AS n_columns
+  UNION ALL SELECT 'empty', 'BAD_ROWS', 0, 2 UNION ALL SELECT 'narrow', 'BAD_SCHEMA', (SELECT count(*) FROM customer), 1
+  UNION ALL SELECT 'none', 'MISSING', NULL, NULL""")
+def audit_statuses(spark, sf):
+    """Every status, over written tables: a good one, one without rows, one without a required column, none at all."""
+    base = Rd.landing_dir(spark, "audit")
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    for name, df in (("good", c), ("empty", c.limit(0)), ("narrow", c.select("c_custkey"))):
+        Rd.write_parquet(df, f"{base}/{name}")
+    names = ("good", "empty", "narrow", "none")
+    out = Q.audit(spark, {n: f"{base}/{n}" for n in names}, {n: ("c_custkey", "c_nationkey") for n in names})
+    return out.select("name", "status", "rows", F.col("n_columns").cast("bigint").alias("n_columns"))
+
+
+@query("gate_prediction_contract", """
+  SELECT CAST(count(*) FILTER (WHERE l_orderkey % 11 = 0) AS BIGINT) AS broken_date_not_null,
+         CAST(count(*) FILTER (WHERE l_partkey % 13 IN (0, 1)) AS BIGINT) AS broken_nbhd_id_ge_1,
+         CAST(count(*) FILTER (WHERE l_linenumber = 7) AS BIGINT) AS broken_proba_in_range,
+         CAST(count(DISTINCT l_suppkey % 25 + 1) FILTER (WHERE l_partkey % 13 NOT IN (0, 1)) AS BIGINT) AS entities,
+         CAST(count(*) FILTER (WHERE l_partkey % 13 IN (0, 1)) AS BIGINT) AS ids_out_of_range FROM lineitem""")
+def gate_prediction_contract(spark, sf):
+    """Landed predictions, all columns as text, with unreadable dates and ids and probabilities above 1, counted
+    by the aggregates that the jobs observe while writing."""
+    r = read_table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 11 == 0, "n/a").otherwise(F.to_date("l_shipdate").cast("string")).alias("date"),
+        F.when(F.col("l_partkey") % 13 == 0, "north").when(F.col("l_partkey") % 13 == 1, "0")
+        .otherwise((F.col("l_suppkey") % 25 + 1).cast("string")).alias("nbhd_id"),
+        F.when(F.col("l_linenumber") == 7, "1.25").otherwise("0.5").alias("proba_collision_t1"))
+    found = Q.contract_metrics("nbhd_predictions") | Q.entity_metrics()
+    return Q.coerced(r, "nbhd_predictions").agg(*[m.cast("bigint").alias(k) for k, m in found.items()])
+
+
+@query("gate_feature_contract", """
+  SELECT CAST(count(*) FILTER (WHERE l_linenumber = 6) AS BIGINT) AS broken_lag_present,
+         CAST(count(*) FILTER (WHERE l_linenumber IN (4, 5)) AS BIGINT) AS broken_targets_binary, 0::BIGINT AS broken_date_not_null,
+         0::BIGINT AS broken_nbhd_id_ge_1 FROM lineitem""")
+def gate_feature_contract(spark, sf):
+    """Feature rows with lags missing and targets that are not 0 or 1."""
+    k = F.col("l_linenumber")
+    r = read_table(spark, sf, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"), (F.col("l_suppkey") % 25 + 1).cast("int").alias("nbhd_id"),
+        F.when(k != 6, F.col("l_quantity")).alias("collisions_lag1"), F.when(k == 5, None).when(k == 4, 2).otherwise(k % 2).alias("target_collision_t1"))
+    return Q.coerced(r, "features").agg(*[m.cast("bigint").alias(n) for n, m in Q.contract_metrics("features").items()])
+
+
+@query("merge_loads", """
+  WITH l AS (SELECT o_custkey, o_orderdate::DATE AS date, count(*) AS n, sum(o_orderkey % 7)::BIGINT AS v FROM orders GROUP BY 1, 2)
+  SELECT o_custkey, date, n, v + CASE WHEN date >= DATE '1997-03-10' THEN 1 ELSE 0 END AS v,
+         CASE WHEN date >= DATE '1997-03-10' THEN 2 ELSE 1 END AS load_seq, 'merged,merged,repeated' AS statuses FROM l""")
+def merge_loads(spark, sf):
+    """A13 by period: a first load up to a day in 1997, a second one that overlaps it, and the second once more."""
+    o = read_table(spark, sf, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("date")).agg(
+        F.count("*").alias("n"), F.sum(F.col("o_orderkey") % 7).alias("v"))
+    path = Rd.landing_dir(spark, "orders-state")
+    first = o.where("date < DATE'1997-04-01'").withColumn("load_seq", F.lit(1))
+    second = o.where("date >= DATE'1997-03-10'").withColumn("v", F.col("v") + 1).withColumn("load_seq", F.lit(2))
+    done = [St.merge_load(b, path, i, ["o_custkey", "date"])["status"] for b, i in ((first, "a"), (second, "b"), (second, "b"))]
+    return St.read_state(spark, path).withColumn("statuses", F.lit(",".join(done)))
+
+
+@query("merged_feeds", """
+  SELECT coalesce(e.date, c.date) AS date, coalesce(e.custkey, c.custkey) AS custkey, coalesce(events, 0) AS events, coalesce(works, 0) AS works
+  FROM (SELECT o_orderdate::DATE AS date, o_custkey AS custkey, count(*) AS events FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1, 2) e
+  FULL JOIN (SELECT o_orderdate::DATE AS date, o_custkey AS custkey, count(*) AS works FROM orders WHERE o_orderkey % 2 <> 0 GROUP BY 1, 2) c
+    ON e.date = c.date AND e.custkey = c.custkey""")
+def merged_feeds(spark, sf):
+    """The daily counts of two feeds, full outer join on the key, gaps 0."""
+    o = read_table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("custkey"), "o_orderkey")
+    keys = ["date", "custkey"]
+    e, w = (o.where(c).groupBy(*keys).agg(F.count("*").alias(n)) for c, n in (("o_orderkey % 2 = 0", "events"), ("o_orderkey % 2 <> 0", "works")))
+    return e.join(w, keys, "full").na.fill(0, ["events", "works"])

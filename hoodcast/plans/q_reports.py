@@ -18,6 +18,8 @@ from hoodcast.plans.q_features import WEATHER_FLAGS_SQL, _halo_sql, feature_tabl
 from hoodcast.plans.q_surge import SURGE_PRED_CTE, surge_predictions
 from hoodcast.session import cut_lineage
 from hoodcast.sources import adapter as A
+from hoodcast.sources import readers as Rd
+from hoodcast.sources.tables import read_table
 
 S = ADAPTER
 SPLIT = f"DATE '{S.split_date.isoformat()}'"
@@ -406,3 +408,37 @@ def city_row_per_date(spark, sf):
 def area_batches(spark, sf):
     """Areas in fixed batches of 10 by id."""
     return R.batch_ids(A.areas(spark, sf).select("nbhd_id", "area_name"), "nbhd_id", 10)
+
+
+@query("expected_collisions_gaps", sql("""
+  SELECT p.nbhd_id, p.risk_score_t1, a AS avg_30d, round_even(a * p.risk_score_t1 * 2, 1) AS exp_coll
+  FROM (SELECT p.*, coalesce(r.avg_30d, (SELECT avg(city_collisions) FROM city WHERE date > (SELECT max(date) FROM city) - 30) / 25) AS a
+        FROM pred_latest p LEFT JOIN (
+          SELECT nbhd_id, avg(collisions) AS avg_30d FROM (
+            SELECT nbhd_id, collisions, row_number() OVER (PARTITION BY nbhd_id ORDER BY date DESC) AS rn FROM rbase WHERE nbhd_id % 6 <> 0)
+          WHERE rn <= 30 GROUP BY nbhd_id) r USING (nbhd_id)) p""", {**BASE_CTE, **PRED_CTE}))
+def expected_collisions_gaps(spark, sf):
+    """Areas without feature rows take their part of the city's average."""
+    base = report_base(spark, sf)
+    pl = R.latest(nbhd_predictions(spark, sf)).select("nbhd_id", "risk_score_t1")
+    return R.expected_collisions(pl, R.area_recent_mean(base.where("nbhd_id % 6 <> 0"), 30), "risk_score_t1",
+                                 R.city_share(R.city_series(base), 25))
+
+
+@query("metric_cards", f"""
+  SELECT h AS horizon, CASE h WHEN 1 THEN 'surge_t1' WHEN 2 THEN 'surge_t2' ELSE 'surge_t1' END AS model, count(*) AS n_test,
+         round_even(avg(CASE WHEN l_quantity >= 25 + CASE WHEN h = 2 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 4) AS pos_rate, 2::BIGINT AS n_surge, 0::BIGINT AS n_nbhd
+  FROM lineitem, (SELECT unnest([1, 2, 7]) AS h) GROUP BY h""")
+def metric_cards(spark, sf):
+    """O3 + O15: two landed metric lists (one file missing), and the card of three horizons, one without a model of its own."""
+    rows = read_table(spark, sf, "lineitem")
+    records = [rows.agg(F.lit(f"surge_t{h}").alias("model"), F.count("*").alias("n_test"),
+                        F.bround(F.avg((F.col("l_quantity") >= 24 + h).cast("double")), 4).alias("pos_rate")) for h in S.horizons]
+    path = Rd.landing_dir(spark, "metrics")
+    Rd.write_small_json(records[1].unionByName(records[0]), path)
+    schema = records[0].schema
+    surge, nbhd = (Rd.read_json_records(spark, p, schema) for p in (path, f"{path}-none"))
+    lists = R.metrics_lists(surge, nbhd)
+    sizes = [lists.select(F.size(c).cast("bigint")).scalar().alias(f"n_{c.split('_')[0]}") for c in ("surge_metrics", "nbhd_metrics")]
+    cards = [R.metric_card(lists.select(F.inline("surge_metrics")), h) for h in (1, 2, 7)]
+    return cards[0].unionByName(cards[1]).unionByName(cards[2]).select("horizon", "model", "n_test", "pos_rate", *sizes)
