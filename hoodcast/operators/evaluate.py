@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import safe_div
+from hoodcast.session import cut_lineage
 
 
 def _r(c: Column, digits: int) -> Column:
@@ -78,7 +79,7 @@ def auc_ap(df: DataFrame, score: str, label: str, buckets: int | None = None) ->
 
 
 def classification_metrics(df: DataFrame, score: str, label: str, model: str,
-                           buckets: int = 64) -> DataFrame:
+                           buckets: int | None = None) -> DataFrame:
     """M1-M4: one row ``model, roc_auc, pr_auc, brier, n_test, pos_rate`` (rounded
     6/6/6/-/4 like the reference)."""
     a = auc_ap(df, score, label, buckets).select("roc_auc", "pr_auc")
@@ -90,6 +91,45 @@ def classification_metrics(df: DataFrame, score: str, label: str, model: str,
                     b["n_test"].alias("n_test"), _r(b["pos_rate"], 4).alias("pos_rate"))
 
 
+#: Distinct scores that one task of ``metrics_by`` is to order.
+SCORES_PER_TASK = 200_000
+
+
+def metrics_by(df: DataFrame, score: str, label: str, by) -> DataFrame:
+    """M1-M4 of many models in one plan: ``(*by, roc_auc, pr_auc, brier, n_test, pos_rate)`` per group of ``by``, rounded as in
+    ``classification_metrics``; a group without both classes has no ROC-AUC.
+
+    The groups' distinct scores are dealt by range of (group, score), as many ranges as their number asks for, and written; the
+    running counts are a prefix over the ranges' totals and one within each range. A group of any size is
+    spread over ranges, and small groups share one.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    s, y = F.col(score).cast("double"), F.col(label).cast("long")
+    keys = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
+    names = [f"_g{i}" for i in range(len(by))]
+    hist = cut_lineage(df.groupBy(*keys, s.alias("s")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.sum(F.pow(s - y, 2)).alias("err")))
+    ranges = 1 + hist.count() // SCORES_PER_TASK
+    h = cut_lineage(hist.repartitionByRange(ranges, *names, F.desc("s")).withColumn("range", F.spark_partition_id()))
+    total = h.groupBy(*names, "range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    earlier = Window.partitionBy(*names).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select(*names, "range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_base") for c in "pn"])
+    # null groups are groups: join null-safely
+    on = [F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}")) for c in [*names, "range"]]
+    j = h.alias("h").join(total.alias("t"), on).select("h.*", "p_base", "n_base")
+    own = Window.partitionBy(*names, "range").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    j = j.withColumns({"pos_cum": F.col("p_base") + F.sum("pos").over(own), "neg_cum": F.col("n_base") + F.sum("neg").over(own)})
+    out = j.groupBy(*names).agg(
+        F.sum(F.col("neg") * (F.col("pos_cum") - F.col("pos") + F.col("pos") * 0.5)).alias("u"),
+        F.sum(F.col("pos") * safe_div(F.col("pos_cum"), F.col("pos_cum") + F.col("neg_cum"))).alias("ap"),
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum("err").alias("err"))
+    n = F.col("P") + F.col("N")
+    return out.select(
+        *[F.col(g).alias(c) for g, c in zip(names, by)], _r(safe_div(F.col("u"), F.col("P") * F.col("N")), 6).alias("roc_auc"),
+        _r(safe_div(F.col("ap"), F.col("P")), 6).alias("pr_auc"), _r(F.col("err") / n, 6).alias("brier"), n.alias("n_test"),
+        _r(F.col("P") / n, 4).alias("pos_rate"))
+
+
 # ---------------------------------------------------------------------------
 # per-day ranking: M5-M9, M11, F11
 # ---------------------------------------------------------------------------

@@ -109,10 +109,15 @@ def ksi_ratio_columns(df: DataFrame) -> DataFrame:
 
 
 def window_family(df: DataFrame, settings: Settings = DEFAULTS, halo: bool = True,
-                  targets: bool = True) -> DataFrame:
+                  targets: bool = True, block_days: int | None = None) -> DataFrame:
     """K14 (lag) + K15 + K16 + K17 (halo lag/roll) + K18 over one
-    ``partitionBy(nbhd_id).orderBy(date)`` ordering: one exchange, one sort."""
-    w = Wn.area_window("nbhd_id", "date")
+    ``partitionBy(nbhd_id).orderBy(date)`` ordering: one exchange, one sort. With ``block_days``
+    the windows run per area and time block, same values, so that there are more tasks than areas."""
+    part = ["nbhd_id"]
+    if block_days:
+        back = 1 + max(*settings.lags, *settings.windows, *settings.halo_lags, *settings.halo_windows, 14)
+        df, part = Wn.in_blocks(df, block_days, back, max(settings.horizons)), ["nbhd_id", "_block"]
+    w = Wn.area_window(part, "date")
     extra = [Wn.lag("ksi_ratio", 1, w).alias("ksi_ratio_lag1")] if "ksi_ratio" in df.columns else []
     if targets:
         for h in settings.horizons:
@@ -120,19 +125,20 @@ def window_family(df: DataFrame, settings: Settings = DEFAULTS, halo: bool = Tru
             extra += [fc.alias(f"collisions_t{h}"),
                       (F.coalesce(fc, F.lit(0)) >= 1).cast("int").alias(f"target_collision_t{h}"),
                       (F.coalesce(fk, F.lit(0)) >= 1).cast("int").alias(f"target_ksi_t{h}")]
-    out = Wn.add_lag_roll(df, settings.lag_cols, settings.lags, settings.windows, w, extra)
+    out = Wn.add_lag_roll(df, settings.lag_cols, settings.lags, settings.windows, w, extra, part)
     if halo:
         out = Wn.add_lag_roll(out, [f"{c}_halo" for c in ROAD_COLS], settings.halo_lags,
-                              settings.halo_windows, w)
+                              settings.halo_windows, w, part=part)
     if "collisions_lag1" in out.columns and "collisions_roll14_mean" in out.columns:
         lag1, base = F.col("collisions_lag1"), F.col("collisions_roll14_mean")
     else:
         lag1, base = Wn.lag("collisions", 1, w), Wn.trailing("collisions", 14, w, "mean")
-    return out.withColumn("collision_momentum", F.coalesce(C.safe_div(lag1, base), F.lit(1.0)))
+    out = out.withColumn("collision_momentum", F.coalesce(C.safe_div(lag1, base), F.lit(1.0)))
+    return Wn.own_rows(out) if block_days else out
 
 
 def feature_table(gold: DataFrame, adj: DataFrame, settings: Settings = DEFAULTS,
-                  variant: str = "production", facts: DataFrame | None = None) -> DataFrame:
+                  variant: str = "production", facts: DataFrame | None = None, block_days: int | None = None) -> DataFrame:
     """Calendar -> weather flags -> KSI ratio -> lag/roll -> momentum ->
     halo -> targets; rows without the furthest target, ``collisions_lag1`` or
     ``collisions_roll7_mean`` are dropped."""
@@ -140,7 +146,7 @@ def feature_table(gold: DataFrame, adj: DataFrame, settings: Settings = DEFAULTS
     df = weather_interactions(df)
     df = ksi_ratio_columns(df)
     df = halo_columns(df, adj, variant, facts)
-    df = window_family(df, settings)
+    df = window_family(df, settings, block_days=block_days)
     hmax = max(settings.horizons)
     return df.dropna(subset=[f"collisions_t{hmax}", "collisions_lag1", "collisions_roll7_mean"])
 

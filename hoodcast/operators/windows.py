@@ -19,6 +19,23 @@ def area_window(part: str | list = "nbhd_id", order: str = "date"):
     return Window.partitionBy(*parts).orderBy(order)
 
 
+def in_blocks(df, days: int, back: int, ahead: int, order: str = "date"):
+    """Time blocks of ``days`` days, so that an area's history is the work of several tasks: ``_block`` is the block a row
+    is worked in, ``_own`` whether it is its own. A block also gets the ``back`` days before it and the
+    ``ahead`` days after it, as far as its windows look; these copies are dropped afterwards (``own_rows``).
+    For dense input, where a row is a day; ``days`` exceeds ``back + ahead``."""
+    if days <= back + ahead:
+        raise ValueError("a block has to be longer than its windows look back and ahead")
+    day = F.unix_date(order)
+    block, at = F.floor(day / days), F.pmod(day, F.lit(days))
+    copies = F.array_compact(F.array(block, F.when(at >= days - back, block + 1), F.when(at < ahead, block - 1)))
+    return df.withColumn("_block", F.explode(copies)).withColumn("_own", F.col("_block") == block)
+
+
+def own_rows(df):
+    return df.where("_own").drop("_block", "_own")
+
+
 def lag(c: str, n: int, w) -> Column:
     """value ``n`` rows back; null for the first ``n`` rows."""
     return F.lag(c, n).over(w)
@@ -67,7 +84,7 @@ def _is_integral(df, c: str) -> bool:
     return isinstance(df.schema[c].dataType, IntegralType)
 
 
-def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str = "nbhd_id", order: str = "date"):
+def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str | list = "nbhd_id", order: str = "date"):
     """K15 as a frame transform: ``{c}_lag{L}``, ``{c}_roll{W}_sum``,
     ``{c}_roll{W}_mean`` for each present column, plus ``extra`` columns.
 
@@ -81,7 +98,8 @@ def add_lag_roll(df, cols, lags, widths, w=None, extra=(), part: str = "nbhd_id"
     (dozens of columns become one call into the JVM instead of thousands of
     small Column calls); all share ``PARTITION BY part ORDER BY order``.
     """
-    spec = f"PARTITION BY `{part}` ORDER BY `{order}`"
+    parts = [part] if isinstance(part, str) else list(part)
+    spec = f"PARTITION BY {', '.join(f'`{p}`' for p in parts)} ORDER BY `{order}`"
     present = [c for c in cols if c in df.columns]
     integral = [c for c in present if _is_integral(df, c)]
     helpers = []

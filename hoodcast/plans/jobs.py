@@ -35,6 +35,10 @@ from hoodcast.session import cut_lineage
 from hoodcast.sources import readers as Rd
 
 
+#: Days of a time block: an area's windows are the work of as many tasks as its history has blocks.
+BLOCK_DAYS = 1024
+
+
 def write_gated(df: DataFrame, out: str, name: str, partition_by=None, expected: int | None = None, rows=None) -> DataFrame:
     """Write ``df`` and check it in the same pass: contract (N3), areas (N2), row count (N5; ``rows`` is a number or a
     function called after the write). A table that fails is removed and the job raises."""
@@ -85,7 +89,7 @@ def build_features(gold: DataFrame, adj: DataFrame, out: str, settings: Settings
     if road_stats is not None:
         Q.require_empty(Q.duplicate_keys(road_stats, ["nbhd_id"]), "road statistics key")
         gold = cut_lineage(Fe.with_road_stats(gold, road_stats))
-    f = Fe.feature_table(gold, adj, settings)
+    f = Fe.feature_table(gold, adj, settings, block_days=BLOCK_DAYS)
     f = write_gated(f.withColumn("_year", F.year("date")), out, "features", ["_year"], settings.expected_areas).drop("_year")
     Q.require_empty(Q.duplicate_keys(f, ["date", "nbhd_id"]), "feature key")
     return f

@@ -234,3 +234,20 @@ def metrics_merge(spark, sf):
     m = Ev.classification_metrics(ev, "score", Y, "collision_prob_t1")
     lf = Ev.lift_at_k(ev, "score", Y, (5, 10)).withColumn("model", F.lit("collision_prob_t1"))
     return m.join(lf, "model")
+
+
+@query("metrics_by_model", sql(f"""
+  SELECT model, yr, round_even(CASE WHEN sum(pos) * sum(neg) > 0 THEN sum(neg * (pos_cum - pos + 0.5 * pos)) / (sum(pos) * sum(neg)) END, 6) AS roc_auc,
+         round_even(sum(pos * pos_cum / (pos_cum + neg_cum)) / sum(pos), 6) AS pr_auc, round_even(sum(err) / sum(pos + neg), 6) AS brier,
+         CAST(sum(pos + neg) AS BIGINT) AS n_test, round_even(sum(pos) / sum(pos + neg), 4) AS pos_rate
+  FROM (SELECT *, sum(pos) OVER w AS pos_cum, sum(neg) OVER w AS neg_cum FROM (
+          SELECT model, year(date) AS yr, s, sum({Y}) AS pos, sum(1 - {Y}) AS neg, sum(power(s - {Y}, 2)) AS err
+          FROM (SELECT date, {Y}, 'score' AS model, CAST(score AS DOUBLE) AS s FROM ev
+                UNION ALL SELECT date, {Y}, 'cand', CAST(cand AS DOUBLE) FROM ev) GROUP BY ALL)
+        WINDOW w AS (PARTITION BY model, yr ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
+  GROUP BY model, yr""", EV_CTE))
+def metrics_by_model(spark, sf):
+    """M1-M4 of two score columns in every test year, one plan for all."""
+    e = eval_frame(spark, sf).select(F.year("date").alias("yr"), Y, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("model"), F.col(c).cast("double").alias("s")) for c in ("score", "cand")])))
+    return Ev.metrics_by(e, "s", Y, ["model", "yr"])

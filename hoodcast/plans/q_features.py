@@ -382,3 +382,15 @@ def road_statistics(spark, sf):
 def street_features(spark, sf):
     """The areas' street networks as feature columns of the panel."""
     return Fe.with_road_stats(I.gold(spark, sf).select("date", "nbhd_id"), road_exposure_frame(spark, sf))
+
+
+#: Columns of every window kind: running totals, frames over floats, leads, halo, row ratios.
+BLOCK_COLS = ["date", "nbhd_id", "collisions_lag1", "collisions_lag14", "collisions_roll30_sum", "collisions_roll7_mean", "collision_momentum",
+              "ksi_ratio_lag1", "collisions_t1", "target_ksi_t2"]
+
+
+@query("feature_table_blocks", sql(f"SELECT {', '.join(BLOCK_COLS)} FROM features", feature_table_ctes()))
+def feature_table_blocks(spark, sf):
+    """K15-K19 over time blocks of 200 days: several tasks an area, the values of the whole history."""
+    g, facts = I.gold_and_facts(spark, sf)
+    return Fe.feature_table(g, I.adjacency(spark, sf), S, "production", facts, block_days=200).select(*BLOCK_COLS)

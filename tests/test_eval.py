@@ -54,3 +54,32 @@ def test_k_sweep_and_drift(spark):
     assert len(sw) == 3 and sw[0]["lift"] >= sw[-1]["lift"]
     dr = Ev.drift_check(df, "score", "y", k=3).first()
     assert dr["early_p_at_3"] is not None and dr["late_p_at_3"] is not None
+
+
+def test_metrics_of_many_models(spark, monkeypatch):
+    """One plan for all groups, whatever ranges they are dealt to: a large group, small ones, one class only, a null key, ties."""
+    import random
+
+    from hoodcast.operators import evaluate as Ev
+    rnd = random.Random(8)
+    rows = [("big", rnd.random(), int(rnd.random() < 0.3)) for _ in range(3000)]
+    rows += [(g, rnd.randint(0, 4) / 4, rnd.randint(0, 1)) for g in ("a", "b", None) for _ in range(60)] + [("one", 0.5, 1), ("none", 0.2, 0), ("none", 0.9, 0)]
+    df = spark.createDataFrame(rows, "m string, s double, y int").repartition(4)
+    for size in (7, 200_000):
+        monkeypatch.setattr(Ev, "SCORES_PER_TASK", size)
+        got = {r.m: r for r in Ev.metrics_by(df, "s", "y", "m").collect()}
+        assert set(got) == {"big", "a", "b", None, "one", "none"}
+        for g, r in got.items():
+            own = [(s, y) for m, s, y in rows if m == g]
+            pos, neg = [s for s, y in own if y], [s for s, y in own if not y]
+            assert r.n_test == len(own) and r.pos_rate == round(len(pos) / len(own), 4)
+            assert abs(r.brier - sum((s - y) ** 2 for s, y in own) / len(own)) < 1e-6
+            if not pos or not neg:
+                assert r.roc_auc is None
+            else:
+                auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg)
+                assert abs(r.roc_auc - auc) < 1e-6
+            if pos:
+                ap = sum(sum(p >= s for p in pos) / sum(x >= s for x, _ in own) for s in pos) / len(pos)
+                assert abs(r.pr_auc - ap) < 1e-6
+    assert Ev.metrics_by(df.limit(0), "s", "y", "m").count() == 0

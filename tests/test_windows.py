@@ -46,3 +46,26 @@ def test_trailing_min_periods(spark):
     w = Wn.area_window()
     r = df.select(Wn.trailing_minp("x", 60, 14, w, "mean").alias("m")).toPandas()["m"]
     assert r.first_valid_index() == 14
+
+
+def test_blocks_do_not_change_values(spark):
+    import datetime as dt
+    import random
+
+    import pytest
+
+    from hoodcast.operators import windows as Wn
+    rnd = random.Random(3)
+    rows = [(a, dt.date(1969, 11, 1) + dt.timedelta(days=i), rnd.randint(0, 4), rnd.random()) for a in (1, 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "nbhd_id int, date date, collisions int, tavg double")
+    w = Wn.area_window()
+    whole = Wn.add_lag_roll(df, ["collisions", "tavg"], [1, 14], [7, 30], w, [Wn.lead("collisions", 2, w).alias("t2")])
+    for days in (40, 150, 5000):
+        b = Wn.in_blocks(df, days, 31, 2)
+        part = ["nbhd_id", "_block"]
+        got = Wn.own_rows(Wn.add_lag_roll(b, ["collisions", "tavg"], [1, 14], [7, 30], None,
+                                          [Wn.lead("collisions", 2, Wn.area_window(part)).alias("t2")], part)).select(*whole.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    assert Wn.in_blocks(df, 40, 31, 2).select("nbhd_id", "_block").distinct().count() > 20
+    with pytest.raises(ValueError, match="longer"):
+        Wn.in_blocks(df, 33, 31, 2)
