@@ -19,8 +19,8 @@ from hoodcast.operators import quality as Q
 PERTURB = {"tavg": 0.6, "tmin": 0.7, "tmax": 0.5, "prcp": -0.15, "snow": 0.20, "wspd": 0.05}
 
 
-#: Cells that one day's row may carry (0.1 degree cells of one region).
-MAX_CELLS = 100_000
+#: Cells that one day's row carries at once, about; more cells are more parts.
+CELLS_PER_ROW = 1_000
 
 
 def centroid_cells(centroids: DataFrame, lat: str = "centroid_lat", lon: str = "centroid_lon") -> DataFrame:
@@ -42,13 +42,13 @@ def micro_weather_proxy(city_weather: DataFrame, cells: DataFrame) -> DataFrame:
     perturbations by latitude / longitude offset from the cells' mean, clipped
     at 0 for precipitation, snow and wind; flags recomputed."""
     meta = cells.select("coord_key", "lat_round", "lon_round").distinct()
-    n = meta.limit(MAX_CELLS + 1).count()
-    if n > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} weather cells; each day's row would carry them all")
-    arr = meta.select(F.collect_list(F.struct("coord_key", "lat_round", "lon_round"))).scalar()
+    parts = 1 + meta.count() // CELLS_PER_ROW
+    # a day meets the cells part by part, each an array of about CELLS_PER_ROW of them
+    arrays = meta.groupBy(F.pmod(F.xxhash64("coord_key"), F.lit(parts)).cast("bigint").alias("part")).agg(
+        F.collect_list(F.struct("coord_key", "lat_round", "lon_round")).alias("cells"))
     m = meta.select(F.struct(F.avg("lat_round").alias("la"), F.avg("lon_round").alias("lo"))).scalar()
-    w = city_weather.select("date", *WEATHER_COLS, F.explode(arr).alias("c")).select(
-        "date", *WEATHER_COLS, "c.*")
+    w = city_weather.select("date", *WEATHER_COLS, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"))
+    w = w.join(arrays, "part").select("date", *WEATHER_COLS, F.inline("cells"))
     dlat, dlon = F.col("lat_round") - m["la"], F.col("lon_round") - m["lo"]
     out = w.select(
         "coord_key", F.col("lat_round").alias("latitude"), F.col("lon_round").alias("longitude"), "date",

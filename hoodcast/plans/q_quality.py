@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from hoodcast.config import ADAPTER
@@ -345,3 +346,30 @@ def merged_feeds(spark, sf):
     keys = ["date", "custkey"]
     e, w = (o.where(c).groupBy(*keys).agg(F.count("*").alias(n)) for c, n in (("o_orderkey % 2 = 0", "events"), ("o_orderkey % 2 <> 0", "works")))
     return e.join(w, keys, "full").na.fill(0, ["events", "works"])
+
+
+@query("canonical_columns", """
+  SELECT CAST(c_custkey AS INTEGER) AS nbhd_id, c_name AS area_name, c_nationkey FROM customer""")
+def canonical_columns(spark, sf):
+    """B3 + N6: aliases renamed to one name each, of columns then equal the first kept; the needed ones are there."""
+    c = read_table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("HOOD_ID"), F.col("c_name").alias("AREA_NAME"),
+                                                 F.lit("later").alias("area_name"), "c_nationkey", F.lit(-1).alias("Nbhd_Id"))
+    out = Q.canonical_columns(c, {"HOOD_ID": "nbhd_id", "Nbhd_Id": "nbhd_id", "AREA_NAME": "area_name"})
+    Q.require_columns(out, ("nbhd_id", "area_name"))
+    return out
+
+
+@query("join_row_counts", """
+  SELECT count(*) AS rows_before, (SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) AS rows_after,
+         (SELECT count(*) + count(*) FILTER (WHERE s_suppkey % 9 = 0) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) AS rows_doubled FROM lineitem""")
+def join_row_counts(spark, sf):
+    """Rows before a lookup join, after it, and after one whose dimension lists some keys twice, each observed in the
+    pass that writes its join."""
+    li = read_table(spark, sf, "lineitem").select("l_suppkey")
+    s = read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+    count = {"rows": F.count(F.lit(1))}
+    before = Observation()
+    base = Rd.landing_dir(spark, "rows")
+    after = Rd.write_observed(li.observe(before, count["rows"].alias("rows")).join(s, "l_suppkey", "left"), f"{base}/a", count)["rows"]
+    doubled = Rd.write_observed(li.join(s.union(s.where("l_suppkey % 9 = 0")), "l_suppkey", "left"), f"{base}/b", count)["rows"]
+    return spark.createDataFrame([(before.get["rows"], after, doubled)], "rows_before long, rows_after long, rows_doubled long")

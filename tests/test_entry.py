@@ -9,7 +9,11 @@ from places import SF_SMALL
 FAST = ["dense_panel", "ksi_daily", "weather_daily", "disruption_daily", "topk_trailing30", "adjacency_touches",
         "dq_duplicate_count", "coord_clusters", "road_exposure", "current_weather", "weather_conditions", "latest_mart",
         "why_high_risk", "risk_map", "trend_90d", "gate_density", "gate_contract", "valid_shapes", "shapes_within",
-        "shapes_intersects", "one_way_pairs", "road_statistics", "surge_label", "columnar_json_flatten"]
+        "shapes_intersects", "one_way_pairs", "road_statistics", "surge_label", "columnar_json_flatten",
+        "ringed_centroids", "closure_sweep", "exact_quantiles", "median_per_supplier", "feature_collection", "merge_loads",
+        "audit_statuses", "gate_prediction_contract", "gate_feature_contract", "merged_feeds", "metric_cards",
+        "metrics_by_model", "topk_areas", "latest_surge", "risk_bands", "canonical_columns", "join_row_counts",
+        "micro_weather_proxy"]
 
 
 def test_entry_smoke(spark):
@@ -22,7 +26,7 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 120
+    assert len(q) >= 160
     assert {n for n in q if not n.startswith("op") and n != "pipeline"} == {n for n in o if not n.startswith("op")}
 
 

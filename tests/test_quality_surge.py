@@ -62,3 +62,15 @@ def test_column_profile_and_missing_rate(spark):
     assert p["b"]["nulls"] == 2
     m = {r["column"]: r["missing_rate"] for r in Q.missing_rate(df, ["a", "b"]).collect()}
     assert m == {"a": 0.0, "b": 2 / 3}
+
+
+def test_weather_of_any_number_of_cells(spark, monkeypatch):
+    """Parts of the cells do not change the days' weather."""
+    from hoodcast.operators import weather as We
+    city = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-03')) AS date, 1.0 AS tavg, -1.0 AS tmin, 3.0 AS tmax, 2.0 AS prcp, "
+                     "1.0 AS snow, 9.0 AS wspd")
+    cells = spark.range(57).select(F.concat(F.lit("c"), "id").alias("coord_key"), (43 + F.col("id") / 10).alias("lat_round"),
+                                   (-79 - F.col("id") / 10).alias("lon_round"))
+    whole = sorted(map(tuple, We.micro_weather_proxy(city, cells).collect()))
+    monkeypatch.setattr(We, "CELLS_PER_ROW", 5)
+    assert sorted(map(tuple, We.micro_weather_proxy(city, cells.union(cells)).collect())) == whole and len(whole) == 3 * 57
