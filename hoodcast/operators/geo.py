@@ -189,20 +189,20 @@ def cell_index(polys: DataFrame, cell: float, id_col: str = "nbhd_id") -> DataFr
     right_of = lambda j: F.expr(f"({_side('e', f'({j} * {s!r})', f'(cy * {s!r})')}) = (y2 < y1)")
     j = F.when(right_of("j"), F.col("j") - 1).when(~right_of("(j + 1)"), F.col("j") + 1).otherwise(F.col("j"))
     up = up.select("poly_id", "cy", (j + 1).alias("pos"), F.lit(None).cast(EDGE_T).alias("e"), F.lit(1).alias("add"))
-    places = cells.unionByName(up).groupBy("poly_id", "cy", "pos").agg(
+    # dealt once by polygon and row: the places' sums and the rows' running counts need no other exchange
+    places = cells.unionByName(up).repartition("poly_id", "cy").groupBy("poly_id", "cy", "pos").agg(
         F.sum("add").alias("add"), F.collect_list("e").alias("edges"))
     row = Window.partitionBy("poly_id", "cy").orderBy("pos")
-    places = places.select("*", (F.sum("add").over(row.rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1).alias("odd"),
+    places = places.select("poly_id", "cy", "pos", "edges",
+                           (F.sum("add").over(row.rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1).alias("odd"),
                            F.lead("pos").over(row).alias("next"))
-    some = F.size("edges") > 0
-    met = places.where(some).select("poly_id", "cy", F.col("pos").alias("cx"), F.lit(False).alias("inside"),
-                                    F.col("odd").alias("corner"), "edges")
-    first = F.col("pos") + F.when(some, 1).otherwise(0)
-    whole = places.where(F.col("odd") & F.col("next").isNotNull() & (first < F.col("next"))).select(
-        "poly_id", "cy", F.explode(F.sequence(first, F.col("next") - 1)).alias("cx"), F.lit(True).alias("inside"),
-        F.lit(True).alias("corner"), F.array().cast(f"array<{EDGE_T}>").alias("edges"))
-    entry = F.struct("poly_id", "inside", "corner", "edges")
-    per_cell = met.unionByName(whole).select("cx", "cy", entry.alias("p"))
+    # the place's own cell if edges visit it, and the cells up to the next place if they lie inside
+    entries = F.expr(f"""concat(
+        IF(size(edges) > 0, array(struct(pos AS cx, false AS inside, odd AS corner, edges)), array()),
+        IF(odd AND next > pos + IF(size(edges) > 0, 1, 0), transform(sequence(pos + IF(size(edges) > 0, 1, 0), next - 1),
+           c -> struct(c AS cx, true AS inside, true AS corner, cast(array() AS array<{EDGE_T}>) AS edges)), array()))""")
+    per_cell = places.select("poly_id", "cy", F.explode(entries).alias("c")).select(
+        "c.cx", "cy", F.struct("poly_id", "c.inside", "c.corner", "c.edges").alias("p"))
     return per_cell.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("p")).alias("polys"))
 
 
