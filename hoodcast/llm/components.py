@@ -18,7 +18,7 @@ def staged(df: DataFrame, path: str, tasks: int | None = None) -> DataFrame:
 
 
 #: Links that one task is to hold; fewer tasks than partitions, if that is enough.
-LINKS_PER_TASK = 200_000
+LINKS_PER_TASK = 20_000
 
 
 def connected_components(links: DataFrame, path: str, a: str = "a", b: str = "b") -> DataFrame:

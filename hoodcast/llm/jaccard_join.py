@@ -58,8 +58,8 @@ FILTER_BITS = 26
 #: Sets of one group compared by one task at most, and bytes of their bitmaps; least number of index
 #: entries that two linked sets share.
 BLOCK, BLOCK_BYTES, SHARED = 8192, 16 << 20, 8
-#: Rows of light tables (an id and a few numbers) that one task is to write.
-LIGHT_ROWS = 50_000
+#: Rows of light tables (an id and a few numbers) that one task is to read.
+LIGHT_ROWS = 10_000
 #: Rounds in which a set names its LIKELIEST pairs only, before the round that takes all that are left.
 ROUNDS, LIKELIEST = 1, 2
 
@@ -361,7 +361,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         full = staged(lists.groupBy("key").count().where("count > 1").select("key"), at(f"full{k}"), some)
         lists = lists.join(full, "key")
         busy = staged(lists.groupBy("rep").agg(F.count("*").alias("found"), need.alias("need"))
-                      .where("found >= need").drop("need"), at(f"busy{k}"), few)
+                      .where("found >= need").drop("need"), at(f"busy{k}"), some)
         lists = staged(lists.drop("found").join(busy, "rep"), at(f"lists{k}"), some)
 
     # every set against the one leader with which it shares most lists
@@ -370,7 +370,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     led = led.groupBy("rep").agg(
         F.coalesce(F.max_by("leader", F.when(F.col("rep") != F.col("leader"), F.struct("count", -F.col("leader")))),
                    F.first("rep")).alias("leader"), F.max("n").alias("n"))
-    led = staged(led, at("led"), few)
+    led = staged(led, at("led"), some)
     pairs = led.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b"))
     members = spark.sparkContext.broadcast(bitfilter.build(led, "rep", FILTER_BITS))
     sets = staged(rows.mapInArrow(_sets(n, members), "rep long, text binary, bits binary").where("rep is not null")

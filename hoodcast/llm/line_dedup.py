@@ -48,8 +48,8 @@ DEPTH, MIN_TOKENS, MIN_DOCUMENTS, MIN_CONSTANT = 3, 3, 8, 0.6
 FILTER_BITS = 26
 #: Words of an n-gram; parts of a text's n-grams (a power of two); bands of them, one of which near copies share.
 GRAM, BINS, BANDS = 3, 64, 16
-#: Rows of light tables that one task is to write.
-LIGHT_ROWS = 100_000
+#: Rows of light tables that one task is to read.
+LIGHT_ROWS = 20_000
 #: Places of a line that are looked up together.
 CHUNK = 16
 
