@@ -57,7 +57,9 @@ def polygon_edges(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
 
 def ring_edges(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
     """``(poly_id, ring, k, x1, y1, x2, y2)``: edge ``k`` of ring ``ring``."""
-    rings = polys.select(F.col(id_col).alias("poly_id"), F.posexplode("rings").alias("ring", "r"))
+    # the outer form has no filter of its own on ``rings``: Spark moves that below what made the polygons (a distinct,
+    # a join) and builds every outline there once per input row
+    rings = polys.select(F.col(id_col).alias("poly_id"), F.posexplode_outer("rings").alias("ring", "r")).where("ring IS NOT NULL")
     return rings.select("poly_id", "ring", F.posexplode(ring_edges_expr("array(r)")).alias("k", "e")) \
         .select("poly_id", "ring", "k", "e.*")
 

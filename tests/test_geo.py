@@ -2,6 +2,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from hoodcast.operators import geo
 
@@ -218,3 +219,19 @@ def test_rows_follow_edges_plus_cells(spark):
     df = spark.createDataFrame(pts, "pid int, x double, y double")
     got = {r.pid for r in geo.assign_points(df, index, 16.0, "x", "y").collect()}
     assert got == {i for i, x, y in pts if _pip(x, y, [[*wheel, wheel[0]]])}
+
+
+def test_outlines_are_not_built_per_row_below_a_distinct(spark):
+    """A filter on ``rings`` must not move below the distinct that leaves few polygons of many rows."""
+    turn = F.expr("transform(sequence(0, 50), i -> named_struct('x', nbhd_id + cos(i % 50), 'y', sin(i % 50)))")
+    polys = spark.range(1000).select((F.col("id") % 3).cast("int").alias("nbhd_id")).distinct().select("nbhd_id", F.array(turn).alias("rings"))
+    edges = geo.ring_edges(polys)
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "transform" in line]
+    assert edges.count() == 3 * 50
+
+
+def test_polygons_without_rings_have_no_edges(spark):
+    rings = "array<array<struct<x:double,y:double>>>"
+    polys = spark.createDataFrame([(1, None), (2, []), (3, [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]), (4, [None])], f"nbhd_id int, rings {rings}")
+    assert {(r.poly_id, r.ring, r.k) for r in geo.ring_edges(polys).collect()} == {(3, 0, 0), (3, 0, 1), (3, 0, 2)}
