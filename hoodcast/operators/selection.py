@@ -4,7 +4,8 @@
 wanted rank has a range of values that holds it; the range is cut by approximate quantiles of
 the values in it (bounded sketches), the rows of every piece are counted exactly, and the piece with the
 rank is the next range. A value that cuts is a piece of its own, so a frequent value ends the
-search at once and every round leaves fewer values. Ranges of few rows are read out.
+search at once and every round leaves fewer values. Ranges of few rows are read out. Ranks in one
+range share it: a value is looked at once per range, however many ranks are wanted.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from hoodcast.session import cut_lineage
 
 #: Rows of a range that are read out at once; pieces a range is cut into; accuracy of the cuts.
 READ_OUT, PIECES, ACCURACY = 1 << 14, 64, 1000
+RANGE = ["g", "a", "b", "below"]
 
 
 def quantiles(df: DataFrame, value: str, probs, by=(), read_out: int = READ_OUT, pieces: int = PIECES) -> DataFrame:
@@ -47,8 +49,8 @@ def quantiles(df: DataFrame, value: str, probs, by=(), read_out: int = READ_OUT,
     for d in done[1:]:
         found = found.unionByName(d)
     found = cut_lineage(found)
-    few = vals.join(found.where("a < b"), "g").where("v BETWEEN a AND b").groupBy("g", "k").agg(
-        F.element_at(F.sort_array(F.collect_list("v")), (F.first("k") - F.first("below") + 1).cast("int")).alias("x"))
+    lists = _inside(vals, found.where("a < b")).groupBy(*RANGE).agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    few = found.join(lists, RANGE).select("g", "k", F.element_at("vs", (F.col("k") - F.col("below") + 1).cast("int")).alias("x"))
     x = found.where("a = b").select("g", "k", F.col("a").alias("x")).unionByName(few)
     lower = x.select("g", F.col("k").alias("lo"), F.col("x").alias("low"))
     upper = x.select("g", F.col("k").alias("hi"), F.col("x").alias("high"))
@@ -59,18 +61,26 @@ def quantiles(df: DataFrame, value: str, probs, by=(), read_out: int = READ_OUT,
     return out.select(*[F.col("g").getField(k).alias(c) for c, k in zip(by, keys)], "p", "n", q.alias("quantile"))
 
 
+def _inside(vals: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The values of every range that holds a rank, once per range."""
+    return vals.join(ranks.select(*RANGE).distinct(), "g").where("v BETWEEN a AND b")
+
+
 def _refined(vals: DataFrame, ranks: DataFrame, pieces: int) -> DataFrame:
-    """Every rank's range cut into pieces, the piece with the rank kept."""
-    inside = vals.join(ranks, "g").where("v BETWEEN a AND b")
-    cuts = inside.groupBy("g", "k").agg(F.array_distinct(F.percentile_approx(
-        "v", [i / pieces for i in range(1, pieces)], ACCURACY)).alias("cuts"))
-    # an odd piece is a cut itself, an even one lies between two
-    piece = F.expr("aggregate(cuts, 0, (acc, c) -> acc + IF(c < v, 2, IF(c = v, 1, 0)))")
-    counted = inside.join(cuts, ["g", "k"]).groupBy("g", "k", "below", piece.alias("piece")).agg(
-        F.count("*").alias("inside"), F.min("v").alias("a"), F.max("v").alias("b"))
-    w = Window.partitionBy("g", "k").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    before = counted.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(w), F.lit(0)))
-    return before.where("k >= below AND k < below + inside").select("g", "k", "a", "b", "below", "inside")
+    """Every range cut into pieces, for each rank the piece with it kept."""
+    cuts = cut_lineage(_inside(vals, ranks).groupBy(*RANGE).agg(F.array_distinct(F.percentile_approx(
+        "v", [i / pieces for i in range(1, pieces)], ACCURACY)).alias("cuts")))
+    # an odd piece is a cut itself, an even one lies between two; the cuts below a value by halving steps
+    steps = ", ".join(str(1 << i) for i in reversed(range(pieces.bit_length())))
+    piece = F.expr(f"aggregate(array({steps}), 0, (acc, s) -> IF(get(cuts, acc + s - 1) < v, acc + s, acc), "
+                   "acc -> 2 * acc + IF(get(cuts, acc) = v, 1, 0))")
+    inside = vals.join(cuts, "g").where("v BETWEEN a AND b")
+    counted = inside.groupBy(*RANGE, piece.alias("piece")).agg(
+        F.count("*").alias("inside"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    w = Window.partitionBy(*RANGE).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("before", F.col("below") + F.coalesce(F.sum("inside").over(w), F.lit(0)))
+    found = ranks.select("k", *RANGE).join(counted, RANGE).where("k >= before AND k < before + inside")
+    return found.select("g", "k", F.col("lo").alias("a"), F.col("hi").alias("b"), F.col("before").alias("below"), "inside")
 
 
 def median(df: DataFrame, value: str) -> DataFrame:

@@ -97,3 +97,13 @@ def test_sweep_equals_expansion(spark):
     assert got == {k: (n[k], sev[k]) for k in n}
     long = df.where("sev = 2 AND end_date > '2029-01-01'")
     assert panel.sweep_intervals(long, "area", {"sev": F.col("sev")}).count() == 3651
+
+
+def test_ranks_of_one_range_share_its_rows(spark):
+    """However many ranks are wanted, a round looks at a value once per range, not once per rank."""
+    vals = spark.range(3000).select(F.struct(F.lit(0).alias("_")).alias("g"), F.col("id").cast("double").alias("v"))
+    ranks = spark.createDataFrame([(k, 0.0, 2999.0, 0, 3000) for k in (0, 5, 1500, 2999)], "k long, a double, b double, below long, inside long")
+    ranks = ranks.select(F.struct(F.lit(0).alias("_")).alias("g"), "*")
+    assert selection._inside(vals, ranks).count() == 3000
+    for r in selection._refined(vals, ranks, 8).collect():
+        assert r.a <= r.k <= r.b and r.below <= r.k < r.below + r.inside and r.a == r.below
