@@ -10,7 +10,9 @@
 * features are cleaned in the JVM (NaN/inf/null -> 0, B14) before assembly;
 * the no-positives guard (L7) returns a constant-0 scorer and placeholder metrics;
 * a fit may be bounded to ``fit_rows`` labelled rows, those with the smallest hash of their
-  key; scoring always covers every row. Independent fits run side by side (``fit_many``).
+  key; scoring always covers every row. Independent fits run side by side (``fit_many``);
+* a boosted fit is hundreds of trees of several small jobs each, and every task carries its input's
+  lineage: fits read checkpointed rows, and the trees' errors are checkpointed every few trees.
 """
 
 from __future__ import annotations
@@ -64,6 +66,10 @@ COMPARISON_PARAMS = TreeParams(max_iter=300, max_depth=5, step_size=0.05)
 COUNT_PARAMS = TreeParams(max_iter=800, max_depth=6, step_size=0.05)
 
 
+#: Trees between two checkpoints of a fit's errors; no tree depends on it.
+CHECKPOINT_TREES = 5
+
+
 def fit_many(fits: list[Callable], workers: int = 8) -> list:
     """Results of independent fits, run side by side: their many small jobs then share the cluster."""
     with ThreadPoolExecutor(min(workers, max(1, len(fits)))) as pool:
@@ -132,19 +138,20 @@ class CalibratedEnsemble:
 
 
 def _weighted(train: DataFrame, features, label: str, keys, params: TreeParams, folds: int) -> tuple[DataFrame, int, int]:
-    """(assembled rows with weight and fold, positives, rows): written once, read by every fit."""
+    """(assembled rows with weight and fold, positives, rows): written once, without lineage for every fit."""
     rows = clean_features(bounded(train.where(F.col(label).isNotNull()), keys, params.fit_rows), features)
     rows = with_folds(rows, keys, folds, params.seed)
     rows = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(rows).select("_vec", label, "_fold")
     rows = cut_lineage(rows)
     stats = rows.agg(F.sum(label).alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    return balance_weight(rows, label), int(stats["pos"] or 0), int(stats["n"])
+    return balance_weight(rows, label).checkpoint(), int(stats["pos"] or 0), int(stats["n"])
 
 
 def _classifier(label: str, params: TreeParams, n: int) -> GBTClassifier:
     return GBTClassifier(featuresCol="_vec", labelCol=label, weightCol="_w", maxIter=params.trees(n),
                          stepSize=params.step_size, maxDepth=params.max_depth, minInstancesPerNode=params.min_instances,
-                         featureSubsetStrategy=params.feature_subset, subsamplingRate=1.0, seed=params.seed)
+                         featureSubsetStrategy=params.feature_subset, subsamplingRate=1.0, seed=params.seed,
+                         checkpointInterval=CHECKPOINT_TREES)
 
 
 def _scorer(features, model) -> PipelineModel:
@@ -159,7 +166,7 @@ def fit_calibrated(train: DataFrame, features, label: str, keys, params: TreePar
         return CalibratedEnsemble(list(features), [], constant=0.0)
 
     def member(f: int):
-        gbt = _classifier(label, params, n).fit(x.where(F.col("_fold") != f))
+        gbt = _classifier(label, params, n).fit(x.where(F.col("_fold") != f).select("_vec", label, "_w"))
         raw = gbt.transform(x.where(F.col("_fold") == f)).select(vector_to_array("probability")[1].alias("_raw"), label)
         # equal scores pool into one weighted row: the same fit, and what reaches the driver stays small
         raw = raw.groupBy("_raw").agg(F.avg(label).alias("_y"), F.count(F.lit(1)).cast("double").alias("_n"))
@@ -182,7 +189,7 @@ def fit_count_regressor(train: DataFrame, features, label: str, keys, params: Tr
     x = clean_features(bounded(train.where(F.col(label).isNotNull()), keys, params.fit_rows), features)
     x = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(x).select("_vec", label)
     gbt = GBTRegressor(featuresCol="_vec", labelCol=label, maxIter=params.max_iter, stepSize=params.step_size,
-                       maxDepth=params.max_depth, seed=params.seed).fit(cut_lineage(x))
+                       maxDepth=params.max_depth, seed=params.seed, checkpointInterval=CHECKPOINT_TREES).fit(cut_lineage(x).checkpoint())
     return _scorer(features, gbt)
 
 

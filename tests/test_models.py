@@ -25,3 +25,23 @@ def test_no_positive_guard(spark):
     ens = M.fit_calibrated(df, ["x"], "y", ["id"], M.TreeParams(max_iter=3))
     assert ens.constant == 0.0
     assert ens.predict(df, "p").agg(F.max("p")).first()[0] == 0.0
+
+
+def test_fits_read_rows_without_lineage(spark):
+    df = spark.createDataFrame([(i, float(i % 7), i % 2) for i in range(40)], "id int, x double, y int")
+    rows, pos, n = M._weighted(df, ["x"], "y", ["id"], M.TreeParams(), 3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert (pos, n) == (20, 40) and "ExistingRDD" in plan and "parquet" not in plan
+    assert M._classifier("y", M.TreeParams(), n).getCheckpointInterval() == M.CHECKPOINT_TREES
+
+
+def test_area_training_rows_need_no_city_model(spark, monkeypatch):
+    from hoodcast.plans import q_models as Q
+    split = Q.S.split_date
+    rows = [(split.replace(year=split.year - 1), 1, 2.0), (split, 1, 3.0), (None, 2, 4.0)]
+    plain = spark.createDataFrame(rows, "date date, nbhd_id int, x double")
+    monkeypatch.setattr(Q, "_plain", lambda *_: plain)
+    monkeypatch.setattr(Q, "_shared", lambda spark, sf, what, make: make())
+    monkeypatch.setattr(Q, "surge_models", lambda *_: "city")
+    assert [tuple(r) for r in Q._train(spark, "").collect()] == [(rows[0][0], 1, 2.0, 0.5, 0.5)]
+    assert Q._beside_city(spark, "", [lambda: "a", lambda: "b"]) == ["a", "b"]
