@@ -64,6 +64,18 @@ def ring_edges(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
         .select("poly_id", "ring", "k", "e.*")
 
 
+#: Edges that a part of the polygons holds, about: what one task sorts and counts at a time.
+PART_EDGES = 1 << 16
+#: Parts that a task writes row by row; beyond Spark's spark.shuffle.sort.bypassMergeThreshold it holds them in memory.
+STREAMED_PARTS = 200
+
+
+def edge_parts(polys: DataFrame) -> int:
+    """How many parts of about PART_EDGES edges the polygons make (one small job over the rings' sizes)."""
+    points = F.expr("aggregate(rings, 0L, (n, r) -> n + coalesce(size(r), 0))")
+    return max(1, math.ceil((polys.agg(F.sum(points).alias("n")).first()["n"] or 0) / PART_EDGES))
+
+
 def walk_rows(e: DataFrame, sy: Column, to: str = "cy") -> DataFrame:
     """One row per edge and grid row that it visits."""
     return e.withColumn(to, F.explode(F.sequence(F.floor(F.least("y1", "y2") / sy), F.floor(F.greatest("y1", "y2") / sy))))
@@ -372,7 +384,7 @@ def isolated_areas(areas: DataFrame, adj: DataFrame, id_col: str = "nbhd_id") ->
 # centroid, clustering
 # ---------------------------------------------------------------------------
 
-def ring_signs(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
+def ring_signs(polys: DataFrame, id_col: str = "nbhd_id", parts: int | None = None) -> DataFrame:
     """``(poly_id, ring, sign)``: 1 for a ring that adds area, -1 for one that takes it away.
 
     A ring held by an even number of its polygon's other rings adds, whichever way it turns: outlines,
@@ -380,20 +392,27 @@ def ring_signs(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
     edges in the grid rows they share: a ring holds the midpoint if an odd number of its
     edges cross the way to the left. A midpoint on none of the other rings decides; if there is
     none, rings on it count as holding the later ones (of equal rings every other one adds).
+
+    Edges are dealt by polygon, then by grid row, then by ring, in ``parts`` parts that follow their number
+    (``edge_parts``): no task sorts or counts more of them as the polygons grow, however few files they come from.
     """
-    several = ring_edges(polys.where("size(rings) > 1"), id_col)
+    parts = parts or edge_parts(polys)
+    several = ring_edges(polys.where("size(rings) > 1").repartition(min(parts, STREAMED_PARTS), id_col), id_col)
     grid = _own_grid(several).select("poly_id", "sy")
-    e = several.join(grid, "poly_id")
+    e = several.join(grid.hint("merge"), "poly_id")
     other = walk_rows(e, F.col("sy"), "row").select(
-        "poly_id", "row", F.col("ring").alias("other"), F.struct("x1", "y1", "x2", "y2").alias("e"))
+        "poly_id", "row", F.col("ring").alias("other"), F.struct("x1", "y1", "x2", "y2").alias("e")).repartition(parts, "poly_id", "row")
     middle = e.select("poly_id", "ring", "k", ((F.col("x1") + F.col("x2")) / 2).alias("mx"),
                       ((F.col("y1") + F.col("y2")) / 2).alias("my"), "sy").withColumn("row", F.floor(F.col("my") / F.col("sy")))
     # the probe's own ring keeps every probe in the join, and says nothing
-    j = middle.join(other, ["poly_id", "row"])
+    j = middle.repartition(parts, "poly_id", "row").join(other.hint("merge"), ["poly_id", "row"])
     own = F.col("ring") == F.col("other")
     on = F.expr(_on_edge("array(e)", "mx", "my")) & ~own
     crossed = F.expr(f"(e.y1 > my) != (e.y2 > my) AND {_side('e', 'mx', 'my')} = (e.y2 < e.y1)") & ~own
-    held = j.groupBy("poly_id", "ring", "k", "other").agg(F.max(on).alias("on"), F.count_if(crossed).alias("n"))
+    # a probe lies in one row: its counts are whole where they were joined, and go on by ring
+    held = j.groupBy("poly_id", "row", "ring", "k", "other").agg(F.max(on).alias("on"), F.count_if(crossed).alias("n"))
+    held = held.repartition(parts, "poly_id", "ring").groupBy("poly_id", "ring", "k", "other").agg(
+        F.max("on").alias("on"), F.sum("n").alias("n"))
     held = held.groupBy("poly_id", "ring", "k").agg(
         F.max("on").alias("on"), F.sum(F.when(F.col("on"), (F.col("other") < F.col("ring")).cast("int"))
                                        .otherwise((F.col("n") % 2).cast("int"))).alias("depth"))
@@ -401,22 +420,28 @@ def ring_signs(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
     return depth.select("poly_id", "ring", F.when(F.col("depth") % 2 == 0, 1).otherwise(-1).alias("sign"))
 
 
-def _ring_sums(polys: DataFrame, e: DataFrame, id_col: str) -> DataFrame:
+def _ring_sums(polys: DataFrame, id_col: str, project=None) -> DataFrame:
     """``(poly_id, a2, sx, sy)``: twice the area and six times the area's moments, the rings' shoelace sums
-    over ``e`` (edges with ring, x1 .. y2) added or taken away by their nesting."""
+    over the edges (through ``project``, if given) added or taken away by their nesting."""
+    parts = edge_parts(polys)
+    e = ring_edges(polys.repartition(min(parts, STREAMED_PARTS), id_col), id_col)
+    e = project(e) if project else e
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     rings = e.groupBy("poly_id", "ring").agg(
         F.sum(cross).alias("a2"), F.sum((F.col("x1") + F.col("x2")) * cross).alias("sx"),
         F.sum((F.col("y1") + F.col("y2")) * cross).alias("sy"))
+    # a ring's sums and its sign meet in its polygon's part, without a join that picks its own number of parts
+    signs = ring_signs(polys, id_col, parts)
+    rings = rings.unionByName(signs, allowMissingColumns=True).repartition(parts, "poly_id").groupBy("poly_id", "ring").agg(
+        *[F.max(c).alias(c) for c in ("a2", "sx", "sy", "sign")])
     sign = F.coalesce("sign", F.lit(1)) * F.signum("a2")
-    return rings.join(ring_signs(polys, id_col), ["poly_id", "ring"], "left").groupBy("poly_id").agg(
-        *[F.sum(sign * F.col(c)).alias(c) for c in ("a2", "sx", "sy")])
+    return rings.groupBy("poly_id").agg(*[F.sum(sign * F.col(c)).alias(c) for c in ("a2", "sx", "sy")])
 
 
 def centroids(polys: DataFrame, id_col: str = "nbhd_id") -> DataFrame:
     """Area-weighted centroid and area by shoelace sums over the edges (planar, in storage
     coordinates), holes taken away. A polygon without area has no centroid, one without edges no row."""
-    g = _ring_sums(polys, ring_edges(polys, id_col), id_col)
+    g = _ring_sums(polys, id_col)
     return g.select(F.col("poly_id").alias(id_col),
                     C_safe(F.col("sx"), F.col("a2") * 3).alias("centroid_lon"),
                     C_safe(F.col("sy"), F.col("a2") * 3).alias("centroid_lat"),
@@ -483,11 +508,10 @@ def lcc_inverse(x, y, k: dict | None = None, iterations: int = 6):
 def projected_centroids(polys: DataFrame, id_col: str = "nbhd_id", digits: int = 6) -> DataFrame:
     """J3 (reference variant): centroid computed in the projected CRS, then
     returned to lon/lat; area in square kilometres."""
-    e = ring_edges(polys, id_col)
     x1, y1 = lcc_forward(F.col("x1"), F.col("y1"))
     x2, y2 = lcc_forward(F.col("x2"), F.col("y2"))
-    e = e.select("poly_id", "ring", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
-    g = _ring_sums(polys, e, id_col)
+    g = _ring_sums(polys, id_col, lambda e: e.select(
+        "poly_id", "ring", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")))
     cx, cy = C_safe(F.col("sx"), F.col("a2") * 3), C_safe(F.col("sy"), F.col("a2") * 3)
     lon, lat = lcc_inverse(cx, cy)
     return g.select(F.col("poly_id").alias(id_col), F.bround(lon, digits).alias("centroid_lon"),

@@ -235,3 +235,20 @@ def test_polygons_without_rings_have_no_edges(spark):
     rings = "array<array<struct<x:double,y:double>>>"
     polys = spark.createDataFrame([(1, None), (2, []), (3, [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]), (4, [None])], f"nbhd_id int, rings {rings}")
     assert {(r.poly_id, r.ring, r.k) for r in geo.ring_edges(polys).collect()} == {(3, 0, 0), (3, 0, 1), (3, 0, 2)}
+
+
+def test_ring_nesting_in_parts_that_follow_the_edges(spark, monkeypatch):
+    """Polygons of one file: nothing is counted or sorted in the task that reads it, and no part of the rest grows with them."""
+    monkeypatch.setattr(geo, "PART_EDGES", 256, raising=False)
+    rings = spark.createDataFrame([([[tuple(map(float, p)) for p in ring] for ring in (_box(0, 0, 6, 6), _box(1, 1, 2, 4))],)],
+                                  "rings array<array<struct<x:double,y:double>>>")
+    polys = spark.range(0, 2400, numPartitions=1).select(F.col("id").cast("int").alias("nbhd_id")).join(F.broadcast(rings))
+    lines = geo.centroids(polys)._jdf.queryExecution().executedPlan().toString().splitlines()
+    for n in (i for i, line in enumerate(lines) if "- Range" in line):
+        below = lines[max(i for i, line in enumerate(lines[:n]) if " Exchange " in line):n]
+        assert not [line for line in below if "Aggregate" in line or "Sort" in line]
+    for df, rows in ((geo.ring_signs(polys), 4800), (geo.centroids(polys), 2400)):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == rows and max(sizes) < rows / 20
+    got = geo.centroids(polys).agg(F.min("area"), F.max("area"), F.min("centroid_lat"), F.max("centroid_lon")).first()
+    assert tuple(got) == (28.0, 28.0, 3.0, (36 * 3 - 8 * 2) / 28)
