@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hoodcast.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,9 +21,6 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
-_shipped: set[str] = set()
-
-
 #: Rows of text that one Arrow batch carries: a few MB on either side of the worker's pipe.
 BATCH_ROWS = "1000"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -35,12 +31,7 @@ def ship(spark: SparkSession) -> None:
     and, unless the session has its own, a batch size fit for rows of text."""
     if spark.conf.get(_BATCH, "10000") == "10000":
         spark.conf.set(_BATCH, BATCH_ROWS)
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        _shipped.add(sc.applicationId)
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        to = os.path.join(tempfile.mkdtemp(), os.path.basename(package))
-        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(package), os.path.basename(package)))
+    ship_package(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,8 +11,9 @@
 * the no-positives guard (L7) returns a constant-0 scorer and placeholder metrics;
 * a fit may be bounded to ``fit_rows`` labelled rows, those with the smallest hash of their
   key; scoring always covers every row. Independent fits run side by side (``fit_many``);
-* a boosted fit is hundreds of trees of several small jobs each, and every task carries its input's
-  lineage: fits read checkpointed rows, and the trees' errors are checkpointed every few trees.
+* a fit whose training set one task can hold is one task (``boosting.py``), the folds' fits beside one another;
+* above that Spark ML fits over all executors. There a boosted fit is hundreds of trees of several small jobs each, and every
+  task carries its input's lineage: fits read checkpointed rows, and the trees' errors are checkpointed every few trees.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoodcast.functions.columns import clean_feature
+from hoodcast.operators import boosting
 from hoodcast.operators.reports import last_row_per_date
 from hoodcast.session import cut_lineage
 
@@ -158,15 +160,33 @@ def _scorer(features, model) -> PipelineModel:
     return PipelineModel(stages=[VectorAssembler(inputCols=list(features), outputCol="_vec"), model])
 
 
+def _boosted(x: DataFrame, fits: int, estimator, features, n: int) -> list:
+    """Spark ML's fitted models of the fits numbered in ``fit`` (0, 1, ...): each in one task if that can hold the
+    training set's ``n`` rows, else by Spark ML over all executors."""
+    label, regression = estimator.getLabelCol(), isinstance(estimator, GBTRegressor)
+    if n * len(features) > boosting.LOCAL_VALUES:
+        return fit_many([lambda f=f: estimator.copy().fit(x.where(F.col("fit") == f).drop("fit")) for f in range(fits)])
+    share = estimator.getFeatureSubsetStrategy()
+    nodes = boosting.fit_local(
+        x.select("fit", vector_to_array("_vec").alias("x"), F.col(label).alias("y"), (F.lit(1.0) if regression else F.col("_w")).alias("w")),
+        fits, logistic=not regression, trees=estimator.getMaxIter(), step=estimator.getStepSize(), max_depth=estimator.getMaxDepth(),
+        min_instances=estimator.getMinInstancesPerNode(), feature_share=1.0 if share == "all" else float(share),
+        seed=estimator.getSeed(), max_bins=estimator.getMaxBins())
+    return fit_many([lambda f=f: boosting.as_model(nodes.where(F.col("fit") == f), estimator, GBTRegressionModel if regression
+                                                   else GBTClassificationModel, len(features)) for f in range(fits)])
+
+
 def fit_calibrated(train: DataFrame, features, label: str, keys, params: TreeParams,
                    folds: int = 3) -> CalibratedEnsemble:
     """L1/L2 + L3: per fold a classifier on the other folds and an isotonic map of its scores on the fold."""
     x, pos, n = _weighted(train, features, label, keys, params, folds)
     if pos == 0:
         return CalibratedEnsemble(list(features), [], constant=0.0)
+    others = x.withColumn("fit", F.explode(F.array(*[F.lit(f) for f in range(folds)]))).where("fit <> _fold")
+    models = _boosted(others.select("fit", "_vec", label, "_w"), folds, _classifier(label, params, n), features, n)
 
     def member(f: int):
-        gbt = _classifier(label, params, n).fit(x.where(F.col("_fold") != f).select("_vec", label, "_w"))
+        gbt = models[f]
         raw = gbt.transform(x.where(F.col("_fold") == f)).select(vector_to_array("probability")[1].alias("_raw"), label)
         # equal scores pool into one weighted row: the same fit, and what reaches the driver stays small
         raw = raw.groupBy("_raw").agg(F.avg(label).alias("_y"), F.count(F.lit(1)).cast("double").alias("_n"))
@@ -181,16 +201,18 @@ def fit_balanced(train: DataFrame, features, label: str, keys, params: TreeParam
     x, pos, n = _weighted(train, features, label, keys, params, 1)
     if pos == 0:
         return CalibratedEnsemble(list(features), [], constant=0.0)
-    return CalibratedEnsemble(list(features), [(_scorer(features, _classifier(label, params, n).fit(x)), None)])
+    gbt = _boosted(x.select(F.lit(0).alias("fit"), "_vec", label, "_w"), 1, _classifier(label, params, n), features, n)[0]
+    return CalibratedEnsemble(list(features), [(_scorer(features, gbt), None)])
 
 
 def fit_count_regressor(train: DataFrame, features, label: str, keys, params: TreeParams = COUNT_PARAMS) -> PipelineModel:
     """Next-day count regressor."""
     x = clean_features(bounded(train.where(F.col(label).isNotNull()), keys, params.fit_rows), features)
-    x = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(x).select("_vec", label)
+    x = VectorAssembler(inputCols=list(features), outputCol="_vec").transform(x).select(F.lit(0).alias("fit"), "_vec", label)
+    x = cut_lineage(x).checkpoint()
     gbt = GBTRegressor(featuresCol="_vec", labelCol=label, maxIter=params.max_iter, stepSize=params.step_size,
-                       maxDepth=params.max_depth, seed=params.seed, checkpointInterval=CHECKPOINT_TREES).fit(cut_lineage(x).checkpoint())
-    return _scorer(features, gbt)
+                       maxDepth=params.max_depth, seed=params.seed, checkpointInterval=CHECKPOINT_TREES)
+    return _scorer(features, _boosted(x, 1, gbt, features, x.count())[0])
 
 
 def blend(p_col: str, p_ksi: str, w_col: float = 0.6, w_ksi: float = 0.4):

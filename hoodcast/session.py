@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -56,6 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (Spark distributes the archive)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        package = os.path.dirname(os.path.abspath(__file__))
+        to = os.path.join(tempfile.mkdtemp(), os.path.basename(package))
+        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(package), os.path.basename(package)))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once as a parquet table under the shared checkpoint
     folder and return a scan of it.

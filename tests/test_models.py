@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from hoodcast.operators import models as M
@@ -45,3 +46,59 @@ def test_area_training_rows_need_no_city_model(spark, monkeypatch):
     monkeypatch.setattr(Q, "surge_models", lambda *_: "city")
     assert [tuple(r) for r in Q._train(spark, "").collect()] == [(rows[0][0], 1, 2.0, 0.5, 0.5)]
     assert Q._beside_city(spark, "", [lambda: "a", lambda: "b"]) == ["a", "b"]
+
+
+def _mixed(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(900):
+        a, b, c = rnd.random(), rnd.gauss(0, 1), float(rnd.randrange(7))
+        rows.append((i, a, b, c, 2 * b, 1.0, int((a * c + b > 1.5) != (rnd.random() < 0.2)), 3 * a + c))
+    return spark.createDataFrame(rows, "id int, a double, b double, c double, twice_b double, same double, y int, z double")
+
+
+def test_fits_in_one_task_are_those_of_spark_ml(spark, monkeypatch):
+    df, cols = _mixed(spark), ["a", "b", "c", "twice_b", "same"]
+    params = M.TreeParams(max_iter=6, max_depth=4, min_instances=9, feature_subset="all")
+    count = M.TreeParams(max_iter=6, max_depth=5, step_size=0.05)
+
+    def scores():
+        x = M.clean_features(df, cols)
+        models = [gbt for gbt, _ in M.fit_calibrated(df, cols, "y", ["id"], params).members] \
+            + [M.fit_balanced(df, cols, "y", ["id"], params).members[0][0], M.fit_count_regressor(df, cols, "z", ["id"], count)]
+        return [{r.id: [r.prediction, *(r.probability if "probability" in r else ())] for r in m.transform(x).collect()} for m in models]
+
+    here = scores()
+    monkeypatch.setattr(M.boosting, "LOCAL_VALUES", 0)
+    for mine, theirs in zip(here, scores(), strict=True):
+        assert len(mine) == 900 and all(mine[i] == pytest.approx(theirs[i], abs=1e-9) for i in theirs)
+
+
+def test_jobs_of_a_fit_do_not_grow_with_its_trees(spark):
+    df, tracker = _mixed(spark), spark.sparkContext.statusTracker()
+    taken = []
+    for trees in (2, 40):
+        first = max(tracker.getJobIdsForGroup())
+        model = M.fit_count_regressor(df, ["a", "b", "c"], "z", ["id"], M.TreeParams(max_iter=trees, max_depth=4))
+        taken.append(max(tracker.getJobIdsForGroup()) - first)
+        assert model.stages[-1].getNumTrees == trees
+    assert taken[1] <= taken[0] + 5 and taken[1] < 60
+
+
+def test_whole_tables_bins_and_odd_labels():
+    import numpy as np
+    from hoodcast.operators import boosting as B
+    rng = np.random.default_rng(0)
+    x = np.stack([rng.normal(size=5_000), rng.integers(0, 3, 5_000), np.ones(5_000)], 1)
+    cuts = [B.cut_points(x[:, f], np.ones(5_000), 32) for f in range(3)]
+    assert [len(c) for c in cuts] == [31, 2, 0] and list(cuts[1]) == [0.5, 1.5]
+    sizes = np.bincount(np.searchsorted(cuts[0], x[:, 0]))
+    assert sizes.min() >= 150 and sizes.max() <= 165 and sizes.sum() == 5_000
+    with pytest.raises(ValueError, match="labels"):
+        B.boost(x, x[:, 1], np.ones(5_000), logistic=True, trees=1, step=0.1, max_depth=2, min_instances=1, feature_share=1.0, seed=1)
+    # rows in another order, one constant column, features left out at random: the same trees
+    y, order = (x[:, 0] > 0).astype(float), rng.permutation(5_000)
+    args = {"logistic": True, "trees": 3, "step": 0.1, "max_depth": 3, "min_instances": 5, "feature_share": 0.5, "seed": 1}
+    w = np.where(y == 1, 2.0, 1.0)
+    for a, b in zip(B.boost(x, y, w, **args), B.boost(x[order], y[order], w[order], **args)):
+        assert (a == b).all()
