@@ -172,8 +172,8 @@ def _boosted(x: DataFrame, fits: int, estimator, features, n: int) -> list:
         fits, logistic=not regression, trees=estimator.getMaxIter(), step=estimator.getStepSize(), max_depth=estimator.getMaxDepth(),
         min_instances=estimator.getMinInstancesPerNode(), feature_share=1.0 if share == "all" else float(share),
         seed=estimator.getSeed(), max_bins=estimator.getMaxBins())
-    return fit_many([lambda f=f: boosting.as_model(nodes.where(F.col("fit") == f), estimator, GBTRegressionModel if regression
-                                                   else GBTClassificationModel, len(features)) for f in range(fits)])
+    reader = GBTRegressionModel if regression else GBTClassificationModel
+    return [boosting.as_model(nodes.where(F.col("fit") == f), estimator, reader, len(features)) for f in range(fits)]
 
 
 def fit_calibrated(train: DataFrame, features, label: str, keys, params: TreeParams,
@@ -193,7 +193,7 @@ def fit_calibrated(train: DataFrame, features, label: str, keys, params: TreePar
         iso = IsotonicRegression(featuresCol="_raw", labelCol="_y", weightCol="_n", isotonic=True).fit(raw)
         return _scorer(features, gbt), iso
 
-    return CalibratedEnsemble(list(features), fit_many([lambda f=f: member(f) for f in range(folds)]))
+    return CalibratedEnsemble(list(features), [member(f) for f in range(folds)])
 
 
 def fit_balanced(train: DataFrame, features, label: str, keys, params: TreeParams) -> CalibratedEnsemble:
